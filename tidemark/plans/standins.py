@@ -212,3 +212,204 @@ def relations(spark: SparkSession, sf_dir: str) -> Relations:
         "fred_series_observations": fred_series_observations(spark, sf_dir),
     }
     return Relations(tables, company_identities(spark, sf_dir), financial_metrics(spark))
+
+
+# --- payloads built from the sample rows ----------------------------------------
+#
+# Each payload is made from one row, and some rows get a planted violation, so both
+# the accepted rows and the quarantine grow with the tables.
+
+def _landing(df: DataFrame, identity: tuple[str, str], run: Column, entity: Column, at: Column, payload: Column) -> DataFrame:
+    return df.select(
+        F.lit(identity[0]).alias("source"),
+        F.lit(identity[1]).alias("dataset"),
+        at.cast("date").alias("ingestion_date"),
+        run.alias("run_id"),
+        entity.alias("entity"),
+        at.cast("timestamp").alias("ingested_at"),
+        payload.alias("payload"),
+    )
+
+
+def _positions(count: Column) -> Column:
+    """0 .. count-1; empty for 0."""
+    return F.filter(F.sequence(F.lit(0), count), lambda i: i < count)
+
+
+def _planted(column: str, modulus: int) -> Column:
+    return F.col(column) % modulus == 0
+
+
+def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One price payload per order with 0 to 3 days."""
+    orders = table(spark, sf_dir, "orders")
+    price = money("o_totalprice")
+    day = F.col("o_orderdate").cast("date")
+    step = F.when(_planted("o_custkey", 13), F.lit(0)).otherwise(F.lit(1))
+    high = F.when(_planted("o_custkey", 17), price - 6).otherwise(price + 5)
+    values = F.transform(
+        _positions((F.col("o_orderkey") % 4).cast("int")),
+        lambda i: F.struct(
+            F.date_add(day, i * step).cast("string").alias("datetime"),
+            price.cast("string").alias("open"),
+            high.cast("string").alias("high"),
+            (price - 5).cast("string").alias("low"),
+            (price + i).cast("string").alias("close"),
+            (F.col("o_custkey") + i).cast("string").alias("volume"),
+        ),
+    )
+    entity = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    named = F.when(_planted("o_custkey", 19), F.lit("other")).otherwise(F.concat(F.lit(" "), F.lower(entity), F.lit(" ")))
+    interval = F.when(_planted("o_custkey", 11), F.lit("1week")).otherwise(F.lit("1day"))
+    body = F.to_json(
+        F.struct(F.struct(named.alias("symbol"), interval.alias("interval")).alias("meta"), values.alias("values"))
+    )
+    payload = F.when(_planted("o_custkey", 23), F.concat(body, F.lit("}"))).otherwise(body)
+    return _landing(orders, S.PRICES, order_run(F.col("o_orderkey")), entity, day, payload)
+
+
+def filing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One filings payload per order with 0 to 2 filings."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    positions = _positions((F.col("o_orderkey") % 3).cast("int"))
+
+    def column(value) -> Column:
+        return F.transform(positions, value)
+
+    accession = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.date_format(day, "-yy-"))
+    items = F.when(_planted("o_custkey", 13), F.array(F.lit("9.01"), F.lit("9.02"), F.lit("9.03"))).otherwise(
+        column(lambda i: F.lit(" 2.02 "))
+    )
+    size = F.when(_planted("o_custkey", 17), F.lit(-1)).otherwise(F.col("o_custkey"))
+    arrays = {
+        "accessionNumber": column(lambda i: F.concat(accession, F.lpad(i.cast("string"), 6, "0"))),
+        "filingDate": column(lambda i: F.date_add(day, i).cast("string")),
+        "reportDate": column(lambda i: F.when(i == 0, F.lit("")).otherwise(day.cast("string"))),
+        "acceptanceDateTime": column(lambda i: F.concat(day.cast("string"), F.lit("T16:30:00+02:00"))),
+        "act": column(lambda i: F.lit("34")),
+        "form": column(lambda i: F.when(i == 0, F.lit("10-K")).otherwise(F.lit("8-K"))),
+        "fileNumber": column(lambda i: F.lit("")),
+        "filmNumber": column(lambda i: F.lit(" ")),
+        "items": items,
+        "size": column(lambda i: size + i),
+        "isXBRL": column(lambda i: i),
+        "isInlineXBRL": column(lambda i: F.lit(0)),
+        "primaryDocument": column(lambda i: F.lit("a.htm")),
+        "primaryDocDescription": column(lambda i: F.col("o_orderpriority")),
+    }
+    recent = F.struct(*[c.alias(n) for n, c in arrays.items()])
+    body = F.to_json(
+        F.struct(
+            F.col("o_custkey").cast("string").alias("cik"),
+            F.concat(F.lit(" Customer "), F.col("o_custkey").cast("string")).alias("name"),
+            F.struct(recent.alias("recent")).alias("filings"),
+        )
+    )
+    return _landing(orders, S.SUBMISSIONS, order_run(F.col("o_orderkey")), F.col("o_custkey").cast("string"), day, body)
+
+
+def fact_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One facts payload per order: two taxonomies, three concepts, 0 to 2 occurrences each."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    accession = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.date_format(day, "-yy-"), F.lit("000001"))
+    start = F.when(_planted("o_custkey", 13), F.date_add(day, 9)).otherwise(F.date_sub(day, 364))
+
+    def occurrences(scale: int) -> Column:
+        return F.transform(
+            _positions((F.col("o_orderkey") % 3).cast("int")),
+            lambda i: F.struct(
+                F.when(i == 0, start.cast("string")).alias("start"),
+                day.cast("string").alias("end"),
+                (money("o_totalprice") * scale + i).alias("val"),
+                F.when(_planted("o_custkey", 17), F.lit("bad")).otherwise(accession).alias("accn"),
+                F.year(day).alias("fy"),
+                F.lit(" FY ").alias("fp"),
+                F.lit("10-K").alias("form"),
+                F.date_add(day, 30).cast("string").alias("filed"),
+            ),
+        )
+
+    def concept(label: str, units: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), F.lit(" about it ").alias("description"), units.alias("units"))
+
+    facts = F.create_map(
+        F.lit("us-gaap"),
+        F.create_map(
+            F.lit("NetIncomeLoss"),
+            concept(" Net income ", F.create_map(F.lit("USD"), occurrences(1), F.lit("EUR"), occurrences(2))),
+            F.lit("Assets"),
+            concept("Assets", F.create_map(F.lit("USD"), occurrences(3))),
+        ),
+        F.lit("dei"),
+        F.create_map(F.lit("SharesOutstanding"), concept("  ", F.create_map(F.lit("shares"), occurrences(4)))),
+    )
+    # JSON leaves out a NULL start, which is how an instant is written.
+    body = F.to_json(
+        F.struct(
+            F.when(_planted("o_custkey", 19), F.lit(0)).otherwise(F.col("o_custkey")).alias("cik"),
+            F.lit("Entity").alias("entityName"),
+            facts.alias("facts"),
+        )
+    )
+    return _landing(orders, S.COMPANY_FACTS, order_run(F.col("o_orderkey")), F.col("o_custkey").cast("string"), day, body)
+
+
+def series_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series payload per customer."""
+    customers = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    start = F.date_add(F.lit("2000-01-01").cast("date"), (key % 1000).cast("int"))
+    end = F.when(_planted("c_custkey", 13), F.date_sub(start, 1)).otherwise(F.date_add(start, 10))
+    series = F.struct(
+        F.concat(F.lit(" "), F.col("c_name")).alias("id"),
+        start.cast("string").alias("realtime_start"),
+        end.cast("string").alias("realtime_end"),
+        F.col("c_mktsegment").alias("title"),
+        start.cast("string").alias("observation_start"),
+        start.cast("string").alias("observation_end"),
+        F.lit("Monthly").alias("frequency"),
+        F.lit("M").alias("frequency_short"),
+        F.lit("Percent").alias("units"),
+        F.lit("%").alias("units_short"),
+        F.lit("None").alias("seasonal_adjustment"),
+        F.lit("NSA").alias("seasonal_adjustment_short"),
+        F.when(_planted("c_custkey", 17), F.lit("2024-01-02 07:31:02")).otherwise(F.lit("2024-01-02 07:31:02-06")).alias("last_updated"),
+        F.col("c_nationkey").alias("popularity"),
+        F.when(key % 2 == 0, F.lit("  ")).otherwise(F.lit(" note ")).alias("notes"),
+    )
+    copies = F.when(_planted("c_custkey", 19), F.array(series, series)).otherwise(F.array(series))
+    body = F.to_json(F.struct(copies.alias("seriess")))
+    run = F.concat(F.lit("20240101T"), F.lpad(key.cast("string"), 12, "0"), F.lit("Z"))
+    return _landing(customers, S.SERIES_METADATA, run, F.col("c_name"), start, body)
+
+
+def observation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One observations payload per event with 0 to 3 observations."""
+    events = table(spark, sf_dir, "events")
+    day = F.col("ts").cast("date")
+    k = F.get_json_object("props", "$.k").cast("int")
+    step = F.when(_planted("user_id", 19), F.lit(0)).otherwise(F.lit(1))
+    text = F.when(_planted("user_id", 17), F.lit("n/a")).otherwise(money("value").cast("string"))
+    values = F.transform(
+        _positions(k % 4),
+        lambda i: F.struct(
+            day.cast("string").alias("realtime_start"),
+            F.when(_planted("user_id", 13), F.date_sub(day, 1)).otherwise(F.date_add(day, 1)).cast("string").alias("realtime_end"),
+            F.date_add(day, i * step).cast("string").alias("date"),
+            F.when(i == 2, F.lit(".")).otherwise(text).alias("value"),
+        ),
+    )
+    body = F.to_json(F.struct(values.alias("observations")))
+    run = F.concat(F.lit("20240101T"), F.lpad(F.col("event_id").cast("string"), 12, "0"), F.lit("Z"))
+    return _landing(events, S.SERIES_OBSERVATIONS, run, F.upper("event_type"), day, body)
+
+
+PAYLOADS = {
+    "market_daily_prices": price_payloads,
+    "sec_submissions": filing_payloads,
+    "sec_company_facts": fact_payloads,
+    "fred_series_metadata": series_payloads,
+    "fred_series_observations": observation_payloads,
+}
