@@ -50,8 +50,8 @@ def compare(df, con, sql):
     left, right = rows(df.columns, got), rows(names, want)
     if left == right:
         return None
-    only_left = [r for r in left if r not in set(right)][:2]
-    only_right = [r for r in right if r not in set(left)][:2]
+    only_left = sorted(set(left) - set(right))[:2]
+    only_right = sorted(set(right) - set(left))[:2]
     return f"rows {len(left)} / {len(right)}\n   spark {only_left}\n   duck  {only_right}"
 
 

@@ -72,6 +72,10 @@ PRICE_REJECTIONS = [
     ("{bad", "payload must be a strict JSON object"),
     ('{"meta": NaN}', "payload must be a strict JSON object"),
     ("[1]", "payload must be a strict JSON object"),
+    (json.dumps(PRICES) + "}", "payload must be a strict JSON object"),
+    (json.dumps(PRICES) + "]", "payload must be a strict JSON object"),
+    (json.dumps(PRICES) + ",0", "payload must be a strict JSON object"),
+    (json.dumps(PRICES) + " \n", None),
     (edited(PRICES, "meta", to=5), "meta must be an object"),
     (edited(PRICES, "meta", "symbol", to="  "), "meta.symbol must not be blank"),
     (edited(PRICES, "meta", "symbol", to="MSFT"), "provider symbol does not match expected symbol"),
@@ -241,6 +245,11 @@ def test_company_facts_rows_keep_provider_order(spark):
 
 FACT_REJECTIONS = [
     ("[{}]", "payload must be a strict JSON object"),
+    (json.dumps(facts()) + "}", "payload must be a strict JSON object"),
+    (json.dumps(facts()) + "]", "payload must be a strict JSON object"),
+    (json.dumps(facts()) + ",{}", "payload must be a strict JSON object"),
+    ("\n" + json.dumps(facts(fact())) + "\n", None),
+    ('{"cik": NaN}', "payload must be a strict JSON object"),
     (facts() | {"cik": 5}, "payload CIK does not match expected CIK"),
     (facts() | {"entityName": " "}, "entityName must not be blank"),
     (facts() | {"facts": []}, "facts must be an object of taxonomies, concepts and units"),

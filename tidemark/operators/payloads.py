@@ -137,15 +137,49 @@ def accepted_counts(verdicts: DataFrame) -> DataFrame:
     )
 
 
+def strict_json(payload: Column) -> Column:
+    """The payload as ``[payload, 0]``, NULL when it is not JSON.
+
+    The parser stops after the first complete value, so text behind it would go
+    unnoticed.  Behind the payload stands a sentinel here: the payload is exactly one
+    JSON value if and only if the sentinel is found at position 1 and nothing at 2.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), payload, F.lit(",0]")))
+
+
+def is_single_value(strict: Column) -> Column:
+    sentinel = F.try_variant_get(strict, "$[1]", "int").eqNullSafe(F.lit(0))
+    return sentinel & F.try_variant_get(strict, "$[2]", "variant").isNull()
+
+
+def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """Project columns so that they are evaluated exactly once per row.
+
+    The optimizer copies an expression into every filter above it, which would parse a
+    payload again for each rule.  It does not look through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def _opened(landing: DataFrame) -> DataFrame:
     """Parse strictly (NaN and infinities are not JSON) and note whether it is an object."""
-    return landing.withColumn("_json", F.try_parse_json("payload")).withColumn(
-        "_not_object", F.col("_json").isNull() | ~F.col("payload").rlike(r"^\s*\{")
+    parsed = _once(landing, *RUN_KEY, "entity", "ingested_at", "payload", strict_json(F.col("payload")).alias("_strict"))
+    single = is_single_value(F.col("_strict")) & F.col("payload").rlike(r"^\s*\{")
+    return parsed.select(
+        *RUN_KEY,
+        "entity",
+        "ingested_at",
+        F.when(single, F.try_variant_get("_strict", "$[0]", "variant")).alias("_json"),
+        (~single).alias("_not_object"),
     )
 
 
 def _verdicts(df: DataFrame, reason: Column, records: Column) -> DataFrame:
-    return df.select(*RUN_KEY, "entity", "ingested_at", reason.alias("reason"), records.alias("records"))
+    return _once(df, *RUN_KEY, "entity", "ingested_at", reason.alias("reason"), records.alias("records"))
+
+
+def _with_records(df: DataFrame, records: Column) -> DataFrame:
+    return _once(df, *df.columns, records.alias("records"))
 
 
 # --- daily prices ---------------------------------------------------------------
@@ -223,7 +257,7 @@ def parse_prices(landing: DataFrame) -> DataFrame:
         )
         return F.coalesce(early, late)
 
-    records = opened.withColumn("records", F.transform(F.transform("_values", raw), typed))
+    records = _with_records(opened, F.transform(F.transform("_values", raw), typed))
     days = F.transform("records", lambda t: t["trading_date"].cast("string"))
     in_records = _first_in_order(
         F.transform("records", violation), _repeated(days, 1, "duplicate trading date in payload")
@@ -348,7 +382,7 @@ def parse_submissions(landing: DataFrame) -> DataFrame:
         )
         return F.coalesce(early, late)
 
-    checked = opened.withColumn("records", F.transform(F.transform(aligned, raw), typed))
+    checked = _with_records(opened, F.transform(F.transform(aligned, raw), typed))
     accessions = F.transform("records", lambda t: t["accession_number"])
     reason = F.coalesce(
         _reason(
@@ -373,27 +407,33 @@ def parse_submissions(landing: DataFrame) -> DataFrame:
 # --- company facts --------------------------------------------------------------
 
 # Maps keep the provider's key order; variant objects would sort their keys.
+# The last array element is a sentinel: it shows that the payload is one JSON value.
 _FACTS = (
-    "cik variant, entityName variant, "
-    "facts map<string,map<string,struct<label:variant,description:variant,"
-    "units:map<string,array<variant>>>>>"
+    "array<struct<_sentinel:int, cik:variant, entityName:variant, "
+    "facts:map<string,map<string,struct<label:variant,description:variant,"
+    "units:map<string,array<variant>>>>>>>"
 )
 _OCCURRENCE_FIELDS = ("start", "end", "val", "accn", "fy", "fp", "form", "filed", "frame")
 
 
 def parse_company_facts(landing: DataFrame) -> DataFrame:
     """Facts payloads: taxonomy -> concept -> unit -> occurrences, flattened in order."""
-    is_object = F.col("payload").rlike(r"^\s*\{")
-    json = F.from_json(
-        F.when(is_object, F.col("payload")), _FACTS, {"allowNonNumericNumbers": "false"}
+    wrapped = F.concat(F.lit("["), F.col("payload"), F.lit(',{"_sentinel":0}]'))
+    parsed = _once(
+        landing, *RUN_KEY, "entity", "ingested_at", F.col("payload").rlike(r"^\s*\{").alias("_braced"),
+        F.from_json(wrapped, _FACTS, {"allowNonNumericNumbers": "false"}).alias("_json"),
+    )
+    single = F.col("_braced") & F.coalesce(
+        (F.size("_json") == 2) & (F.try_element_at("_json", F.lit(2))["_sentinel"] == 0), F.lit(False)
     )
-    opened = landing.withColumn("_json", json).select(
+    body = F.try_element_at("_json", F.lit(1))
+    opened = parsed.select(
         *RUN_KEY, "entity", "ingested_at",
-        (~F.coalesce(is_object, F.lit(False))).alias("_not_object"),
+        (~single).alias("_not_object"),
         text.cik10(F.col("entity")).alias("_expected"),
-        _registrant(F.col("_json.cik")).alias("_cik"),
-        _text(F.col("_json.entityName")).alias("_name"),
-        F.col("_json.facts").alias("_facts"),
+        _registrant(body["cik"]).alias("_cik"),
+        _text(body["entityName"]).alias("_name"),
+        F.when(single, body["facts"]).alias("_facts"),
     )
 
     def occurrence(
@@ -536,7 +576,7 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
             ),
         )
 
-    checked = flat.withColumn("records", F.transform(F.transform("_flat", raw), typed))
+    checked = _with_records(flat.drop("_facts"), F.transform(F.transform("_flat", raw), typed)).drop("_flat")
     reason = F.coalesce(
         _reason(
             (F.col("_expected").isNull(), "expected cik is invalid"),
@@ -544,7 +584,7 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
             (F.col("_cik").isNull(), "payload.cik is invalid"),
             (F.col("_cik") != F.col("_expected"), "payload CIK does not match expected CIK"),
             (~text.is_not_blank(F.col("_name")), "entityName must not be blank"),
-            (F.col("_facts").isNull(), "facts must be an object of taxonomies, concepts and units"),
+            (F.col("records").isNull(), "facts must be an object of taxonomies, concepts and units"),
         ),
         _first_in_order(F.transform("records", violation)),
     )
@@ -653,7 +693,7 @@ def parse_observations(landing: DataFrame) -> DataFrame:
             rank=0,
         )
 
-    checked = opened.withColumn("records", F.transform(F.transform("_values", raw), typed))
+    checked = _with_records(opened, F.transform(F.transform("_values", raw), typed))
     occurrences = F.transform(
         "records",
         lambda t: F.concat_ws("|", t["observation_date"], t["realtime_start"], t["realtime_end"]),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.operators.payloads import is_single_value, strict_json
 from tidemark.schemas import LANDING_SCHEMA, RUN_KEY, require_schema
 from tidemark.sources.layout import RAW_NAME
 
@@ -85,9 +86,9 @@ def with_run_identity(requests: DataFrame, keys: Sequence[str] = ("source", "dat
 
 def strict_payloads(landing: DataFrame) -> DataFrame:
     """Payload scan with a reason for every payload that is not a strict JSON object."""
-    json = F.try_parse_json("payload")
+    strict = strict_json(F.col("payload"))
     is_object = F.col("payload").rlike(r"^\s*\{")
-    reason = F.when(json.isNull(), "payload is not strict JSON").when(
+    reason = F.when(~is_single_value(strict), "payload is not strict JSON").when(
         ~is_object, "payload must be an object"
     )
     return landing.withColumn("reason", reason)
