@@ -78,7 +78,7 @@ def _market() -> dict[str, Column]:
     day, close = "trading_date", "close"
     start, end = at_earliest(close, day), at_latest(close, day)
     period_return = F.when(
-        (distinct_days(day) >= 2) & (start != 0), divide(end, start) - 1.0
+        (F.min(day) != F.max(day)) & (start != 0), divide(end, start) - 1.0
     )
     measures = {
         "close": selected_value(close),
