@@ -25,7 +25,9 @@ def strict_instant(text: Column) -> Column:
     tidy = F.regexp_replace(tidy, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
     tidy = F.regexp_replace(tidy, r"(T[^+-]*[+-][0-9]{2})$", "$1:00")
     tidy = F.regexp_replace(tidy, ",", ".")
+    # Minutes and seconds may be missing.
     tidy = F.regexp_replace(tidy, r"T([0-9]{2})(Z|[+-])", "T$1:00$2")
+    tidy = F.regexp_replace(tidy, r"T([0-9]{2}:[0-9]{2})(Z|[+-])", "T$1:00$2")
     return F.when(text.rlike(_INSTANT), tidy.try_cast("timestamp"))
 
 

@@ -156,7 +156,8 @@ def classify_runs(incoming: DataFrame, registry: DataFrame, stored: DataFrame) -
     """State of every incoming run: absent, verified_replay or mismatch with field names.
 
     A registered run is a verified replay only if all registry fields repeat and the
-    stored rows number ``record_count``.
+    stored rows number ``record_count``.  ``stored_count`` tells, for an absent run,
+    whether an interrupted load has left its rows behind.
     """
     old = registry.select(*RUN_KEY, F.struct(*REPLAYED_FIELDS).alias("_old"))
     joined = incoming.join(old, RUN_KEY, "left").join(stored, RUN_KEY, "left")
@@ -168,6 +169,7 @@ def classify_runs(incoming: DataFrame, registry: DataFrame, stored: DataFrame) -
     mismatched = F.when(known, F.array_compact(F.array(*wrong_fields, wrong_count)))
     return joined.select(
         *incoming.columns,
+        F.coalesce("stored_count", F.lit(0)).alias("stored_count"),
         F.when(~known, "absent").when(F.size(mismatched) == 0, "verified_replay").otherwise("mismatch").alias("state"),
         F.coalesce(mismatched, F.array().cast("array<string>")).alias("mismatched"),
     )

@@ -105,7 +105,7 @@ def _market() -> dict[str, Column]:
 
 # --- growth ---------------------------------------------------------------------
 
-def _growth() -> dict[str, Column]:
+def _growth(gate: Column) -> dict[str, Column]:
     day, value = "end_date", "current_value"
     prior = F.when(at_latest("absolute_change", day).isNotNull(), at_latest("previous_value", day))
     measures = {
@@ -121,14 +121,13 @@ def _growth() -> dict[str, Column]:
         "maximum_financial_value": F.max(value),
         "average_financial_value": F.avg(value),
     }
-    gate = F.bool_and(_VALID)
     gated = {name: _gated(gate, measure) for name, measure in measures.items()}
     return {"financial_context_is_valid": F.coalesce(gate, F.lit(False)).cast("int"), **gated}
 
 
 # --- market / macro -------------------------------------------------------------
 
-def _macro() -> dict[str, Column]:
+def _macro(gate: Column) -> dict[str, Column]:
     day = "trading_date"
     measures = {
         "market_close": selected_value("market_close"),
@@ -145,7 +144,6 @@ def _macro() -> dict[str, Column]:
         "distinct_macro_observation_dates": F.count_distinct("macro_observation_date")
         + F.max(F.col("macro_observation_date").isNull().cast("int")),
     }
-    gate = F.bool_and(_VALID)
     gated = {name: _gated(gate, measure) for name, measure in measures.items()}
     return {"market_macro_context_is_valid": F.coalesce(gate, F.lit(False)).cast("int"), **gated}
 
@@ -158,14 +156,29 @@ class MeasureGroup:
     selected: tuple[str, ...] = ()
 
 
-def measure_group(mart: str) -> MeasureGroup:
+#: Columns the selection gate of a mart looks at.
+GATE_COLUMNS = {
+    "market": (),
+    "growth": ("company_key", "metric_key", "unit"),
+    "macro": ("company_key", "series_id"),
+}
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    combined = conditions[0]
+    for more in conditions[1:]:
+        combined = combined & more
+    return combined
+
+
+def measure_group(mart: str, *, whole_selection: bool = False) -> MeasureGroup:
+    """Measures of a mart.  With ``whole_selection`` the group is the whole selection, so
+    its gate is part of the same aggregation; otherwise it is read from a column."""
+    selected = GATE_COLUMNS[mart]
     if mart == "market":
         return MeasureGroup(_market())
-    if mart == "growth":
-        return MeasureGroup(_growth(), ("company_key", "metric_key", "unit"))
-    if mart == "macro":
-        return MeasureGroup(_macro(), ("company_key", "series_id"))
-    raise KeyError(mart)
+    gate = _all([has_one(c) for c in selected]) if whole_selection else F.bool_and(_VALID)
+    return MeasureGroup(_growth(gate) if mart == "growth" else _macro(gate), selected)
 
 
 # --- requests -------------------------------------------------------------------
@@ -180,6 +193,18 @@ def apply_filters(df: DataFrame, filters: Mapping[str, Filter]) -> DataFrame:
     return df
 
 
+def _selection_gate(
+    selection: DataFrame, selected: Sequence[str], filters: Mapping[str, Filter], companies: DataFrame | None
+) -> Column:
+    """Whether the slicer selection holds one value of every gate column, as a scalar."""
+    own = [c for c in selected if c != "company_key" or companies is None]
+    gate = selection.agg(_all([has_one(c) for c in own])).scalar()
+    if companies is None:
+        return gate
+    picked = apply_filters(companies, {k: v for k, v in filters.items() if k == "company_key"})
+    return gate & picked.agg(has_one("company_key")).scalar()
+
+
 def measure_query(
     mart: DataFrame,
     kind: str,
@@ -196,21 +221,11 @@ def measure_query(
     on another column does not narrow the selected companies.
     """
     filters = filters or {}
-    group = measure_group(kind)
-    selection = apply_filters(mart, filters)
-    rows = selection
-    if group.selected:
-        gate = selection.agg(
-            *[has_one(c).alias(c) for c in group.selected if c != "company_key" or companies is None]
-        )
-        valid = [gate.select(c).scalar() for c in gate.columns]
-        if companies is not None:
-            company_filter = {k: v for k, v in filters.items() if k == "company_key"}
-            valid.append(apply_filters(companies, company_filter).agg(has_one("company_key")).scalar())
-        combined = valid[0]
-        for more in valid[1:]:
-            combined = combined & more
-        rows = selection.withColumn(_VALID, combined)
+    one_pass = not group_by and companies is None
+    group = measure_group(kind, whole_selection=one_pass)
+    rows = apply_filters(mart, filters)
+    if group.selected and not one_pass:
+        rows = rows.withColumn(_VALID, _selection_gate(rows, group.selected, filters, companies))
     return rows.groupBy(*group_by).agg(*[group.measures[m].alias(m) for m in measures])
 
 

@@ -62,9 +62,9 @@ def load(
 ) -> tuple[DataFrame, DataFrame]:
     """Parse payloads and append the rows of new runs; returns (new runs, quarantine).
 
-    Rows are written before their registry entries.  Readers join the registry, so a
-    run that was interrupted half-way stays invisible and its replay is refused as a
-    mismatch only after it had been registered.  Exact replays add nothing.
+    Exact replays add nothing.  Rows are written before their registry entries and
+    readers join the registry, so an interrupted load stays invisible.  When it is
+    repeated, runs whose rows are already complete are only registered.
     """
     paths = typed.create_source_tables(spark, tables_root)
     stored = typed.read_source_tables(spark, tables_root)
@@ -87,9 +87,14 @@ def load(
             if broken is not None:
                 raise LoadRefused(f"run {broken.source}/{broken.run_id}: {broken.problem}")
 
-    new = states.where("state = 'absent'").select(*INGESTION_RUNS_SCHEMA.names)
+    absent = states.where("state = 'absent'")
+    partial = absent.where("stored_count NOT IN (0, record_count)").head()
+    if partial is not None:
+        raise LoadRefused(f"run {partial.source}/{partial.dataset}/{partial.run_id} is stored in part")
+    new = absent.select(*INGESTION_RUNS_SCHEMA.names)
+    missing = absent.where("stored_count = 0").select(*RUN_KEY)
     for table, verdict in verdicts.items():
-        fresh = verdict.join(new.select(*RUN_KEY), RUN_KEY, "left_semi")
+        fresh = verdict.join(missing, RUN_KEY, "left_semi")
         typed.append_rows(payloads.accepted_rows(fresh, CONTRACTS[table]), paths[table], CONTRACTS[table].schema)
     typed.append_rows(new, paths["ingestion_runs"], INGESTION_RUNS_SCHEMA)
     return new, quarantine
