@@ -43,7 +43,10 @@ def to_decimal(text: Column, precision: int, scale: int) -> Column:
 
 def fits_exactly(text: Column, precision: int, scale: int) -> Column:
     """Whether a literal survives the cast digit for digit."""
-    return to_decimal(text, precision, scale).isNotNull() & (fraction_digits(text) <= scale)
+    # Nearly all literals are plain and short enough; only the others are taken apart.
+    plain = rf"^-?[0-9]{{1,{precision - scale}}}(\.[0-9]{{1,{scale}}})?$"
+    careful = to_decimal(text, precision, scale).isNotNull() & (fraction_digits(text) <= scale)
+    return F.when(text.rlike(plain), True).otherwise(careful)
 
 
 def non_negative_count(text: Column) -> Column:

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Whitespace that trimming removes on either end.
-_EDGE_SPACE = r"^\s+|\s+$"
+# The characters Unicode counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def normalised_symbol(text: Column) -> Column:
@@ -30,7 +34,7 @@ def keep_if_not_blank(text: Column) -> Column:
 
 def is_not_blank(text: Column) -> Column:
     """True for text with at least one visible character; False for NULL."""
-    return F.coalesce(text.rlike(r"\S"), F.lit(False))
+    return F.coalesce(strip(text) != "", F.lit(False))
 
 
 def cik10(text: Column) -> Column:

@@ -60,6 +60,38 @@ def _is_object(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "map<string,variant>").isNotNull()
 
 
+def _read(item: Column, names: Sequence[str]) -> Column:
+    """An object's fields as text and the kinds of all its fields, each in one call."""
+    wanted = ",".join(f"`{n}`:string" for n in names)
+    return F.struct(
+        item.alias("item"),
+        F.schema_of_variant(item).alias("kinds"),
+        F.try_variant_get(item, "$", f"struct<{wanted}>").alias("text"),
+    )
+
+
+def _is_record(read: Column) -> Column:
+    return F.coalesce(read["kinds"].startswith("OBJECT<"), F.lit(False))
+
+
+def _field_is(read: Column, name: str, kind: str) -> Column:
+    """Whether a field exists with a kind that starts with ``kind``.
+
+    ``kinds`` reads ``OBJECT<a: STRING, b: BIGINT>``.  With nested objects the text could
+    name a field of an inner one, so those rare records ask for the field itself.
+    """
+    kinds = read["kinds"]
+    listed = kinds.contains(f"<{name}: {kind}") | kinds.contains(f", {name}: {kind}")
+    is_flat = F.locate("<", kinds, len("OBJECT<") + 1) == 0
+    found = F.when(is_flat, listed).otherwise(_kind(_at(read["item"], name)).startswith(kind))
+    return F.coalesce(found, F.lit(False))
+
+
+def _string(read: Column, name: str) -> Column:
+    """The text of a string field; NULL for every other kind."""
+    return F.when(_field_is(read, name, "STRING"), read["text"][name])
+
+
 # --- violations -----------------------------------------------------------------
 
 def _first_violation(*checks: tuple[Column, str], rank: int = 2) -> Column:
@@ -201,48 +233,48 @@ def parse_prices(landing: DataFrame) -> DataFrame:
         _list(F.col("_json"), "$.values").alias("_values"),
     )
 
-    def raw(item: Column) -> Column:
-        volume = _at(item, "volume")
+    def read(item: Column) -> Column:
+        return _read(item, ["datetime", *_PRICE_FIELDS, "volume"])
+
+    def raw(r: Column) -> Column:
+        is_number = _field_is(r, "volume", "BIGINT") | _field_is(r, "volume", "STRING")
         return F.struct(
-            _is_object(item).alias("is_object"),
-            _text(_at(item, "datetime")).alias("day"),
-            *[_text(_at(item, f)).alias(f) for f in _PRICE_FIELDS],
-            _kind(volume).alias("volume_kind"),
-            F.try_variant_get(volume, "$", "string").alias("volume"),
+            _is_record(r).alias("is_object"),
+            _string(r, "datetime").alias("day"),
+            *[_string(r, f).alias(f) for f in _PRICE_FIELDS],
+            r["text"]["volume"].isNotNull().alias("has_volume"),
+            F.when(is_number, text.strip(r["text"]["volume"])).alias("volume"),
         )
 
     def typed(r: Column) -> Column:
-        has_volume = r["volume_kind"].isNotNull() & (r["volume_kind"] != "VOID")
-        is_number = r["volume_kind"].isin("BIGINT", "STRING")
         return F.struct(
             F.col("_symbol").alias("symbol"),
             temporal.strict_date(r["day"]).alias("trading_date"),
             *[numeric.to_decimal(r[f], 38, 18).alias(f) for f in _PRICE_FIELDS],
-            F.when(is_number, numeric.non_negative_count(r["volume"])).alias("volume"),
-            has_volume.alias("has_volume"),
-            (is_number & text.strip(r["volume"]).rlike(r"^-0*[1-9][0-9]*$")).alias("negative_volume"),
-            r["is_object"].alias("is_object"),
-            r["day"].rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z").alias("day_format"),
-            *[text.is_not_blank(r[f]).alias(f"{f}_text") for f in _PRICE_FIELDS],
-            *[numeric.is_decimal_literal(r[f]).alias(f"{f}_literal") for f in _PRICE_FIELDS],
+            numeric.non_negative_count(r["volume"]).alias("volume"),
+            r.alias("raw"),
             F.forall(
                 F.array(*[r[f] for f in _PRICE_FIELDS]), lambda p: numeric.fits_exactly(p, 38, 18)
             ).alias("fits"),
         )
 
+    # A rule only looks at the written form once the typed value is missing.
     def violation(t: Column) -> Column:
+        r = t["raw"]
+        written = F.coalesce(r["day"].rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), F.lit(False))
+        no_day = t["trading_date"].isNull()
         early = _first_violation(
-            (~t["is_object"], "each values item must be an object"),
-            (~F.coalesce(t["day_format"], F.lit(False)), "datetime must use YYYY-MM-DD format"),
-            (t["trading_date"].isNull(), "datetime is not a valid date"),
+            (~r["is_object"], "each values item must be an object"),
+            (no_day & ~written, "datetime must use YYYY-MM-DD format"),
+            (no_day, "datetime is not a valid date"),
             rank=0,
         )
         prices = [
             check
             for f in _PRICE_FIELDS
             for check in (
-                (~t[f"{f}_text"], f"{f} must be a non-blank decimal string"),
-                (~t[f"{f}_literal"], f"{f} is not a finite decimal"),
+                (t[f].isNull() & ~text.is_not_blank(r[f]), f"{f} must be a non-blank decimal string"),
+                (t[f].isNull() & ~numeric.is_decimal_literal(r[f]), f"{f} is not a finite decimal"),
             )
         ]
         late = _first_violation(
@@ -252,12 +284,12 @@ def parse_prices(landing: DataFrame) -> DataFrame:
             (t["high"] < t["close"], "high must be greater than or equal to close"),
             (t["low"] > t["open"], "low must be less than or equal to open"),
             (t["low"] > t["close"], "low must be less than or equal to close"),
-            (t["negative_volume"], "volume must not be negative"),
-            (t["has_volume"] & t["volume"].isNull(), "volume must be an integer"),
+            (t["volume"].isNull() & r["volume"].rlike(r"^-0*[1-9][0-9]*$"), "volume must not be negative"),
+            (r["has_volume"] & t["volume"].isNull(), "volume must be an integer"),
         )
         return F.coalesce(early, late)
 
-    records = _with_records(opened, F.transform(F.transform("_values", raw), typed))
+    records = _with_records(opened, F.transform(F.transform(F.transform("_values", read), raw), typed))
     days = F.transform("records", lambda t: t["trading_date"].cast("string"))
     in_records = _first_in_order(
         F.transform("records", violation), _repeated(days, 1, "duplicate trading date in payload")
@@ -432,18 +464,18 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
         (~single).alias("_not_object"),
         text.cik10(F.col("entity")).alias("_expected"),
         _registrant(body["cik"]).alias("_cik"),
-        _text(body["entityName"]).alias("_name"),
+        text.strip(_text(body["entityName"])).alias("_entity_name"),
         F.when(single, body["facts"]).alias("_facts"),
     )
 
     def occurrence(
-        taxonomy: Column, concept: Column, body: Column, unit: Column, item: Column, broken: Column
+        taxonomy: Column, concept: Column, label: Column, description: Column, unit: Column, item: Column, broken: Column
     ) -> Column:
         return F.struct(
             taxonomy.alias("taxonomy"),
             concept.alias("concept"),
-            body["label"].alias("label"),
-            body["description"].alias("description"),
+            label.alias("label"),
+            description.alias("description"),
             unit.alias("unit"),
             item.alias("item"),
             broken.alias("broken"),
@@ -455,41 +487,40 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
     def bad_kind(value: Column) -> Column:
         return value.isNull() | ~_kind(value).isin("STRING", "VOID")
 
-    def of_unit(taxonomy: Column, concept: Column, body: Column) -> Callable[[Column], Column]:
+    def of_unit(taxonomy: Column, concept: Column, label: Column, description: Column) -> Callable[[Column], Column]:
         def expand(entry: Column) -> Column:
             broken = (
                 F.when(~text.is_not_blank(entry["key"]), "unit must not be blank")
                 .when(entry["value"].isNull(), "unit value must be a list")
             )
-            return F.when(
-                broken.isNotNull(),
-                F.array(occurrence(taxonomy, concept, body, entry["key"], no_item, broken)),
-            ).otherwise(
-                F.transform(
-                    entry["value"],
-                    lambda item: occurrence(taxonomy, concept, body, entry["key"], item, no_text),
-                )
+            row = (taxonomy, concept, label, description, entry["key"])
+            return F.when(broken.isNotNull(), F.array(occurrence(*row, no_item, broken))).otherwise(
+                F.transform(entry["value"], lambda item: occurrence(*row, item, no_text))
             )
 
         return expand
 
+    def described(entry: Column) -> Column:
+        body = entry["value"]
+        return F.struct(
+            entry["key"].alias("concept"),
+            text.blank_to_null(_text(body["label"])).alias("label"),
+            text.keep_if_not_blank(_text(body["description"])).alias("description"),
+            F.map_entries(body["units"]).alias("units"),
+            F.when(~text.is_not_blank(entry["key"]), "concept must not be blank")
+            .when(body.isNull(), "concept value must be an object")
+            .when(bad_kind(body["label"]), "label must be a string or null")
+            .when(bad_kind(body["description"]), "description must be a string or null")
+            .when(body["units"].isNull(), "units must be an object")
+            .alias("broken"),
+        )
+
     def of_concept(taxonomy: Column) -> Callable[[Column], Column]:
-        def expand(entry: Column) -> Column:
-            body = entry["value"]
-            broken = (
-                F.when(~text.is_not_blank(taxonomy), "taxonomy must not be blank")
-                .when(~text.is_not_blank(entry["key"]), "concept must not be blank")
-                .when(body.isNull(), "concept value must be an object")
-                .when(bad_kind(body["label"]), "label must be a string or null")
-                .when(bad_kind(body["description"]), "description must be a string or null")
-                .when(body["units"].isNull(), "units must be an object")
-            )
+        def expand(c: Column) -> Column:
+            row = (taxonomy, c["concept"], c["label"], c["description"])
             return F.when(
-                broken.isNotNull(),
-                F.array(occurrence(taxonomy, entry["key"], body, no_text, no_item, broken)),
-            ).otherwise(
-                F.flatten(F.transform(F.map_entries(body["units"]), of_unit(taxonomy, entry["key"], body)))
-            )
+                c["broken"].isNotNull(), F.array(occurrence(*row, no_text, no_item, c["broken"]))
+            ).otherwise(F.flatten(F.transform(c["units"], of_unit(*row))))
 
         return expand
 
@@ -498,46 +529,45 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
             F.when(~text.is_not_blank(entry["key"]), "taxonomy must not be blank")
             .when(entry["value"].isNull(), "taxonomy value must be an object")
         )
-        no_body = F.lit(None).cast(
-            "struct<label:variant,description:variant,units:map<string,array<variant>>>"
-        )
-        return F.when(
-            broken.isNotNull(),
-            F.array(occurrence(entry["key"], no_text, no_body, no_text, no_item, broken)),
-        ).otherwise(
-            F.flatten(F.transform(F.map_entries(entry["value"]), of_concept(entry["key"])))
+        nothing = occurrence(entry["key"], no_text, no_text, no_text, no_text, no_item, broken)
+        concepts = F.transform(F.map_entries(entry["value"]), described)
+        return F.when(broken.isNotNull(), F.array(nothing)).otherwise(
+            F.flatten(F.transform(concepts, of_concept(entry["key"])))
         )
 
     flat = opened.withColumn(
         "_flat", F.flatten(F.transform(F.map_entries("_facts"), of_taxonomy))
     )
 
+    def read(o: Column) -> Column:
+        return F.struct(
+            *[o[f].alias(f) for f in ("taxonomy", "concept", "unit", "label", "description", "broken")],
+            _read(o["item"], _OCCURRENCE_FIELDS).alias("read"),
+        )
+
     def raw(o: Column) -> Column:
-        item = o["item"]
-        value = _at(item, "val")
-        kind = _kind(value)
-        whole = kind.isin("BIGINT") | kind.rlike(r"^DECIMAL\([0-9]+,0\)$")
+        r = o["read"]
+        value = r["text"]["val"]
+        is_decimal = _field_is(r, "val", "DECIMAL")
         # Whole numbers keep every digit; fractions take the shortest form of the double.
-        literal = F.when(whole, F.try_variant_get(value, "$", "string")).when(
-            kind.startswith("DECIMAL") | (kind == "DOUBLE"),
-            F.try_variant_get(value, "$", "double").cast("string"),
+        literal = (
+            F.when(_field_is(r, "val", "BIGINT") | (is_decimal & ~value.contains(".")), value)
+            .when(is_decimal | _field_is(r, "val", "DOUBLE"), value.try_cast("double").cast("string"))
         )
         return F.struct(
-            *[o[f].alias(f) for f in ("taxonomy", "concept", "unit", "broken")],
-            text.blank_to_null(_text(o["label"])).alias("label"),
-            text.keep_if_not_blank(_text(o["description"])).alias("description"),
-            _is_object(item).alias("is_object"),
-            _at(item, "start").isNotNull().alias("has_start"),
-            *[_text(_at(item, f)).alias(f) for f in ("start", "end", "accn", "fp", "form", "filed", "frame")],
-            *[_is_absent_or_null(_at(item, f)).alias(f"no_{f}") for f in ("fy", "fp", "frame")],
-            _whole(_at(item, "fy")).alias("fy"),
+            *[o[f].alias(f) for f in ("taxonomy", "concept", "unit", "broken", "label", "description")],
+            _is_record(r).alias("is_object"),
+            _field_is(r, "start", "").alias("has_start"),
+            *[_string(r, f).alias(f) for f in ("start", "end", "accn", "fp", "form", "filed", "frame")],
+            *[r["text"][f].isNull().alias(f"no_{f}") for f in ("fy", "fp", "frame")],
+            F.when(_field_is(r, "fy", "BIGINT"), r["text"]["fy"].cast("bigint")).alias("fy"),
             literal.alias("val"),
         )
 
     def typed(r: Column) -> Column:
         return F.struct(
             F.col("_cik").alias("cik"),
-            text.strip(F.col("_name")).alias("entity_name"),
+            F.col("_entity_name").alias("entity_name"),
             *[r[f].alias(f) for f in ("taxonomy", "concept", "label", "description", "unit")],
             numeric.to_decimal(r["val"], 38, 10).alias("value"),
             r["val"].alias("value_text"),
@@ -576,14 +606,16 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
             ),
         )
 
-    checked = _with_records(flat.drop("_facts"), F.transform(F.transform("_flat", raw), typed)).drop("_flat")
+    checked = _with_records(flat.drop("_facts"), F.transform(F.transform(F.transform("_flat", read), raw), typed)).drop(
+        "_flat"
+    )
     reason = F.coalesce(
         _reason(
             (F.col("_expected").isNull(), "expected cik is invalid"),
             (F.col("_not_object"), "payload must be a strict JSON object"),
             (F.col("_cik").isNull(), "payload.cik is invalid"),
             (F.col("_cik") != F.col("_expected"), "payload CIK does not match expected CIK"),
-            (~text.is_not_blank(F.col("_name")), "entityName must not be blank"),
+            (~text.is_not_blank(F.col("_entity_name")), "entityName must not be blank"),
             (F.col("records").isNull(), "facts must be an object of taxonomies, concepts and units"),
         ),
         _first_in_order(F.transform("records", violation)),
@@ -657,11 +689,13 @@ def parse_observations(landing: DataFrame) -> DataFrame:
         _list(F.col("_json"), "$.observations").alias("_values"),
     )
 
-    def raw(item: Column) -> Column:
-        return F.struct(
-            _is_object(item).alias("is_object"),
-            *[_text(_at(item, f)).alias(f) for f in ("realtime_start", "realtime_end", "date", "value")],
-        )
+    fields = ("realtime_start", "realtime_end", "date", "value")
+
+    def read(item: Column) -> Column:
+        return _read(item, fields)
+
+    def raw(r: Column) -> Column:
+        return F.struct(_is_record(r).alias("is_object"), *[_string(r, f).alias(f) for f in fields])
 
     def typed(r: Column) -> Column:
         missing = numeric.is_missing(r["value"])
@@ -693,7 +727,7 @@ def parse_observations(landing: DataFrame) -> DataFrame:
             rank=0,
         )
 
-    checked = _with_records(opened, F.transform(F.transform("_values", raw), typed))
+    checked = _with_records(opened, F.transform(F.transform(F.transform("_values", read), raw), typed))
     occurrences = F.transform(
         "records",
         lambda t: F.concat_ws("|", t["observation_date"], t["realtime_start"], t["realtime_end"]),

@@ -15,8 +15,22 @@ from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
 
 
+#: Tables worth spreading: everything heavy starts from one of these.
+_LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A sample table, read by all cores.
+
+    A sample file is a single row group, which one task would read and process alone
+    while the other cores wait.  Only such scans with fewer splits than cores are spread
+    out; anything larger keeps its splits and is not shuffled.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _LARGE and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, _LARGE[name])
+    return df
 
 
 def money(column: str) -> Column:
