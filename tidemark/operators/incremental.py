@@ -143,6 +143,23 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Data
     return classify_upsert(current, incoming, keys)
 
 
+def run_range(runs: DataFrame) -> tuple[str | None, str | None]:
+    """First and last run id of a batch."""
+    first, last = runs.agg(F.min("run_id"), F.max("run_id")).head()
+    return first, last
+
+
+def same_runs(stored: DataFrame, runs: DataFrame, between: tuple[str | None, str | None]) -> DataFrame:
+    """Stored rows of the given runs, without scanning the whole history.
+
+    Run ids start with their instant, so the files of one load hold a narrow range of
+    them.  The range of the wanted ids goes to the scan as a filter, which skips all
+    other row groups by their statistics; the semi join then picks the exact runs.
+    """
+    first, last = between
+    return stored.where(F.col("run_id").between(F.lit(first), F.lit(last))).join(runs, RUN_KEY, "left_semi")
+
+
 def stored_counts(*tables: DataFrame) -> DataFrame:
     """Rows stored per run, over all given source tables."""
     counts = [t.groupBy(*RUN_KEY).agg(F.count("*").alias("stored_count")) for t in tables]

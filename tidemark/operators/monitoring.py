@@ -11,12 +11,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.numeric import percent_delta
 from tidemark.functions.text import is_not_blank
-from tidemark.operators.relational import in_tuples, latest_dates
+from tidemark.operators.relational import in_tuples, latest_dates, literal_table
 from tidemark.operators.versions import newest_per_group
-from tidemark.schemas import DATASETS
+from tidemark.schemas import DATASET_SCHEMA, DATASETS
 
 STATUSES = ["pass", "warning", "info", "error"]
 SIGNAL_COLUMNS = [
@@ -144,8 +145,7 @@ def run_count_signals(
     runs: DataFrame, as_of: date, datasets: Sequence[tuple[str, str]] = tuple(DATASETS)
 ) -> DataFrame:
     """One signal per known dataset.  A malformed registry row gives an error signal."""
-    spark = runs.sparkSession
-    known = spark.createDataFrame(list(datasets), "source string, dataset string")
+    known = literal_table(runs.sparkSession, datasets, DATASET_SCHEMA)
     moved = known.join(run_count_movement(in_tuples(runs, ["source", "dataset"], datasets)), ["source", "dataset"], "left")
     c = F.col
     has_run = c("current_run_id").isNotNull() | c("current_record_count").isNotNull()
@@ -215,8 +215,8 @@ def collect_signals(frames: Sequence[DataFrame]) -> DataFrame:
 
 def status_counts(signals: DataFrame, statuses: Sequence[str] = tuple(STATUSES)) -> DataFrame:
     """Signals per status; statuses that do not occur count 0."""
-    spark: SparkSession = signals.sparkSession
-    known = spark.createDataFrame([(s,) for s in statuses], "status string")
+    schema = T.StructType([T.StructField("status", T.StringType(), False)])
+    known = literal_table(signals.sparkSession, [(s,) for s in statuses], schema)
     counted = signals.groupBy("status").agg(F.count("*").alias("signal_count"))
     return known.join(counted, "status", "left").select(
         "status", F.coalesce("signal_count", F.lit(0)).alias("signal_count")
@@ -236,7 +236,7 @@ def overall_status(checks: DataFrame) -> DataFrame:
 
 def latest_provenance(runs: DataFrame, datasets: Sequence[tuple[str, str]] = tuple(DATASETS)) -> DataFrame:
     """Newest registered run of every known dataset; datasets without runs stay."""
-    known = runs.sparkSession.createDataFrame(list(datasets), "source string, dataset string")
+    known = literal_table(runs.sparkSession, datasets, DATASET_SCHEMA)
     order = F.struct("ingested_at", "run_id")
     row = F.struct("run_id", "ingested_at", "record_count")
     latest = (
@@ -257,7 +257,8 @@ def latest_provenance(runs: DataFrame, datasets: Sequence[tuple[str, str]] = tup
 def relation_check(spark: SparkSession, expected: Sequence[str]) -> DataFrame:
     """Whether each expected relation can be resolved by name."""
     rows = [(name, spark.catalog.tableExists(name)) for name in expected]
-    return spark.createDataFrame(rows, "relation string, present boolean").select(
+    schema = T.StructType([T.StructField("relation", T.StringType()), T.StructField("present", T.BooleanType())])
+    return literal_table(spark, rows, schema).select(
         "relation", "present", F.when(F.col("present"), "ok").otherwise("error").alias("status")
     )
 

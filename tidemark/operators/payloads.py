@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import numeric, temporal, text
-from tidemark.schemas import CONTRACTS, RUN_KEY, TableContract
+from tidemark.schemas import CONTRACTS, ROW_KEY, RUN_KEY, TableContract
 
 _REASON = "struct<rank:int,reason:string>"
 
@@ -147,14 +147,26 @@ def _reason(*checks: tuple[Column, str]) -> Column:
 
 # --- verdict handling -----------------------------------------------------------
 
+def typed_fields(contract: TableContract) -> list[Column]:
+    """The columns of a contract behind the lineage, out of the struct ``record``."""
+    fields = [f for f in contract.schema.fields if f.name not in ROW_KEY]
+    return [F.col(f"record.{f.name}").cast(f.dataType).alias(f.name) for f in fields]
+
+
 def accepted_rows(verdicts: DataFrame, contract: TableContract) -> DataFrame:
     """Typed rows of the valid payloads, numbered from 0 in provider order."""
     rows = verdicts.where(F.col("reason").isNull()).select(
         *RUN_KEY, F.posexplode("records").alias("source_row_number", "record")
     )
-    lineage = [*RUN_KEY, F.col("source_row_number").cast("bigint")]
-    fields = [f for f in contract.schema.fields if f.name not in (*RUN_KEY, "source_row_number")]
-    return rows.select(*lineage, *[F.col(f"record.{f.name}").cast(f.dataType).alias(f.name) for f in fields])
+    return rows.select(*RUN_KEY, F.col("source_row_number").cast("bigint"), *typed_fields(contract))
+
+
+def stored_form(verdicts: DataFrame, contract: TableContract) -> DataFrame:
+    """Verdicts whose records hold the contract's columns only, for writing them out."""
+    names = [n for n in contract.schema.names if n not in ROW_KEY]
+    slim = F.transform("records", lambda r: F.struct(*[r[n].alias(n) for n in names]))
+    # Records of rejected payloads are never used.
+    return verdicts.withColumn("records", F.when(F.col("reason").isNull(), slim))
 
 
 def quarantined(verdicts: DataFrame) -> DataFrame:

@@ -11,14 +11,16 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.numeric import exact_difference, growth_rate, simple_return
 from tidemark.functions.temporal import days_between, has_annual_shape, is_annual_gap
 from tidemark.functions.text import is_not_blank
-from tidemark.operators.relational import differs, measured, set_difference
+from tidemark.operators.relational import differs, literal_table, measured, set_difference
 from tidemark.operators.timeseries import asof_join, with_previous
 from tidemark.plans.marts import ANNUAL_FORMS, annual_candidates
-from tidemark.schemas import CONTRACTS, GROWTH_GRAIN, RUN_ID_PATTERN, RUN_KEY
+from tidemark.schemas import CONTRACTS, GROWTH_GRAIN, IDENTITY_MAPPING_SCHEMA, RUN_ID_PATTERN, RUN_KEY
+from tidemark.session import cut_lineage
 
 TOLERANCE = 0.000001
 
@@ -124,8 +126,10 @@ def identity_violations(identities: DataFrame, expected: Iterable[tuple[str, str
     )
     expected = list(expected)
     if expected:
-        schema = "company_key string, source_cik string, registrant_role string, is_current_registrant boolean"
-        wanted = identities.sparkSession.createDataFrame(expected, schema)
+        fields = ["company_key", "source_cik", "registrant_role", "is_current_registrant"]
+        wanted = literal_table(
+            identities.sparkSession, expected, T.StructType([IDENTITY_MAPPING_SCHEMA[f] for f in fields])
+        )
         keys = wanted.columns
         counts = identities.groupBy(*keys).agg(F.count("*").alias("n"))
         missing = wanted.join(counts, keys, "left").where(F.coalesce("n", F.lit(0)) != 1)
@@ -310,31 +314,41 @@ def preservation_violations(mart: DataFrame, fact_macro: DataFrame) -> DataFrame
 def grid_violations(performance: DataFrame, series: DataFrame, mart: DataFrame) -> DataFrame:
     """Missing and unexpected (company, day, series) combinations, both ways.
 
-    The expected grid is a product, so it is never written out to be compared.  A grid
-    is complete when every company day of the performance mart has all known series:
-    unexpected rows fail a semi join, missing ones can only belong to days with too few
-    series, and only those days are expanded, by an equi-join on the date.
+    The expected grid is a product and is never written out to be compared.  One pass
+    counts the known series of every company day and finds the days that are not as
+    expected; only those few are compared row by row, with the series they should have
+    supplied by an equi-join on the date.
     """
     day_key = ["company_key", "trading_date"]
-    days = performance.select(*day_key).distinct()
     known = series.select("series_id").distinct()
+    total = known.agg(F.count("*")).scalar()
     actual = mart.select(*ALIGNED_KEY).distinct()
-    expected_rows = actual.join(days, day_key, "left_semi").join(known, "series_id", "left_semi")
-    unexpected = actual.join(expected_rows, ALIGNED_KEY, "left_anti").select(
-        *ALIGNED_KEY, F.lit("unexpected market-series grid row").alias("failure_reason")
+    found = (
+        actual.join(known.withColumn("_known", F.lit(True)), "series_id", "left")
+        .groupBy(*day_key)
+        .agg(F.count("_known").alias("_known"), F.count("*").alias("_rows"))
     )
-    total = known.agg(F.count("*")).scalar()
-    per_day = expected_rows.groupBy(*day_key).agg(F.count("*").alias("_n"))
-    short = days.join(per_day, day_key, "left").where(F.coalesce("_n", F.lit(0)) < total).select(*day_key)
-    # No short day means NULL bounds and nothing to expand.
-    first, last = short.agg(F.min("trading_date")).scalar(), short.agg(F.max("trading_date")).scalar()
-    wanted = known.select("series_id", F.explode(F.sequence(first, last)).alias("trading_date"))
-    missing = (
-        short.join(measured(wanted, "trading_date"), "trading_date", "inner")
-        .join(expected_rows, ALIGNED_KEY, "left_anti")
-        .select(*ALIGNED_KEY, F.lit("missing expected market-series grid row").alias("failure_reason"))
+    wanted_days = performance.select(*day_key).distinct().withColumn("_traded", F.lit(True))
+    complete = F.col("_traded").isNotNull() & F.col("_known").eqNullSafe(total) & F.col("_rows").eqNullSafe(total)
+    # The few wrong days are read three times below.
+    wrong_days = cut_lineage(
+        wanted_days.join(found, day_key, "full_outer")
+        .where(~complete)
+        .select(*day_key, F.col("_traded").isNotNull().alias("_traded"))
+    )
+    traded = wrong_days.where("_traded").select(*day_key)
+    # No wrong day means NULL bounds and nothing to expand.
+    first, last = traded.agg(F.min("trading_date")).scalar(), traded.agg(F.max("trading_date")).scalar()
+    spine = known.select("series_id", F.explode(F.sequence(first, last)).alias("trading_date"))
+    expected = traded.join(measured(spine, "trading_date"), "trading_date", "inner").select(
+        *ALIGNED_KEY, F.lit(True).alias("_expected")
+    )
+    present = actual.join(wrong_days.select(*day_key), day_key, "left_semi").withColumn("_present", F.lit(True))
+    reason = F.when(F.col("_present").isNull(), "missing expected market-series grid row").when(
+        F.col("_expected").isNull(), "unexpected market-series grid row"
     )
-    return missing.unionByName(unexpected)
+    compared = expected.join(present, ALIGNED_KEY, "full_outer").select(*ALIGNED_KEY, reason.alias("failure_reason"))
+    return compared.where(F.col("failure_reason").isNotNull())
 
 
 # --- source tables --------------------------------------------------------------

@@ -7,26 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.payloads import accepted_rows
+from tidemark.operators.payloads import accepted_rows, typed_fields
 from tidemark.schemas import ROW_KEY, RUN_KEY, TableContract
 
 # What to do with a run, decided from its artifacts.
 NONE, REBUILT, VERIFIED, ERROR = "none", "rebuilt", "verified", "error"
 
 
+def _compare(expected: DataFrame, stored: DataFrame, values: list[str]) -> DataFrame:
+    """Expected rows (struct ``_expected``) met with stored ones; ``_wrong`` marks differences.
+
+    Rows meet on (run, row number); NULLs compare equal.  A row number stored twice is
+    a difference too.
+    """
+    copies = stored.groupBy(*ROW_KEY).agg(F.first(F.struct(*values)).alias("_stored"), F.count("*").alias("_copies"))
+    wrong = ~F.col("_expected").eqNullSafe(F.col("_stored")) | F.coalesce(F.col("_copies") > 1, F.lit(False))
+    return expected.join(copies, ROW_KEY, "full_outer").withColumn("_wrong", wrong)
+
+
+def _values(columns: list[str]) -> list[str]:
+    return [c for c in columns if c not in ROW_KEY]
+
+
 def unequal_runs(expected: DataFrame, stored: DataFrame) -> DataFrame:
-    """Runs whose stored rows are not exactly the expected ones, with row counts.
+    """Runs whose stored rows are not exactly the expected ones, with row counts."""
+    values = _values(expected.columns)
+    rows = expected.select(*ROW_KEY, F.struct(*values).alias("_expected"))
+    met = _compare(rows, stored, values)
+    return met.groupBy(*RUN_KEY).agg(F.count_if("_wrong").alias("different_rows")).where("different_rows > 0")
+
+
+def verified_payloads(verdicts: DataFrame, stored: DataFrame, contract: TableContract) -> DataFrame:
+    """Per run: why its payload was rejected, and how many stored rows differ from it.
 
-    Rows meet on (run, row number); NULLs compare equal.  A row number stored twice
-    counts as a difference too, because it meets its partner twice.
+    Verdicts are read once.  A rejected or empty payload stands as one row without a
+    row number, which matches nothing and differs from nothing.
     """
-    values = [c for c in expected.columns if c not in ROW_KEY]
-    left = expected.select(*ROW_KEY, F.struct(*values).alias("_expected"))
-    right = stored.select(*ROW_KEY, F.struct(*values).alias("_stored")).withColumn("_one", F.lit(1))
-    copies = right.groupBy(*ROW_KEY).agg(F.first("_stored").alias("_stored"), F.sum("_one").alias("_copies"))
-    met = left.join(copies, ROW_KEY, "full_outer")
-    wrong = ~F.col("_expected").eqNullSafe(F.col("_stored")) | (F.col("_copies") > 1)
-    return met.groupBy(*RUN_KEY).agg(F.count_if(wrong).alias("different_rows")).where("different_rows > 0")
+    values = _values(contract.schema.names)
+    valid = F.when(F.col("reason").isNull(), F.col("records"))
+    rows = verdicts.select(*RUN_KEY, "reason", F.posexplode_outer(valid).alias("source_row_number", "record"))
+    expected = rows.select(
+        *RUN_KEY,
+        F.col("source_row_number").cast("bigint"),
+        "reason",
+        F.when(F.col("record").isNotNull(), F.struct(*typed_fields(contract))).alias("_expected"),
+    )
+    return _compare(expected, stored, values).groupBy(*RUN_KEY).agg(
+        F.max("reason").alias("reason"), F.count_if("_wrong").alias("different_rows")
+    )
 
 
 def recover_or_verify(
@@ -42,16 +70,13 @@ def recover_or_verify(
     equal.  Typed rows alone, stray artifacts or a payload that does not parse need an
     operator.
     """
-    verdicts = parser(landing)
-    rejected = verdicts.where("reason IS NOT NULL").select(*RUN_KEY, "reason")
-    unequal = unequal_runs(accepted_rows(verdicts, contract), stored)
-    joined = manifest.join(rejected, RUN_KEY, "left").join(unequal, RUN_KEY, "left")
+    joined = manifest.join(verified_payloads(parser(landing), stored, contract), RUN_KEY, "left")
     problem = (
         F.when(F.col("stray_count") > 0, "run contains unexpected artifacts")
         .when(F.col("typed_present") & ~F.col("raw_present"), "typed artifact without a payload")
         .when(F.col("raw_present") & F.col("reason").isNotNull(), F.concat(F.lit("payload cannot be parsed: "), "reason"))
         .when(
-            F.col("raw_present") & F.col("typed_present") & F.col("different_rows").isNotNull(),
+            F.col("raw_present") & F.col("typed_present") & (F.col("different_rows") > 0),
             "typed rows do not match the captured payload",
         )
     )

@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def literal_table(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
+    """A short list of rows whose size the optimizer knows.
+
+    A list given to ``createDataFrame`` directly becomes an RDD of unknown size, which is
+    never broadcast: joining it would shuffle the large side on a handful of keys.
+    """
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(schema.fields)}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def measured(df: DataFrame, *keys: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tidemark.operators.relational import literal_table
 from tidemark.schemas import IDENTITY_MAPPING_SCHEMA, METRIC_MAPPING_SCHEMA
 
 # Company key, ticker, registrant key, role, current registrant.
@@ -37,9 +39,16 @@ FINANCIAL_METRICS = [
 MACRO_SERIES = ["DFF", "CPIAUCSL", "UNRATE", "GDPC1", "DGS10"]
 
 
+SERIES_LIST_SCHEMA = T.StructType([T.StructField("series_id", T.StringType(), False)])
+
+
 def company_identities(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COMPANY_IDENTITIES, IDENTITY_MAPPING_SCHEMA)
+    return literal_table(spark, COMPANY_IDENTITIES, IDENTITY_MAPPING_SCHEMA)
 
 
 def financial_metrics(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FINANCIAL_METRICS, METRIC_MAPPING_SCHEMA)
+    return literal_table(spark, FINANCIAL_METRICS, METRIC_MAPPING_SCHEMA)
+
+
+def macro_series(spark: SparkSession) -> DataFrame:
+    return literal_table(spark, [(s,) for s in MACRO_SERIES], SERIES_LIST_SCHEMA)

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import incremental, monitoring, payloads, quality
-from tidemark.plans.reference_data import COMPANY_IDENTITIES, MACRO_SERIES
-from tidemark.plans.relations import MARTS, RELATIONS, Relations
+from tidemark.plans.reference_data import macro_series
+from tidemark.plans.relations import MARTS, Relations
 from tidemark.schemas import CONTRACTS, DATASETS, INGESTION_RUNS_SCHEMA, PRICES, RUN_KEY
 from tidemark.session import cut_lineage
 from tidemark.sources import publish, typed
@@ -71,11 +71,15 @@ def load(
     # The load instant is fixed once, not once per action that reads the frame.
     loaded_at = F.lit(spark.range(1).select(F.current_timestamp()).head()[0])
 
-    verdicts = {t: cut_lineage(payloads.parse(landing, t)) for t in tables}
+    # Each payload is parsed once; the verdicts feed the registry, the quarantine and the rows.
+    verdicts = {t: cut_lineage(payloads.stored_form(payloads.parse(landing, t), CONTRACTS[t])) for t in tables}
     declared = _union([declared_runs(v, landing_root, loaded_at) for v in verdicts.values()])
     quarantine = _union([payloads.quarantined(v) for v in verdicts.values()])
-    counts = incremental.stored_counts(*[stored[t] for t in tables])
-    states = cut_lineage(incremental.classify_runs(declared, stored["ingestion_runs"], counts))
+    runs = declared.select(*RUN_KEY)
+    between = incremental.run_range(runs)
+    history = {t: incremental.same_runs(stored[t], runs, between) for t in (*tables, "ingestion_runs")}
+    counts = incremental.stored_counts(*[history[t] for t in tables])
+    states = cut_lineage(incremental.classify_runs(declared, history["ingestion_runs"], counts))
 
     refused = states.where("state = 'mismatch'").select("source", "dataset", "run_id").head()
     if refused is not None:
@@ -113,9 +117,9 @@ def build_relations(
     """Relations whose shared layers are written once and read back from storage."""
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        return publish.store(df, f"{warehouse.rstrip('/')}/{name}") if name in STORED else df
+        return publish.store(df, f"{warehouse.rstrip('/')}/{name}")
 
-    relations = Relations(tables, identities, metrics, keep)
+    relations = Relations(tables, identities, metrics, keep, STORED)
     for name in STORED:
         relations[name]
     return relations
@@ -191,7 +195,7 @@ def refresh(
     registered, quarantine = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
     sources = typed.read_source_tables(spark, f"{root}/source")
     relations = build_relations(sources, identities, metrics, f"{root}/warehouse")
-    series = spark.createDataFrame([(s,) for s in MACRO_SERIES], "series_id string")
+    series = macro_series(spark)
     return RefreshResult(
         registered=registered,
         quarantine=quarantine,
@@ -210,8 +214,6 @@ def daily_refresh(spark: SparkSession, landing: DataFrame, root: str, **options)
 
 
 __all__ = [
-    "COMPANY_IDENTITIES",
-    "RELATIONS",
     "RefreshResult",
     "build_relations",
     "daily_refresh",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +31,9 @@ RELATIONS = (
 class Relations:
     """Lazily composed relations; nothing runs until one of them is consumed.
 
-    ``keep`` is applied to every relation as it is first used.  The default keeps the
-    plan lazy, so the optimizer sees the whole chain from source to mart; a refresh
-    passes a writer to store relations that several consumers read.
+    By default the plan stays lazy, so the optimizer sees the whole chain from source to
+    mart.  ``keep`` stores the relations named in ``stored`` when they are first used and
+    returns a frame that reads the stored rows, for relations with several consumers.
     """
 
     def __init__(
@@ -42,12 +42,16 @@ class Relations:
         identities: DataFrame,
         metrics: DataFrame,
         keep: Callable[[str, DataFrame], DataFrame] | None = None,
+        stored: Collection[str] = (),
     ) -> None:
         self.tables = tables
         self.identities = identities
         self.metrics = metrics
-        self._stores = keep is not None
-        self._keep = keep or (lambda name, df: df)
+        self._stored = frozenset(stored) if keep else frozenset()
+        self._store = keep
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        return self._store(name, df) if name in self._stored else df
 
     def _versions(self, staging: str, table: str) -> DataFrame:
         """All versions of a source table, or its staging relation when that is stored.
@@ -57,7 +61,7 @@ class Relations:
         result over all versions and over the latest ones.  Skipping the staging
         window saves its shuffle unless the result is stored anyway.
         """
-        if self._stores:
+        if staging in self._stored:
             return getattr(self, staging)
         return with_provenance(self.tables[table], self.tables["ingestion_runs"])
 

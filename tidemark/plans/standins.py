@@ -7,12 +7,15 @@ runs they arrived in, events are macro observations.  Every row of every table i
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
+from tidemark.session import cut_lineage
 
 
 #: Tables worth spreading: everything heavy starts from one of these.
@@ -218,14 +221,21 @@ def company_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def relations(spark: SparkSession, sf_dir: str) -> Relations:
+def relations(spark: SparkSession, sf_dir: str, stored: Collection[str] = ()) -> Relations:
+    """The modelled relations; those named in ``stored`` are computed once and kept."""
     tables = {
         "ingestion_runs": ingestion_runs(spark, sf_dir),
         "market_daily_prices": market_daily_prices(spark, sf_dir),
         "sec_company_facts": sec_company_facts(spark, sf_dir),
         "fred_series_observations": fred_series_observations(spark, sf_dir),
     }
-    return Relations(tables, company_identities(spark, sf_dir), financial_metrics(spark))
+    return Relations(
+        tables,
+        company_identities(spark, sf_dir),
+        financial_metrics(spark),
+        keep=lambda name, df: cut_lineage(df),
+        stored=stored,
+    )
 
 
 # --- payloads built from the sample rows ----------------------------------------

@@ -155,6 +155,8 @@ LANDING_SCHEMA = _struct(
     ("payload", _S, False),
 )
 
+DATASET_SCHEMA = _struct(("source", _S, False), ("dataset", _S, False))
+
 IDENTITY_MAPPING_SCHEMA = _struct(
     ("company_key", _S, False),
     ("current_ticker", _S, False),

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.schemas import DATASETS, RUN_KEY
+from tidemark.operators.relational import literal_table
+from tidemark.schemas import DATASET_SCHEMA, DATASETS, RUN_KEY
 
 RAW_NAME = "payload.json"
 TYPED_NAME = "data.parquet"
@@ -97,6 +98,5 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 def dataset_inventory(runs: DataFrame) -> DataFrame:
     """``latest_runs`` against the list of known datasets; datasets without runs stay."""
-    spark = runs.sparkSession
-    known = spark.createDataFrame(DATASETS, "source string, dataset string")
+    known = literal_table(runs.sparkSession, DATASETS, DATASET_SCHEMA)
     return known.join(latest_runs(runs), ["source", "dataset"], "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import measures as M
 from tidemark.plans import standins
+from tidemark.plans.relations import MARTS
 from workload.registry import query
 
 R = standins.relations
@@ -167,7 +168,7 @@ SELECT CAST(trading_date AS VARCHAR) AS trading_date, CAST(market_close AS DOUBL
   CAST(macro_observation_date AS VARCHAR) AS macro_observation_date, macro_age_days AS macro_observation_age FROM m
 """)
 def macro_measures_per_day(spark, sf):
-    relations = R(spark, sf)
+    relations = R(spark, sf, stored=MARTS)
     return M.measure_query(
         relations.mart_market_macro, "macro",
         ["market_close", "macro_value", "macro_observation_date", "macro_observation_age"],
@@ -181,7 +182,7 @@ SELECT CAST(macro_observation_date AS VARCHAR) AS macro_observation_date, count(
 FROM m GROUP BY 1
 """)
 def observation_reuse(spark, sf):
-    return M.observation_reuse(R(spark, sf).mart_market_macro, filters=_MACRO_FILTERS)
+    return M.observation_reuse(R(spark, sf, stored=["mart_market_macro"]).mart_market_macro, filters=_MACRO_FILTERS)
 
 
 @query("detail_prices", """
@@ -214,7 +215,8 @@ def detail_market_macro(spark, sf):
 
 
 def _report(spark, sf):
-    relations = R(spark, sf)
+    """The three marts, kept: the report reads each of them several times."""
+    relations = R(spark, sf, stored=MARTS)
     return (
         relations.mart_company_daily_performance,
         relations.mart_company_financial_growth,

@@ -724,7 +724,8 @@ SELECT 'error' AS status, 3 AS checks,
 def operational_status(spark, sf):
     """Roll-up over runs, relations and recency; the blank entity key makes it an error."""
     inventory = layout.latest_runs(layout.manifest(_artifacts(spark, sf)))
-    relations = spark.createDataFrame([("known", True)], "relation string, present boolean")
+    standins.price_runs(spark, sf).createOrReplaceTempView("sample_runs")
+    relations = monitoring.relation_check(spark, ["sample_runs"])
     checks = monitoring.operational_checks(inventory=inventory, relations=relations, signals=_recency(spark, sf))
     datasets = inventory.agg(F.count("*")).scalar()
     return monitoring.overall_status(checks).withColumn("datasets", datasets)

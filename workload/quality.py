@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.plans import standins
+from tidemark.schemas import FACT_GRAIN
+from tidemark.session import cut_lineage
 from workload.registry import query
 
 table = standins.table
@@ -32,8 +34,6 @@ SELECT cik, taxonomy, concept, unit, CAST(start_date AS VARCHAR) AS start_date,
 FROM x_stg_facts GROUP BY ALL HAVING count(*) > 1
 """)
 def staging_grain_is_unique(spark, sf):
-    from tidemark.schemas import FACT_GRAIN
-
     return Q.duplicates(R(spark, sf).stg_financial_facts, FACT_GRAIN)
 
 
@@ -214,8 +214,9 @@ SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, fa
 
 
 def _tampered(relations):
+    """The mart as a stored relation, which checks read more than once."""
     volume, day = F.col("market_volume"), F.col("macro_observation_date")
-    return relations.mart_market_macro.select(
+    planted = relations.mart_market_macro.select(
         "company_key", "trading_date", "series_id",
         F.when(volume == 11, F.date_sub(day, 1))
         .when(volume == 12, F.date_add("trading_date", 1))
@@ -225,6 +226,7 @@ def _tampered(relations):
         F.when(volume == 14, (F.col("macro_value") + 1).cast("decimal(38,10)")).otherwise(F.col("macro_value")).alias("macro_value"),
         F.when(volume == 15, -F.col("macro_age_days") - 1).otherwise(F.col("macro_age_days")).alias("macro_age_days"),
     )
+    return cut_lineage(planted)
 
 
 @query("alignment_violations", _TAMPERED + """
@@ -264,8 +266,13 @@ def grid_violations(spark, sf):
     volume = F.col("market_volume")
     planted = relations.mart_market_macro.where(
         ~(volume.eqNullSafe(F.lit(21)) & (F.col("series_id") == "VIEW"))
-    ).withColumn("trading_date", F.when(volume == 22, F.date_add("trading_date", 20000)).otherwise(F.col("trading_date")))
-    return Q.grid_violations(relations.mart_company_daily_performance, relations.dim_macro_series, planted)
+    ).select(
+        "company_key", "series_id",
+        F.when(volume == 22, F.date_add("trading_date", 20000)).otherwise(F.col("trading_date")).alias("trading_date"),
+    )
+    return Q.grid_violations(
+        relations.mart_company_daily_performance, relations.dim_macro_series, cut_lineage(planted)
+    )
 
 
 @query("row_check_violations", """

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators import versions
 from tidemark.plans import dimensions, standins
+from tidemark.plans.relations import MARTS
+from tidemark.sources.publish import report_extract, row_counts
 from workload.registry import query
 
 R = standins.relations
@@ -176,9 +178,6 @@ UNION ALL SELECT 'mart_company_financial_growth', count(*) FROM x_growth
 UNION ALL SELECT 'mart_market_macro', count(*) FROM x_aligned
 """)
 def mart_row_counts(spark, sf):
-    from tidemark.plans.relations import MARTS
-    from tidemark.sources.publish import row_counts
-
     relations = R(spark, sf)
     return row_counts({name: relations[name] for name in MARTS})
 
@@ -193,8 +192,6 @@ SELECT company_key, metric_key, unit, CAST(end_date AS VARCHAR) AS end_date, CAS
 FROM x_growth
 """)
 def report_extract_growth(spark, sf):
-    from tidemark.sources.publish import report_extract
-
     extract = report_extract(R(spark, sf).mart_company_financial_growth)
     return extract.select(
         "company_key", "metric_key", "unit", "end_date", "current_value", "previous_value", "growth_rate", "metric_short_name"
