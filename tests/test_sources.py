@@ -56,6 +56,17 @@ def test_payload_files_round_trip(spark, tmp_path):
     assert P.accepted_rows(verdicts, S.CONTRACTS["market_daily_prices"]).count() == 2
 
 
+def test_written_payload_files_read_back(spark, tmp_path):
+    both = X.landing(spark, [(S.PRICES, e, X.RUN_1, X.prices(e)) for e in ("A", "B")] + [(S.SUBMISSIONS, "1", X.RUN_1, X.submissions())])
+    landing.write_payload_files(both, str(tmp_path), *S.PRICES)
+    back = landing.read_payload_files(spark, str(tmp_path), *S.PRICES)
+    assert {(r.entity, r.ingested_at, r.payload.rstrip()) for r in back.collect()} == {
+        (r.entity, r.ingested_at, r.payload) for r in both.where("dataset = 'daily_market_prices'").collect()
+    }
+    with pytest.raises(landing.RunExists):
+        landing.write_payload_files(both, str(tmp_path), *S.PRICES, existing=back)
+
+
 def test_manifest_and_latest_pair(spark, tmp_path):
     first, second = "20250301T000000000000Z--entity-QQ", "20250302T000000000000Z"
     write_run(tmp_path, S.PRICES, "2025-03-01", first, payload_json="{}", data_parquet="x")

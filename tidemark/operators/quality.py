@@ -236,14 +236,14 @@ def representative_fact_violations(
     """Each mart row must exist in the facts, have a valid shape and not be outranked.
 
     "No better candidate exists" is proved with the best (filed date, accession) of
-    each grain, one aggregate row per key instead of all candidate pairs.
+    each grain, one aggregate row per key instead of all candidate pairs.  Both proofs
+    start from the same distinct rows, so the candidates are shuffled once.
     """
-    candidates = annual_candidates(facts, identities, metrics)
     source_key = ["source_cik", "accession_number", "metric_key", "end_date", "unit", "period_type"]
-    best = candidates.groupBy(*GROWTH_GRAIN).agg(
-        F.max(F.struct("filed_date", "accession_number")).alias("_best")
-    )
-    sources = candidates.select(*source_key).distinct().withColumn("_source", F.lit(True))
+    candidates = annual_candidates(facts, identities, metrics)
+    seen = candidates.select("company_key", *source_key, "filed_date").distinct()
+    best = seen.groupBy(*GROWTH_GRAIN).agg(F.max(F.struct("filed_date", "accession_number")).alias("_best"))
+    sources = seen.select(*source_key).distinct().withColumn("_source", F.lit(True))
     checked = mart.join(sources, source_key, "left").join(best, GROWTH_GRAIN, "left")
     form, start, end = F.col("form"), F.col("start_date"), F.col("end_date")
     rules = {

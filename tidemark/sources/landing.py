@@ -28,7 +28,7 @@ def read_payload_files(spark: SparkSession, root: str, source: str, dataset: str
     files = (
         spark.read.schema("value string, ingestion_date date, run_id string")
         .option("basePath", base)
-        .option("pathGlobFilter", RAW_NAME)
+        .option("pathGlobFilter", f"{{{RAW_NAME},*.txt}}")
         .text(base, wholetext=True)
     )
     run = F.col("run_id")
@@ -43,6 +43,22 @@ def read_payload_files(spark: SparkSession, root: str, source: str, dataset: str
     )
 
 
+def write_payload_files(
+    payloads: DataFrame, root: str, source: str, dataset: str, *, existing: DataFrame | None = None
+) -> None:
+    """Payloads of one dataset as one file per run in its run directory.
+
+    For feeds with few, large payloads.  Many small ones belong into the payload table:
+    a directory per run makes every later listing as long as the history.
+    """
+    mine = payloads.where((F.col("source") == source) & (F.col("dataset") == dataset))
+    _refuse_existing(mine, existing)
+    keys = ["ingestion_date", "run_id"]
+    mine.select(*keys, "payload").hint("rebalance", *keys).write.mode("append").partitionBy(*keys).text(
+        f"{root.rstrip('/')}/{source}/{dataset}"
+    )
+
+
 def read_payload_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_SCHEMA).parquet(path)
 
@@ -55,6 +71,12 @@ def append_payloads(payloads: DataFrame, path: str, *, existing: DataFrame | Non
     most of the bytes is split over several tasks.
     """
     payloads = require_schema(payloads.select(*LANDING_SCHEMA.names), LANDING_SCHEMA, what="landing")
+    _refuse_existing(payloads, existing)
+    keys = ["source", "dataset", "ingestion_date"]
+    payloads.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
+
+
+def _refuse_existing(payloads: DataFrame, existing: DataFrame | None) -> None:
     problems = duplicate_runs(payloads)
     if existing is not None:
         problems = problems.unionByName(
@@ -63,8 +85,6 @@ def append_payloads(payloads: DataFrame, path: str, *, existing: DataFrame | Non
     clash = problems.head()
     if clash is not None:
         raise RunExists(f"run {clash.source}/{clash.dataset}/{clash.run_id} has a payload already")
-    keys = ["source", "dataset", "ingestion_date"]
-    payloads.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
 def duplicate_runs(payloads: DataFrame) -> DataFrame:

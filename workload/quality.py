@@ -262,7 +262,7 @@ SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, fa
   UNION ALL SELECT *, 'unexpected market-series grid row' FROM (SELECT * FROM a EXCEPT SELECT * FROM x))
 """)
 def grid_violations(spark, sf):
-    relations = R(spark, sf)
+    relations = R(spark, sf, stored=["mart_company_daily_performance"])
     volume = F.col("market_volume")
     planted = relations.mart_market_macro.where(
         ~(volume.eqNullSafe(F.lit(21)) & (F.col("series_id") == "VIEW"))
