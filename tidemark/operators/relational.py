@@ -31,14 +31,6 @@ def measured(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys)
 
 
-def null_safe_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition over ``keys`` in which NULL equals NULL."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def differs(left: Column, right: Column) -> Column:
     """``IS DISTINCT FROM``: never NULL."""
     return ~left.eqNullSafe(right)

@@ -7,10 +7,11 @@ runs they arrived in, events are macro observations.  Every row of every table i
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import schemas as S
 from tidemark.plans.reference_data import financial_metrics
@@ -20,6 +21,7 @@ from tidemark.session import cut_lineage
 
 #: Tables worth spreading: everything heavy starts from one of these.
 _LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
+_SCANS: dict[tuple[str, int], tuple[StructType, bool]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     while the other cores wait.  Only such scans with fewer splits than cores are spread
     out; anything larger keeps its splits and is not shuffled.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in _LARGE and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, _LARGE[name])
-    return df
+    path = f"{sf_dir}/{name}.parquet"
+    if (path, cores) not in _SCANS:
+        # Schema and number of splits are read from the files once.
+        found = spark.read.parquet(path)
+        _SCANS[path, cores] = (found.schema, name in _LARGE and found.rdd.getNumPartitions() < cores)
+    schema, few_splits = _SCANS[path, cores]
+    df = spark.read.schema(schema).parquet(path)
+    return df.repartition(cores, _LARGE[name]) if few_splits else df
 
 
 def money(column: str) -> Column:
@@ -221,16 +227,33 @@ def company_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class SourceTables(Mapping):
+    """The source tables, each built when it is asked for."""
+
+    BUILDERS = {
+        "ingestion_runs": ingestion_runs,
+        "market_daily_prices": market_daily_prices,
+        "sec_company_facts": sec_company_facts,
+        "fred_series_observations": fred_series_observations,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._place = (spark, sf_dir)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.BUILDERS[name](*self._place)
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self.BUILDERS)
+
+
 def relations(spark: SparkSession, sf_dir: str, stored: Collection[str] = ()) -> Relations:
     """The modelled relations; those named in ``stored`` are computed once and kept."""
-    tables = {
-        "ingestion_runs": ingestion_runs(spark, sf_dir),
-        "market_daily_prices": market_daily_prices(spark, sf_dir),
-        "sec_company_facts": sec_company_facts(spark, sf_dir),
-        "fred_series_observations": fred_series_observations(spark, sf_dir),
-    }
     return Relations(
-        tables,
+        SourceTables(spark, sf_dir),
         company_identities(spark, sf_dir),
         financial_metrics(spark),
         keep=lambda name, df: cut_lineage(df),
