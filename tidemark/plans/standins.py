@@ -239,9 +239,12 @@ class SourceTables(Mapping):
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self._place = (spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.BUILDERS[name](*self._place)
+        if name not in self._built:
+            self._built[name] = self.BUILDERS[name](*self._place)
+        return self._built[name]
 
     def __iter__(self):
         return iter(self.BUILDERS)
