@@ -127,8 +127,7 @@ def day_range_slicer(spark, sf):
 @query("annual_shape_predicate", """
 SELECT period_type, start_date IS NULL AS is_instant, CAST(end_date - start_date AS BIGINT) AS days,
   count(*) AS fact_count,
-  count(*) FILTER ((period_type = 'duration' AND start_date IS NOT NULL AND end_date - start_date BETWEEN 350 AND 380)
-    OR (period_type = 'instant' AND start_date IS NULL)) AS annual_count
+  count(*) FILTER (CASE period_type WHEN 'duration' THEN end_date - start_date BETWEEN 350 AND 380 ELSE start_date IS NULL END) AS annual_count
 FROM x_facts f JOIN x_metrics m USING (taxonomy, concept) GROUP BY ALL
 """)
 def annual_shape_predicate(spark, sf):

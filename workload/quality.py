@@ -107,18 +107,17 @@ def inconsistent_metric_names(spark, sf):
 
 
 @query("daily_metric_violations", """
-WITH t AS (SELECT company_key, trading_date, close, volume,
-    CASE WHEN volume = 13 THEN NULL ELSE previous_close END AS previous_close, daily_change,
-    CASE WHEN volume = 17 THEN daily_return + 0.5 ELSE daily_return END AS daily_return FROM x_performance),
-w AS (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY trading_date) AS row_num,
-    lag(close) OVER (PARTITION BY company_key ORDER BY trading_date) AS expected FROM t)
+WITH t AS (SELECT company_key, trading_date, CAST(close AS DOUBLE) AS c, close, daily_change,
+    CASE WHEN volume = 13 THEN NULL ELSE previous_close END AS p,
+    CASE WHEN volume = 17 THEN daily_return + 0.5 ELSE daily_return END AS r FROM x_performance),
+w AS (SELECT *, lag(close) OVER o AS want_p, close - p AS want_change, CASE WHEN p <> 0 THEN c / CAST(p AS DOUBLE) - 1 END AS want_r,
+    row_number() OVER o AS row_num
+  FROM t WINDOW o AS (PARTITION BY company_key ORDER BY trading_date))
 SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, row_num FROM w
-WHERE (row_num = 1 AND (previous_close IS NOT NULL OR daily_change IS NOT NULL OR daily_return IS NOT NULL))
-  OR (row_num > 1 AND previous_close IS DISTINCT FROM expected)
-  OR (previous_close IS NOT NULL AND (daily_change IS NULL OR abs(daily_change - (close - previous_close)) > 0.000001))
-  OR (previous_close IS NOT NULL AND previous_close <> 0 AND (daily_return IS NULL
-    OR abs(daily_return - (CAST(close AS DOUBLE) / CAST(previous_close AS DOUBLE) - 1.0)) > 0.000001))
-  OR ((previous_close IS NULL OR previous_close = 0) AND daily_return IS NOT NULL)
+WHERE p IS DISTINCT FROM want_p
+  OR (p IS NOT NULL AND coalesce(abs(daily_change - want_change) > 1e-6, TRUE))
+  OR (want_r IS NULL) <> (r IS NULL)
+  OR abs(r - want_r) > 1e-6
 """)
 def daily_metric_violations(spark, sf):
     mart = R(spark, sf).mart_company_daily_performance
@@ -138,23 +137,22 @@ WITH t AS (SELECT company_key, metric_key, end_date, unit, current_value,
     CASE WHEN fiscal_year = 1999 THEN coalesce(absolute_change, 0) + 1 ELSE absolute_change END AS absolute_change,
     CASE WHEN fiscal_year = 2000 THEN NULL ELSE growth_rate END AS growth_rate FROM x_growth),
 e AS (SELECT *, lag(end_date) OVER w AS xd, lag(current_value) OVER w AS xv FROM t
-  WINDOW w AS (PARTITION BY company_key, metric_key, unit ORDER BY end_date))
-SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, failure_reason FROM (
-  SELECT *, 'stored previous_end_date does not match expected lag(end_date)' AS failure_reason FROM e WHERE previous_end_date IS DISTINCT FROM xd
-  UNION ALL SELECT *, 'stored previous_value does not match expected lag(current_value)' FROM e WHERE previous_value IS DISTINCT FROM xv
-  UNION ALL SELECT *, 'first observation must have all previous and derived growth fields null' FROM e
-    WHERE xd IS NULL AND (previous_end_date IS NOT NULL OR previous_value IS NOT NULL OR absolute_change IS NOT NULL OR growth_rate IS NOT NULL)
-  UNION ALL SELECT *, 'consecutive comparison has incorrect absolute_change' FROM e
-    WHERE xd IS NOT NULL AND end_date - xd BETWEEN 350 AND 380 AND (absolute_change IS NULL OR absolute_change <> current_value - xv)
-  UNION ALL SELECT *, 'consecutive comparison with non-zero previous_value has incorrect growth_rate' FROM e
-    WHERE xd IS NOT NULL AND end_date - xd BETWEEN 350 AND 380 AND xv <> 0
-      AND (growth_rate IS NULL OR growth_rate <> CAST(current_value - xv AS DOUBLE) / abs(CAST(xv AS DOUBLE)))
-  UNION ALL SELECT *, 'consecutive comparison with zero previous_value must have null growth_rate' FROM e
-    WHERE xd IS NOT NULL AND end_date - xd BETWEEN 350 AND 380 AND xv = 0
-      AND (absolute_change IS NULL OR absolute_change <> current_value OR growth_rate IS NOT NULL)
-  UNION ALL SELECT *, 'non-consecutive period must retain previous fields but have null absolute_change and growth_rate' FROM e
-    WHERE xd IS NOT NULL AND end_date - xd NOT BETWEEN 350 AND 380
-      AND (previous_end_date <> xd OR previous_value <> xv OR absolute_change IS NOT NULL OR growth_rate IS NOT NULL))
+  WINDOW w AS (PARTITION BY company_key, metric_key, unit ORDER BY end_date)),
+k AS (SELECT *, coalesce(end_date - xd BETWEEN 350 AND 380, FALSE) AS annual, current_value - xv AS diff FROM e),
+r AS (SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, unnest([
+  CASE WHEN previous_end_date IS DISTINCT FROM xd THEN 'stored previous_end_date does not match expected lag(end_date)' END,
+  CASE WHEN previous_value IS DISTINCT FROM xv THEN 'stored previous_value does not match expected lag(current_value)' END,
+  CASE WHEN xd IS NULL AND coalesce(CAST(previous_end_date AS VARCHAR), CAST(previous_value AS VARCHAR), CAST(absolute_change AS VARCHAR),
+    CAST(growth_rate AS VARCHAR)) IS NOT NULL THEN 'first observation must have all previous and derived growth fields null' END,
+  CASE WHEN annual AND absolute_change IS DISTINCT FROM diff THEN 'consecutive comparison has incorrect absolute_change' END,
+  CASE WHEN annual AND xv <> 0 AND growth_rate IS DISTINCT FROM CAST(diff AS DOUBLE) / abs(CAST(xv AS DOUBLE))
+    THEN 'consecutive comparison with non-zero previous_value has incorrect growth_rate' END,
+  CASE WHEN annual AND xv = 0 AND NOT (growth_rate IS NULL AND absolute_change IS NOT DISTINCT FROM current_value)
+    THEN 'consecutive comparison with zero previous_value must have null growth_rate' END,
+  CASE WHEN xd IS NOT NULL AND NOT annual AND (coalesce(previous_end_date <> xd, FALSE) OR coalesce(previous_value <> xv, FALSE)
+    OR absolute_change IS NOT NULL OR growth_rate IS NOT NULL)
+    THEN 'non-consecutive period must retain previous fields but have null absolute_change and growth_rate' END]) AS failure_reason FROM k)
+SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
 def growth_metric_violations(spark, sf):
     mart = R(spark, sf).mart_company_financial_growth
@@ -175,17 +173,19 @@ def growth_metric_violations(spark, sf):
 WITH t AS (SELECT company_key, metric_key, end_date, unit, source_cik, period_type, start_date,
     CASE WHEN fiscal_year = 1996 THEN '10-Q' ELSE form END AS form,
     CASE WHEN fiscal_year = 1997 THEN filed_date - 400 ELSE filed_date END AS filed_date,
-    CASE WHEN fiscal_year = 1998 THEN 'missing' ELSE accession_number END AS accession_number FROM x_growth)
-SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, failure_reason FROM (
-  SELECT m.*, 'selected fact does not match qualifying annual source occurrence in fact_financial_reported' AS failure_reason
-  FROM t m WHERE NOT EXISTS (SELECT 1 FROM x_candidates f WHERE f.source_cik = m.source_cik AND f.accession_number = m.accession_number
-    AND f.metric_key = m.metric_key AND f.end_date = m.end_date AND f.unit = m.unit)
-  UNION ALL SELECT m.*, 'invalid form or period shape in mart columns' FROM t m WHERE form NOT IN ('10-K', '10-K/A')
-    OR (period_type = 'duration' AND (start_date IS NULL OR end_date - start_date NOT BETWEEN 350 AND 380))
-    OR (period_type = 'instant' AND start_date IS NOT NULL)
-  UNION ALL SELECT m.*, 'lower-ranked filing selected over higher-ranked candidate' FROM t m WHERE EXISTS (
-    SELECT 1 FROM x_candidates f WHERE f.company_key = m.company_key AND f.metric_key = m.metric_key AND f.end_date = m.end_date
-      AND f.unit = m.unit AND (f.filed_date > m.filed_date OR (f.filed_date = m.filed_date AND f.accession_number > m.accession_number))))
+    CASE WHEN fiscal_year = 1998 THEN 'missing' ELSE accession_number END AS accession_number FROM x_growth),
+best AS (SELECT company_key, metric_key, end_date, unit, max((filed_date, accession_number)) AS top,
+    list(DISTINCT source_cik || ' ' || accession_number) AS filings
+  FROM x_candidates GROUP BY 1, 2, 3, 4),
+r AS (SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, unnest([
+  CASE WHEN NOT coalesce(list_contains(filings, source_cik || ' ' || accession_number), FALSE)
+    THEN 'selected fact does not match qualifying annual source occurrence in fact_financial_reported' END,
+  CASE WHEN form NOT LIKE '10-K%' OR CASE period_type WHEN 'instant' THEN start_date IS NOT NULL
+      ELSE coalesce(end_date - start_date NOT BETWEEN 350 AND 380, TRUE) END
+    THEN 'invalid form or period shape in mart columns' END,
+  CASE WHEN top > (filed_date, accession_number) THEN 'lower-ranked filing selected over higher-ranked candidate' END]) AS failure_reason
+  FROM t LEFT JOIN best USING (company_key, metric_key, end_date, unit))
+SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
 def representative_fact_violations(spark, sf):
     relations = R(spark, sf)
@@ -209,7 +209,6 @@ WITH t AS (SELECT company_key, trading_date, series_id,
     CASE WHEN market_volume = 15 THEN 0 - macro_age_days - 1 ELSE macro_age_days END AS macro_age_days FROM x_aligned),
 e AS (SELECT t.*, m.observation_date AS xd, m.value AS xv FROM t
   ASOF LEFT JOIN x_macro m ON t.series_id = m.series_id AND t.trading_date >= m.observation_date)
-SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, failure_reason FROM (
 """
 
 
@@ -229,15 +228,16 @@ def _tampered(relations):
     return cut_lineage(planted)
 
 
-@query("alignment_violations", _TAMPERED + """
-  SELECT *, 'stored observation date is not the latest eligible reference date' AS failure_reason FROM e WHERE macro_observation_date IS DISTINCT FROM xd
-  UNION ALL SELECT *, 'stored observation date occurs after the trading date' FROM e WHERE macro_observation_date > trading_date
-  UNION ALL SELECT *, 'a later eligible macro observation exists' FROM e WHERE EXISTS (SELECT 1 FROM x_macro l
-    WHERE l.series_id = e.series_id AND l.observation_date <= e.trading_date AND l.observation_date > e.macro_observation_date)
-  UNION ALL SELECT *, 'macro age is not the exact non-negative reference-date age' FROM e WHERE macro_observation_date IS NOT NULL
-    AND (macro_age_days IS DISTINCT FROM trading_date - macro_observation_date OR macro_age_days < 0)
-  UNION ALL SELECT *, 'rows without an eligible observation must have all aligned fields null' FROM e WHERE xd IS NULL
-    AND (macro_observation_date IS NOT NULL OR macro_value IS NOT NULL OR macro_age_days IS NOT NULL))
+@query("alignment_violations", _TAMPERED + """,
+r AS (SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, unnest([
+  CASE WHEN xd IS DISTINCT FROM macro_observation_date THEN 'stored observation date is not the latest eligible reference date' END,
+  CASE WHEN trading_date < macro_observation_date THEN 'stored observation date occurs after the trading date' END,
+  CASE WHEN macro_observation_date < xd THEN 'a later eligible macro observation exists' END,
+  CASE WHEN macro_observation_date IS NOT NULL AND (coalesce(macro_age_days, -1) < 0 OR macro_observation_date + CAST(macro_age_days AS INTEGER) <> trading_date)
+    THEN 'macro age is not the exact non-negative reference-date age' END,
+  CASE WHEN xd IS NULL AND coalesce(CAST(macro_observation_date AS VARCHAR), CAST(macro_value AS VARCHAR), CAST(macro_age_days AS VARCHAR)) IS NOT NULL
+    THEN 'rows without an eligible observation must have all aligned fields null' END]) AS failure_reason FROM e)
+SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
 def alignment_violations(spark, sf):
     relations = R(spark, sf)
@@ -245,8 +245,9 @@ def alignment_violations(spark, sf):
 
 
 @query("preservation_violations", _TAMPERED + """
-  SELECT *, 'latest eligible source date or value was not preserved' AS failure_reason FROM e
-  WHERE macro_observation_date IS DISTINCT FROM xd OR macro_value IS DISTINCT FROM xv)
+SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id,
+  'latest eligible source date or value was not preserved' AS failure_reason FROM e
+WHERE (macro_observation_date, macro_value) IS DISTINCT FROM (xd, xv)
 """)
 def preservation_violations(spark, sf):
     relations = R(spark, sf)

@@ -135,9 +135,8 @@ SELECT i.company_key, i.current_ticker, f.cik AS source_cik, f.metric_key, m.met
 FROM x_reported f
 JOIN x_identity i ON f.cik = i.source_cik
 JOIN x_metrics m ON f.metric_key = m.metric_key
-WHERE f.form IN ('10-K', '10-K/A') AND f.fiscal_period = 'FY'
-  AND ((m.period_type = 'duration' AND f.start_date IS NOT NULL AND f.end_date - f.start_date BETWEEN 350 AND 380)
-    OR (m.period_type = 'instant' AND f.start_date IS NULL))
+WHERE f.form LIKE '10-K%' AND f.fiscal_period = 'FY'
+  AND CASE m.period_type WHEN 'duration' THEN f.end_date - f.start_date BETWEEN 350 AND 380 ELSE f.start_date IS NULL END
 """,
     "x_growth": """
 SELECT *,
