@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from tidemark.operators import incremental, monitoring, payloads, quality
 from tidemark.plans.reference_data import macro_series
 from tidemark.plans.relations import MARTS, Relations
-from tidemark.schemas import CONTRACTS, DATASETS, INGESTION_RUNS_SCHEMA, PRICES, RUN_KEY
+from tidemark.schemas import (
+    CONTRACTS,
+    DATASETS,
+    IDENTITY_MAPPING_SCHEMA,
+    INGESTION_RUNS_SCHEMA,
+    METRIC_MAPPING_SCHEMA,
+    PRICES,
+    RUN_KEY,
+)
 from tidemark.session import cut_lineage
 from tidemark.sources import publish, typed
 from tidemark.sources.layout import RAW_NAME, TYPED_NAME, run_directory
@@ -140,6 +148,13 @@ def run_checks(relations: Relations, expected_identities: Sequence[tuple] = ())
         checks[f"{name}.{column}.in_calendar"] = quality.uncovered_days(r[name], column, r.dim_date)
     checks["dim_date.no_gaps"] = quality.calendar_gaps(r.dim_date)
     checks["growth.period_type"] = quality.unaccepted(growth, "period_type", ["duration", "instant"])
+    checks["identities.not_null"] = quality.null_counts(r.identities, IDENTITY_MAPPING_SCHEMA.names)
+    checks["identities.unique"] = quality.duplicates(r.identities, ["source_cik"])
+    checks["identities.registrant_role"] = quality.unaccepted(
+        r.identities, "registrant_role", ["primary", "successor", "predecessor"]
+    )
+    checks["metrics.not_null"] = quality.null_counts(r.metrics, METRIC_MAPPING_SCHEMA.names)
+    checks["metrics.period_type"] = quality.unaccepted(r.metrics, "period_type", ["duration", "instant"])
     checks["identities.invariants"] = quality.identity_violations(r.identities, expected_identities)
     checks["metrics.names"] = quality.inconsistent_metric_names(r.metrics)
     checks["metrics.unique"] = quality.duplicates(r.metrics, ["taxonomy", "concept"])
@@ -154,6 +169,21 @@ def run_checks(relations: Relations, expected_identities: Sequence[tuple] = ())
     return checks
 
 
+def run_source_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Row, key and NULL checks of the source tables by name; each frame holds the violations."""
+    runs = tables["ingestion_runs"]
+    checks = {
+        "ingestion_runs.rows": quality.check_violations(runs, "ingestion_runs"),
+        "ingestion_runs.unique": quality.duplicates(runs, RUN_KEY),
+        "ingestion_runs.not_null": quality.null_counts(runs, INGESTION_RUNS_SCHEMA.names),
+    }
+    for name in CONTRACTS:
+        checks[f"{name}.rows"] = quality.check_violations(tables[name], name)
+        checks[f"{name}.keys"] = quality.key_violations(tables[name], name, runs)
+        checks[f"{name}.not_null"] = quality.null_counts(tables[name], quality.required_columns(name))
+    return checks
+
+
 def monitor(tables: dict[str, DataFrame], as_of: date, identities: DataFrame, series: DataFrame) -> DataFrame:
     """Signals of all monitored entities, in the order they are reported."""
     current = identities.where("is_current_registrant")
@@ -200,7 +230,7 @@ def refresh(
         registered=registered,
         quarantine=quarantine,
         relations=relations,
-        checks=quality.summary(run_checks(relations, expected_identities)),
+        checks=quality.summary({**run_source_checks(sources), **run_checks(relations, expected_identities)}),
         signals=monitor(sources, as_of, identities, series),
         paths={name: f"{root}/warehouse/{name}" for name in STORED},
     )
