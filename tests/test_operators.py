@@ -141,6 +141,26 @@ def test_latest_version_with_null_keys(spark):
     assert sorted(r.v for r in versions.latest_version(df, ["start", "k"]).collect()) == ["new", "other"]
 
 
+def test_hot_key_in_versions_and_alignment(spark):
+    """A third of the rows are versions of one key, another third fall on one day."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("symbol"),
+        F.when(F.col("id") % 3 < 2, F.lit(D(2024, 1, 5))).otherwise(F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 40).cast("int"))).alias("day"),
+        F.timestamp_seconds(F.col("id") % 7919).alias("ingested_at"),
+        F.col("id").cast("string").alias("run_id"),
+        F.timestamp_seconds(F.lit(0)).alias("loaded_at"),
+        F.col("id").alias("source_row_number"),
+    )
+    latest = versions.latest_version(rows, ["symbol", "day"])
+    best = rows.groupBy("symbol", "day").agg(F.max(F.struct("ingested_at", "run_id", "loaded_at", "source_row_number")).alias("b"))
+    wrong = latest.join(best, ["symbol", "day"], "full_outer").where(~F.col("source_row_number").eqNullSafe(F.col("b.source_row_number")))
+    assert wrong.count() == 0 and latest.count() == best.count()
+    probes = rows.select(F.lit("A").alias("series_id"), "day", "source_row_number")
+    aligned = timeseries.asof_join(probes, series(spark), by=["series_id"], left_on="day", right_on="observation_date", take={"v": "value"})
+    assert aligned.count() == 30_000
+    assert aligned.where(F.col("day") == F.lit(D(2024, 1, 5))).select("v").distinct().collect()[0].v == 1.0
+
+
 # --- marts ----------------------------------------------------------------------
 
 def growth(spark, facts, identities=None):

@@ -207,8 +207,11 @@ def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
 
 def _opened(landing: DataFrame) -> DataFrame:
     """Parse strictly (NaN and infinities are not JSON) and note whether it is an object."""
-    parsed = _once(landing, *RUN_KEY, "entity", "ingested_at", "payload", strict_json(F.col("payload")).alias("_strict"))
-    single = is_single_value(F.col("_strict")) & F.col("payload").rlike(r"^\s*\{")
+    payload = F.col("payload")
+    parsed = _once(
+        landing, *RUN_KEY, "entity", "ingested_at", payload.rlike(r"^\s*\{").alias("_braced"), strict_json(payload).alias("_strict")
+    )
+    single = F.col("_braced") & is_single_value(F.col("_strict"))
     return parsed.select(
         *RUN_KEY,
         "entity",

@@ -515,9 +515,8 @@ def exact_decimals(spark, sf):
 
 
 @query("change_metrics", """
-WITH s AS (SELECT c_nationkey, c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) - 500 AS cur,
-  lag(CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE CAST(c_acctbal AS DECIMAL(18,2)) - 500 END)
-    OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS prev FROM customer)
+WITH s AS (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) - 500 AS cur,
+  CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 10 - 4 AS DECIMAL(18,2)) END AS prev FROM customer)
 SELECT c_custkey, CAST(cur - prev AS DOUBLE) AS change,
   CASE WHEN prev <> 0 THEN CAST(cur AS DOUBLE) / CAST(prev AS DOUBLE) - 1.0::DOUBLE END AS simple_return,
   CASE WHEN prev <> 0 THEN CAST(cur - prev AS DOUBLE) / abs(CAST(prev AS DOUBLE)) END AS growth_rate,
@@ -526,15 +525,14 @@ SELECT c_custkey, CAST(cur - prev AS DOUBLE) AS change,
 FROM s
 """)
 def change_metrics(spark, sf):
-    base = table(spark, sf, "customer").select(
-        "c_nationkey",
+    key = F.col("c_custkey")
+    pairs = table(spark, sf, "customer").select(
         "c_custkey",
         (standins.money("c_acctbal") - 500).cast(S.VALUE).alias("cur"),
-        F.when(F.col("c_custkey") % 10 == 0, F.lit(0)).otherwise(standins.money("c_acctbal") - 500).cast(S.VALUE).alias("base"),
+        F.when(key % 7 != 0, key % 10 - 4).cast(S.VALUE).alias("prev"),
     )
-    lagged = timeseries.with_previous(base, ["c_nationkey"], "c_custkey", {"prev": "base"})
     cur, prev = F.col("cur"), F.col("prev")
-    return lagged.select(
+    return pairs.select(
         "c_custkey",
         numeric.exact_difference(cur, prev, 10).alias("change"),
         numeric.simple_return(cur, prev).alias("simple_return"),
