@@ -3,7 +3,8 @@
 import pytest
 from check_oracles import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,10 +14,10 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
-    sql = oracle_sql().get(name)
+    df = QUERIES[name](spark, SF_DIR)
+    sql = ORACLES.get(name)
     assert sql is not None, "every query has an oracle"
     assert compare(df, duck, sql) is None
 
