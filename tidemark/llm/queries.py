@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_lines
+from tidemark.llm import (
+    best_fit,
+    chosen_path,
+    histogram_shards,
+    quality_lines,
+    secret_scan,
+    stream_dedup,
+    url_rules,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +28,64 @@ def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, representative and verdict of every document after the stateful stream."""
+    result = stream_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+    return result.select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("text_digest").alias("text_sha256")
+    )
+
+
+def op7_entropy_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and sliding-window entropy."""
+    result = secret_scan.scanned(_table(spark, sf_dir, "documents"))
+    base = F.col("base_spans")
+    return result.select(
+        "doc_id",
+        secret_scan.count_of(base, "assign").alias("n_assign"),
+        secret_scan.count_of(base, "access").alias("n_access"),
+        secret_scan.count_of(base, "hex").alias("n_hex"),
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document under Jaccard similarity of shingles."""
+    return chosen_path.joined(_table(spark, sf_dir, "documents"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    return best_fit.packed_pieces(_table(spark, sf_dir, "documents"))
+
+
+def op4_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes over the order of doc_id."""
+    docs = _table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return histogram_shards.sharded(rows).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_rarest_token_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 QUERIES = {
+    "op2_chosen_path_join": op2_chosen_path_join,
+    "op4_histogram_sort_shards": op4_histogram_sort_shards,
+    "op6_rarest_token_url_filter": op6_rarest_token_url_filter,
+    "op7_entropy_secret_scan": op7_entropy_secret_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_first_quality": op9_line_first_quality,
+    "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.quality_lines import PRODUCTION
+from tidemark.llm.secret_scan import PRODUCTION as SECRETS
 
 
 def _literals(values) -> str:
@@ -64,6 +65,120 @@ SELECT k AS doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars
        n_removed_lines::BIGINT AS n_removed_lines, kept_chars::BIGINT AS kept_chars
 FROM verdicts"""
 
+OP10 = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+numbered AS (
+  SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+         row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) AS place
+  FROM texts)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, sha256(t) AS text_sha256
+FROM numbered"""
+
+OP6 = """
+WITH split AS (
+  SELECT page_id, coalesce(contains(url, '://'), false) AS whole,
+         substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+parts AS (
+  SELECT page_id,
+         CASE WHEN whole THEN translate(regexp_extract(rest, '^[^/?#]*'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN whole THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM split),
+flags AS (
+  SELECT *, '.' || host AS h, host || path AS a FROM parts),
+decided AS (
+  SELECT *, CASE
+      WHEN h LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+      WHEN h LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+      WHEN h LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+      WHEN h LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+      WHEN h LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule,
+    CASE
+      WHEN regexp_matches(a, '(^|[.])(track|click)[.].*[/]redirect') THEN 'tracker'
+      WHEN regexp_matches(a, '/(?:phpsessid|jsessionid)[/=-]') THEN 'session'
+      WHEN regexp_matches(a, '(^|[./-])payday-loans?([./-]|$)') THEN 'payday-loans'
+      WHEN regexp_matches(a, '(^|[./-])online-casino([./-]|$)') THEN 'online-casino'
+      WHEN regexp_matches(a, '(^|[./-])free-downloads?([./-]|$)') THEN 'free-download'
+      WHEN regexp_matches(a, '(^|[.-])cheap-pills([.-]|/|$)') THEN 'cheap-pills'
+      WHEN regexp_matches(a, '(^|[./-])(xxx|porn|adult)[.-]') THEN 'adult' END AS spam
+  FROM flags)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN spam END AS pattern,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+            WHEN rule IS NOT NULL OR spam IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM decided"""
+
+
+def _secrets() -> str:
+    word = "|".join(
+        "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+        for w in ("password", "passwd", "secret", "token")
+    ) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+    value = "[A-Za-z0-9+/_.=-]+"
+    assign = rf"""(?:{word})["']?\x20*[:=]\x20*["']?({value})""".replace("'", "''")
+    kinds = {"assign": assign, "access": "(AKIA[A-Z0-9]+)", "hex": "([0-9a-f]+)"}
+    kinds["entropy"] = f"({SECRETS.candidate})"
+    least = {"assign": 6, "access": 20, "hex": 24, "entropy": SECRETS.window}
+    matches = " UNION ALL ".join(
+        f"""SELECT {n} AS kind, doc_id, unnest(regexp_extract_all(t, '([\\s\\S]*?)({p})', 1)) AS gap,
+        unnest(regexp_extract_all(t, '([\\s\\S]*?)({p})', 2)) AS hit,
+        unnest(regexp_extract_all(t, '([\\s\\S]*?)({p})', 3)) AS value,
+        unnest(range(len(regexp_extract_all(t, '([\\s\\S]*?)({p})', 1)))) AS i, {least[k]} AS least FROM texts"""
+        for n, (k, p) in enumerate(kinds.items())
+    )
+    allowed = " OR ".join(
+        [f"regexp_matches(value, '{p}')" for p in SECRETS.allowed_patterns]
+        + [f"contains(value, '{p}')" for p in SECRETS.allowed_parts]
+    )
+    w = SECRETS.window
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({matches}),
+placed AS (
+  SELECT kind, doc_id, value, least,
+         sum(length(gap) + length(hit)) OVER (PARTITION BY kind, doc_id ORDER BY i) AS stop, length(hit) AS n
+  FROM matches),
+spans AS (
+  SELECT kind, doc_id, value, stop - n AS start, stop FROM placed WHERE length(value) >= least),
+base AS (SELECT kind, doc_id, start, stop FROM spans WHERE kind < 3),
+candidates AS (
+  SELECT row_number() OVER () AS c, doc_id, start, value,
+    CASE WHEN regexp_matches(value, '^[0-9a-fA-F]+$') THEN {SECRETS.hex_bits}
+         WHEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') THEN {SECRETS.mixed_bits}
+         ELSE {SECRETS.letters_bits} END AS bits
+  FROM spans WHERE kind = 3 AND NOT ({allowed})),
+windows AS (
+  SELECT c, bits, s, unnest(string_split(substr(value, s + 1, {w}), '')) AS ch
+  FROM (SELECT *, unnest(range(length(value) - {w - 1})) AS s FROM candidates)),
+entropies AS (
+  SELECT c, s, any_value(bits) AS bits, log2({w}) - sum(n * log2(n)) / {w} AS h
+  FROM (SELECT c, s, any_value(bits) AS bits, count(*) AS n FROM windows GROUP BY c, s, ch) GROUP BY c, s),
+hot AS (SELECT c, min(s) AS first, max(s) AS last FROM entropies WHERE h >= bits GROUP BY c),
+added AS (
+  SELECT 3 AS kind, doc_id, start + first AS start, start + last + {w} AS stop
+  FROM hot JOIN candidates USING (c)),
+free AS (
+  SELECT * FROM added a WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = a.doc_id AND b.start < a.stop AND a.start < b.stop)),
+everything AS (SELECT kind, doc_id, start, stop FROM base UNION ALL SELECT * FROM free),
+listed AS (
+  SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS item
+  FROM everything),
+by_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+         count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(item, ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3) AS base,
+         string_agg(item, ',' ORDER BY start, kind, stop) AS spans
+  FROM listed GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN by_doc USING (doc_id)"""
+
+
+OP7 = _secrets()
+
 ORACLES = {
+    "op6_rarest_token_url_filter": OP6,
+    "op7_entropy_secret_scan": OP7,
     "op9_line_first_quality": OP9,
+    "op10_streaming_exact_dedup": OP10,
 }
