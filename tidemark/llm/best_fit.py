@@ -165,6 +165,10 @@ def plan(runs: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(steps, np.int64).reshape(-1, 5)
 
 
+def _extended(df: DataFrame, **fields: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields.items())])
+
+
 def packed_pieces(
     docs: DataFrame,
     rules: PackingRules = PRODUCTION,
@@ -177,7 +181,7 @@ def packed_pieces(
     and with ``with_ids`` the ids as little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
     table = stored(pieces(docs, rules, id_column, text_column, with_ids), "token-pieces")
-    schema = table.schema.add("part", T.IntegerType()).add("place", T.LongType())
+    schema = _extended(table, part=T.IntegerType(), place=T.LongType())
 
     def in_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Partition number, and place within the run in this partition."""
@@ -211,7 +215,7 @@ def packed_pieces(
     order = np.lexsort((steps[:, 1], steps[:, 0]))
     steps = steps[order]
     keys = (steps[:, 0] << 44) | steps[:, 1]
-    placed = ranked.schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
+    placed = _extended(ranked, sequence_id=T.LongType(), offset=T.LongType())
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -122,8 +122,9 @@ def _signer(rules: PathRules):
     @F.pandas_udf(schema)
     def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         rng = np.random.default_rng(rules.seed)
-        odd = rng.integers(0, 2**63, n_tokens, np.uint64) * np.uint64(2) + np.uint64(1)
-        shift = rng.integers(0, 2**63, n_tokens, np.uint64)
+        samples = max(n_tokens, rules.sketch_bits)
+        odd = rng.integers(0, 2**63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
+        shift = rng.integers(0, 2**63, samples, np.uint64)
         bit_odd = rng.integers(0, 2**63, rules.sketch_bits, np.uint64) * np.uint64(2) + np.uint64(1)
         shingles = Shingler(rules.words)
         for batch in texts:
@@ -133,13 +134,13 @@ def _signer(rules: PathRules):
                 if not len(s):
                     out.append((None, 0, None, 0, 0))
                     continue
-                low = np.full(n_tokens, np.iinfo(np.uint64).max, np.uint64)
+                low = np.full(samples, np.iinfo(np.uint64).max, np.uint64)
                 for part in np.array_split(s, len(s) // 2048 + 1):
                     # Multiplication alone keeps some order between sets; the shift before
                     # it makes the orders of the samples independent.
                     low = np.minimum(low, ((part[:, None] ^ shift) * odd).min(axis=0))
                 mixed = _mixed(low)
-                tokens = (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                tokens = (mixed[:n_tokens] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
                 # Sketch bits come from the same samples, each mixed with a constant.
                 bits = (_mixed(mixed[: rules.sketch_bits] ^ bit_odd) >> np.uint64(63)).astype(np.uint8)
                 sketch = np.packbits(bits).view(np.int64)

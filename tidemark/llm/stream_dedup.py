@@ -24,6 +24,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.shared import packed, text_or_empty, with_result, work_folder
 
@@ -103,7 +104,9 @@ def run_stream(spark: SparkSession, landed: DataFrame, folder: str, files_per_ba
             .start()
         )
         query.awaitTermination()
-    every = spark.read.schema(states.schema.add("batch", "long")).parquet(updates)
+    every = spark.read.schema(T.StructType([*states.schema.fields, T.StructField("batch", T.LongType())])).parquet(
+        updates
+    )
     if every.select("batch").distinct().count() <= 1:
         return every.drop("batch")
     return every.groupBy("digest").agg(
@@ -125,10 +128,8 @@ def deduplicated(
     any function of the text; results do not depend on its collisions.
     """
     spark = docs.sparkSession
-    schema = packed(docs).schema
     folder = land(docs, id_column, text_column, digest)
     landed = spark.read.parquet(folder)
-    assert landed.schema["row"].dataType.fieldNames() == schema["row"].dataType.fieldNames()
     states = run_stream(spark, landed, folder, files_per_batch)
 
     hits_path = work_folder(spark, "digest-hits")
