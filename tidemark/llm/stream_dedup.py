@@ -34,6 +34,16 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Many small stores would each reserve megabytes of disk ahead of use.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+# A Bloom filter of the hit digests runs over the landed rows before the exchange, so only
+# rows of hits are moved for the check of their bytes.
+HIT_SETTINGS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
 }
 
 
@@ -139,7 +149,7 @@ def deduplicated(
     text = text_or_empty(F.col("row").getField(text_column))
     contents = (
         landed.select("id", "digest", "seq", text.alias("content"))
-        .join(hits.select("digest", "locator"), "digest")
+        .join(hits.where("arrivals > 1").select("digest", "locator").hint("shuffle_hash"), "digest")
         .groupBy("digest", "content")
         .agg(
             F.max(F.col("seq") == F.col("locator")).alias("is_reference"),
@@ -148,12 +158,15 @@ def deduplicated(
         )
     )
     checked_path = work_folder(spark, "checked-hits")
-    contents.withColumn("text_key", F.sha2("content", 512)).drop("content").write.parquet(checked_path)
+    with _settings(spark, HIT_SETTINGS):
+        contents.withColumn("text_key", F.sha2("content", 512)).drop("content").write.parquet(checked_path)
     checked = spark.read.parquet(checked_path)
     differing = checked.where("NOT is_reference").select("digest").distinct()
 
+    # Rows without hits stay in the join, so it moves all rows once; hashing the few hits
+    # spares sorting them.
     joined = landed.join(
-        hits.select("digest", F.struct("best", "arrivals").alias("state")), "digest", "left"
+        hits.select("digest", F.struct("best", "arrivals").alias("state")).hint("shuffle_hash"), "digest", "left"
     )
     if not differing.isEmpty():
         # Texts that differ from the content their digest was registered with: the group by
