@@ -9,6 +9,7 @@ from tidemark.llm import (
     best_fit,
     chosen_path,
     histogram_shards,
+    piece_agenda,
     quality_lines,
     secret_scan,
     stream_dedup,
@@ -80,9 +81,22 @@ def op6_rarest_token_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op5_piece_agenda_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    coded = piece_agenda.coded(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 QUERIES = {
     "op2_chosen_path_join": op2_chosen_path_join,
     "op4_histogram_sort_shards": op4_histogram_sort_shards,
+    "op5_piece_agenda_codec": op5_piece_agenda_codec,
     "op6_rarest_token_url_filter": op6_rarest_token_url_filter,
     "op7_entropy_secret_scan": op7_entropy_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
