@@ -13,6 +13,7 @@ from tidemark.llm import (
     quality_lines,
     secret_scan,
     stream_dedup,
+    surrogates,
     url_rules,
 )
 
@@ -93,7 +94,14 @@ def op5_piece_agenda_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs).select("doc_id", "text", "n_entities")
+
+
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_chosen_path_join": op2_chosen_path_join,
     "op4_histogram_sort_shards": op4_histogram_sort_shards,
     "op5_piece_agenda_codec": op5_piece_agenda_codec,
