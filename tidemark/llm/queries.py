@@ -9,6 +9,7 @@ from tidemark.llm import (
     best_fit,
     chosen_path,
     histogram_shards,
+    language_fusion,
     piece_agenda,
     quality_lines,
     secret_scan,
@@ -100,9 +101,30 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replaced(docs).select("doc_id", "text", "n_entities")
 
 
+def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (by text and source) and every page (by all evidence)."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    model = language_fusion.fitted(docs, language_fusion.PRODUCTION, "text", "lang")
+    nothing = F.lit(None).cast("string")
+    number = F.lit(None).cast("bigint")
+    records = docs.select(
+        "doc_id", number.alias("page_id"), "text", nothing.alias("declared"), F.col("source").alias("host")
+    ).unionByName(
+        pages.select(
+            number.alias("doc_id"),
+            "page_id",
+            language_fusion.visible_text(F.col("html")).alias("text"),
+            language_fusion.declared_language(F.col("html")).alias("declared"),
+            language_fusion.host_of(F.col("url")).alias("host"),
+        )
+    )
+    return language_fusion.identified(records, model, keys=("doc_id", "page_id"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_chosen_path_join": op2_chosen_path_join,
+    "op3_language_fusion": op3_language_fusion,
     "op4_histogram_sort_shards": op4_histogram_sort_shards,
     "op5_piece_agenda_codec": op5_piece_agenda_codec,
     "op6_rarest_token_url_filter": op6_rarest_token_url_filter,
