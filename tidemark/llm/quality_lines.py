@@ -118,10 +118,8 @@ def _good_lines(rules: LineRules, rare: bool) -> Column:
     return F.transform(kept, lambda x: x["line"])
 
 
-def judged(docs: DataFrame, rules: LineRules = PRODUCTION, *, text: str = "text") -> DataFrame:
-    """All columns of the documents plus the measures, the cleaned text and the verdict:
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    n_removed_lines, kept_chars and cleaned."""
+def _measured(docs: DataFrame, rules: LineRules, text: str) -> DataFrame:
+    """row, t, lines and all measures and verdicts."""
     base = packed(docs).withColumn("t", text_or_empty(F.col("row").getField(text)))
     base = base.withColumns({"words": words_of(F.col("t")), "lines": F.split("t", "\n")})
     base = base.withColumns(
@@ -189,16 +187,36 @@ def judged(docs: DataFrame, rules: LineRules = PRODUCTION, *, text: str = "text"
         F.col("repeat") * 100 > F.col("n") * rules.max_repeat_percent
     )
     loses = (F.col("chars") - F.col("left")) * 100 > F.col("chars") * rules.max_lost_percent
+    return base.withColumns({"failed": failed, "kept": ~failed & ~loses})
+
+
+def judged(docs: DataFrame, rules: LineRules = PRODUCTION, *, text: str = "text") -> DataFrame:
+    """All columns of the documents plus the measures, the cleaned text and the verdict:
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
+    n_removed_lines, kept_chars and cleaned."""
     return with_result(
-        base,
+        _measured(docs, rules, text),
         n_words=F.col("n").cast("long"),
         word_chars=F.col("chars"),
         n_symbols=symbol_count(F.col("t")),
         n_dup_lines=(F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long"),
         n_repeat_words=F.col("repeat").cast("long"),
-        base_failed=failed,
-        kept=~failed & ~loses,
+        base_failed=F.col("failed"),
+        kept=F.col("kept"),
         n_removed_lines=(F.size("lines") - F.size("good_lines")).cast("long"),
         kept_chars=F.col("left"),
         cleaned=F.col("clean"),
     )
+
+
+def cleaned_documents(
+    docs: DataFrame, rules: LineRules = PRODUCTION, *, text: str = "text", length: str = "n_chars"
+) -> DataFrame:
+    """The documents that stay, with their cleaned text, and its length if there is a column
+    for it."""
+    # The row number keeps the optimizer from moving the filter below the measures, where it
+    # would work them out a second time.
+    df = _measured(docs, rules, text).withColumn("number", F.monotonically_increasing_id())
+    df = df.where(F.col("kept") & (F.col("number") >= 0))
+    new = {text: F.col("clean"), length: F.length("clean").cast("long")}
+    return unpacked(df, **{c: v for c, v in new.items() if c in docs.columns})

@@ -259,9 +259,15 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def redacted(
-    docs: DataFrame, rules: EntropyRules = PRODUCTION, *, text: str = "text", mark: str = "[SECRET]"
+    docs: DataFrame,
+    rules: EntropyRules = PRODUCTION,
+    *,
+    text: str = "text",
+    length: str = "n_chars",
+    mark: str = "[SECRET]",
 ) -> DataFrame:
-    """The documents with every span of their text replaced; touching spans share one mark."""
+    """The documents with every span of their text replaced, and the new length if there is a
+    column for it; overlapping spans share one mark."""
     df = _with_spans(docs, rules, text)
     start = F.struct(F.lit(0).alias("position"), F.lit("").alias("out"))
 
@@ -280,5 +286,8 @@ def redacted(
         add,
         lambda acc: F.concat(acc["out"], F.substring(F.col("t"), acc["position"] + 1, F.length("t"))),
     )
-    value = F.col("row").getField(text)
-    return unpacked(df, **{text: F.when(F.size("spans") > 0, cleaned).otherwise(value)})
+    df = df.withColumn("cleaned", F.when(F.size("spans") > 0, cleaned))
+    new = {text: F.col("cleaned"), length: F.length("cleaned").cast("long")}
+    return unpacked(
+        df, **{c: F.coalesce(v, F.col("row").getField(c)) for c, v in new.items() if c in docs.columns}
+    )

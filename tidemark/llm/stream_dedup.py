@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.shared import packed, text_or_empty, with_result, work_folder
+from tidemark.llm.shared import packed, text_or_empty, unpacked, with_result, work_folder
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -124,19 +124,14 @@ def run_stream(spark: SparkSession, landed: DataFrame, folder: str, files_per_ba
     ).select("digest", "s.*")
 
 
-def deduplicated(
+def _decided(
     docs: DataFrame,
-    *,
     id_column: str = "doc_id",
     text_column: str = "text",
     digest: Callable[[Column], Column] = sha256,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """All rows and columns of the documents with keep_id, group_size, kept, text_digest.
-
-    The row with the largest identifier of a group of equal texts stays.  ``digest`` may be
-    any function of the text; results do not depend on its collisions.
-    """
+    """Landed rows with the state of their group; null for rows that are alone."""
     spark = docs.sparkSession
     folder = land(docs, id_column, text_column, digest)
     landed = spark.read.parquet(folder)
@@ -181,11 +176,29 @@ def deduplicated(
             .join(by_text, ["digest", "text_key"], "left")
             .withColumn("state", F.coalesce("by_text", "state"))
         )
-    alone = F.col("state").isNull()
+    return joined
+
+
+def _stays() -> Column:
+    return F.col("state").isNull() | (F.col("state.best.minus_seq") == -F.col("seq"))
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """All rows and columns of the documents with keep_id, group_size, kept, text_digest.
+
+    The row with the largest identifier of a group of equal texts stays.  Options are
+    ``id_column``, ``text_column``, ``files_per_batch`` and ``digest``, which may be any
+    function of the text; results do not depend on its collisions.
+    """
     return with_result(
-        joined,
-        keep_id=F.when(alone, F.col("id")).otherwise(F.col("state.best.id")),
+        _decided(docs, **options),
+        keep_id=F.when(F.col("state").isNull(), F.col("id")).otherwise(F.col("state.best.id")),
         group_size=F.coalesce(F.col("state.arrivals"), F.lit(1)).cast("long"),
-        kept=alone | (F.col("state.best.minus_seq") == -F.col("seq")),
+        kept=_stays(),
         text_digest=F.lower(F.hex("digest")),
     )
+
+
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """The input without all but the kept row of each group."""
+    return unpacked(_decided(docs, **options).where(_stays()))
