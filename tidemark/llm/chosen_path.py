@@ -191,7 +191,8 @@ def _pairs(group: np.ndarray, side: np.ndarray, run: np.ndarray, s0, s1, leaves:
 
     ``group`` is sorted, so partners lie at growing distances; all groups advance together.
     """
-    count = np.bitwise_count
+    # bitwise_count() takes absolute values of signed numbers.
+    s0, s1 = s0.view(np.uint64), s1.view(np.uint64)
     found = []
     for lag in range(1, len(group)):
         same = group[:-lag] == group[lag:]
@@ -200,7 +201,8 @@ def _pairs(group: np.ndarray, side: np.ndarray, run: np.ndarray, s0, s1, leaves:
         i = np.flatnonzero(same)
         j = i + lag
         i, j = (k[(side[i] < 0) | (side[i] != side[j])] for k in (i, j))
-        near = count(s0[i] ^ s0[j]).astype(np.int64) + count(s1[i] ^ s1[j]) <= most
+        differing = np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j])
+        near = differing <= most
         i, j = i[near], j[near]
         if len(i):
             before = np.arange(leaves.shape[1])[None, :] < run[i][:, None]
