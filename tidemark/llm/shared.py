@@ -45,11 +45,20 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(_quoted(c)) for c in df.columns]).alias("row"))
 
 
+def _settled(df: DataFrame, results: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
+    """Results under names of their own, worked out before any input column gets its name
+    back; otherwise an input column could take the place of a working column."""
+    numbered = {name: f"result_{k}" for k, name in enumerate(results)}
+    df = df.select("row", *[value.alias(numbered[name]) for name, value in results.items()])
+    return df, {name: F.col(numbered[name]) for name in results}
+
+
 def unpacked(df: DataFrame, **replaced: Column) -> DataFrame:
     """The columns of ``row``, some with new values."""
     names = df.schema["row"].dataType.fieldNames()
+    df, replaced = _settled(df, replaced)
     return df.select(
-        *[replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in names]
+        *[(replaced[c] if c in replaced else F.col("row").getField(c)).alias(c) for c in names]
     )
 
 
@@ -60,6 +69,7 @@ def _quoted(name: str) -> str:
 def with_result(df: DataFrame, **results: Column) -> DataFrame:
     """Input columns and result columns; a result replaces an input column of its name."""
     names = [c for c in df.schema["row"].dataType.fieldNames() if c not in results]
+    df, results = _settled(df, results)
     return df.select(
         *[F.col("row").getField(c).alias(c) for c in names],
         *[value.alias(name) for name, value in results.items()],
