@@ -69,41 +69,41 @@ def v(field, to):
 
 
 PRICE_REJECTIONS = [
-    ("{bad", "payload must be a strict JSON object"),
-    ('{"meta": NaN}', "payload must be a strict JSON object"),
-    ("[1]", "payload must be a strict JSON object"),
-    (json.dumps(PRICES) + "}", "payload must be a strict JSON object"),
-    (json.dumps(PRICES) + "]", "payload must be a strict JSON object"),
-    (json.dumps(PRICES) + ",0", "payload must be a strict JSON object"),
+    ("{bad", "not exactly one strict JSON object"),
+    ('{"meta": NaN}', "not exactly one strict JSON object"),
+    ("[1]", "not exactly one strict JSON object"),
+    (json.dumps(PRICES) + "}", "not exactly one strict JSON object"),
+    (json.dumps(PRICES) + "]", "not exactly one strict JSON object"),
+    (json.dumps(PRICES) + ",0", "not exactly one strict JSON object"),
     (json.dumps(PRICES) + " \n", None),
-    (edited(PRICES, "meta", to=5), "meta must be an object"),
-    (edited(PRICES, "meta", "symbol", to="  "), "meta.symbol must not be blank"),
-    (edited(PRICES, "meta", "symbol", to="MSFT"), "provider symbol does not match expected symbol"),
-    (edited(PRICES, "meta", "interval", to="1week"), "meta.interval must be 1day"),
-    (edited(PRICES, "values", drop=True), "values must be a list"),
-    (edited(PRICES, "values", to={}), "values must be a list"),
-    (edited(PRICES, "values", 0, to=3), "each values item must be an object"),
-    (v("datetime", "2024-1-5"), "datetime must use YYYY-MM-DD format"),
-    (v("datetime", 20240105), "datetime must use YYYY-MM-DD format"),
-    (v("datetime", "2024-02-30"), "datetime is not a valid date"),
-    (v("datetime", "2024-12-31"), "duplicate trading date in payload"),
-    (v("open", " "), "open must be a non-blank decimal string"),
-    (v("open", 100), "open must be a non-blank decimal string"),
-    (v("close", "abc"), "close is not a finite decimal"),
-    (v("close", "NaN"), "close is not a finite decimal"),
-    (v("high", "98"), "high must be greater than or equal to low"),
-    (v("open", "103"), "high must be greater than or equal to open"),
-    (v("close", "103"), "high must be greater than or equal to close"),
-    (v("open", "98.5"), "low must be less than or equal to open"),
-    (v("close", "98.5"), "low must be less than or equal to close"),
-    (v("volume", True), "volume must be an integer"),
-    (v("volume", 1.5), "volume must be an integer"),
-    (v("volume", "x"), "volume must be an integer"),
-    (v("volume", "-4"), "volume must not be negative"),
-    (v("volume", -4), "volume must not be negative"),
-    (v("low", "98.0000000000000000001"), "prices do not fit the stored decimal type"),
+    (edited(PRICES, "meta", to=5), "meta has to be an object"),
+    (edited(PRICES, "meta", "symbol", to="  "), "meta.symbol is blank"),
+    (edited(PRICES, "meta", "symbol", to="MSFT"), "symbol is not the one asked for"),
+    (edited(PRICES, "meta", "interval", to="1week"), "meta.interval differs from 1day"),
+    (edited(PRICES, "values", drop=True), "values has to be a list"),
+    (edited(PRICES, "values", to={}), "values has to be a list"),
+    (edited(PRICES, "values", 0, to=3), "entry of values has to be an object"),
+    (v("datetime", "2024-1-5"), "datetime is not written year-month-day"),
+    (v("datetime", 20240105), "datetime is not written year-month-day"),
+    (v("datetime", "2024-02-30"), "datetime is no calendar date"),
+    (v("datetime", "2024-12-31"), "trading date comes twice"),
+    (v("open", " "), "open has to be text with a number"),
+    (v("open", 100), "open has to be text with a number"),
+    (v("close", "abc"), "close is no finite decimal"),
+    (v("close", "NaN"), "close is no finite decimal"),
+    (v("high", "98"), "high lies below low"),
+    (v("open", "103"), "high lies below open"),
+    (v("close", "103"), "high lies below close"),
+    (v("open", "98.5"), "low lies above open"),
+    (v("close", "98.5"), "low lies above close"),
+    (v("volume", True), "volume is no whole number"),
+    (v("volume", 1.5), "volume is no whole number"),
+    (v("volume", "x"), "volume is no whole number"),
+    (v("volume", "-4"), "volume is negative"),
+    (v("volume", -4), "volume is negative"),
+    (v("low", "98.0000000000000000001"), "prices have more digits than are stored"),
     # The duplicate at position 1 comes before the bad price at the same position.
-    (edited(v("datetime", "2024-12-31"), "values", 1, "open", to="x"), "duplicate trading date in payload"),
+    (edited(v("datetime", "2024-12-31"), "values", 1, "open", to="x"), "trading date comes twice"),
     (v("volume", 12), None),
     (v("volume", " 12 "), None),
     (edited(PRICES, "extra", to=[1]), None),
@@ -116,7 +116,7 @@ def test_price_rejections(spark):
 
 
 def test_blank_expected_symbol(spark):
-    assert reasons(spark, P.parse_prices, S.PRICES, [(" ", PRICES)]) == ["expected symbol must not be blank"]
+    assert reasons(spark, P.parse_prices, S.PRICES, [(" ", PRICES)]) == ["symbol asked for is blank"]
 
 
 FILINGS = {
@@ -164,32 +164,32 @@ def f(field, index, to):
 
 
 FILING_REJECTIONS = [
-    ("null", "payload must be a strict JSON object"),
+    ("null", "not exactly one strict JSON object"),
     (edited(FILINGS, "cik", to="x1"), "payload.cik is invalid"),
     (edited(FILINGS, "cik", to=True), "payload.cik is invalid"),
-    (edited(FILINGS, "cik", to=789019), "payload CIK does not match expected CIK"),
+    (edited(FILINGS, "cik", to=789019), "registrant is not the one asked for"),
     (edited(FILINGS, "cik", to=320193), None),
-    (edited(FILINGS, "name", to=""), "name must not be blank"),
-    (edited(FILINGS, "filings", to=[]), "filings must be an object"),
-    (edited(FILINGS, "filings", "recent", to=[]), "filings.recent must be an object"),
-    (edited(FILINGS, "filings", "recent", "items", drop=True), "filings.recent.items must be a list"),
-    (edited(FILINGS, "filings", "recent", "items", to=["a"]), "filings.recent arrays must have equal lengths"),
-    (f("accessionNumber", 0, "320193-25-1"), "accessionNumber must use XXXXXXXXXX-YY-ZZZZZZ format"),
-    (f("accessionNumber", 1, "0000320193-25-000001"), "duplicate accessionNumber in filings.recent"),
-    (f("filingDate", 0, "2025-13-01"), "filingDate must be a valid YYYY-MM-DD date"),
-    (f("reportDate", 0, "x"), "reportDate must be empty or a valid YYYY-MM-DD date"),
-    (f("reportDate", 0, None), "reportDate must be empty or a valid YYYY-MM-DD date"),
-    (f("acceptanceDateTime", 0, 5), "acceptanceDateTime must be a string"),
-    (f("acceptanceDateTime", 0, "2025-02-01T16:30:00"), "acceptanceDateTime must include a timezone"),
-    (f("acceptanceDateTime", 0, "2025-02-31T16:30:00Z"), "acceptanceDateTime is not a valid ISO-8601 timestamp"),
+    (edited(FILINGS, "name", to=""), "name is blank"),
+    (edited(FILINGS, "filings", to=[]), "filings has to be an object"),
+    (edited(FILINGS, "filings", "recent", to=[]), "filings.recent has to be an object"),
+    (edited(FILINGS, "filings", "recent", "items", drop=True), "filings.recent.items has to be a list"),
+    (edited(FILINGS, "filings", "recent", "items", to=["a"]), "filings.recent has lists of different lengths"),
+    (f("accessionNumber", 0, "320193-25-1"), "accessionNumber is no accession number"),
+    (f("accessionNumber", 1, "0000320193-25-000001"), "accessionNumber comes twice"),
+    (f("filingDate", 0, "2025-13-01"), "filingDate is no calendar date"),
+    (f("reportDate", 0, "x"), "reportDate is neither empty nor a calendar date"),
+    (f("reportDate", 0, None), "reportDate is neither empty nor a calendar date"),
+    (f("acceptanceDateTime", 0, 5), "acceptanceDateTime has to be text"),
+    (f("acceptanceDateTime", 0, "2025-02-01T16:30:00"), "acceptanceDateTime lacks an offset"),
+    (f("acceptanceDateTime", 0, "2025-02-31T16:30:00Z"), "acceptanceDateTime is no instant"),
     (f("acceptanceDateTime", 0, " "), None),
-    (f("form", 0, " "), "form must not be blank"),
-    (f("act", 0, None), "act must be a string"),
-    (f("size", 0, -1), "size must be a non-negative integer"),
-    (f("size", 0, True), "size must be a non-negative integer"),
-    (f("isXBRL", 0, 2), "isXBRL must be 0 or 1"),
-    (f("isInlineXBRL", 0, False), "isInlineXBRL must be 0 or 1"),
-    (f("primaryDocument", 0, 3), "primaryDocument must be a string"),
+    (f("form", 0, " "), "form is blank"),
+    (f("act", 0, None), "act has to be text"),
+    (f("size", 0, -1), "size has to be a whole number, zero or more"),
+    (f("size", 0, True), "size has to be a whole number, zero or more"),
+    (f("isXBRL", 0, 2), "isXBRL is neither 0 nor 1"),
+    (f("isInlineXBRL", 0, False), "isInlineXBRL is neither 0 nor 1"),
+    (f("primaryDocument", 0, 3), "primaryDocument has to be text"),
 ]
 
 
@@ -244,38 +244,38 @@ def test_company_facts_rows_keep_provider_order(spark):
 
 
 FACT_REJECTIONS = [
-    ("[{}]", "payload must be a strict JSON object"),
-    (json.dumps(facts()) + "}", "payload must be a strict JSON object"),
-    (json.dumps(facts()) + "]", "payload must be a strict JSON object"),
-    (json.dumps(facts()) + ",{}", "payload must be a strict JSON object"),
+    ("[{}]", "not exactly one strict JSON object"),
+    (json.dumps(facts()) + "}", "not exactly one strict JSON object"),
+    (json.dumps(facts()) + "]", "not exactly one strict JSON object"),
+    (json.dumps(facts()) + ",{}", "not exactly one strict JSON object"),
     ("\n" + json.dumps(facts(fact())) + "\n", None),
-    ('{"cik": NaN}', "payload must be a strict JSON object"),
-    (facts() | {"cik": 5}, "payload CIK does not match expected CIK"),
-    (facts() | {"entityName": " "}, "entityName must not be blank"),
-    (facts() | {"facts": []}, "facts must be an object of taxonomies, concepts and units"),
-    (facts() | {"facts": {" ": {}}}, "taxonomy must not be blank"),
-    (facts() | {"facts": {"t": {"": {"label": "x", "description": "", "units": {}}}}}, "concept must not be blank"),
-    (facts() | {"facts": {"t": 4}}, "facts must be an object of taxonomies, concepts and units"),
-    (facts(label="drop"), "label must be a string or null"),
-    (facts(label=4), "label must be a string or null"),
-    (facts(description="drop"), "description must be a string or null"),
-    (facts(units="drop"), "units must be an object"),
-    (facts(units={" ": []}), "unit must not be blank"),
-    (facts(4), "fact occurrence must be an object"),
-    (facts(fact(start=None)), "start must be a valid YYYY-MM-DD date"),
-    (facts(fact(end="2024-12-32")), "end must be a valid YYYY-MM-DD date"),
-    (facts(fact(start="2025-01-01")), "start must not be after end"),
-    (facts(fact(form="")), "form must not be blank"),
-    (facts(fact(val="12")), "val must be a finite JSON number"),
-    (facts(fact(val=True)), "val must be a finite JSON number"),
-    (facts(fact(val=None)), "val must be a finite JSON number"),
-    (facts(fact(accn="1-2-3")), "accn must use XXXXXXXXXX-YY-ZZZZZZ format"),
-    (facts(fact(fy=0)), "fy must be a positive integer"),
-    (facts(fact(fy="2024")), "fy must be a positive integer"),
-    (facts(fact(fp=4)), "fp must be a string"),
-    (facts(fact(filed="")), "filed must be a valid YYYY-MM-DD date"),
-    (facts(fact(frame=1)), "frame must be a string"),
-    (facts(fact(), fact(fp=4), fact(form="")), "fp must be a string"),
+    ('{"cik": NaN}', "not exactly one strict JSON object"),
+    (facts() | {"cik": 5}, "registrant is not the one asked for"),
+    (facts() | {"entityName": " "}, "entityName is blank"),
+    (facts() | {"facts": []}, "facts is not nested by taxonomy, concept and unit"),
+    (facts() | {"facts": {" ": {}}}, "taxonomy is blank"),
+    (facts() | {"facts": {"t": {"": {"label": "x", "description": "", "units": {}}}}}, "concept is blank"),
+    (facts() | {"facts": {"t": 4}}, "facts is not nested by taxonomy, concept and unit"),
+    (facts(label="drop"), "label has to be text or null"),
+    (facts(label=4), "label has to be text or null"),
+    (facts(description="drop"), "description has to be text or null"),
+    (facts(units="drop"), "units has to be an object"),
+    (facts(units={" ": []}), "unit is blank"),
+    (facts(4), "fact occurrence has to be an object"),
+    (facts(fact(start=None)), "start is no calendar date"),
+    (facts(fact(end="2024-12-32")), "end is no calendar date"),
+    (facts(fact(start="2025-01-01")), "start lies after end"),
+    (facts(fact(form="")), "form is blank"),
+    (facts(fact(val="12")), "val is no finite number"),
+    (facts(fact(val=True)), "val is no finite number"),
+    (facts(fact(val=None)), "val is no finite number"),
+    (facts(fact(accn="1-2-3")), "accn is no accession number"),
+    (facts(fact(fy=0)), "fy has to be a whole number above zero"),
+    (facts(fact(fy="2024")), "fy has to be a whole number above zero"),
+    (facts(fact(fp=4)), "fp has to be text"),
+    (facts(fact(filed="")), "filed is no calendar date"),
+    (facts(fact(frame=1)), "frame has to be text"),
+    (facts(fact(), fact(fp=4), fact(form="")), "fp has to be text"),
     (facts(fact(fy="drop", fp="drop", frame="drop", start="drop")), None),
     (facts(fact(), fact()), None),
 ]
@@ -312,20 +312,20 @@ def s(field, to):
 
 
 SERIES_REJECTIONS = [
-    (edited(SERIES, "seriess", to=3), "seriess must be a list"),
-    (edited(SERIES, "seriess", to=[]), "seriess must contain exactly one series"),
-    (edited(SERIES, "seriess", to=[1]), "series item must be an object"),
-    (s("id", ""), "id must be a non-blank string"),
-    (s("id", "GDP"), "provider series ID does not match the expected one"),
-    (s("realtime_start", "2025-1-1"), "realtime_start must be a valid YYYY-MM-DD date"),
-    (s("realtime_end", "2024-01-01"), "realtime_start must not be after realtime_end"),
-    (s("observation_end", "1950-01-01"), "observation_start must not be after observation_end"),
-    (s("units", " "), "units must be a non-blank string"),
-    (s("last_updated", "2025-01-02 15:17:01"), "last_updated must include a timezone"),
-    (s("last_updated", "yesterdayZ"), "last_updated is not a valid ISO-8601 timestamp"),
-    (s("popularity", "80"), "popularity must be a non-negative integer"),
-    (s("popularity", -1), "popularity must be a non-negative integer"),
-    (s("notes", 4), "notes must be a string or null"),
+    (edited(SERIES, "seriess", to=3), "seriess has to be a list"),
+    (edited(SERIES, "seriess", to=[]), "seriess holds none or several series"),
+    (edited(SERIES, "seriess", to=[1]), "series item has to be an object"),
+    (s("id", ""), "id has to be text that is not blank"),
+    (s("id", "GDP"), "series is not the one asked for"),
+    (s("realtime_start", "2025-1-1"), "realtime_start is no calendar date"),
+    (s("realtime_end", "2024-01-01"), "realtime_start lies after realtime_end"),
+    (s("observation_end", "1950-01-01"), "observation_start lies after observation_end"),
+    (s("units", " "), "units has to be text that is not blank"),
+    (s("last_updated", "2025-01-02 15:17:01"), "last_updated lacks an offset"),
+    (s("last_updated", "yesterdayZ"), "last_updated is no instant"),
+    (s("popularity", "80"), "popularity has to be a whole number, zero or more"),
+    (s("popularity", -1), "popularity has to be a whole number, zero or more"),
+    (s("notes", 4), "notes has to be text or null"),
     (s("notes", None), None),
 ]
 
@@ -352,19 +352,19 @@ def test_observation_rows(spark):
 
 
 OBSERVATION_REJECTIONS = [
-    ({"observations": {}}, "observations must be a list"),
-    ({"observations": [3]}, "observation item must be an object"),
-    ({"observations": [obs(start="2025-02-30")]}, "realtime_start must be a valid YYYY-MM-DD date"),
-    ({"observations": [obs(end="")]}, "realtime_end must be a valid YYYY-MM-DD date"),
-    ({"observations": [obs(end="2024-01-01")]}, "realtime_start must not be after realtime_end"),
-    ({"observations": [obs(day=None)]}, "date must be a valid YYYY-MM-DD date"),
-    ({"observations": [obs(value=4.5)]}, "value must be a string"),
-    ({"observations": [obs(value=" ")]}, "value must not be blank"),
-    ({"observations": [obs(value="n/a")]}, "value must be a finite decimal string"),
-    ({"observations": [obs(value="Infinity")]}, "value must be a finite decimal string"),
-    ({"observations": [obs(), obs("2024-12-02"), obs(value="5")]}, "duplicate observation occurrence"),
-    ({"observations": [obs(), obs(), obs(value="x")]}, "duplicate observation occurrence"),
-    ({"observations": [obs(), obs(value="x"), obs("2024-12-02")]}, "value must be a finite decimal string"),
+    ({"observations": {}}, "observations has to be a list"),
+    ({"observations": [3]}, "observation item has to be an object"),
+    ({"observations": [obs(start="2025-02-30")]}, "realtime_start is no calendar date"),
+    ({"observations": [obs(end="")]}, "realtime_end is no calendar date"),
+    ({"observations": [obs(end="2024-01-01")]}, "realtime_start lies after realtime_end"),
+    ({"observations": [obs(day=None)]}, "date is no calendar date"),
+    ({"observations": [obs(value=4.5)]}, "value has to be text"),
+    ({"observations": [obs(value=" ")]}, "value is blank"),
+    ({"observations": [obs(value="n/a")]}, "value is no finite decimal"),
+    ({"observations": [obs(value="Infinity")]}, "value is no finite decimal"),
+    ({"observations": [obs(), obs("2024-12-02"), obs(value="5")]}, "observation comes twice"),
+    ({"observations": [obs(), obs(), obs(value="x")]}, "observation comes twice"),
+    ({"observations": [obs(), obs(value="x"), obs("2024-12-02")]}, "value is no finite decimal"),
 ]
 
 
@@ -377,7 +377,7 @@ def test_observation_rejections(spark):
 def test_quarantine_and_dispatch(spark):
     landing = land(spark, S.PRICES, [("AAPL", PRICES), ("AAPL", "{")])
     verdicts = P.parse(landing, "market_daily_prices")
-    assert [(r.entity, r.reason) for r in P.quarantined(verdicts).collect()] == [("AAPL", "payload must be a strict JSON object")]
+    assert [(r.entity, r.reason) for r in P.quarantined(verdicts).collect()] == [("AAPL", "not exactly one strict JSON object")]
     assert P.accepted_rows(verdicts, S.CONTRACTS["market_daily_prices"]).count() == 2
     assert P.parse(landing, "sec_submissions").count() == 0
 

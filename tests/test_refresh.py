@@ -92,10 +92,11 @@ def test_stored_and_published(spark, done):
 
 def test_exact_replay_adds_nothing(spark, tmp_path):
     landing = X.full_landing(spark)
-    new, quarantine = refresh.load(spark, landing, str(tmp_path))
-    assert (new.count(), quarantine.count()) == (5, 0)
-    again, _ = refresh.load(spark, landing, str(tmp_path))
-    assert again.count() == 0
+    first = refresh.load(spark, landing, str(tmp_path))
+    assert (first.registered.count(), first.quarantine.count()) == (5, 0)
+    again = refresh.load(spark, landing, str(tmp_path))
+    assert again.registered.count() == 0
+    assert outcomes(again) == {(d, "replayed", None) for _, d in S.DATASETS}
     tables = typed.read_source_tables(spark, str(tmp_path))
     assert {n: t.count() for n, t in tables.items()} == {
         "ingestion_runs": 5, "market_daily_prices": 2, "sec_submissions": 1, "sec_company_facts": 3,
@@ -105,30 +106,67 @@ def test_exact_replay_adds_nothing(spark, tmp_path):
         assert tables[contract.name].schema.names == contract.schema.names
 
 
-def test_altered_replay_is_refused(spark, tmp_path):
+def outcomes(result):
+    return {(r.dataset, r.disposition, r.reason) for r in result.dispositions.collect()}
+
+
+def test_altered_replay_is_refused_and_others_load(spark, tmp_path):
     refresh.load(spark, X.full_landing(spark), str(tmp_path))
-    changed = X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, X.prices(values=[X.price("2024-12-31", "1", "1", "1", "1", "1")]))])
-    with pytest.raises(refresh.LoadRefused, match="not an exact replay"):
-        refresh.load(spark, changed, str(tmp_path), tables=["market_daily_prices"])
+    changed = X.landing(spark, [
+        (S.PRICES, "AAPL", X.RUN_1, X.prices(values=[X.price("2024-12-31", "1", "1", "1", "1", "1")])),
+        (S.PRICES, "MSFT", X.RUN_2, X.prices("MSFT")),
+    ])
+    result = refresh.load(spark, changed, str(tmp_path), tables=["market_daily_prices"])
+    assert {(r.entity, r.disposition, r.reason) for r in result.dispositions.collect()} == {
+        ("AAPL", "refused", "differs from the registered run in record_count, source_row_count"),
+        ("MSFT", "loaded", None),
+    }
+    assert [r.run_id for r in result.registered.collect()] == [r.run_id for r in changed.where("entity = 'MSFT'").collect()]
 
 
-def test_incomplete_pair_is_refused(spark, tmp_path):
-    lonely = X.landing(spark, [(S.SUBMISSIONS, "0000320193", X.RUN_1, X.submissions())])
-    with pytest.raises(refresh.LoadRefused, match="do not share a run"):
-        refresh.load(spark, lonely, str(tmp_path))
+def test_half_a_pair_waits_for_the_other(spark, tmp_path):
+    first = refresh.load(spark, X.landing(spark, [(S.SUBMISSIONS, "0000320193", X.RUN_1, X.submissions())]), str(tmp_path))
+    assert outcomes(first) == {("submissions", "waiting", "the other half has not arrived")}
+    again = refresh.load(spark, X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, X.prices())]), str(tmp_path))
+    assert outcomes(again) == {
+        ("submissions", "waiting", "the other half has not arrived"), ("daily_market_prices", "loaded", None),
+    }
+    both = refresh.load(spark, X.landing(spark, [(S.COMPANY_FACTS, "0000320193", X.RUN_1, X.company_facts())]), str(tmp_path))
+    assert outcomes(both) == {("submissions", "loaded", None), ("company_facts", "loaded", None)}
+    tables = typed.read_source_tables(spark, str(tmp_path))
+    assert (tables["sec_submissions"].count(), tables["sec_company_facts"].count()) == (1, 3)
+    assert outcomes(refresh.load(spark, X.full_landing(spark), str(tmp_path))) == {
+        ("submissions", "replayed", None), ("company_facts", "replayed", None), ("daily_market_prices", "replayed", None),
+        ("series_metadata", "loaded", None), ("series_observations", "loaded", None),
+    }
+
+
+def test_broken_half_blocks_only_its_own_entity(spark, tmp_path):
+    landing = X.landing(spark, [
+        (S.SUBMISSIONS, "0000320193", X.RUN_1, X.submissions()), (S.COMPANY_FACTS, "0000320193", X.RUN_1, "{"),
+        (S.PRICES, "AAPL", X.RUN_1, X.prices()), (("elsewhere", "unheard_of"), "AAPL", X.RUN_1, "{}"),
+    ])
+    result = refresh.load(spark, landing, str(tmp_path))
+    assert outcomes(result) == {
+        ("submissions", "refused", "the other half was rejected"),
+        ("company_facts", "quarantined", "not exactly one strict JSON object"),
+        ("daily_market_prices", "loaded", None),
+        ("unheard_of", "quarantined", "dataset is not handled by this load"),
+    }
+    assert result.dispositions.count() == landing.count()
 
 
 def test_bad_payload_is_quarantined_and_others_load(spark, tmp_path):
     landing = X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, X.prices()), (S.PRICES, "MSFT", X.RUN_1, X.prices("AAPL"))])
-    new, quarantine = refresh.load(spark, landing, str(tmp_path), tables=["market_daily_prices"])
-    assert new.count() == 1
-    assert [(q.entity, q.reason) for q in quarantine.collect()] == [("MSFT", "provider symbol does not match expected symbol")]
+    result = refresh.load(spark, landing, str(tmp_path), tables=["market_daily_prices"])
+    assert result.registered.count() == 1
+    assert [(q.entity, q.reason) for q in result.quarantine.collect()] == [("MSFT", "symbol is not the one asked for")]
 
 
 def test_empty_payload_registers_a_run_without_rows(spark, tmp_path):
     empty = {"meta": {"symbol": "AAPL", "interval": "1day"}, "values": []}
-    new, _ = refresh.load(spark, X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, empty)]), str(tmp_path), tables=["market_daily_prices"])
-    assert [r.record_count for r in new.collect()] == [0]
+    result = refresh.load(spark, X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, empty)]), str(tmp_path), tables=["market_daily_prices"])
+    assert [r.record_count for r in result.registered.collect()] == [0]
 
 
 def test_daily_refresh_restates_prices(spark, tmp_path):
@@ -156,8 +194,7 @@ def test_interrupted_load_is_completed_without_duplicates(spark, tmp_path):
     contract = S.CONTRACTS["market_daily_prices"]
     rows = P.accepted_rows(P.parse(landing, contract.name), contract)
     typed.append_rows(rows, paths[contract.name], contract.schema)
-    new, _ = refresh.load(spark, landing, str(tmp_path), tables=[contract.name])
-    assert new.count() == 1
+    assert refresh.load(spark, landing, str(tmp_path), tables=[contract.name]).registered.count() == 1
     assert typed.read_source_tables(spark, str(tmp_path))[contract.name].count() == 2
 
 
@@ -167,5 +204,5 @@ def test_partly_stored_run_is_refused(spark, tmp_path):
     contract = S.CONTRACTS["market_daily_prices"]
     rows = P.accepted_rows(P.parse(landing, contract.name), contract)
     typed.append_rows(rows.where("source_row_number = 0"), paths[contract.name], contract.schema)
-    with pytest.raises(refresh.LoadRefused, match="stored in part"):
-        refresh.load(spark, landing, str(tmp_path), tables=[contract.name])
+    result = refresh.load(spark, landing, str(tmp_path), tables=[contract.name])
+    assert outcomes(result) == {("daily_market_prices", "refused", "rows of the run are stored in part")}

@@ -1,6 +1,7 @@
 """New payload files are loaded once, repeated runs find nothing to do."""
 
 import fixtures as X
+import pytest
 
 from tidemark import schemas as S
 from tidemark.sources import landing, typed
@@ -21,3 +22,16 @@ def test_arrivals(spark, tmp_path):
     assert catch_up() == (1, 2)
     landing.append_payloads(X.landing(spark, [(S.PRICES, "MSFT", X.RUN_2, X.prices("MSFT")), (S.PRICES, "WMT", X.RUN_2, "{")]), path)
     assert catch_up() == (2, 4)
+
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_batches_do_not_change_what_is_loaded(spark, tmp_path, files):
+    path, tables, state = (str(tmp_path / n) for n in ("landing", "tables", "state"))
+    for row in X.full_landing(spark).collect():
+        landing.append_payloads(spark.createDataFrame([row], S.LANDING_SCHEMA), path)
+    load_arrivals(spark, path, tables, state, files_per_batch=files).awaitTermination()
+    stored = typed.read_source_tables(spark, tables)
+    assert {n: t.count() for n, t in stored.items()} == {
+        "ingestion_runs": 5, "market_daily_prices": 2, "sec_submissions": 1, "sec_company_facts": 3,
+        "fred_series_metadata": 1, "fred_series_observations": 2,
+    }

@@ -227,3 +227,70 @@ def classify_pairs(states: DataFrame, first: str, second: str, source: str) -> D
     return pairs.select(
         "source", "run_id", F.when(problem.isNull(), F.col("_low")).alias("state"), problem.alias("problem")
     )
+
+
+#: What becomes of a payload in a load.
+LOADED, REPLAYED, REFUSED, WAITING, QUARANTINED = "loaded", "replayed", "refused", "waiting", "quarantined"
+
+
+def run_dispositions(
+    states: DataFrame, rejected: DataFrame, pairs: Sequence[tuple[str, str, str]], known: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """What becomes of every payload: run columns, ``entity``, ``disposition`` and ``reason``.
+
+    ``states`` are the accepted payloads as ``classify_runs`` describes them, ``rejected``
+    the quarantined ones with their reason.  Each run is judged by itself and with its
+    partner, so a broken one never holds up others:
+
+    * a run is loaded when it is new, replayed when it repeats the registry exactly, and
+      refused when it contradicts the registry or its stored rows;
+    * paired datasets (source, first, second) are loaded together.  A new half waits while
+      its partner has not arrived and is refused when the partner was rejected;
+    * several payloads of one run contradict each other; all of them are refused.
+
+    Runs meet their partners by an aggregate per (source, run); there are two payloads in it.
+    """
+    own = (
+        F.when(F.col("state") == "mismatch", F.concat(F.lit("differs from the registered run in "), F.array_join("mismatched", ", ")))
+        .when((F.col("state") == "absent") & ~F.col("stored_count").isin(0) & (F.col("stored_count") != F.col("record_count")), "rows of the run are stored in part")
+    )
+    everything = states.select(
+        *RUN_KEY, "entity", "ingested_at", "state", own.alias("problem"), F.lit(None).cast("string").alias("rejection")
+    ).unionByName(
+        rejected.select(
+            *RUN_KEY, "entity", F.lit(None).cast("timestamp").alias("ingested_at"), F.lit(None).cast("string").alias("state"),
+            F.lit(None).cast("string").alias("problem"), F.col("reason").alias("rejection"),
+        )
+    )
+    partner = F.lit(None).cast("string")
+    for source, first, second in pairs:
+        if {(source, first), (source, second)} <= set(known):
+            here = F.col("source") == source
+            partner = F.when(here & (F.col("dataset") == first), second).when(here & (F.col("dataset") == second), first).otherwise(partner)
+    here = F.struct("dataset", "ingested_at", "state", "problem", "rejection")
+    by_run = everything.groupBy("source", "run_id").agg(F.collect_list(here).alias("_run"))
+    placed = everything.withColumn("_partner", partner).join(by_run, ["source", "run_id"])
+    mine = F.filter("_run", lambda x: x["dataset"] == F.col("dataset"))
+    other = F.filter("_run", lambda x: x["dataset"] == F.col("_partner"))
+    placed = placed.select("*", F.size(mine).alias("_copies"), F.get(other, F.lit(0)).alias("_other"), F.size(other).alias("_others"))
+    paired = F.col("_partner").isNotNull()
+    absent = F.col("state") == "absent"
+    found = F.col("_others") == 1
+    reason = (
+        F.when(F.col("rejection").isNotNull(), F.col("rejection"))
+        .when((F.col("_copies") > 1) | (F.col("_others") > 1), "the run came with several payloads")
+        .when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(paired & absent & (F.col("_others") == 0), "the other half has not arrived")
+        .when(paired & found & F.col("_other.rejection").isNotNull() & absent, "the other half was rejected")
+        .when(paired & found & F.col("_other.problem").isNotNull(), "the other half was refused")
+        .when(paired & found & (F.col("_other.ingested_at") != F.col("ingested_at")), "the halves carry different instants")
+        .when(paired & found & (F.col("_other.state") != F.col("state")), "only one half is registered")
+    )
+    outcome = (
+        F.when(F.col("rejection").isNotNull(), QUARANTINED)
+        .when(reason == "the other half has not arrived", WAITING)
+        .when(reason.isNotNull(), REFUSED)
+        .when(absent, LOADED)
+        .otherwise(REPLAYED)
+    )
+    return placed.select(*RUN_KEY, "entity", outcome.alias("disposition"), reason.alias("reason"))

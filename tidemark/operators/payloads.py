@@ -279,48 +279,48 @@ def parse_prices(landing: DataFrame) -> DataFrame:
         written = F.coalesce(r["day"].rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), F.lit(False))
         no_day = t["trading_date"].isNull()
         early = _first_violation(
-            (~r["is_object"], "each values item must be an object"),
-            (no_day & ~written, "datetime must use YYYY-MM-DD format"),
-            (no_day, "datetime is not a valid date"),
+            (~r["is_object"], "entry of values has to be an object"),
+            (no_day & ~written, "datetime is not written year-month-day"),
+            (no_day, "datetime is no calendar date"),
             rank=0,
         )
         prices = [
             check
             for f in _PRICE_FIELDS
             for check in (
-                (t[f].isNull() & ~text.is_not_blank(r[f]), f"{f} must be a non-blank decimal string"),
-                (t[f].isNull() & ~numeric.is_decimal_literal(r[f]), f"{f} is not a finite decimal"),
+                (t[f].isNull() & ~text.is_not_blank(r[f]), f"{f} has to be text with a number"),
+                (t[f].isNull() & ~numeric.is_decimal_literal(r[f]), f"{f} is no finite decimal"),
             )
         ]
         late = _first_violation(
             *prices,
-            (t["high"] < t["low"], "high must be greater than or equal to low"),
-            (t["high"] < t["open"], "high must be greater than or equal to open"),
-            (t["high"] < t["close"], "high must be greater than or equal to close"),
-            (t["low"] > t["open"], "low must be less than or equal to open"),
-            (t["low"] > t["close"], "low must be less than or equal to close"),
-            (t["volume"].isNull() & r["volume"].rlike(r"^-0*[1-9][0-9]*$"), "volume must not be negative"),
-            (r["has_volume"] & t["volume"].isNull(), "volume must be an integer"),
+            (t["high"] < t["low"], "high lies below low"),
+            (t["high"] < t["open"], "high lies below open"),
+            (t["high"] < t["close"], "high lies below close"),
+            (t["low"] > t["open"], "low lies above open"),
+            (t["low"] > t["close"], "low lies above close"),
+            (t["volume"].isNull() & r["volume"].rlike(r"^-0*[1-9][0-9]*$"), "volume is negative"),
+            (r["has_volume"] & t["volume"].isNull(), "volume is no whole number"),
         )
         return F.coalesce(early, late)
 
     records = _with_records(opened, F.transform(F.transform(F.transform("_values", read), raw), typed))
     days = F.transform("records", lambda t: t["trading_date"].cast("string"))
     in_records = _first_in_order(
-        F.transform("records", violation), _repeated(days, 1, "duplicate trading date in payload")
+        F.transform("records", violation), _repeated(days, 1, "trading date comes twice")
     )
     reason = F.coalesce(
         _reason(
-            (~text.is_not_blank(F.col("_expected")), "expected symbol must not be blank"),
-            (F.col("_not_object"), "payload must be a strict JSON object"),
-            (F.col("_no_meta"), "meta must be an object"),
-            (~text.is_not_blank(F.col("_symbol")), "meta.symbol must not be blank"),
-            (F.col("_symbol") != F.col("_expected"), "provider symbol does not match expected symbol"),
-            (~F.col("_interval").eqNullSafe(F.lit("1day")), "meta.interval must be 1day"),
-            (F.col("_values").isNull(), "values must be a list"),
+            (~text.is_not_blank(F.col("_expected")), "symbol asked for is blank"),
+            (F.col("_not_object"), "not exactly one strict JSON object"),
+            (F.col("_no_meta"), "meta has to be an object"),
+            (~text.is_not_blank(F.col("_symbol")), "meta.symbol is blank"),
+            (F.col("_symbol") != F.col("_expected"), "symbol is not the one asked for"),
+            (~F.col("_interval").eqNullSafe(F.lit("1day")), "meta.interval differs from 1day"),
+            (F.col("_values").isNull(), "values has to be a list"),
         ),
         in_records,
-        F.when(F.exists("records", lambda t: ~t["fits"]), F.lit("prices do not fit the stored decimal type")),
+        F.when(F.exists("records", lambda t: ~t["fits"]), F.lit("prices have more digits than are stored")),
     )
     return _verdicts(records, reason, F.col("records"))
 
@@ -400,32 +400,32 @@ def parse_submissions(landing: DataFrame) -> DataFrame:
     def violation(t: Column) -> Column:
         r = t["raw"]
         early = _first_violation(
-            (~text.is_accession(r["accessionNumber"]), "accessionNumber must use XXXXXXXXXX-YY-ZZZZZZ format"),
+            (~text.is_accession(r["accessionNumber"]), "accessionNumber is no accession number"),
             rank=0,
         )
         late = _first_violation(
-            (t["filing_date"].isNull(), "filingDate must be a valid YYYY-MM-DD date"),
+            (t["filing_date"].isNull(), "filingDate is no calendar date"),
             (
                 t["report_date"].isNull() & ~r["reportDate"].eqNullSafe(F.lit("")),
-                "reportDate must be empty or a valid YYYY-MM-DD date",
+                "reportDate is neither empty nor a calendar date",
             ),
-            (r["acceptanceDateTime"].isNull(), "acceptanceDateTime must be a string"),
+            (r["acceptanceDateTime"].isNull(), "acceptanceDateTime has to be text"),
             (
                 text.is_not_blank(r["acceptanceDateTime"]) & ~temporal.has_zone(r["acceptanceDateTime"]),
-                "acceptanceDateTime must include a timezone",
+                "acceptanceDateTime lacks an offset",
             ),
             (
                 text.is_not_blank(r["acceptanceDateTime"]) & t["acceptance_datetime"].isNull(),
-                "acceptanceDateTime is not a valid ISO-8601 timestamp",
+                "acceptanceDateTime is no instant",
             ),
-            (~text.is_not_blank(r["form"]), "form must not be blank"),
-            *[(r[f].isNull(), f"{f} must be a string") for f in ("act", "fileNumber", "filmNumber", "items")],
-            (~F.coalesce(r["size"] >= 0, F.lit(False)), "size must be a non-negative integer"),
+            (~text.is_not_blank(r["form"]), "form is blank"),
+            *[(r[f].isNull(), f"{f} has to be text") for f in ("act", "fileNumber", "filmNumber", "items")],
+            (~F.coalesce(r["size"] >= 0, F.lit(False)), "size has to be a whole number, zero or more"),
             *[
-                (~F.coalesce(r[f].isin(0, 1), F.lit(False)), f"{f} must be 0 or 1")
+                (~F.coalesce(r[f].isin(0, 1), F.lit(False)), f"{f} is neither 0 nor 1")
                 for f in ("isXBRL", "isInlineXBRL")
             ],
-            *[(r[f].isNull(), f"{f} must be a string") for f in ("primaryDocument", "primaryDocDescription")],
+            *[(r[f].isNull(), f"{f} has to be text") for f in ("primaryDocument", "primaryDocDescription")],
         )
         return F.coalesce(early, late)
 
@@ -434,18 +434,18 @@ def parse_submissions(landing: DataFrame) -> DataFrame:
     reason = F.coalesce(
         _reason(
             (F.col("_expected").isNull(), "expected cik is invalid"),
-            (F.col("_not_object"), "payload must be a strict JSON object"),
+            (F.col("_not_object"), "not exactly one strict JSON object"),
             (F.col("_cik").isNull(), "payload.cik is invalid"),
-            (F.col("_cik") != F.col("_expected"), "payload CIK does not match expected CIK"),
-            (~text.is_not_blank(F.col("_name")), "name must not be blank"),
-            (F.col("_no_filings"), "filings must be an object"),
-            (F.col("_no_recent"), "filings.recent must be an object"),
-            *[(F.col(f"_{f}").isNull(), f"filings.recent.{f} must be a list") for f in FILING_FIELDS],
-            (F.size(sizes) != 1, "filings.recent arrays must have equal lengths"),
+            (F.col("_cik") != F.col("_expected"), "registrant is not the one asked for"),
+            (~text.is_not_blank(F.col("_name")), "name is blank"),
+            (F.col("_no_filings"), "filings has to be an object"),
+            (F.col("_no_recent"), "filings.recent has to be an object"),
+            *[(F.col(f"_{f}").isNull(), f"filings.recent.{f} has to be a list") for f in FILING_FIELDS],
+            (F.size(sizes) != 1, "filings.recent has lists of different lengths"),
         ),
         _first_in_order(
             F.transform("records", violation),
-            _repeated(accessions, 1, "duplicate accessionNumber in filings.recent"),
+            _repeated(accessions, 1, "accessionNumber comes twice"),
         ),
     )
     return _verdicts(checked, reason, F.col("records"))
@@ -505,8 +505,8 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
     def of_unit(taxonomy: Column, concept: Column, label: Column, description: Column) -> Callable[[Column], Column]:
         def expand(entry: Column) -> Column:
             broken = (
-                F.when(~text.is_not_blank(entry["key"]), "unit must not be blank")
-                .when(entry["value"].isNull(), "unit value must be a list")
+                F.when(~text.is_not_blank(entry["key"]), "unit is blank")
+                .when(entry["value"].isNull(), "unit has to be a list")
             )
             row = (taxonomy, concept, label, description, entry["key"])
             return F.when(broken.isNotNull(), F.array(occurrence(*row, no_item, broken))).otherwise(
@@ -522,11 +522,11 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
             text.blank_to_null(_text(body["label"])).alias("label"),
             text.keep_if_not_blank(_text(body["description"])).alias("description"),
             F.map_entries(body["units"]).alias("units"),
-            F.when(~text.is_not_blank(entry["key"]), "concept must not be blank")
-            .when(body.isNull(), "concept value must be an object")
-            .when(bad_kind(body["label"]), "label must be a string or null")
-            .when(bad_kind(body["description"]), "description must be a string or null")
-            .when(body["units"].isNull(), "units must be an object")
+            F.when(~text.is_not_blank(entry["key"]), "concept is blank")
+            .when(body.isNull(), "concept has to be an object")
+            .when(bad_kind(body["label"]), "label has to be text or null")
+            .when(bad_kind(body["description"]), "description has to be text or null")
+            .when(body["units"].isNull(), "units has to be an object")
             .alias("broken"),
         )
 
@@ -541,8 +541,8 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
 
     def of_taxonomy(entry: Column) -> Column:
         broken = (
-            F.when(~text.is_not_blank(entry["key"]), "taxonomy must not be blank")
-            .when(entry["value"].isNull(), "taxonomy value must be an object")
+            F.when(~text.is_not_blank(entry["key"]), "taxonomy is blank")
+            .when(entry["value"].isNull(), "taxonomy has to be an object")
         )
         nothing = occurrence(entry["key"], no_text, no_text, no_text, no_text, no_item, broken)
         concepts = F.transform(F.map_entries(entry["value"]), described)
@@ -606,18 +606,18 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
         return F.coalesce(
             structural,
             _first_violation(
-                (~r["is_object"], "fact occurrence must be an object"),
-                (r["has_start"] & t["start_date"].isNull(), "start must be a valid YYYY-MM-DD date"),
-                (t["end_date"].isNull(), "end must be a valid YYYY-MM-DD date"),
-                (t["start_date"] > t["end_date"], "start must not be after end"),
-                (~text.is_not_blank(r["form"]), "form must not be blank"),
-                (r["val"].isNull() | r["val"].isin("NaN", "Infinity", "-Infinity"), "val must be a finite JSON number"),
-                (~text.is_accession(r["accn"]), "accn must use XXXXXXXXXX-YY-ZZZZZZ format"),
-                (~r["no_fy"] & ~F.coalesce(r["fy"] > 0, F.lit(False)), "fy must be a positive integer"),
-                (~r["no_fp"] & r["fp"].isNull(), "fp must be a string"),
-                (t["filed_date"].isNull(), "filed must be a valid YYYY-MM-DD date"),
-                (~r["no_frame"] & r["frame"].isNull(), "frame must be a string"),
-                (r["fy"].isNotNull() & t["fiscal_year"].isNull(), "fy does not fit the stored integer type"),
+                (~r["is_object"], "fact occurrence has to be an object"),
+                (r["has_start"] & t["start_date"].isNull(), "start is no calendar date"),
+                (t["end_date"].isNull(), "end is no calendar date"),
+                (t["start_date"] > t["end_date"], "start lies after end"),
+                (~text.is_not_blank(r["form"]), "form is blank"),
+                (r["val"].isNull() | r["val"].isin("NaN", "Infinity", "-Infinity"), "val is no finite number"),
+                (~text.is_accession(r["accn"]), "accn is no accession number"),
+                (~r["no_fy"] & ~F.coalesce(r["fy"] > 0, F.lit(False)), "fy has to be a whole number above zero"),
+                (~r["no_fp"] & r["fp"].isNull(), "fp has to be text"),
+                (t["filed_date"].isNull(), "filed is no calendar date"),
+                (~r["no_frame"] & r["frame"].isNull(), "frame has to be text"),
+                (r["fy"].isNotNull() & t["fiscal_year"].isNull(), "fy is too large"),
             ),
         )
 
@@ -627,11 +627,11 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
     reason = F.coalesce(
         _reason(
             (F.col("_expected").isNull(), "expected cik is invalid"),
-            (F.col("_not_object"), "payload must be a strict JSON object"),
+            (F.col("_not_object"), "not exactly one strict JSON object"),
             (F.col("_cik").isNull(), "payload.cik is invalid"),
-            (F.col("_cik") != F.col("_expected"), "payload CIK does not match expected CIK"),
-            (~text.is_not_blank(F.col("_entity_name")), "entityName must not be blank"),
-            (F.col("records").isNull(), "facts must be an object of taxonomies, concepts and units"),
+            (F.col("_cik") != F.col("_expected"), "registrant is not the one asked for"),
+            (~text.is_not_blank(F.col("_entity_name")), "entityName is blank"),
+            (F.col("records").isNull(), "facts is not nested by taxonomy, concept and unit"),
         ),
         _first_in_order(F.transform("records", violation)),
     )
@@ -671,25 +671,25 @@ def parse_series_metadata(landing: DataFrame) -> DataFrame:
         text.blank_to_null(_text(_at(item, "notes"))).alias("notes"),
     ).withColumn("last_updated", temporal.strict_instant(F.col("_updated")))
     reason = _reason(
-        (F.col("_expected").isNull(), "expected series id must be a non-blank string"),
-        (F.col("_not_object"), "payload must be a strict JSON object"),
-        (F.col("_count").isNull() | (F.col("_count") < 0), "seriess must be a list"),
-        (F.col("_count") != 1, "seriess must contain exactly one series"),
-        (~F.col("_is_object"), "series item must be an object"),
-        (F.col("series_id").isNull(), "id must be a non-blank string"),
-        (F.col("series_id") != F.col("_expected"), "provider series ID does not match the expected one"),
-        (F.col("realtime_start").isNull(), "realtime_start must be a valid YYYY-MM-DD date"),
-        (F.col("realtime_end").isNull(), "realtime_end must be a valid YYYY-MM-DD date"),
-        (F.col("realtime_start") > F.col("realtime_end"), "realtime_start must not be after realtime_end"),
-        (F.col("observation_start").isNull(), "observation_start must be a valid YYYY-MM-DD date"),
-        (F.col("observation_end").isNull(), "observation_end must be a valid YYYY-MM-DD date"),
-        (F.col("observation_start") > F.col("observation_end"), "observation_start must not be after observation_end"),
-        *[(F.col(f).isNull(), f"{f} must be a non-blank string") for f in _SERIES_TEXT],
-        (~text.is_not_blank(F.col("_updated")), "last_updated must be a non-blank string"),
-        (~temporal.has_zone(F.col("_updated")), "last_updated must include a timezone"),
-        (F.col("last_updated").isNull(), "last_updated is not a valid ISO-8601 timestamp"),
-        (~F.coalesce(F.col("popularity") >= 0, F.lit(False)), "popularity must be a non-negative integer"),
-        (F.col("_bad_notes"), "notes must be a string or null"),
+        (F.col("_expected").isNull(), "series asked for has to be text that is not blank"),
+        (F.col("_not_object"), "not exactly one strict JSON object"),
+        (F.col("_count").isNull() | (F.col("_count") < 0), "seriess has to be a list"),
+        (F.col("_count") != 1, "seriess holds none or several series"),
+        (~F.col("_is_object"), "series item has to be an object"),
+        (F.col("series_id").isNull(), "id has to be text that is not blank"),
+        (F.col("series_id") != F.col("_expected"), "series is not the one asked for"),
+        (F.col("realtime_start").isNull(), "realtime_start is no calendar date"),
+        (F.col("realtime_end").isNull(), "realtime_end is no calendar date"),
+        (F.col("realtime_start") > F.col("realtime_end"), "realtime_start lies after realtime_end"),
+        (F.col("observation_start").isNull(), "observation_start is no calendar date"),
+        (F.col("observation_end").isNull(), "observation_end is no calendar date"),
+        (F.col("observation_start") > F.col("observation_end"), "observation_start lies after observation_end"),
+        *[(F.col(f).isNull(), f"{f} has to be text that is not blank") for f in _SERIES_TEXT],
+        (~text.is_not_blank(F.col("_updated")), "last_updated has to be text that is not blank"),
+        (~temporal.has_zone(F.col("_updated")), "last_updated lacks an offset"),
+        (F.col("last_updated").isNull(), "last_updated is no instant"),
+        (~F.coalesce(F.col("popularity") >= 0, F.lit(False)), "popularity has to be a whole number, zero or more"),
+        (F.col("_bad_notes"), "notes has to be text or null"),
     )
     fields = [f.name for f in CONTRACTS["fred_series_metadata"].schema.fields][4:]
     return _verdicts(flat, reason, F.array(F.struct(*fields)))
@@ -728,16 +728,16 @@ def parse_observations(landing: DataFrame) -> DataFrame:
 
     def violation(t: Column) -> Column:
         return _first_violation(
-            (~t["is_object"], "observation item must be an object"),
-            (t["realtime_start"].isNull(), "realtime_start must be a valid YYYY-MM-DD date"),
-            (t["realtime_end"].isNull(), "realtime_end must be a valid YYYY-MM-DD date"),
-            (t["realtime_start"] > t["realtime_end"], "realtime_start must not be after realtime_end"),
-            (t["observation_date"].isNull(), "date must be a valid YYYY-MM-DD date"),
-            (t["literal"].isNull(), "value must be a string"),
-            (~text.is_not_blank(t["literal"]), "value must not be blank"),
+            (~t["is_object"], "observation item has to be an object"),
+            (t["realtime_start"].isNull(), "realtime_start is no calendar date"),
+            (t["realtime_end"].isNull(), "realtime_end is no calendar date"),
+            (t["realtime_start"] > t["realtime_end"], "realtime_start lies after realtime_end"),
+            (t["observation_date"].isNull(), "date is no calendar date"),
+            (t["literal"].isNull(), "value has to be text"),
+            (~text.is_not_blank(t["literal"]), "value is blank"),
             (
                 ~numeric.is_missing(t["literal"]) & ~numeric.is_decimal_literal(t["literal"]),
-                "value must be a finite decimal string",
+                "value is no finite decimal",
             ),
             rank=0,
         )
@@ -749,12 +749,12 @@ def parse_observations(landing: DataFrame) -> DataFrame:
     )
     reason = F.coalesce(
         _reason(
-            (F.col("_expected").isNull(), "expected series id must be a non-blank string"),
-            (F.col("_not_object"), "payload must be a strict JSON object"),
-            (F.col("_values").isNull(), "observations must be a list"),
+            (F.col("_expected").isNull(), "series asked for has to be text that is not blank"),
+            (F.col("_not_object"), "not exactly one strict JSON object"),
+            (F.col("_values").isNull(), "observations has to be a list"),
         ),
         _first_in_order(
-            F.transform("records", violation), _repeated(occurrences, 1, "duplicate observation occurrence")
+            F.transform("records", violation), _repeated(occurrences, 1, "observation comes twice")
         ),
     )
     return _verdicts(checked, reason, F.col("records"))

@@ -17,10 +17,9 @@ from tidemark.functions.numeric import exact_difference, growth_rate, simple_ret
 from tidemark.functions.temporal import days_between, has_annual_shape, is_annual_gap
 from tidemark.functions.text import is_not_blank
 from tidemark.operators.relational import differs, literal_table, measured, set_difference
-from tidemark.operators.timeseries import asof_join, with_previous
+from tidemark.operators.timeseries import day_bounds, filled_forward, with_previous
 from tidemark.plans.marts import ANNUAL_FORMS, annual_candidates
 from tidemark.schemas import CONTRACTS, GROWTH_GRAIN, IDENTITY_MAPPING_SCHEMA, RUN_ID_PATTERN, RUN_KEY
-from tidemark.session import cut_lineage
 
 TOLERANCE = 0.000001
 
@@ -111,17 +110,17 @@ def identity_violations(identities: DataFrame, expected: Iterable[tuple[str, str
         .agg(F.count_if("is_current_registrant").alias("n"))
         .where("n <> 1")
     )
-    found = reason(no_single, "company_key", "company_key must have exactly one current registrant").unionByName(
+    found = reason(no_single, "company_key", "a company needs one current registrant, no more and no fewer").unionByName(
         reason(
             multivalued(current, ["current_ticker"], "company_key"),
             "current_ticker",
-            "current_ticker maps to multiple current company_keys",
+            "several companies trade under this ticker today",
         )
     ).unionByName(
         reason(
             multivalued(identities, ["source_cik"], "company_key"),
             "source_cik",
-            "source_cik belongs to multiple company_keys",
+            "registrant is assigned to several companies",
         )
     )
     expected = list(expected)
@@ -203,23 +202,23 @@ def growth_metric_violations(mart: DataFrame) -> DataFrame:
     current = F.col("current_value")
     expected_change = exact_difference(current, value, 10)
     rules = {
-        "stored previous_end_date does not match expected lag(end_date)": differs(F.col("previous_end_date"), end),
-        "stored previous_value does not match expected lag(current_value)": differs(F.col("previous_value"), value),
-        "first observation must have all previous and derived growth fields null": end.isNull()
+        "previous period end is not that of the period before": differs(F.col("previous_end_date"), end),
+        "previous value is not that of the period before": differs(F.col("previous_value"), value),
+        "a first period cannot be compared with anything": end.isNull()
         & (
             F.col("previous_end_date").isNotNull()
             | F.col("previous_value").isNotNull()
             | change.isNotNull()
             | growth.isNotNull()
         ),
-        "consecutive comparison has incorrect absolute_change": annual & (change.isNull() | (change != expected_change)),
-        "consecutive comparison with non-zero previous_value has incorrect growth_rate": annual
+        "change over one year is not the difference of the values": annual & (change.isNull() | (change != expected_change)),
+        "growth over one year is not the change over the size of the base": annual
         & (value != 0)
         & (growth.isNull() | (growth != growth_rate(current, value, 10))),
-        "consecutive comparison with zero previous_value must have null growth_rate": annual
+        "growth on a base of zero must stay empty": annual
         & (value == 0)
         & (change.isNull() | (change != current) | growth.isNotNull()),
-        "non-consecutive period must retain previous fields but have null absolute_change and growth_rate": gap
+        "periods a gap apart keep the previous period but no change or growth": gap
         & (
             (F.col("previous_end_date") != end)
             | (F.col("previous_value") != value)
@@ -247,15 +246,15 @@ def representative_fact_violations(
     checked = mart.join(sources, source_key, "left").join(best, GROWTH_GRAIN, "left")
     form, start, end = F.col("form"), F.col("start_date"), F.col("end_date")
     rules = {
-        "selected fact does not match qualifying annual source occurrence in fact_financial_reported": F.col(
+        "no annual fact of the company stands behind the row": F.col(
             "_source"
         ).isNull(),
-        "invalid form or period shape in mart columns": ~form.isin(ANNUAL_FORMS)
+        "form or period length is not annual": ~form.isin(ANNUAL_FORMS)
         | (
             F.col("period_type").isin("duration", "instant")
             & ~has_annual_shape(F.col("period_type"), start, end)
         ),
-        "lower-ranked filing selected over higher-ranked candidate": F.col("_best")
+        "a later filing reports the same period": F.col("_best")
         > F.struct("filed_date", "accession_number"),
     }
     return violations(checked, GROWTH_GRAIN, rules)
@@ -266,44 +265,49 @@ def representative_fact_violations(
 ALIGNED_KEY = ["company_key", "trading_date", "series_id"]
 
 
-def _with_expected(mart: DataFrame, fact_macro: DataFrame) -> DataFrame:
-    """The mart with the alignment recomputed by the general as-of join."""
-    return asof_join(
-        mart,
+def _with_expected(mart: DataFrame, fact_macro: DataFrame, days: DataFrame | None) -> DataFrame:
+    """The mart with the alignment recomputed.
+
+    The observation in force is worked out once per (series, calendar day); the mart is
+    then read once and meets it by equality.  ``days`` is a one-row frame of bounds that
+    hold all trading dates, taken from the mart itself if it is not given.
+    """
+    in_force = filled_forward(
         fact_macro,
+        day_bounds(mart, "trading_date") if days is None else days,
         by=["series_id"],
-        left_on="trading_date",
-        right_on="observation_date",
+        on="observation_date",
+        day="trading_date",
         take={"_expected_date": "observation_date", "_expected_value": "value"},
     )
+    return mart.join(measured(in_force, "series_id", "trading_date"), ["series_id", "trading_date"], "left")
 
 
-def alignment_violations(mart: DataFrame, fact_macro: DataFrame) -> DataFrame:
+def alignment_violations(mart: DataFrame, fact_macro: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Five rules on observation date and age.
 
-    The latest eligible date per (series, day) answers both "is it the latest" and
-    "does a later eligible one exist".
+    The date in force on a day answers both "is it the latest" and "is there a later one".
     """
-    checked = _with_expected(mart, fact_macro)
+    checked = _with_expected(mart, fact_macro, days)
     stored, expected = F.col("macro_observation_date"), F.col("_expected_date")
     day, age = F.col("trading_date"), F.col("macro_age_days")
     rules = {
-        "stored observation date is not the latest eligible reference date": differs(stored, expected),
-        "stored observation date occurs after the trading date": stored > day,
-        "a later eligible macro observation exists": expected > stored,
-        "macro age is not the exact non-negative reference-date age": stored.isNotNull()
+        "observation in force on the day is another one": differs(stored, expected),
+        "observation lies in the future of the day": stored > day,
+        "a more recent observation was known": expected > stored,
+        "age differs from the days since the observation": stored.isNotNull()
         & (differs(age, days_between(day, stored)) | (age < 0)),
-        "rows without an eligible observation must have all aligned fields null": expected.isNull()
+        "nothing was observed yet, but the row carries values": expected.isNull()
         & (stored.isNotNull() | F.col("macro_value").isNotNull() | age.isNotNull()),
     }
     return violations(checked, ALIGNED_KEY, rules)
 
 
-def preservation_violations(mart: DataFrame, fact_macro: DataFrame) -> DataFrame:
+def preservation_violations(mart: DataFrame, fact_macro: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Rows whose date or value is not that of the latest eligible observation."""
-    checked = _with_expected(mart, fact_macro)
+    checked = _with_expected(mart, fact_macro, days)
     rules = {
-        "latest eligible source date or value was not preserved": differs(
+        "date or value differs from the observation in force": differs(
             F.col("macro_observation_date"), F.col("_expected_date")
         )
         | differs(F.col("macro_value"), F.col("_expected_value"))
@@ -314,41 +318,28 @@ def preservation_violations(mart: DataFrame, fact_macro: DataFrame) -> DataFrame
 def grid_violations(performance: DataFrame, series: DataFrame, mart: DataFrame) -> DataFrame:
     """Missing and unexpected (company, day, series) combinations, both ways.
 
-    The expected grid is a product and is never written out to be compared.  One pass
-    counts the known series of every company day and finds the days that are not as
-    expected; only those few are compared row by row, with the series they should have
-    supplied by an equi-join on the date.
+    The mart is read once and reduced to the set of series of every company day; there
+    are as many as monitored series.  A traded day must have exactly the known ones, any
+    other day none.  The expected grid itself is never built.
     """
     day_key = ["company_key", "trading_date"]
-    known = series.select("series_id").distinct()
-    total = known.agg(F.count("*")).scalar()
-    actual = mart.select(*ALIGNED_KEY).distinct()
-    found = (
-        actual.join(known.withColumn("_known", F.lit(True)), "series_id", "left")
-        .groupBy(*day_key)
-        .agg(F.count("_known").alias("_known"), F.count("*").alias("_rows"))
-    )
-    wanted_days = performance.select(*day_key).distinct().withColumn("_traded", F.lit(True))
-    complete = F.col("_traded").isNotNull() & F.col("_known").eqNullSafe(total) & F.col("_rows").eqNullSafe(total)
-    # The few wrong days are read three times below.
-    wrong_days = cut_lineage(
-        wanted_days.join(found, day_key, "full_outer")
-        .where(~complete)
-        .select(*day_key, F.col("_traded").isNotNull().alias("_traded"))
+    known = series.agg(F.collect_set("series_id")).scalar()
+    present = mart.groupBy(*day_key).agg(F.collect_set("series_id").alias("_present"))
+    traded = performance.select(*day_key).distinct().withColumn("_traded", F.lit(True))
+    both = traded.join(present, day_key, "full_outer").select(
+        *day_key,
+        F.when(F.col("_traded"), known).otherwise(F.array().cast("array<string>")).alias("_wanted"),
+        F.coalesce("_present", F.array().cast("array<string>")).alias("_present"),
     )
-    traded = wrong_days.where("_traded").select(*day_key)
-    # No wrong day means NULL bounds and nothing to expand.
-    first, last = traded.agg(F.min("trading_date")).scalar(), traded.agg(F.max("trading_date")).scalar()
-    spine = known.select("series_id", F.explode(F.sequence(first, last)).alias("trading_date"))
-    expected = traded.join(measured(spine, "trading_date"), "trading_date", "inner").select(
-        *ALIGNED_KEY, F.lit(True).alias("_expected")
-    )
-    present = actual.join(wrong_days.select(*day_key), day_key, "left_semi").withColumn("_present", F.lit(True))
-    reason = F.when(F.col("_present").isNull(), "missing expected market-series grid row").when(
-        F.col("_expected").isNull(), "unexpected market-series grid row"
+
+    def rows(ids: Column, why: str) -> Column:
+        return F.transform(ids, lambda x: F.struct(x.alias("series_id"), F.lit(why).alias("failure_reason")))
+
+    found = F.concat(
+        rows(F.array_except("_wanted", "_present"), "series is missing on a traded day"),
+        rows(F.array_except("_present", "_wanted"), "row is not part of the grid"),
     )
-    compared = expected.join(present, ALIGNED_KEY, "full_outer").select(*ALIGNED_KEY, reason.alias("failure_reason"))
-    return compared.where(F.col("failure_reason").isNotNull())
+    return both.select(*day_key, F.inline(found)).select(*ALIGNED_KEY, "failure_reason")
 
 
 # --- source tables --------------------------------------------------------------

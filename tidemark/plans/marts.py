@@ -35,18 +35,16 @@ def mart_company_daily_performance(
 ) -> DataFrame:
     """Prices of current registrants with previous close, change and return.
 
-    The crosswalk has one current registrant per company, so (company, registrant) is
-    as fine as the company alone.  Keying both the window and the name join by the pair
-    lets them share one shuffle.
+    The lag runs over the company, across registrants if the crosswalk should list several
+    current ones.  Names are joined before it; the list of companies is short.
     """
-    key = ["company_key", "current_cik"]
     current = identities.where("is_current_registrant").select(
         "company_key", "current_ticker", F.col("source_cik").alias("current_cik")
     )
     names = companies.select(F.col("cik").alias("current_cik"), F.col("entity_name").alias("company_name"))
-    named = current.join(names, "current_cik", "inner").select(*key, "company_name")
-    observed = fact_market.join(current, fact_market["symbol"] == current["current_ticker"], "inner").drop("symbol")
-    lagged = with_previous(observed, key, "trading_date", {"previous_close": "close"}).join(named, key, "inner")
+    named = current.join(names, "current_cik", "inner")
+    observed = fact_market.join(named, fact_market["symbol"] == named["current_ticker"], "inner").drop("symbol")
+    lagged = with_previous(observed, ["company_key"], "trading_date", {"previous_close": "close"})
     return lagged.select(
         "company_key",
         "current_ticker",

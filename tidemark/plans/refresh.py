@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
@@ -17,11 +18,11 @@ from tidemark.schemas import (
     DATASETS,
     IDENTITY_MAPPING_SCHEMA,
     INGESTION_RUNS_SCHEMA,
+    LANDING_SCHEMA,
     METRIC_MAPPING_SCHEMA,
     PRICES,
     RUN_KEY,
 )
-from tidemark.session import cut_lineage
 from tidemark.sources import publish, typed
 from tidemark.sources.layout import RAW_NAME, TYPED_NAME, run_directory
 
@@ -31,8 +32,13 @@ PAIRS = [("sec_edgar", "submissions", "company_facts"), ("fred", "series_metadat
 STORED = ("stg_market_prices", "stg_financial_facts", "stg_macro_observations", *MARTS)
 
 
-class LoadRefused(ValueError):
-    """Runs of a batch contradict the registry or each other."""
+@dataclass
+class LoadResult:
+    """New registry rows, rejected payloads and what became of every payload."""
+
+    registered: DataFrame
+    quarantine: DataFrame
+    dispositions: DataFrame
 
 
 @dataclass
@@ -41,6 +47,7 @@ class RefreshResult:
 
     registered: DataFrame
     quarantine: DataFrame
+    dispositions: DataFrame
     relations: Relations
     checks: DataFrame
     signals: DataFrame
@@ -60,6 +67,15 @@ def declared_runs(verdicts: DataFrame, root: str, loaded_at) -> DataFrame:
     )
 
 
+def unknown_payloads(landing: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Payloads of datasets that the load does not handle, as quarantine rows."""
+    known = [CONTRACTS[t].identity for t in tables]
+    is_known = F.lit(False)
+    for source, dataset in known:
+        is_known = is_known | (F.col("source").eqNullSafe(source) & F.col("dataset").eqNullSafe(dataset))
+    return landing.where(~is_known).select(*RUN_KEY, "entity", F.lit("dataset is not handled by this load").alias("reason"))
+
+
 def load(
     spark: SparkSession,
     landing: DataFrame,
@@ -67,49 +83,65 @@ def load(
     *,
     landing_root: str = "landing",
     tables: Sequence[str] = tuple(CONTRACTS),
-) -> tuple[DataFrame, DataFrame]:
-    """Parse payloads and append the rows of new runs; returns (new runs, quarantine).
-
-    Exact replays add nothing.  Rows are written before their registry entries and
-    readers join the registry, so an interrupted load stays invisible.  When it is
-    repeated, runs whose rows are already complete are only registered.
+) -> LoadResult:
+    """Parse payloads and append the rows of new runs.
+
+    Every payload gets a disposition of its own (``incremental.run_dispositions``): sound
+    runs are loaded whatever else the batch holds, the others are reported.  The half of a
+    pair whose partner has not arrived is stored and joins the next load, so the way
+    payloads are cut into batches does not change what is loaded.
+
+    Exact replays add nothing.  Rows are written before their registry entries and readers
+    join the registry, so an interrupted load stays invisible.  When it is repeated, runs
+    whose rows are already complete are only registered.  Intermediate results are written
+    below ``tables_root``.
     """
     paths = typed.create_source_tables(spark, tables_root)
     stored = typed.read_source_tables(spark, tables_root)
+    scratch = f"{tables_root.rstrip('/')}/_loads/{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
     # The load instant is fixed once, not once per action that reads the frame.
     loaded_at = F.lit(spark.range(1).select(F.current_timestamp()).head()[0])
+    held = typed.waiting_payloads(spark, tables_root, stored["ingestion_runs"])
+    handled = [CONTRACTS[t].identity for t in tables]
+    waited = held.join(landing.select(*RUN_KEY), RUN_KEY, "left_anti")
+    batch = keep(landing.select(*LANDING_SCHEMA.names).unionByName(waited), "payloads")
 
     # Each payload is parsed once; the verdicts feed the registry, the quarantine and the rows.
-    verdicts = {t: cut_lineage(payloads.stored_form(payloads.parse(landing, t), CONTRACTS[t])) for t in tables}
+    verdicts = {
+        t: keep(payloads.stored_form(payloads.parse(batch, t), CONTRACTS[t]), f"verdicts/{t}") for t in tables
+    }
     declared = _union([declared_runs(v, landing_root, loaded_at) for v in verdicts.values()])
-    quarantine = _union([payloads.quarantined(v) for v in verdicts.values()])
+    quarantine = _union([*[payloads.quarantined(v) for v in verdicts.values()], unknown_payloads(batch, tables)])
+    entities = _union([payloads.accepted_counts(v).select(*RUN_KEY, "entity") for v in verdicts.values()]).distinct()
     runs = declared.select(*RUN_KEY)
     between = incremental.run_range(runs)
     history = {t: incremental.same_runs(stored[t], runs, between) for t in (*tables, "ingestion_runs")}
     counts = incremental.stored_counts(*[history[t] for t in tables])
-    states = cut_lineage(incremental.classify_runs(declared, history["ingestion_runs"], counts))
-
-    refused = states.where("state = 'mismatch'").select("source", "dataset", "run_id").head()
-    if refused is not None:
-        raise LoadRefused(f"run {refused.source}/{refused.dataset}/{refused.run_id} is not an exact replay")
-    for source, first, second in PAIRS:
-        mine = {CONTRACTS[t].identity for t in tables}
-        if {(source, first), (source, second)} <= mine:
-            broken = incremental.classify_pairs(states, first, second, source).where("problem IS NOT NULL").head()
-            if broken is not None:
-                raise LoadRefused(f"run {broken.source}/{broken.run_id}: {broken.problem}")
-
-    absent = states.where("state = 'absent'")
-    partial = absent.where("stored_count NOT IN (0, record_count)").head()
-    if partial is not None:
-        raise LoadRefused(f"run {partial.source}/{partial.dataset}/{partial.run_id} is stored in part")
-    new = absent.select(*INGESTION_RUNS_SCHEMA.names)
-    missing = absent.where("stored_count = 0").select(*RUN_KEY)
+    states = keep(incremental.classify_runs(declared, history["ingestion_runs"], counts), "states")
+    dispositions = keep(
+        incremental.run_dispositions(states.join(entities, RUN_KEY), quarantine, PAIRS, handled), "dispositions"
+    )
+
+    sound = dispositions.where(F.col("disposition") == incremental.LOADED).select(*RUN_KEY)
+    new = keep(
+        states.where("state = 'absent'").join(sound, RUN_KEY, "left_semi").select(*INGESTION_RUNS_SCHEMA.names, "stored_count"),
+        "new",
+    )
+    missing = new.where("stored_count = 0").select(*RUN_KEY)
     for table, verdict in verdicts.items():
         fresh = verdict.join(missing, RUN_KEY, "left_semi")
         typed.append_rows(payloads.accepted_rows(fresh, CONTRACTS[table]), paths[table], CONTRACTS[table].schema)
+    new = new.select(*INGESTION_RUNS_SCHEMA.names)
+    waiting = dispositions.where(F.col("disposition") == incremental.WAITING).select(*RUN_KEY)
+    late = batch.join(waiting, RUN_KEY, "left_semi").join(held.select(*RUN_KEY), RUN_KEY, "left_anti")
+    typed.append_waiting(late, tables_root)
     typed.append_rows(new, paths["ingestion_runs"], INGESTION_RUNS_SCHEMA)
-    return new, quarantine
+    return LoadResult(new, quarantine, dispositions)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -222,13 +254,14 @@ def refresh(
 ) -> RefreshResult:
     """Full refresh: load every dataset, rebuild the relations, check and monitor."""
     root = root.rstrip("/")
-    registered, quarantine = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
+    loaded = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
     sources = typed.read_source_tables(spark, f"{root}/source")
     relations = build_relations(sources, identities, metrics, f"{root}/warehouse")
     series = macro_series(spark)
     return RefreshResult(
-        registered=registered,
-        quarantine=quarantine,
+        registered=loaded.registered,
+        quarantine=loaded.quarantine,
+        dispositions=loaded.dispositions,
         relations=relations,
         checks=quality.summary({**run_source_checks(sources), **run_checks(relations, expected_identities)}),
         signals=monitor(sources, as_of, identities, series),

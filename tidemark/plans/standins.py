@@ -7,39 +7,18 @@ runs they arrived in, events are macro observations.  Every row of every table i
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidemark import schemas as S
 from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
-from tidemark.session import cut_lineage
-
-
-#: Tables worth spreading: everything heavy starts from one of these.
-_LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
-_SCANS: dict[tuple[str, int], tuple[StructType, bool]] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A sample table, read by all cores.
-
-    A sample file is a single row group, which one task would read and process alone
-    while the other cores wait.  Only such scans with fewer splits than cores are spread
-    out; anything larger keeps its splits and is not shuffled.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    path = f"{sf_dir}/{name}.parquet"
-    if (path, cores) not in _SCANS:
-        # Schema and number of splits are read from the files once.
-        found = spark.read.parquet(path)
-        _SCANS[path, cores] = (found.schema, name in _LARGE and found.rdd.getNumPartitions() < cores)
-    schema, few_splits = _SCANS[path, cores]
-    df = spark.read.schema(schema).parquet(path)
-    return df.repartition(cores, _LARGE[name]) if few_splits else df
+    """A sample table as it is stored."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(column: str) -> Column:
@@ -253,15 +232,9 @@ class SourceTables(Mapping):
         return len(self.BUILDERS)
 
 
-def relations(spark: SparkSession, sf_dir: str, stored: Collection[str] = ()) -> Relations:
-    """The modelled relations; those named in ``stored`` are computed once and kept."""
-    return Relations(
-        SourceTables(spark, sf_dir),
-        company_identities(spark, sf_dir),
-        financial_metrics(spark),
-        keep=lambda name, df: cut_lineage(df),
-        stored=stored,
-    )
+def relations(spark: SparkSession, sf_dir: str) -> Relations:
+    """The modelled relations over the sample tables."""
+    return Relations(SourceTables(spark, sf_dir), company_identities(spark, sf_dir), financial_metrics(spark))
 
 
 # --- payloads built from the sample rows ----------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -34,15 +32,14 @@ def pin(spark: SparkSession) -> SparkSession:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a frame that several consumers read.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so the data
-    survives a lost executor.  Only a session without that setting (a local test) gets
-    a folder of its own.
+    The folder is the one the session names in ``spark.checkpoint.dir``, so the data
+    survives a lost executor.  Without that setting the cut is refused.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+        if shared is None:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared)
     return df.checkpoint()

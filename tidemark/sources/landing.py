@@ -44,11 +44,12 @@ def read_payload_files(spark: SparkSession, root: str, source: str, dataset: str
 
 
 def write_payload_files(
-    payloads: DataFrame, root: str, source: str, dataset: str, *, existing: DataFrame | None = None
+    payloads: DataFrame, root: str, source: str, dataset: str, *, existing: DataFrame | None
 ) -> None:
     """Payloads of one dataset as one file per run in its run directory.
 
-    For feeds with few, large payloads.  Many small ones belong into the payload table:
+    ``existing`` has the payloads already there (None for a new root).  For feeds with few,
+    large payloads.  Many small ones belong into the payload table:
     a directory per run makes every later listing as long as the history.
     """
     mine = payloads.where((F.col("source") == source) & (F.col("dataset") == dataset))
@@ -63,16 +64,20 @@ def read_payload_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_SCHEMA).parquet(path)
 
 
-def append_payloads(payloads: DataFrame, path: str, *, existing: DataFrame | None = None) -> None:
+def append_payloads(payloads: DataFrame, path: str) -> None:
     """Append payload rows; a run that already has a payload is never overwritten.
 
-    Only the run keys of both sides are compared.  The rebalance hint lets adaptive
+    Only the run keys of both sides are compared, in the partitions of the new payloads.  The rebalance hint lets adaptive
     execution size the files: small partitions are merged and a partition that holds
     most of the bytes is split over several tasks.
     """
     payloads = require_schema(payloads.select(*LANDING_SCHEMA.names), LANDING_SCHEMA, what="landing")
-    _refuse_existing(payloads, existing)
     keys = ["source", "dataset", "ingestion_date"]
+    spark = payloads.sparkSession
+    # An empty append creates the folder, so that the first load is like any other.
+    spark.createDataFrame([], LANDING_SCHEMA).write.mode("append").partitionBy(*keys).parquet(path)
+    days = payloads.select(*keys).distinct()
+    _refuse_existing(payloads, read_payload_table(spark, path).join(days, keys, "left_semi"))
     payloads.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 

@@ -3,23 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, require_schema
+from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, LANDING_SCHEMA, RUN_KEY, require_schema
 
-PARTITION = ["source", "dataset"]
+WAITING = "_waiting"
+
+#: Values that no row holds, by type, as SQL.
+SENTINELS = {
+    "boolean": "CAST(NULL AS BOOLEAN)",
+    "integer": "-2147483648",
+    "long": "-9223372036854775807L",
+    "decimal": "-99999999999999999999",
+    "date": "DATE'0001-01-01'",
+    "timestamp": "TIMESTAMP'0001-01-01 00:00:00'",
+}
 
 
 def read_table(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """Scan a stored table after comparing the schema in its files with the contract.
 
-    Reading with the contract alone would hide a column that is missing from the files
-    (it would read as NULL), so the stored schema is checked first.
+    Reading with the contract alone would hide a column that is missing from a file (it
+    would read as NULL), so the stored schema is checked first, merged over all files.
+    ``incomplete_files`` finds single files that lack a column.
     """
-    stored = spark.read.parquet(path)
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
     return require_schema(stored.select(*_in_contract_order(stored, contract)), contract, what=path)
 
 
+def incomplete_files(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    """Files without a column of the contract: file and column.
+
+    A scan fills a column that a file lacks with the column's default.  The probe reads the
+    table with a default that no row holds, so every hit names an incomplete file; files
+    that have the column are skipped by their statistics.
+    """
+    mark = "no such column"
+    texts = [f for f in contract.fields if isinstance(f.dataType, T.StringType)]
+    others = [f for f in contract.fields if f not in texts]
+    fields = [T.StructField(f.name, f.dataType, True, {"EXISTS_DEFAULT": f"'{mark}'"}) for f in texts]
+    # Columns of other types are read as they are; their sentinel is a value of the type.
+    for f in others:
+        fields.append(T.StructField(f.name, f.dataType, True, {"EXISTS_DEFAULT": SENTINELS[f.dataType.typeName()]}))
+    probe = spark.read.schema(T.StructType(fields)).parquet(path)
+    hits = [
+        F.when(F.col(f.name) == F.expr(f.metadata["EXISTS_DEFAULT"]).cast(f.dataType), F.lit(f.name)) for f in fields
+    ]
+    lacking = F.array_compact(F.array(*hits))
+    return probe.select(F.input_file_name().alias("file"), F.explode(lacking).alias("column")).distinct()
+
+
 def _in_contract_order(stored: DataFrame, contract: T.StructType) -> list[str]:
     # Partition columns come last in a scan; the order of the others is kept.
     known = [c for c in contract.names if c in stored.columns]
@@ -51,6 +85,18 @@ def create_source_tables(spark: SparkSession, root: str) -> dict[str, str]:
     return paths
 
 
+def waiting_payloads(spark: SparkSession, root: str, registry: DataFrame) -> DataFrame:
+    """Payloads stored while they wait for their other half, without those loaded since."""
+    path = f"{root.rstrip('/')}/{WAITING}"
+    spark.createDataFrame([], LANDING_SCHEMA).write.mode("ignore").parquet(path)
+    held = spark.read.schema(LANDING_SCHEMA).parquet(path)
+    return held.join(registry.select(*RUN_KEY), RUN_KEY, "left_anti")
+
+
+def append_waiting(payloads: DataFrame, root: str) -> None:
+    payloads.select(*LANDING_SCHEMA.names).write.mode("append").parquet(f"{root.rstrip('/')}/{WAITING}")
+
+
 def read_source_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     schemas = {"ingestion_runs": INGESTION_RUNS_SCHEMA, **{c.name: c.schema for c in CONTRACTS.values()}}
     return {name: read_table(spark, f"{root.rstrip('/')}/{name}", schema) for name, schema in schemas.items()}

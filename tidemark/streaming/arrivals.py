@@ -4,7 +4,8 @@ The engine itself is batch.  A scheduled refresh still has to know which payload
 new; the file source keeps that in its checkpoint, so a run reads only files that
 arrived since the last one and stops when it has caught up.  Every micro-batch goes
 through the ordinary ``load``; repeating a batch after a failure is an exact replay and
-adds nothing.
+adds nothing.  Half of a pair that arrives in an earlier batch than the other is stored and
+taken up again, so ``files_per_batch`` only sets how much is read at a time.
 """
 
 from __future__ import annotations

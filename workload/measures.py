@@ -168,7 +168,7 @@ SELECT CAST(trading_date AS VARCHAR) AS trading_date, CAST(market_close AS DOUBL
   CAST(macro_observation_date AS VARCHAR) AS macro_observation_date, macro_age_days AS macro_observation_age FROM m
 """)
 def macro_measures_per_day(spark, sf):
-    relations = R(spark, sf, stored=MARTS)
+    relations = R(spark, sf)
     return M.measure_query(
         relations.mart_market_macro, "macro",
         ["market_close", "macro_value", "macro_observation_date", "macro_observation_age"],
@@ -182,7 +182,7 @@ SELECT CAST(macro_observation_date AS VARCHAR) AS macro_observation_date, count(
 FROM m GROUP BY 1
 """)
 def observation_reuse(spark, sf):
-    return M.observation_reuse(R(spark, sf, stored=["mart_market_macro"]).mart_market_macro, filters=_MACRO_FILTERS)
+    return M.observation_reuse(R(spark, sf).mart_market_macro, filters=_MACRO_FILTERS)
 
 
 @query("detail_prices", """
@@ -215,8 +215,8 @@ def detail_market_macro(spark, sf):
 
 
 def _report(spark, sf):
-    """The three marts, kept: the report reads each of them several times."""
-    relations = R(spark, sf, stored=MARTS)
+    """The three marts."""
+    relations = R(spark, sf)
     return (
         relations.mart_company_daily_performance,
         relations.mart_company_financial_growth,

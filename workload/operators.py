@@ -21,8 +21,8 @@ R = standins.relations
 
 @query("asof_join", """
 WITH d AS (
-  SELECT event_type AS series, CAST(ts AS DATE) AS day, value, event_id FROM events
-  WHERE event_type <> 'purchase' AND day(ts) % 4 = 2),
+  SELECT event_type AS series, CAST(ts AS DATE) - CAST(day(ts) % 4 AS INTEGER) AS day, value, event_id FROM events
+  WHERE event_type <> 'purchase'),
 s AS (SELECT series, day, arg_max(CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id END, event_id) AS dummy,
   max(event_id) AS last_id FROM d GROUP BY series, day),
 m AS (SELECT s.series, s.day, CASE WHEN s.last_id % 5 = 0 THEN NULL ELSE d.value END AS value
@@ -34,22 +34,28 @@ SELECT p.user_id, CAST(p.day AS VARCHAR) AS day, p.series, CAST(m.day AS VARCHAR
 FROM p ASOF LEFT JOIN m ON p.series = m.series AND p.day >= m.day
 """)
 def asof_join(spark, sf):
-    """Purchases against the last value of every other event type, NULL values kept."""
+    """Purchases against the last value of every other event type, NULL values kept.
+
+    The other events move to the first of four days, so that most days have none.
+    """
     events = table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", "value", F.col("ts").cast("date").alias("day")
     )
-    others = events.where((F.col("event_type") != "purchase") & (F.dayofmonth("day") % 4 == 2))
+    others = events.where(F.col("event_type") != "purchase").withColumn(
+        "day", F.date_sub("day", F.dayofmonth("day") % 4)
+    )
     series = (
         others.groupBy(F.col("event_type").alias("series"), "day")
         .agg(F.max_by(F.struct("event_id", "value"), "event_id").alias("last"))
         .select("series", F.col("day").alias("at"), F.when(F.col("last.event_id") % 5 != 0, F.col("last.value")).alias("value"))
     )
-    names = [F.lit(n) for n in ("view", "signup", "click", "error")]
+    # One array of series names; there are only as many as event types.
+    names = series.agg(F.collect_set("series")).scalar()
     probes = (
         events.where(F.col("event_type") == "purchase")
         .select("user_id", "day")
         .distinct()
-        .select("*", F.explode(F.array(*names)).alias("series"))
+        .select("*", F.explode(names).alias("series"))
     )
     joined = timeseries.asof_join(
         probes, series, by=["series"], left_on="day", right_on="at",
@@ -156,24 +162,22 @@ def null_safe_difference(spark, sf):
 
 
 @query("set_difference", """
-SELECT l_partkey AS part FROM lineitem EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40
+SELECT l_partkey AS part FROM lineitem EXCEPT SELECT l_partkey - l_partkey % 2 FROM lineitem
 """)
 def set_difference(spark, sf):
     lines = table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "part")
-    returned = lines.where("l_returnflag = 'R' AND l_quantity > 40")
-    return relational.set_difference(lines, returned, ["part"])
+    even = lines.withColumn("part", F.col("part") - F.col("part") % 2)
+    return relational.set_difference(lines, even, ["part"])
 
 
 @query("anti_join", """
 SELECT s_suppkey, s_name FROM supplier s
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = s.s_suppkey AND l.l_discount = 0 AND l.l_tax = 0 AND l.l_quantity > 49)
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey - l.l_suppkey % 3 = s.s_suppkey)
 """)
 def anti_join(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_discount = 0 AND l_tax = 0 AND l_quantity > 49")
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    return relational.outside_tuples(
-        supplier, lines.select(F.col("l_suppkey").alias("s_suppkey")), ["s_suppkey"]
-    )
+    thirds = (F.col("l_suppkey") - F.col("l_suppkey") % 3).alias("s_suppkey")
+    return relational.outside_tuples(supplier, table(spark, sf, "lineitem").select(thirds), ["s_suppkey"])
 
 
 # --- incremental refresh --------------------------------------------------------

@@ -28,11 +28,11 @@ def rejected(spark, sf, name):
 
 # Fixed by the planted violations: the first broken rule in check order.
 _PRICE_REASON = """
-CASE WHEN o_custkey % 23 = 0 THEN 'payload must be a strict JSON object'
-  WHEN o_custkey % 19 = 0 THEN 'provider symbol does not match expected symbol'
-  WHEN o_custkey % 11 = 0 THEN 'meta.interval must be 1day'
-  WHEN o_orderkey % 4 >= 1 AND o_custkey % 17 = 0 THEN 'high must be greater than or equal to low'
-  WHEN o_orderkey % 4 >= 2 AND o_custkey % 13 = 0 THEN 'duplicate trading date in payload' END
+CASE WHEN o_custkey % 23 = 0 THEN 'not exactly one strict JSON object'
+  WHEN o_custkey % 19 = 0 THEN 'symbol is not the one asked for'
+  WHEN o_custkey % 11 = 0 THEN 'meta.interval differs from 1day'
+  WHEN o_orderkey % 4 >= 1 AND o_custkey % 17 = 0 THEN 'high lies below low'
+  WHEN o_orderkey % 4 >= 2 AND o_custkey % 13 = 0 THEN 'trading date comes twice' END
 """
 _PRICE_ROWS = f"""
 SELECT {_ORDER_RUN} AS run_id, CAST(i AS BIGINT) AS source_row_number, 'C' || CAST(o_custkey AS VARCHAR) AS symbol,
@@ -76,8 +76,8 @@ def strict_payload_scan(spark, sf):
 
 _FILING_REASON = """
 CASE WHEN o_custkey = 0 THEN 'expected cik is invalid'
-  WHEN o_custkey % 13 = 0 THEN 'filings.recent arrays must have equal lengths'
-  WHEN o_orderkey % 3 >= 1 AND o_custkey % 17 = 0 THEN 'size must be a non-negative integer' END
+  WHEN o_custkey % 13 = 0 THEN 'filings.recent has lists of different lengths'
+  WHEN o_orderkey % 3 >= 1 AND o_custkey % 17 = 0 THEN 'size has to be a whole number, zero or more' END
 """
 
 
@@ -109,8 +109,8 @@ def filing_payload_quarantine(spark, sf):
 _FACT_REASON = """
 CASE WHEN o_custkey = 0 THEN 'expected cik is invalid'
   WHEN o_custkey % 19 = 0 THEN 'payload.cik is invalid'
-  WHEN o_orderkey % 3 >= 1 AND o_custkey % 13 = 0 THEN 'start must not be after end'
-  WHEN o_orderkey % 3 >= 1 AND o_custkey % 17 = 0 THEN 'accn must use XXXXXXXXXX-YY-ZZZZZZ format' END
+  WHEN o_orderkey % 3 >= 1 AND o_custkey % 13 = 0 THEN 'start lies after end'
+  WHEN o_orderkey % 3 >= 1 AND o_custkey % 17 = 0 THEN 'accn is no accession number' END
 """
 
 
@@ -142,9 +142,9 @@ def fact_payload_quarantine(spark, sf):
 
 
 _SERIES_REASON = """
-CASE WHEN c_custkey % 19 = 0 THEN 'seriess must contain exactly one series'
-  WHEN c_custkey % 13 = 0 THEN 'realtime_start must not be after realtime_end'
-  WHEN c_custkey % 17 = 0 THEN 'last_updated must include a timezone' END
+CASE WHEN c_custkey % 19 = 0 THEN 'seriess holds none or several series'
+  WHEN c_custkey % 13 = 0 THEN 'realtime_start lies after realtime_end'
+  WHEN c_custkey % 17 = 0 THEN 'last_updated lacks an offset' END
 """
 _CUSTOMER_RUN = "'20240101T' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') || 'Z'"
 
@@ -176,9 +176,9 @@ SELECT *, '20240101T' || lpad(CAST(event_id AS VARCHAR), 12, '0') || 'Z' AS run_
   CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) % 4 AS n FROM events
 """
 _OBS_REASON = """
-CASE WHEN n >= 1 AND user_id % 13 = 0 THEN 'realtime_start must not be after realtime_end'
-  WHEN n >= 1 AND user_id % 17 = 0 THEN 'value must be a finite decimal string'
-  WHEN n >= 2 AND user_id % 19 = 0 THEN 'duplicate observation occurrence' END
+CASE WHEN n >= 1 AND user_id % 13 = 0 THEN 'realtime_start lies after realtime_end'
+  WHEN n >= 1 AND user_id % 17 = 0 THEN 'value is no finite decimal'
+  WHEN n >= 2 AND user_id % 19 = 0 THEN 'observation comes twice' END
 """
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
+from tidemark.operators.timeseries import day_bounds
 from tidemark.plans import standins
 from tidemark.schemas import FACT_GRAIN
-from tidemark.session import cut_lineage
 from workload.registry import query
 
 table = standins.table
@@ -46,45 +46,49 @@ def accepted_values(spark, sf):
 
 @query("referential_orphans", """
 SELECT o_custkey, count(*) AS row_count FROM orders o
-WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0) GROUP BY 1
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE CASE WHEN c.c_acctbal > 0 THEN c.c_custkey ELSE -1 - c.c_custkey END = o.o_custkey)
+GROUP BY 1
 """)
 def referential_orphans(spark, sf):
-    solvent = table(spark, sf, "customer").where("c_acctbal > 0")
-    return Q.orphans(table(spark, sf, "orders"), solvent, ["o_custkey"], ["c_custkey"])
+    key = F.col("c_custkey")
+    moved = table(spark, sf, "customer").select(F.when(F.col("c_acctbal") > 0, key).otherwise(-1 - key).alias("c_custkey"))
+    return Q.orphans(table(spark, sf, "orders"), moved, ["o_custkey"], ["c_custkey"])
+
+
+def _order_days(spark, sf, step):
+    """The days of all orders, moved back so that only every ``step``-th of a month is left."""
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, sf, "orders").select(F.date_sub(day, F.dayofmonth(day) % step).alias("date_day"))
 
 
 @query("uncovered_days", """
 SELECT DISTINCT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date_day FROM lineitem
-WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT')
+WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) - CAST(day(o_orderdate) % 3 AS INTEGER) FROM orders)
 """)
 def uncovered_days(spark, sf):
     lines = table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
-    days = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
-        F.col("o_orderdate").cast("date").alias("date_day")
-    )
-    return Q.uncovered_days(lines, "day", days)
+    return Q.uncovered_days(lines, "day", _order_days(spark, sf, 3))
 
 
 @query("calendar_gaps", """
 SELECT CAST(d AS VARCHAR) AS date_day FROM (
   SELECT d, lead(d) OVER (ORDER BY d) AS nxt FROM (
-    SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'))
+    SELECT DISTINCT CAST(o_orderdate AS DATE) - CAST(day(o_orderdate) % 3 AS INTEGER) AS d FROM orders))
 WHERE nxt IS NOT NULL AND nxt <> d + 1
 """)
 def calendar_gaps(spark, sf):
-    days = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
-    return Q.calendar_gaps(days.select(F.col("o_orderdate").cast("date").alias("date_day")).distinct())
+    return Q.calendar_gaps(_order_days(spark, sf, 3).distinct())
 
 
 @query("identity_invariants", """
 WITH i AS (
   SELECT CASE WHEN s_nationkey = 3 THEN 'SHARED' ELSE company_key END AS company_key, current_ticker, source_cik,
     CASE WHEN s_nationkey = 7 THEN TRUE ELSE is_current_registrant END AS cur FROM x_identity)
-SELECT company_key AS entity_id, 'company_key must have exactly one current registrant' AS failure_reason
+SELECT company_key AS entity_id, 'a company needs one current registrant, no more and no fewer' AS failure_reason
 FROM i GROUP BY 1 HAVING count(*) FILTER (cur) <> 1
-UNION ALL SELECT current_ticker, 'current_ticker maps to multiple current company_keys'
+UNION ALL SELECT current_ticker, 'several companies trade under this ticker today'
 FROM i WHERE cur GROUP BY 1 HAVING count(DISTINCT company_key) > 1
-UNION ALL SELECT source_cik, 'source_cik belongs to multiple company_keys' FROM i GROUP BY 1 HAVING count(DISTINCT company_key) > 1
+UNION ALL SELECT source_cik, 'registrant is assigned to several companies' FROM i GROUP BY 1 HAVING count(DISTINCT company_key) > 1
 """)
 def identity_invariants(spark, sf):
     supplier = table(spark, sf, "supplier")
@@ -140,18 +144,18 @@ e AS (SELECT *, lag(end_date) OVER w AS xd, lag(current_value) OVER w AS xv FROM
   WINDOW w AS (PARTITION BY company_key, metric_key, unit ORDER BY end_date)),
 k AS (SELECT *, coalesce(end_date - xd BETWEEN 350 AND 380, FALSE) AS annual, current_value - xv AS diff FROM e),
 r AS (SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, unnest([
-  CASE WHEN previous_end_date IS DISTINCT FROM xd THEN 'stored previous_end_date does not match expected lag(end_date)' END,
-  CASE WHEN previous_value IS DISTINCT FROM xv THEN 'stored previous_value does not match expected lag(current_value)' END,
+  CASE WHEN previous_end_date IS DISTINCT FROM xd THEN 'previous period end is not that of the period before' END,
+  CASE WHEN previous_value IS DISTINCT FROM xv THEN 'previous value is not that of the period before' END,
   CASE WHEN xd IS NULL AND coalesce(CAST(previous_end_date AS VARCHAR), CAST(previous_value AS VARCHAR), CAST(absolute_change AS VARCHAR),
-    CAST(growth_rate AS VARCHAR)) IS NOT NULL THEN 'first observation must have all previous and derived growth fields null' END,
-  CASE WHEN annual AND absolute_change IS DISTINCT FROM diff THEN 'consecutive comparison has incorrect absolute_change' END,
+    CAST(growth_rate AS VARCHAR)) IS NOT NULL THEN 'a first period cannot be compared with anything' END,
+  CASE WHEN annual AND absolute_change IS DISTINCT FROM diff THEN 'change over one year is not the difference of the values' END,
   CASE WHEN annual AND xv <> 0 AND growth_rate IS DISTINCT FROM CAST(diff AS DOUBLE) / abs(CAST(xv AS DOUBLE))
-    THEN 'consecutive comparison with non-zero previous_value has incorrect growth_rate' END,
+    THEN 'growth over one year is not the change over the size of the base' END,
   CASE WHEN annual AND xv = 0 AND NOT (growth_rate IS NULL AND absolute_change IS NOT DISTINCT FROM current_value)
-    THEN 'consecutive comparison with zero previous_value must have null growth_rate' END,
+    THEN 'growth on a base of zero must stay empty' END,
   CASE WHEN xd IS NOT NULL AND NOT annual AND (coalesce(previous_end_date <> xd, FALSE) OR coalesce(previous_value <> xv, FALSE)
     OR absolute_change IS NOT NULL OR growth_rate IS NOT NULL)
-    THEN 'non-consecutive period must retain previous fields but have null absolute_change and growth_rate' END]) AS failure_reason FROM k)
+    THEN 'periods a gap apart keep the previous period but no change or growth' END]) AS failure_reason FROM k)
 SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
 def growth_metric_violations(spark, sf):
@@ -179,11 +183,11 @@ best AS (SELECT company_key, metric_key, end_date, unit, max((filed_date, access
   FROM x_candidates GROUP BY 1, 2, 3, 4),
 r AS (SELECT company_key, metric_key, CAST(end_date AS VARCHAR) AS end_date, unit, unnest([
   CASE WHEN NOT coalesce(list_contains(filings, source_cik || ' ' || accession_number), FALSE)
-    THEN 'selected fact does not match qualifying annual source occurrence in fact_financial_reported' END,
+    THEN 'no annual fact of the company stands behind the row' END,
   CASE WHEN form NOT LIKE '10-K%' OR CASE period_type WHEN 'instant' THEN start_date IS NOT NULL
       ELSE coalesce(end_date - start_date NOT BETWEEN 350 AND 380, TRUE) END
-    THEN 'invalid form or period shape in mart columns' END,
-  CASE WHEN top > (filed_date, accession_number) THEN 'lower-ranked filing selected over higher-ranked candidate' END]) AS failure_reason
+    THEN 'form or period length is not annual' END,
+  CASE WHEN top > (filed_date, accession_number) THEN 'a later filing reports the same period' END]) AS failure_reason
   FROM t LEFT JOIN best USING (company_key, metric_key, end_date, unit))
 SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
@@ -213,9 +217,9 @@ e AS (SELECT t.*, m.observation_date AS xd, m.value AS xv FROM t
 
 
 def _tampered(relations):
-    """The mart as a stored relation, which checks read more than once."""
+    """The mart with planted violations."""
     volume, day = F.col("market_volume"), F.col("macro_observation_date")
-    planted = relations.mart_market_macro.select(
+    return relations.mart_market_macro.select(
         "company_key", "trading_date", "series_id",
         F.when(volume == 11, F.date_sub(day, 1))
         .when(volume == 12, F.date_add("trading_date", 1))
@@ -225,33 +229,37 @@ def _tampered(relations):
         F.when(volume == 14, (F.col("macro_value") + 1).cast("decimal(38,10)")).otherwise(F.col("macro_value")).alias("macro_value"),
         F.when(volume == 15, -F.col("macro_age_days") - 1).otherwise(F.col("macro_age_days")).alias("macro_age_days"),
     )
-    return cut_lineage(planted)
+
+
+def _trading_days(relations):
+    """Bounds that hold every trading date of the mart, from the much smaller prices."""
+    return day_bounds(relations.stg_market_prices, "trading_date")
 
 
 @query("alignment_violations", _TAMPERED + """,
 r AS (SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, unnest([
-  CASE WHEN xd IS DISTINCT FROM macro_observation_date THEN 'stored observation date is not the latest eligible reference date' END,
-  CASE WHEN trading_date < macro_observation_date THEN 'stored observation date occurs after the trading date' END,
-  CASE WHEN macro_observation_date < xd THEN 'a later eligible macro observation exists' END,
+  CASE WHEN xd IS DISTINCT FROM macro_observation_date THEN 'observation in force on the day is another one' END,
+  CASE WHEN trading_date < macro_observation_date THEN 'observation lies in the future of the day' END,
+  CASE WHEN macro_observation_date < xd THEN 'a more recent observation was known' END,
   CASE WHEN macro_observation_date IS NOT NULL AND (coalesce(macro_age_days, -1) < 0 OR macro_observation_date + CAST(macro_age_days AS INTEGER) <> trading_date)
-    THEN 'macro age is not the exact non-negative reference-date age' END,
+    THEN 'age differs from the days since the observation' END,
   CASE WHEN xd IS NULL AND coalesce(CAST(macro_observation_date AS VARCHAR), CAST(macro_value AS VARCHAR), CAST(macro_age_days AS VARCHAR)) IS NOT NULL
-    THEN 'rows without an eligible observation must have all aligned fields null' END]) AS failure_reason FROM e)
+    THEN 'nothing was observed yet, but the row carries values' END]) AS failure_reason FROM e)
 SELECT * FROM r WHERE failure_reason IS NOT NULL
 """)
 def alignment_violations(spark, sf):
     relations = R(spark, sf)
-    return Q.alignment_violations(_tampered(relations), relations.fact_macro_observation)
+    return Q.alignment_violations(_tampered(relations), relations.fact_macro_observation, _trading_days(relations))
 
 
 @query("preservation_violations", _TAMPERED + """
 SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id,
-  'latest eligible source date or value was not preserved' AS failure_reason FROM e
+  'date or value differs from the observation in force' AS failure_reason FROM e
 WHERE (macro_observation_date, macro_value) IS DISTINCT FROM (xd, xv)
 """)
 def preservation_violations(spark, sf):
     relations = R(spark, sf)
-    return Q.preservation_violations(_tampered(relations), relations.fact_macro_observation)
+    return Q.preservation_violations(_tampered(relations), relations.fact_macro_observation, _trading_days(relations))
 
 
 @query("grid_violations", """
@@ -259,11 +267,11 @@ WITH a AS (SELECT company_key, CASE WHEN market_volume = 22 THEN trading_date +
   FROM x_aligned WHERE market_volume IS DISTINCT FROM 21 OR series_id <> 'VIEW'),
 x AS (SELECT company_key, trading_date, series_id FROM x_aligned)
 SELECT company_key, CAST(trading_date AS VARCHAR) AS trading_date, series_id, failure_reason FROM (
-  SELECT *, 'missing expected market-series grid row' AS failure_reason FROM (SELECT * FROM x EXCEPT SELECT * FROM a)
-  UNION ALL SELECT *, 'unexpected market-series grid row' FROM (SELECT * FROM a EXCEPT SELECT * FROM x))
+  SELECT *, 'series is missing on a traded day' AS failure_reason FROM (SELECT * FROM x EXCEPT SELECT * FROM a)
+  UNION ALL SELECT *, 'row is not part of the grid' FROM (SELECT * FROM a EXCEPT SELECT * FROM x))
 """)
 def grid_violations(spark, sf):
-    relations = R(spark, sf, stored=["mart_company_daily_performance"])
+    relations = R(spark, sf)
     volume = F.col("market_volume")
     planted = relations.mart_market_macro.where(
         ~(volume.eqNullSafe(F.lit(21)) & (F.col("series_id") == "VIEW"))
@@ -271,9 +279,7 @@ def grid_violations(spark, sf):
         "company_key", "series_id",
         F.when(volume == 22, F.date_add("trading_date", 20000)).otherwise(F.col("trading_date")).alias("trading_date"),
     )
-    return Q.grid_violations(
-        relations.mart_company_daily_performance, relations.dim_macro_series, cut_lineage(planted)
-    )
+    return Q.grid_violations(relations.mart_company_daily_performance, relations.dim_macro_series, planted)
 
 
 @query("row_check_violations", """
