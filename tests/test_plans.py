@@ -5,9 +5,9 @@ from datetime import date
 
 import pytest
 
-from __spark_entry__ import queries
 from tidemark.operators import incremental, measures
 from tidemark.plans import standins
+from workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,21 +18,21 @@ def plan_of(df, capsys, mode="formatted"):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_products_and_no_python(spark, capsys, name):
-    text = plan_of(queries()[name](spark, SF_DIR), capsys)
+    text = plan_of(QUERIES[name](spark, SF_DIR), capsys)
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "Python", "Pandas", "ExistingRDD[company_key"):
         assert operator not in text
 
 
 @pytest.mark.parametrize("name", ["stg_market_prices", "stg_financial_facts", "stg_macro_observations", "dim_company", "newest_two_per_group"])
 def test_newest_rows_are_picked_before_the_shuffle(spark, capsys, name):
-    text = plan_of(queries()[name](spark, SF_DIR), capsys, "simple")
+    text = plan_of(QUERIES[name](spark, SF_DIR), capsys, "simple")
     assert re.search(r"WindowGroupLimit.*?Partial", text) and re.search(r"WindowGroupLimit.*?Final", text)
 
 
 def test_scan_reads_only_needed_columns(spark, capsys):
-    text = plan_of(queries()["watermarks"](spark, SF_DIR), capsys)
+    text = plan_of(QUERIES["watermarks"](spark, SF_DIR), capsys)
     schemas = re.findall(r"ReadSchema: struct<(.*?)>", text)
     assert schemas == ["l_orderkey:bigint,l_suppkey:bigint,l_shipdate:timestamp_ntz"] or schemas == [
         "l_suppkey:bigint,l_shipdate:timestamp_ntz"

@@ -58,7 +58,7 @@ def test_payload_files_round_trip(spark, tmp_path):
 
 def test_written_payload_files_read_back(spark, tmp_path):
     both = X.landing(spark, [(S.PRICES, e, X.RUN_1, X.prices(e)) for e in ("A", "B")] + [(S.SUBMISSIONS, "1", X.RUN_1, X.submissions())])
-    landing.write_payload_files(both, str(tmp_path), *S.PRICES)
+    landing.write_payload_files(both, str(tmp_path), *S.PRICES, existing=None)
     back = landing.read_payload_files(spark, str(tmp_path), *S.PRICES)
     assert {(r.entity, r.ingested_at, r.payload.rstrip()) for r in back.collect()} == {
         (r.entity, r.ingested_at, r.payload) for r in both.where("dataset = 'daily_market_prices'").collect()

@@ -36,15 +36,25 @@ def mart_company_daily_performance(
     """Prices of current registrants with previous close, change and return.
 
     The lag runs over the company, across registrants if the crosswalk should list several
-    current ones.  Names are joined before it; the list of companies is short.
+    current ones.  The names of a company's registrants come as one map per company, so the
+    join shares the window's shuffle.
     """
     current = identities.where("is_current_registrant").select(
         "company_key", "current_ticker", F.col("source_cik").alias("current_cik")
     )
     names = companies.select(F.col("cik").alias("current_cik"), F.col("entity_name").alias("company_name"))
-    named = current.join(names, "current_cik", "inner")
-    observed = fact_market.join(named, fact_market["symbol"] == named["current_ticker"], "inner").drop("symbol")
-    lagged = with_previous(observed, ["company_key"], "trading_date", {"previous_close": "close"})
+    by_company = (
+        current.join(names, "current_cik", "inner")
+        .groupBy("company_key")
+        .agg(F.map_from_entries(F.collect_set(F.struct("current_cik", "company_name"))).alias("_names"))
+    )
+    observed = fact_market.join(current, fact_market["symbol"] == current["current_ticker"], "inner").drop("symbol")
+    lagged = (
+        with_previous(observed, ["company_key"], "trading_date", {"previous_close": "close"})
+        .join(by_company, "company_key", "inner")
+        .where(F.map_contains_key("_names", F.col("current_cik")))
+        .withColumn("company_name", F.element_at("_names", F.col("current_cik")))
+    )
     return lagged.select(
         "company_key",
         "current_ticker",

@@ -366,6 +366,60 @@ def paired_load_states(spark, sf):
     return incremental.classify_pairs(states, "submissions", "company_facts", "sec_edgar").drop("source")
 
 
+@query("load_dispositions", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus = 'O' AS fresh FROM orders),
+h AS (SELECT *, c % 9 <> 0 AS other, c % 9 <> 0 AND c % 17 = 0 AS bad,
+    CASE WHEN fresh THEN 'absent' WHEN k % 10 = 3 THEN 'mismatch' ELSE 'verified_replay' END AS s1,
+    CASE WHEN fresh OR k % 7 = 2 THEN 'absent' ELSE 'verified_replay' END AS s2,
+    CASE WHEN NOT fresh AND k % 10 = 3 THEN 'differs from the registered run in record_count'
+      WHEN fresh AND k % 5 = 1 THEN 'rows of the run are stored in part' END AS p1 FROM o),
+r AS (
+  SELECT k, 'submissions' AS dataset, s1 AS s, CASE WHEN p1 IS NOT NULL THEN p1
+      WHEN s1 = 'absent' AND NOT other THEN 'the other half has not arrived'
+      WHEN s1 = 'absent' AND bad THEN 'the other half was rejected'
+      WHEN other AND NOT bad AND k % 11 = 4 THEN 'the halves carry different instants'
+      WHEN other AND NOT bad AND s1 <> s2 THEN 'only one half is registered' END AS reason, FALSE AS bad FROM h
+  UNION ALL
+  SELECT k, 'company_facts', s2, CASE WHEN bad THEN 'unreadable' WHEN p1 IS NOT NULL THEN 'the other half was refused'
+      WHEN k % 11 = 4 THEN 'the halves carry different instants' WHEN s1 <> s2 THEN 'only one half is registered' END, bad
+  FROM h WHERE other)
+SELECT dataset, '19950101T' || lpad(CAST(k AS VARCHAR), 12, '0') || 'Z' AS run_id, reason,
+  CASE WHEN bad THEN 'quarantined' WHEN reason = 'the other half has not arrived' THEN 'waiting'
+    WHEN reason IS NOT NULL THEN 'refused' WHEN s = 'absent' THEN 'loaded' ELSE 'replayed' END AS disposition
+FROM r
+""")
+def load_dispositions(spark, sf):
+    """Every order as a pair of payloads: new, replayed, altered, half stored, alone, unreadable."""
+    orders = table(spark, sf, "orders")
+    key, fresh = F.col("o_orderkey"), F.col("o_orderstatus") == "O"
+    instant = F.col("o_orderdate").cast("date").cast("timestamp")
+    altered, partial = ~fresh & (key % 10 == 3), fresh & (key % 5 == 1)
+    unreadable = F.col("o_custkey") % 17 == 0
+
+    def side(dataset, state, mismatched, stored, at):
+        return orders.select(
+            F.lit("sec_edgar").alias("source"), F.lit(dataset).alias("dataset"), standins.order_run(key).alias("run_id"),
+            F.col("o_custkey").cast("string").alias("entity"), at.alias("ingested_at"), state.alias("state"),
+            mismatched.alias("mismatched"), stored.alias("stored_count"), F.lit(3).cast("bigint").alias("record_count"), "o_custkey",
+        )
+
+    nothing, zero = F.array().cast("array<string>"), F.lit(0).cast("bigint")
+    first = side(
+        "submissions", F.when(fresh, "absent").when(altered, "mismatch").otherwise("verified_replay"),
+        F.when(altered, F.array(F.lit("record_count"))).otherwise(nothing), F.when(partial, 1).otherwise(0).cast("bigint"), instant,
+    )
+    second = side(
+        "company_facts", F.when(fresh | (key % 7 == 2), "absent").otherwise("verified_replay"), nothing, zero,
+        F.when(key % 11 == 4, instant + F.expr("INTERVAL 1 DAY")).otherwise(instant),
+    ).where("o_custkey % 9 <> 0")
+    states = first.unionByName(second.where(~unreadable))
+    rejected = second.where(unreadable).withColumn("reason", F.lit("unreadable"))
+    found = incremental.run_dispositions(
+        states, rejected, [("sec_edgar", "submissions", "company_facts")], [S.SUBMISSIONS, S.COMPANY_FACTS]
+    )
+    return found.select("dataset", "run_id", "disposition", "reason")
+
+
 @query("paired_runs", """
 SELECT 'CUST' || CAST(o_custkey AS VARCHAR) AS entity, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 00:00:00' AS ingested_at,
   count(*) FILTER (o_orderkey % 2 = 0) AS first_runs, count(*) FILTER (o_orderkey % 2 = 1) AS second_runs,
