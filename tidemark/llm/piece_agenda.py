@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,14 @@ NEVER = np.iinfo(np.int64).max
 RESULT = "n_tokens bigint, ids binary, decoded string, agrees boolean"
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    packed_ids = array("I", ids)
+    if sys.byteorder != "little":
+        packed_ids.byteswap()
+    return packed_ids.tobytes()
+
+
 class Vocabulary:
     """Pieces, scores and the merges they allow, read from a model file."""
 
@@ -76,10 +86,8 @@ class Vocabulary:
                     keys.append(left * self.width + right)
                     into.append(i)
                     rank.append(order[sp.get_score(i)])
-        at = np.argsort(keys)
-        self.keys = np.array(keys, np.int64)[at]
-        self.into = np.array(into, np.int64)[at]
-        self.rank = np.array(rank, np.int64)[at]
+        self.into, self.rank = np.array([*into, 0], np.int64), np.array([*rank, NEVER], np.int64)
+        self._spread(np.array(keys, np.int64))
         self.merges = dict(zip(keys, zip(rank, into, strict=True), strict=True))
         self.piece_count = n
         self.only_inside = {i: s for s, i in self.symbols.items() if i >= n}
@@ -92,12 +100,41 @@ class Vocabulary:
         """Symbols of code points; negative where no piece holds the character."""
         return np.where(self.by_point[points] >= 0, self.by_point[points], -points - 1)
 
+    def _spread(self, keys: np.ndarray) -> None:
+        """A hash table with open addressing over the pairs that merge; the last entry of
+        ``rank`` stands for those that do not."""
+        self.bits = max(4, len(keys).bit_length() + 3)
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        self.entry = np.full(1 << self.bits, len(keys), np.int64)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = self.slots[at[left]] < 0
+            _, first = np.unique(at[left], return_index=True)
+            placed = np.zeros(len(left), bool)
+            placed[first] = True
+            placed &= free
+            now = left[placed]
+            self.slots[at[now]], self.entry[at[now]] = keys[now], now
+            left = left[~placed]
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (NEVER without a merge) and the piece it forms."""
-        key = left * self.width + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.rank[at], NEVER), self.into[at]
+        key = np.where((left >= 0) & (right >= 0), left * self.width + right, -1)
+        at = self._slot(key)
+        found = np.full(len(key), len(self.rank) - 1)
+        open_ = np.arange(len(key))
+        while len(open_):
+            here = self.slots[at[open_]]
+            hit = here == key[open_]
+            found[open_[hit]] = self.entry[at[open_[hit]]]
+            open_ = open_[~hit & (here >= 0)]
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+        return self.rank[found], self.into[found]
 
     def ids(self, symbols: np.ndarray) -> bytes:
         """Ids of merged symbols; what is no piece falls back to bytes."""
@@ -107,7 +144,7 @@ class Vocabulary:
                 out.append(s)
             else:
                 out.extend(self.byte_ids[b] for b in (chr(-s - 1) if s < 0 else self.only_inside[s]).encode())
-        return np.array(out, "<u4").tobytes()
+        return as_bytes(out)
 
 
 def by_heap(vocabulary: Vocabulary, symbols: list[int]) -> list[int]:
@@ -190,50 +227,57 @@ class Codec:
 
     words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
     long_word = 64
-    most_kept = 400_000
+    most_kept = 600_000
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary, self.known = vocabulary, {"\0": b""}
+        self.cuts_lines = vocabulary.by_point[ord("\n")] < 0
 
     def units(self, text: str) -> list[str]:
+        """Keys of the words of a text: without the mark of a leading space, or whole behind
+        a NUL.  A character that no piece holds ends a word, too; line feeds are cut there."""
         if not text:
             return []
-        if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
-            return text.split(" ")
-        # Words are kept without their leading space, other units with a mark in front.
-        found = self.words.findall(SPACE + text.replace(" ", SPACE))
-        return [u[1:] if u[0] == SPACE and u[1:2] not in (SPACE, "") else "\0" + u for u in found]
+        plain = "  " not in text and SPACE not in text and "\0" not in text and "\1" not in text
+        if plain and text[0] != " " and text[-1] != " " and " \n" not in text and "\n " not in text:
+            return (text.replace("\n", " \1 \0") if self.cuts_lines else text).split(" ")
+        return ["\0" + u for u in self.words.findall(SPACE + text.replace(" ", SPACE))]
 
     def learn(self, units: set[str]) -> None:
         new = list(units)
-        words = [u[1:] if u[:1] == "\0" and SPACE in u[:2] else SPACE + u for u in new]
+        words = ["\n" if u == "\1" else u[1:] if u[:1] == "\0" else SPACE + u for u in new]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
         symbols = self.vocabulary.of_points(points)
         long = sizes > self.long_word
         in_long = np.repeat(long, sizes)
         merged, counts = in_lock_step(self.vocabulary, symbols[~in_long], sizes[~long])
-        plain = bool(((merged >= 0) & (merged < self.vocabulary.piece_count)).all())
-        raw = merged.astype("<u4").tobytes() if plain else None
-        ends = np.cumsum(counts)
-        known, short = self.known, np.flatnonzero(~long)
-        for k, a, b in zip(short.tolist(), (ends - counts).tolist(), ends.tolist(), strict=True):
-            known[new[k]] = raw[4 * a : 4 * b] if plain else self.vocabulary.ids(merged[a:b])
+        ends, known = np.cumsum(counts), self.known
+        raw = merged.astype("<u4").tobytes()
+        # Words with a symbol that is no piece fall back to bytes, one by one.
+        odd = np.flatnonzero((merged < 0) | (merged >= self.vocabulary.piece_count))
+        odd = set(np.searchsorted(ends, odd, side="right").tolist())
+        places = zip(np.flatnonzero(~long).tolist(), (ends - counts).tolist(), ends.tolist(), strict=True)
+        for n, (k, a, b) in enumerate(places):
+            known[new[k]] = self.vocabulary.ids(merged[a:b]) if n in odd else raw[4 * a : 4 * b]
         for k in np.flatnonzero(long):
             own = self.vocabulary.of_points(np.array([ord(c) for c in words[k]], np.int64))
             known[new[k]] = self.vocabulary.ids(np.array(by_heap(self.vocabulary, own.tolist()), np.int64))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids with begin and end."""
-        split = [self.units(t) for t in texts]
         if len(self.known) > self.most_kept:
-            self.known.clear()
-        new = {u for units in split for u in units if u not in self.known}
-        if new:
-            self.learn(new)
-        begin, end = (np.array([i], "<u4").tobytes() for i in (self.vocabulary.begin, self.vocabulary.end))
-        known = self.known
-        return [begin + b"".join([known[u] for u in units]) + end for units in split]
+            self.known = {"\0": b""}
+        split = [self.units(t) for t in texts]
+        look = self.known.get
+        found = [list(map(look, units)) for units in split]
+        lacking = [k for k, row in enumerate(found) if None in row]
+        if lacking:
+            self.learn({u for k in lacking for u, ids in zip(split[k], found[k], strict=True) if ids is None})
+            for k in lacking:
+                found[k] = map(look, split[k])
+        begin, end = (as_bytes([i]) for i in (self.vocabulary.begin, self.vocabulary.end))
+        return [begin + b"".join(row) + end for row in found]
 
     def decode(self, ids: bytes) -> str:
         table = self.vocabulary.as_bytes
@@ -241,7 +285,7 @@ class Codec:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def _codec_udf(model: str, at_once: int = 256):
+def _codec_udf(model: str, at_once: int = 512):
     @F.pandas_udf(RESULT)
     def code(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import os
@@ -259,7 +303,7 @@ def _codec_udf(model: str, at_once: int = 256):
                 theirs = library.encode(part, add_bos=True, add_eos=True, num_threads=1)
                 decoded = library.decode(theirs, num_threads=1)
                 for ids, listed, text in zip(mine, theirs, decoded, strict=True):
-                    wanted = np.array(listed, "<u4").tobytes()
+                    wanted = as_bytes(listed)
                     agrees = ids == wanted and codec.decode(ids) == text
                     out.append((len(listed), wanted, text, agrees))
             yield pd.DataFrame(out, columns=["n_tokens", "ids", "decoded", "agrees"])
