@@ -34,25 +34,25 @@ def done(spark, tmp_path_factory):
 def test_performance_mart(done):
     rows = done[1].relations.mart_company_daily_performance.orderBy("trading_date").collect()
     assert [(r.company_key, r.company_name, r.trading_date) for r in rows] == [
-        ("AAPL", "Apple Inc.", date(2024, 12, 30)), ("AAPL", "Apple Inc.", date(2024, 12, 31)),
+        ("AAPL", "Apple Inc.", date(2025, 1, 14)), ("AAPL", "Apple Inc.", date(2025, 1, 15)),
     ]
     first, second = rows
     assert (first.previous_close, first.daily_change, first.daily_return) == (None, None, None)
-    assert (second.previous_close, second.daily_change) == (Decimal(101), Decimal(2))
-    assert second.daily_return == pytest.approx(103 / 101 - 1)
+    assert (second.previous_close, second.daily_change) == (Decimal("52.5"), Decimal("1.05"))
+    assert second.daily_return == pytest.approx(53.55 / 52.5 - 1)
 
 
 def test_growth_mart(done):
     rows = done[1].relations.mart_company_financial_growth.orderBy("end_date").collect()
-    assert [r.current_value for r in rows] == [100, 120]
-    assert (rows[1].previous_value, rows[1].absolute_change, rows[1].growth_rate) == (100, 20, 0.2)
+    assert [r.current_value for r in rows] == [80, 100]
+    assert (rows[1].previous_value, rows[1].absolute_change, rows[1].growth_rate) == (80, 20, 0.25)
     assert rows[1].metric_key == "contract_revenue_excluding_assessed_tax"
 
 
 def test_macro_mart(done):
     rows = done[1].relations.mart_market_macro.orderBy("trading_date").collect()
     assert [(r.series_id, r.macro_observation_date, r.macro_value, r.macro_age_days) for r in rows] == [
-        ("DFF", date(2024, 12, 1), Decimal("4.5"), 29), ("DFF", date(2024, 12, 31), Decimal("4.6"), 0),
+        ("DFF", date(2024, 11, 20), Decimal("3.75"), 55), ("DFF", date(2025, 1, 15), Decimal("3.5"), 0),
     ]
 
 
@@ -72,7 +72,7 @@ def test_signals(done):
     signals = {(s.check_id, s.entity_id, s.dataset): s for s in done[1].signals.collect()}
     assert len(signals) == 6 + 5 + 6 + 6 + 5
     seen = signals["market_latest_trading_date", "AAPL", "daily_market_prices"]
-    assert [(m.name, m.value) for m in seen.measurements] == [("latest_date", "2024-12-31"), ("age_calendar_days", "61")]
+    assert [(m.name, m.value) for m in seen.measurements] == [("latest_date", "2025-01-15"), ("age_calendar_days", "46")]
     empty = signals["market_latest_trading_date", "MSFT", "daily_market_prices"]
     assert empty.status == "info" and empty.message == "No loaded Market observations for this symbol."
 
@@ -172,7 +172,7 @@ def test_empty_payload_registers_a_run_without_rows(spark, tmp_path):
 def test_daily_refresh_restates_prices(spark, tmp_path):
     run(spark, X.full_landing(spark), tmp_path)
     revised = X.prices(values=[
-        X.price("2024-12-31", "101", "106", "100", "105", "1200"), X.price("2025-01-02", "105", "111", "104", "110", None),
+        X.price("2025-01-15", "52.6", "55", "52", "54", "950"), X.price("2025-01-16", "54", "57.5", "53.5", "57", None),
     ])
     later = X.landing(spark, [
         (S.PRICES, "AAPL", X.RUN_2, revised),
@@ -180,7 +180,7 @@ def test_daily_refresh_restates_prices(spark, tmp_path):
     ])
     result = run(spark, later, tmp_path, daily=True)
     rows = result.relations.mart_company_daily_performance.orderBy("trading_date").collect()
-    assert [(r.close, r.previous_close, r.volume) for r in rows] == [(101, None, 1000), (105, 101, 1200), (110, 105, None)]
+    assert [(r.close, r.previous_close, r.volume) for r in rows] == [(Decimal("52.5"), None, 830), (54, Decimal("52.5"), 950), (57, 54, None)]
     tables = typed.read_source_tables(spark, f"{tmp_path}/source")
     assert tables["market_daily_prices"].count() == 4
     assert tables["fred_series_observations"].count() == 2

@@ -263,10 +263,33 @@ def relation_check(spark: SparkSession, expected: Sequence[str]) -> DataFrame:
     )
 
 
+def provenance_details(provenance: DataFrame) -> DataFrame:
+    """Newest run of every dataset as one row of text per dataset, with its status.
+
+    ``provenance`` is the frame of ``latest_provenance``.  A dataset nobody has loaded yet
+    is informational; a run without its instant or its count cannot be traced.
+    """
+    run = F.col("latest_run_id")
+    untraceable = run.isNotNull() & (F.col("latest_recorded_at").isNull() | F.col("latest_record_count").isNull())
+    return provenance.select(
+        "source",
+        "dataset",
+        F.when(untraceable, "error").when(run.isNull(), "info").otherwise("ok").alias("status"),
+        F.when(run.isNull(), "no run is registered")
+        .otherwise(F.concat(F.lit("run "), run, F.lit(" with "), F.coalesce(F.col("latest_record_count").cast("string"), F.lit("unknown")), F.lit(" records")))
+        .alias("detail"),
+    )
+
+
 def operational_checks(
-    *, inventory: DataFrame, relations: DataFrame, signals: DataFrame
+    *, inventory: DataFrame, relations: DataFrame, signals: DataFrame, provenance: DataFrame
 ) -> DataFrame:
-    """Artifact, provenance, relation and recency checks with one status each."""
+    """Artifact, provenance, relation and recency checks with one status each.
+
+    ``provenance`` is the frame of ``latest_provenance``; ``provenance_details`` lists its
+    datasets one by one.
+    """
+    traced = provenance_details(provenance).agg(F.bool_or(F.col("status") == "error").alias("bad"))
     bronze = inventory.agg(F.bool_or(F.col("latest_pair_present") == F.lit(False)).alias("bad"))
     missing = relations.agg(F.bool_or(~F.col("present")).alias("bad"))
     failed = signals.where("dimension = 'freshness'").agg(F.bool_or(F.col("status") == "error").alias("bad"))
@@ -281,19 +304,25 @@ def operational_checks(
 
     return (
         check(
-            bronze, "bronze", "info", "Latest run directories are inspected; absent data is informational.",
-            "A latest run is missing its payload or its Parquet file.",
+            bronze, "bronze", "info", "The newest run directories were looked at; a dataset without data is no fault.",
+            "A newest run lacks its payload or its rows.",
+        )
+        .unionByName(
+            check(
+                traced, "provenance", "ok", "The newest run of every loaded dataset can be traced.",
+                "A newest run has no instant or no record count.",
+            )
         )
         .unionByName(
             check(
-                missing, "analytics_relations", "ok", "Expected analytics relations are available.",
-                "Expected analytics relations are missing.",
+                missing, "analytics_relations", "ok", "All relations of the model can be read.",
+                "Relations of the model are missing.",
             )
         )
         .unionByName(
             check(
-                failed, "recency", "info", "Recency measurements are informational; no freshness threshold is applied.",
-                "Recency measurements could not be evaluated.",
+                failed, "recency", "info", "Ages are reported without a limit.",
+                "Ages could not be worked out.",
             )
         )
     )

@@ -618,6 +618,7 @@ def parse_company_facts(landing: DataFrame) -> DataFrame:
                 (t["filed_date"].isNull(), "filed is no calendar date"),
                 (~r["no_frame"] & r["frame"].isNull(), "frame has to be text"),
                 (r["fy"].isNotNull() & t["fiscal_year"].isNull(), "fy is too large"),
+                (~t["value_exact"], "val has more digits than are stored"),
             ),
         )
 
@@ -739,6 +740,7 @@ def parse_observations(landing: DataFrame) -> DataFrame:
                 ~numeric.is_missing(t["literal"]) & ~numeric.is_decimal_literal(t["literal"]),
                 "value is no finite decimal",
             ),
+            (~t["value_exact"], "value has more digits than are stored"),
             rank=0,
         )
 

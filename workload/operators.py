@@ -11,7 +11,7 @@ from tidemark.functions import numeric, temporal, text
 from tidemark.operators import incremental, monitoring, quality, recovery, relational, timeseries, versions
 from tidemark.plans import standins
 from tidemark.sources import layout, publish
-from workload.registry import query
+from workload.registry import digits, query
 
 table = standins.table
 R = standins.relations
@@ -548,7 +548,8 @@ def strict_dates(spark, sf):
 
 
 @query("exact_decimals", """
-SELECT event_id, CASE WHEN event_id % 6 < 4 THEN CAST(CAST(value AS DECIMAL(18,2)) * CASE WHEN event_id % 6 = 1 THEN 100 ELSE 1 END AS DOUBLE) END AS amount,
+SELECT event_id, CASE WHEN event_id % 6 < 4 AND event_id % 6 <> 2
+    THEN CAST(CAST(CAST(value AS DECIMAL(18,2)) * CASE WHEN event_id % 6 = 1 THEN 100 ELSE 1 END AS DECIMAL(38,10)) AS VARCHAR) END AS amount,
   event_id % 6 < 4 AND event_id % 6 <> 2 AS fits, event_id % 6 = 5 AS missing
 FROM events
 """)
@@ -566,7 +567,7 @@ def exact_decimals(spark, sf):
     value = table(spark, sf, "events").select("event_id", written.alias("w"))
     return value.select(
         "event_id",
-        F.round(numeric.to_decimal(F.col("w"), 38, 10), 2).alias("amount"),
+        F.when(numeric.fits_exactly(F.col("w"), 38, 10), digits(numeric.to_decimal(F.col("w"), 38, 10))).alias("amount"),
         numeric.fits_exactly(F.col("w"), 38, 10).alias("fits"),
         numeric.is_missing(F.col("w")).alias("missing"),
     )
@@ -773,19 +774,36 @@ def series_profile(spark, sf):
 
 
 @query("operational_status", """
-SELECT 'error' AS status, 3 AS checks,
+SELECT 'error' AS status, 4 AS checks,
   (SELECT count(*) FROM (SELECT regexp_replace(lower(o_orderpriority), '[^a-z]', '', 'g') FROM orders GROUP BY 1)) AS datasets
 """)
 def operational_status(spark, sf):
-    """Roll-up over runs, relations and recency; the blank entity key makes it an error."""
+    """Roll-up over runs, provenance, relations and recency; the blank entity key makes it an error."""
     inventory = layout.latest_runs(layout.manifest(_artifacts(spark, sf)))
     standins.price_runs(spark, sf).createOrReplaceTempView("sample_runs")
     relations = monitoring.relation_check(spark, ["sample_runs"])
-    checks = monitoring.operational_checks(inventory=inventory, relations=relations, signals=_recency(spark, sf))
+    checks = monitoring.operational_checks(
+        inventory=inventory, relations=relations, signals=_recency(spark, sf),
+        provenance=monitoring.latest_provenance(standins.ingestion_runs(spark, sf)),
+    )
     datasets = inventory.agg(F.count("*")).scalar()
     return monitoring.overall_status(checks).withColumn("datasets", datasets)
 
 
+@query("provenance_details", """
+WITH p AS (SELECT '19950101T' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || 'Z' AS run FROM orders
+  ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC LIMIT 1),
+e AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 1)
+SELECT 'twelve_data' AS source, 'daily_market_prices' AS dataset, 'ok' AS status, 'run ' || run || ' with 0 records' AS detail FROM p
+UNION ALL SELECT 'sec_edgar', 'company_facts', 'ok', 'run ' || run || ' with 0 records' FROM p
+UNION ALL SELECT 'fred', 'series_observations', 'ok', 'run ' || strftime(day, '%Y%m%d') || 'T000000000000Z with ' || n || ' records' FROM e
+UNION ALL SELECT 'sec_edgar', 'submissions', 'info', 'no run is registered'
+UNION ALL SELECT 'fred', 'series_metadata', 'info', 'no run is registered'
+""")
+def provenance_details(spark, sf):
+    return monitoring.provenance_details(monitoring.latest_provenance(standins.ingestion_runs(spark, sf)))
+
+
 @query("latest_dates", "SELECT user_id, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS latest_date FROM events GROUP BY 1")
 def latest_dates(spark, sf):
     events = table(spark, sf, "events").select("user_id", F.col("ts").cast("date").alias("day"))

@@ -9,7 +9,7 @@ from tidemark.operators import recovery
 from tidemark.plans import standins
 from tidemark.schemas import CONTRACTS, RUN_KEY
 from tidemark.sources.landing import strict_payloads
-from workload.registry import query
+from workload.registry import digits, query
 
 _ORDER_RUN = "'19950101T' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || 'Z'"
 
@@ -117,7 +117,7 @@ CASE WHEN o_custkey = 0 THEN 'expected cik is invalid'
 @query("fact_payload_rows", f"""
 SELECT {_ORDER_RUN} AS run_id, CAST(g * (o_orderkey % 3) + i AS BIGINT) AS source_row_number,
   lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, taxonomy, concept, label, ' about it ' AS description, unit,
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * scale + i AS DOUBLE) AS value, TRUE AS value_exact,
+  CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * scale + i AS DECIMAL(38,10)) AS VARCHAR) AS value, TRUE AS value_exact,
   CASE WHEN i = 0 THEN CAST(CAST(o_orderdate AS DATE) - 364 AS VARCHAR) END AS start_date,
   CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_date,
   lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || strftime(o_orderdate, '-%y-') || '000001' AS accession_number,
@@ -130,7 +130,8 @@ CROSS JOIN (VALUES (0, 'us-gaap', 'NetIncomeLoss', 'Net income', 'USD', 1), (1,
 WHERE {_FACT_REASON} IS NULL
 """)
 def fact_payload_rows(spark, sf):
-    return accepted(spark, sf, "sec_company_facts").drop("entity_name", "value_text", "frame")
+    rows = accepted(spark, sf, "sec_company_facts").drop("entity_name", "value_text", "frame")
+    return rows.withColumn("value", digits(F.col("value")))
 
 
 @query("fact_payload_quarantine", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,12 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def digits(column: Column, scale: int = 10) -> Column:
+    """A decimal with all its digits as text, the way ``CAST(... AS VARCHAR)`` prints it."""
+    exact = column.cast(f"decimal(38,{scale})")
+    return F.when(exact == 0, "0." + "0" * scale).otherwise(exact.cast("string"))
+
+
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a query.  ``oracle`` may use the shared relations of ``workload.sql``."""
 

@@ -9,7 +9,7 @@ from tidemark.operators import versions
 from tidemark.plans import dimensions, standins
 from tidemark.plans.relations import MARTS
 from tidemark.sources.publish import report_extract, row_counts
-from workload.registry import query
+from workload.registry import digits, query
 
 R = standins.relations
 
@@ -153,13 +153,15 @@ def mart_company_daily_performance(spark, sf):
 @query("mart_company_financial_growth", """
 SELECT company_key, current_ticker, source_cik, metric_key, metric_name, period_type, taxonomy, concept, unit,
   CAST(fiscal_year AS BIGINT) AS fiscal_year, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date,
-  CAST(current_value AS DOUBLE) AS current_value, CAST(previous_end_date AS VARCHAR) AS previous_end_date,
-  CAST(previous_value AS DOUBLE) AS previous_value, CAST(absolute_change AS DOUBLE) AS absolute_change, growth_rate,
+  CAST(CAST(current_value AS DECIMAL(38,10)) AS VARCHAR) AS current_value, CAST(previous_end_date AS VARCHAR) AS previous_end_date,
+  CAST(CAST(previous_value AS DECIMAL(38,10)) AS VARCHAR) AS previous_value,
+  CAST(CAST(absolute_change AS DECIMAL(38,10)) AS VARCHAR) AS absolute_change, growth_rate,
   form, CAST(filed_date AS VARCHAR) AS filed_date, accession_number
 FROM x_growth
 """)
 def mart_company_financial_growth(spark, sf):
-    return R(spark, sf).mart_company_financial_growth
+    mart = R(spark, sf).mart_company_financial_growth
+    return mart.withColumns({c: digits(F.col(c)) for c in ("current_value", "previous_value", "absolute_change")})
 
 
 @query("mart_market_macro", """
