@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.shared import packed, stored, text_or_empty
+from tidemark.llm.shared import kept_in_worker, packed, stored, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -94,7 +94,7 @@ class Encoder:
 def _piecewise(rules: PackingRules, with_ids: bool):
     @F.pandas_udf(PIECES)
     def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = Encoder(rules)
+        encode = kept_in_worker(f"encoder {rules.vocabulary} {rules.ranks}", lambda: Encoder(rules))
         for batch in texts:
             out = []
             for text in batch:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import packed, text_or_empty, with_result
+from tidemark.llm.shared import kept_in_worker, packed, text_or_empty, with_result
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -292,8 +292,9 @@ def _codec_udf(model: str, at_once: int = 512):
 
         import public_tokenizers
 
-        vocabulary = Vocabulary(model if os.path.sep in model else public_tokenizers.path(model))
-        codec, library = Codec(vocabulary), vocabulary.library
+        path = model if os.path.sep in model else public_tokenizers.path(model)
+        codec = kept_in_worker(f"pieces {path}", lambda: Codec(Vocabulary(path)))
+        library = codec.vocabulary.library
         for batch in texts:
             out = []
             every = [t or "" for t in batch]

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from types import ModuleType
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+T = TypeVar("T")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below ``spark.checkpoint.dir``.
 
@@ -35,6 +42,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(key: str, build: Callable[[], T]) -> T:
+    """An object built once per Python worker; later tasks of the worker find it again.
+
+    Functions of this package travel by value, so their own module globals start anew with
+    each task.  The object must not hold anything that belongs to one task.
+    """
+    name = "tidemark_llm_kept"
+    kept = sys.modules.setdefault(name, ModuleType(name)).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
