@@ -296,10 +296,12 @@ def _codec_udf(model: str, at_once: int = 512):
         codec = kept_in_worker(f"pieces {path}", lambda: Codec(Vocabulary(path)))
         library = codec.vocabulary.library
         for batch in texts:
-            out = []
-            every = [t or "" for t in batch]
-            for k in range(0, len(every), at_once):
-                part = every[k : k + at_once]
+            # Copies within a batch are coded and checked once.
+            place: dict[str, int] = {}
+            rows = [place.setdefault(t or "", len(place)) for t in batch]
+            out, distinct = [], list(place)
+            for k in range(0, len(distinct), at_once):
+                part = distinct[k : k + at_once]
                 mine = codec.encode(part)
                 theirs = library.encode(part, add_bos=True, add_eos=True, num_threads=1)
                 decoded = library.decode(theirs, num_threads=1)
@@ -307,7 +309,7 @@ def _codec_udf(model: str, at_once: int = 512):
                     wanted = as_bytes(listed)
                     agrees = ids == wanted and codec.decode(ids) == text
                     out.append((len(listed), wanted, text, agrees))
-            yield pd.DataFrame(out, columns=["n_tokens", "ids", "decoded", "agrees"])
+            yield pd.DataFrame([out[r] for r in rows], columns=["n_tokens", "ids", "decoded", "agrees"])
 
     return code
 
