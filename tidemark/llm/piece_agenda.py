@@ -33,7 +33,7 @@ from tidemark.llm.shared import kept_in_worker, packed, text_or_empty, with_resu
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-NEVER = np.iinfo(np.int64).max
+NEVER = np.iinfo(np.int32).max
 RESULT = "n_tokens bigint, ids binary, decoded string, agrees boolean"
 
 
@@ -86,19 +86,20 @@ class Vocabulary:
                     keys.append(left * self.width + right)
                     into.append(i)
                     rank.append(order[sp.get_score(i)])
-        self.into, self.rank = np.array([*into, 0], np.int64), np.array([*rank, NEVER], np.int64)
+        self.into, self.rank = np.array([*into, 0], np.int32), np.array([*rank, NEVER], np.int32)
         self._spread(np.array(keys, np.int64))
         self.merges = dict(zip(keys, zip(rank, into, strict=True), strict=True))
         self.piece_count = n
         self.only_inside = {i: s for s, i in self.symbols.items() if i >= n}
-        self.by_point = np.full(0x110000, -1, np.int64)
+        self.by_point = np.full(0x110000, -1, np.int32)
         for s, i in self.symbols.items():
             if len(s) == 1:
                 self.by_point[ord(s)] = i
 
     def of_points(self, points: np.ndarray) -> np.ndarray:
         """Symbols of code points; negative where no piece holds the character."""
-        return np.where(self.by_point[points] >= 0, self.by_point[points], -points - 1)
+        symbols = self.by_point[points]
+        return np.where(symbols >= 0, symbols, -points - 1)
 
     def _spread(self, keys: np.ndarray) -> None:
         """A hash table with open addressing over the pairs that merge; the last entry of
@@ -124,7 +125,7 @@ class Vocabulary:
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (NEVER without a merge) and the piece it forms."""
-        key = np.where((left >= 0) & (right >= 0), left * self.width + right, -1)
+        key = np.where((left >= 0) & (right >= 0), left * np.int64(self.width) + right, -1)
         at = self._slot(key)
         found = np.full(len(key), len(self.rank) - 1)
         open_ = np.arange(len(key))
@@ -187,10 +188,10 @@ def in_lock_step(vocabulary: Vocabulary, symbol: np.ndarray, sizes: np.ndarray)
     for the merged symbols.
     """
     done: list[tuple[np.ndarray, np.ndarray]] = []
-    word = np.repeat(np.arange(len(sizes)), sizes)
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     next_to = np.append(word[:-1] == word[1:], False) if len(word) else np.empty(0, bool)
-    rank = np.full(len(word), NEVER)
-    into = np.zeros(len(word), np.int64)
+    rank = np.full(len(word), NEVER, np.int32)
+    into = np.zeros(len(word), np.int32)
     fresh = np.flatnonzero(next_to)
     while len(word):
         rank[fresh], into[fresh] = vocabulary.lookup(symbol[fresh], symbol[fresh + 1])
@@ -216,7 +217,7 @@ def in_lock_step(vocabulary: Vocabulary, symbol: np.ndarray, sizes: np.ndarray)
         rank[last] = NEVER
         fresh = np.concatenate([at[~last[at]], (at - 1)[(at > 0) & (word[at - 1] == word[at])]])
     if not done:
-        return np.empty(0, np.int64), np.zeros(len(sizes), np.int64)
+        return np.empty(0, np.int32), np.zeros(len(sizes), np.int64)
     word, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
     order = np.argsort(word, kind="stable")
     return symbol[order], np.bincount(word, minlength=len(sizes))
@@ -247,7 +248,7 @@ class Codec:
         new = list(units)
         words = ["\n" if u == "\1" else u[1:] if u[:1] == "\0" else SPACE + u for u in new]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int32)
         symbols = self.vocabulary.of_points(points)
         long = sizes > self.long_word
         in_long = np.repeat(long, sizes)
