@@ -8,7 +8,7 @@ import pytest
 
 from tidemark import schemas as S
 from tidemark.operators import payloads as P
-from tidemark.plans import reference_data, refresh
+from tidemark.plans import reference_data, refresh, staging
 from tidemark.plans.relations import MARTS, RELATIONS
 from tidemark.sources import publish, typed
 
@@ -185,6 +185,12 @@ def test_daily_refresh_restates_prices(spark, tmp_path):
     assert tables["market_daily_prices"].count() == 4
     assert tables["fred_series_observations"].count() == 2
     assert result.checks.where("status <> 'pass'").count() == 0
+    full = staging.stg_market_prices(tables["market_daily_prices"], tables["ingestion_runs"])
+    assert sorted(result.relations.stg_market_prices.collect()) == sorted(full.select(*result.relations.stg_market_prices.columns).collect())
+    asked = {(r.dataset, r.entity): (r.mode, r.start_date) for r in result.requests.collect()}
+    assert asked["daily_market_prices", "AAPL"] == ("incremental", date(2025, 1, 13))
+    assert asked["daily_market_prices", "MSFT"] == ("full", None)
+    assert asked["series_observations", "DFF"] == ("incremental", date(2024, 1, 16))
 
 
 def test_interrupted_load_is_completed_without_duplicates(spark, tmp_path):

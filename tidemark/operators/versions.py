@@ -44,6 +44,22 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str] = RE
     return newest_per_group(df, keys, order, 1)
 
 
+def with_arrivals(
+    current: DataFrame, arrivals: DataFrame, keys: Sequence[str], order: Sequence[str] = RECENCY
+) -> DataFrame:
+    """``latest_version`` of everything, from the latest versions so far and newly arrived rows.
+
+    Only keys that arrive are ranked again.  All other rows of ``current`` pass through an
+    anti join with the distinct arriving keys, which adaptive execution broadcasts while
+    they are few, so a small batch does not shuffle the history.
+    """
+    arriving = arrivals.select(*[F.col(c).alias(f"_{c}") for c in keys]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    untouched = current.join(arriving, same, "left_anti")
+    touched = current.join(arriving, same, "left_semi")
+    return untouched.unionByName(latest_version(touched.unionByName(arrivals.select(*current.columns)), keys, order))
+
+
 def numbered_oldest_first(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
     """Number the rows of each key from its earliest, starting at 1."""
     window = Window.partitionBy(*keys).orderBy(F.col(order).asc())

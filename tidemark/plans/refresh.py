@@ -7,29 +7,35 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import incremental, monitoring, payloads, quality
+from tidemark.operators.versions import with_arrivals, with_provenance
 from tidemark.plans.reference_data import macro_series
-from tidemark.plans.relations import MARTS, Relations
+from tidemark.plans.relations import MARTS, RELATIONS, Relations
 from tidemark.schemas import (
     CONTRACTS,
     DATASETS,
+    FACT_GRAIN,
     IDENTITY_MAPPING_SCHEMA,
     INGESTION_RUNS_SCHEMA,
     LANDING_SCHEMA,
+    OBSERVATION_GRAIN,
     METRIC_MAPPING_SCHEMA,
+    PRICE_GRAIN,
     PRICES,
     RUN_KEY,
+    SERIES_OBSERVATIONS,
 )
 from tidemark.sources import publish, typed
 from tidemark.sources.layout import RAW_NAME, TYPED_NAME, run_directory
 
 PAIRS = [("sec_edgar", "submissions", "company_facts"), ("fred", "series_metadata", "series_observations")]
 
-#: Relations stored during a refresh because several others read them.
-STORED = ("stg_market_prices", "stg_financial_facts", "stg_macro_observations", *MARTS)
+#: Relations stored during a refresh; checks and later relations read them from storage.
+STORED = RELATIONS
 
 
 @dataclass
@@ -51,6 +57,7 @@ class RefreshResult:
     relations: Relations
     checks: DataFrame
     signals: DataFrame
+    requests: DataFrame
     paths: dict[str, str] = field(default_factory=dict)
 
 
@@ -151,13 +158,52 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return merged
 
 
+#: Staging relation: source table and grain.
+STAGED = {
+    "stg_market_prices": ("market_daily_prices", PRICE_GRAIN),
+    "stg_financial_facts": ("sec_company_facts", FACT_GRAIN),
+    "stg_macro_observations": ("fred_series_observations", OBSERVATION_GRAIN),
+}
+
+
+def brought_up_to_date(
+    tables: Mapping[str, DataFrame], registered: DataFrame, warehouse: str
+) -> dict[str, DataFrame]:
+    """Staging relations of the last refresh with the rows of newly registered runs.
+
+    Empty for a warehouse without staging.  Only the keys of the new runs are worked on.
+    """
+    spark = registered.sparkSession
+    between = incremental.run_range(registered)
+    current = {}
+    for name, (table, grain) in STAGED.items():
+        try:
+            before = spark.read.parquet(f"{warehouse.rstrip('/')}/{name}")
+        except AnalysisException:
+            return {}
+        rows = incremental.same_runs(tables[table], registered.select(*RUN_KEY), between)
+        current[name] = with_arrivals(before, with_provenance(rows, registered), grain)
+    return current
+
+
 def build_relations(
-    tables: dict[str, DataFrame], identities: DataFrame, metrics: DataFrame, warehouse: str
+    tables: dict[str, DataFrame],
+    identities: DataFrame,
+    metrics: DataFrame,
+    warehouse: str,
+    staged: Mapping[str, DataFrame] | None = None,
 ) -> Relations:
-    """Relations whose shared layers are written once and read back from storage."""
+    """Relations whose layers are written once and read back from storage.
+
+    ``staged`` gives staging relations that are known already.  They read the stored ones,
+    so they are written beside them before they take their place.
+    """
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        return publish.store(df, f"{warehouse.rstrip('/')}/{name}")
+        place = f"{warehouse.rstrip('/')}/{name}"
+        if staged and name in staged:
+            df = publish.store(staged[name], f"{warehouse.rstrip('/')}/_next/{name}")
+        return publish.store(df, place)
 
     relations = Relations(tables, identities, metrics, keep, STORED)
     for name in STORED:
@@ -251,12 +297,19 @@ def refresh(
     as_of: date,
     tables: Sequence[str] = tuple(CONTRACTS),
     expected_identities: Sequence[tuple] = (),
+    incremental_staging: bool = False,
 ) -> RefreshResult:
-    """Full refresh: load every dataset, rebuild the relations, check and monitor."""
+    """Full refresh: load every dataset, rebuild the relations, check and monitor.
+
+    With ``incremental_staging`` the staging relations of the last refresh are brought up to
+    date with the newly registered runs instead of being rebuilt from all history.
+    """
     root = root.rstrip("/")
     loaded = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
     sources = typed.read_source_tables(spark, f"{root}/source")
-    relations = build_relations(sources, identities, metrics, f"{root}/warehouse")
+    warehouse = f"{root}/warehouse"
+    staged = brought_up_to_date(sources, loaded.registered, warehouse) if incremental_staging else None
+    relations = build_relations(sources, identities, metrics, warehouse, staged)
     series = macro_series(spark)
     return RefreshResult(
         registered=loaded.registered,
@@ -265,14 +318,37 @@ def refresh(
         relations=relations,
         checks=quality.summary({**run_source_checks(sources), **run_checks(relations, expected_identities)}),
         signals=monitor(sources, as_of, identities, series),
-        paths={name: f"{root}/warehouse/{name}" for name in STORED},
+        requests=next_requests(relations, identities, series),
+        paths={name: f"{warehouse}/{name}" for name in STORED},
     )
 
 
+def next_requests(relations: Relations, identities: DataFrame, series: DataFrame) -> DataFrame:
+    """What the next load should ask for: dataset, entity, mode and first day.
+
+    Watermarks come from staging; entities without history are asked for in full.
+    """
+    symbols = identities.where("is_current_registrant").select(F.col("current_ticker").alias("symbol"))
+    plans = []
+    for entities, staged, (entity, day), identity, overlap in (
+        (symbols, relations.stg_market_prices, ("symbol", "trading_date"), PRICES, incremental.PRICE_OVERLAP_DAYS),
+        (
+            series.select("series_id"), relations.stg_macro_observations, ("series_id", "observation_date"),
+            SERIES_OBSERVATIONS, incremental.OBSERVATION_OVERLAP_DAYS,
+        ),
+    ):
+        marks = incremental.watermarks(staged, entity, day)
+        plan = incremental.refresh_plan(entities, marks, entity, overlap_days=overlap)
+        plans.append(plan.select(F.lit(identity[1]).alias("dataset"), F.col(entity).alias("entity"), "watermark", "mode", "start_date"))
+    return _union(plans)
+
+
 def daily_refresh(spark: SparkSession, landing: DataFrame, root: str, **options) -> RefreshResult:
-    """Weekday refresh: only new price payloads are loaded, everything downstream is rebuilt."""
+    """Weekday refresh: only new price payloads are loaded, staging is brought up to date with
+    them and the relations behind it are rebuilt."""
     source, dataset = PRICES
     prices = landing.where((F.col("source") == source) & (F.col("dataset") == dataset))
+    options.setdefault("incremental_staging", True)
     return refresh(spark, prices, root, tables=["market_daily_prices"], **options)
 
 

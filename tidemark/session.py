@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,19 +27,3 @@ def pin(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a frame that several consumers read.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``, so the data
-    survives a lost executor.  Without that setting the cut is refused.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(shared)
-    return df.checkpoint()
