@@ -412,3 +412,16 @@ def test_period_return_needs_two_days_and_a_base(spark):
 def test_star_rejects_unknown_role(spark):
     with pytest.raises(ValueError):
         measures.star(None, "growth", None, None, date_role="start_date")
+
+
+def test_reports_come_in_order(spark):
+    """Days ascend; companies descend by their measure, then by key."""
+    from workload import QUERIES
+
+    days = [r.trading_date for r in QUERIES["close_per_day"](spark, "/root/testdata/sf0.001").collect()]
+    assert len(days) > 10 and days == sorted(days)
+    ranked = QUERIES["company_ranking"](spark, "/root/testdata/sf0.001").collect()
+    names = ranked[0].__fields__
+    number = next(n for n in names if isinstance(ranked[0][n], float))
+    values = [r[number] for r in ranked if r[number] is not None]
+    assert len(values) > 2 and values in (sorted(values), sorted(values, reverse=True))

@@ -145,3 +145,15 @@ def test_json_output_writes_nulls_and_iso_dates(spark):
 @pytest.mark.parametrize("name,ok", [("sec_edgar", True), ("a", True), ("_a", False), ("a_", False), ("A", False), ("a-b", False), ("", False)])
 def test_layout_component(spark, name, ok):
     assert spark.range(1).select(layout.is_component(F.lit(name))).head()[0] is ok
+
+
+def test_file_without_a_column_is_refused(spark, tmp_path):
+    paths = typed.create_source_tables(spark, str(tmp_path))
+    contract = S.CONTRACTS["market_daily_prices"]
+    landed = X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, X.prices())])
+    rows = P.accepted_rows(P.parse(landed, contract.name), contract)
+    typed.append_rows(rows, paths[contract.name], contract.schema)
+    typed.require_whole_files(spark, str(tmp_path))
+    rows.drop("volume").write.mode("append").parquet(paths[contract.name])
+    with pytest.raises(S.SchemaMismatch, match="has no column volume"):
+        typed.require_whole_files(spark, str(tmp_path))

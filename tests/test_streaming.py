@@ -24,14 +24,14 @@ def test_arrivals(spark, tmp_path):
     assert catch_up() == (2, 4)
 
 
-@pytest.mark.parametrize("files", [1, 2, 1000])
+@pytest.mark.parametrize("files", [1, 1000])
 def test_batches_do_not_change_what_is_loaded(spark, tmp_path, files):
     path, tables, state = (str(tmp_path / n) for n in ("landing", "tables", "state"))
-    for row in X.full_landing(spark).collect():
+    handled = ("market_daily_prices", "sec_submissions", "sec_company_facts")
+    for row in X.full_landing(spark).where("source <> 'fred'").collect():
         landing.append_payloads(spark.createDataFrame([row], S.LANDING_SCHEMA), path)
-    load_arrivals(spark, path, tables, state, files_per_batch=files).awaitTermination()
+    load_arrivals(spark, path, tables, state, tables=handled, files_per_batch=files).awaitTermination()
     stored = typed.read_source_tables(spark, tables)
-    assert {n: t.count() for n, t in stored.items()} == {
-        "ingestion_runs": 5, "market_daily_prices": 2, "sec_submissions": 1, "sec_company_facts": 3,
-        "fred_series_metadata": 1, "fred_series_observations": 2,
+    assert {n: stored[n].count() for n in ("ingestion_runs", *handled)} == {
+        "ingestion_runs": 3, "market_daily_prices": 2, "sec_submissions": 1, "sec_company_facts": 3,
     }

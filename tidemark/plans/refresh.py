@@ -140,13 +140,17 @@ def load(
         "new",
     )
     missing = new.where("stored_count = 0").select(*RUN_KEY)
+    # Datasets without new runs get no empty files; there are only as many as tables.
+    arrived = {(r.source, r.dataset) for r in missing.select("source", "dataset").distinct().collect()}
     for table, verdict in verdicts.items():
-        fresh = verdict.join(missing, RUN_KEY, "left_semi")
-        typed.append_rows(payloads.accepted_rows(fresh, CONTRACTS[table]), paths[table], CONTRACTS[table].schema)
+        if CONTRACTS[table].identity in arrived:
+            fresh = verdict.join(missing, RUN_KEY, "left_semi")
+            typed.append_rows(payloads.accepted_rows(fresh, CONTRACTS[table]), paths[table], CONTRACTS[table].schema)
     new = new.select(*INGESTION_RUNS_SCHEMA.names)
     waiting = dispositions.where(F.col("disposition") == incremental.WAITING).select(*RUN_KEY)
     late = batch.join(waiting, RUN_KEY, "left_semi").join(held.select(*RUN_KEY), RUN_KEY, "left_anti")
-    typed.append_waiting(late, tables_root)
+    if not waiting.isEmpty():
+        typed.append_waiting(late, tables_root)
     typed.append_rows(new, paths["ingestion_runs"], INGESTION_RUNS_SCHEMA)
     return LoadResult(new, quarantine, dispositions)
 
@@ -306,6 +310,7 @@ def refresh(
     """
     root = root.rstrip("/")
     loaded = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
+    typed.require_whole_files(spark, f"{root}/source")
     sources = typed.read_source_tables(spark, f"{root}/source")
     warehouse = f"{root}/warehouse"
     staged = brought_up_to_date(sources, loaded.registered, warehouse) if incremental_staging else None

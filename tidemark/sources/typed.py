@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, LANDING_SCHEMA, RUN_KEY, require_schema
+from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, LANDING_SCHEMA, RUN_KEY, SchemaMismatch, require_schema
 
 WAITING = "_waiting"
 
-#: Values that no row holds, by type, as SQL.
+#: Values that no row holds, by type, as SQL.  Booleans have no such value.
 SENTINELS = {
-    "boolean": "CAST(NULL AS BOOLEAN)",
+    "string": "'no such column'",
     "integer": "-2147483648",
     "long": "-9223372036854775807L",
     "decimal": "-99999999999999999999",
@@ -39,19 +41,27 @@ def incomplete_files(spark: SparkSession, path: str, contract: T.StructType) ->
     table with a default that no row holds, so every hit names an incomplete file; files
     that have the column are skipped by their statistics.
     """
-    mark = "no such column"
-    texts = [f for f in contract.fields if isinstance(f.dataType, T.StringType)]
-    others = [f for f in contract.fields if f not in texts]
-    fields = [T.StructField(f.name, f.dataType, True, {"EXISTS_DEFAULT": f"'{mark}'"}) for f in texts]
-    # Columns of other types are read as they are; their sentinel is a value of the type.
-    for f in others:
-        fields.append(T.StructField(f.name, f.dataType, True, {"EXISTS_DEFAULT": SENTINELS[f.dataType.typeName()]}))
-    probe = spark.read.schema(T.StructType(fields)).parquet(path)
-    hits = [
-        F.when(F.col(f.name) == F.expr(f.metadata["EXISTS_DEFAULT"]).cast(f.dataType), F.lit(f.name)) for f in fields
+    sentinels = {f.name: SENTINELS[f.dataType.typeName()] for f in contract.fields if f.dataType.typeName() in SENTINELS}
+    fields = [
+        T.StructField(f.name, f.dataType, True, {"EXISTS_DEFAULT": sentinels[f.name]})
+        for f in contract.fields
+        if f.name in sentinels
     ]
-    lacking = F.array_compact(F.array(*hits))
-    return probe.select(F.input_file_name().alias("file"), F.explode(lacking).alias("column")).distinct()
+    probe = spark.read.schema(T.StructType(fields)).parquet(path)
+    is_default = {f.name: F.col(f.name) == F.expr(sentinels[f.name]).cast(f.dataType) for f in fields}
+    anywhere = reduce(lambda a, b: a | b, is_default.values())
+    lacking = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in is_default.items()]))
+    found = probe.where(anywhere).select(F.input_file_name().alias("file"), F.explode(lacking).alias("column"))
+    return found.distinct()
+
+
+def require_whole_files(spark: SparkSession, root: str) -> None:
+    """Refuse source tables with a file that lacks a column of its contract."""
+    for name, schema in _source_schemas().items():
+        path = f"{root.rstrip('/')}/{name}"
+        broken = incomplete_files(spark, path, schema).head()
+        if broken is not None:
+            raise SchemaMismatch(f"{path}: {broken.file} has no column {broken.column}")
 
 
 def _in_contract_order(stored: DataFrame, contract: T.StructType) -> list[str]:
@@ -76,9 +86,13 @@ def append_rows(df: DataFrame, path: str, contract: T.StructType) -> None:
     ).parquet(path)
 
 
+def _source_schemas() -> dict[str, T.StructType]:
+    return {"ingestion_runs": INGESTION_RUNS_SCHEMA, **{c.name: c.schema for c in CONTRACTS.values()}}
+
+
 def create_source_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Create the six empty source tables where they are missing; returns their paths."""
-    schemas = {"ingestion_runs": INGESTION_RUNS_SCHEMA, **{c.name: c.schema for c in CONTRACTS.values()}}
+    schemas = _source_schemas()
     paths = {name: f"{root.rstrip('/')}/{name}" for name in schemas}
     for name, schema in schemas.items():
         spark.createDataFrame([], schema).write.mode("ignore").parquet(paths[name])
@@ -98,5 +112,6 @@ def append_waiting(payloads: DataFrame, root: str) -> None:
 
 
 def read_source_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    schemas = {"ingestion_runs": INGESTION_RUNS_SCHEMA, **{c.name: c.schema for c in CONTRACTS.values()}}
-    return {name: read_table(spark, f"{root.rstrip('/')}/{name}", schema) for name, schema in schemas.items()}
+    return {
+        name: read_table(spark, f"{root.rstrip('/')}/{name}", schema) for name, schema in _source_schemas().items()
+    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import payloads as P
-from tidemark.operators import recovery
+from tidemark.operators import quality, recovery
 from tidemark.plans import standins
 from tidemark.schemas import CONTRACTS, RUN_KEY
 from tidemark.sources.landing import strict_payloads
@@ -98,6 +98,23 @@ def filing_payload_rows(spark, sf):
     return accepted(spark, sf, "sec_submissions")
 
 
+@query("row_check_violations_filings", f"""
+WITH f AS (SELECT {_ORDER_RUN} AS run_id, i AS source_row_number, o_custkey AS c, o_orderkey AS k
+  FROM orders JOIN (SELECT unnest([0, 1]) AS i) ON i < o_orderkey % 3 WHERE {_FILING_REASON} IS NULL)
+SELECT run_id, CAST(source_row_number AS BIGINT) AS source_row_number, 'size' AS rule FROM f WHERE (c + source_row_number) % 5 = 0
+UNION ALL SELECT run_id, source_row_number, 'form_nonblank' FROM f WHERE source_row_number = 1
+UNION ALL SELECT run_id, source_row_number, 'cik' FROM f WHERE c % 7 = 0
+""")
+def row_check_violations_filings(spark, sf):
+    rows = P.accepted_rows(verdicts(spark, sf, "sec_submissions"), CONTRACTS["sec_submissions"])
+    planted = (
+        rows.withColumn("cik", F.when(F.col("cik").cast("bigint") % 7 == 0, F.concat("cik", F.lit("0"))).otherwise(F.col("cik")))
+        .withColumn("form", F.when(F.col("source_row_number") == 1, " ").otherwise(F.col("form")))
+        .withColumn("size", F.when(F.col("size") % 5 == 0, -1 - F.col("size")).otherwise(F.col("size")))
+    )
+    return quality.check_violations(planted, "sec_submissions").select("run_id", "source_row_number", "rule")
+
+
 @query("filing_payload_quarantine", f"""
 SELECT {_ORDER_RUN} AS run_id, CAST(o_custkey AS VARCHAR) AS entity, {_FILING_REASON} AS reason
 FROM orders WHERE {_FILING_REASON} IS NOT NULL
@@ -165,6 +182,23 @@ def series_payload_rows(spark, sf):
     return accepted(spark, sf, "fred_series_metadata")
 
 
+@query("row_check_violations_series", f"""
+WITH c AS (SELECT {_CUSTOMER_RUN} AS run_id, c_custkey AS k, c_nationkey AS n FROM customer WHERE ({_SERIES_REASON}) IS NULL)
+SELECT run_id, 'title_nonblank' AS rule FROM c WHERE k % 4 = 0
+UNION ALL SELECT run_id, 'popularity' FROM c WHERE n % 3 = 0
+UNION ALL SELECT run_id, 'observation_range' FROM c WHERE k % 5 = 0
+""")
+def row_check_violations_series(spark, sf):
+    rows = P.accepted_rows(verdicts(spark, sf, "fred_series_metadata"), CONTRACTS["fred_series_metadata"])
+    key = F.substring("run_id", 10, 12).cast("bigint")
+    planted = (
+        rows.withColumn("title", F.when(key % 4 == 0, " ").otherwise(F.col("title")))
+        .withColumn("popularity", F.when(F.col("popularity") % 3 == 0, -1 - F.col("popularity")).otherwise(F.col("popularity")))
+        .withColumn("observation_end", F.when(key % 5 == 0, F.date_sub("observation_start", 1)).otherwise(F.col("observation_end")))
+    )
+    return quality.check_violations(planted, "fred_series_metadata").select("run_id", "rule")
+
+
 @query("series_payload_quarantine", f"""
 SELECT {_CUSTOMER_RUN} AS run_id, c_name AS entity, {_SERIES_REASON} AS reason FROM customer WHERE {_SERIES_REASON} IS NOT NULL
 """)

@@ -308,6 +308,60 @@ def row_check_violations(spark, sf):
     return Q.check_violations(planted, "market_daily_prices").drop("dataset")
 
 
+def _broken(sql_rules: list[tuple[str, str]], source: str, columns: str) -> str:
+    """SQL of planted row checks: one row for each rule whose condition holds."""
+    return " UNION ALL ".join(f"SELECT {columns}, '{rule}' AS rule FROM {source} WHERE {condition}" for rule, condition in sql_rules)
+
+
+@query("row_check_violations_runs", "WITH t AS (SELECT o_orderkey AS k, '19950101T' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || 'Z' AS r FROM orders),"
+    " b AS (SELECT k, CASE WHEN k % 5 = 0 THEN 'x' || r ELSE r END AS run_id FROM t) "
+    + _broken([("run_id_format", "k % 5 = 0"), ("parquet_path_nonblank", "k % 13 = 0"), ("artifact_paths_distinct", "k % 7 = 0 AND k % 13 <> 0"),
+        ("record_count", "k % 11 = 0")], "b", "run_id"))
+def row_check_violations_runs(spark, sf):
+    runs = standins.price_runs(spark, sf)
+    key = F.substring("run_id", 10, 12).cast("bigint")
+    parquet = F.col("parquet_path")
+    planted = runs.select(
+        "source", "dataset", F.when(key % 5 == 0, F.concat(F.lit("x"), F.col("run_id"))).otherwise(F.col("run_id")).alias("run_id"),
+        F.when(key % 7 == 0, parquet).otherwise(F.col("raw_json_path")).alias("raw_json_path"),
+        F.when(key % 13 == 0, " ").otherwise(parquet).alias("parquet_path"),
+        F.when(key % 11 == 0, F.lit(-1)).otherwise(F.col("record_count")).alias("record_count"),
+    )
+    return Q.check_violations(planted, "ingestion_runs").select("run_id", "rule")
+
+
+@query("row_check_violations_facts", _broken(
+    [("cik", "fiscal_year = 1996"), ("form_nonblank", "fiscal_year = 1997"), ("unit_nonblank", "unit = 'shares'"),
+     ("date_range", "fiscal_year = 1998 AND start_date IS NOT NULL")], "x_facts", "run_id, source_row_number"))
+def row_check_violations_facts(spark, sf):
+    year = F.col("fiscal_year")
+    planted = (
+        standins.sec_company_facts(spark, sf)
+        .withColumn("cik", F.when(year == 1996, F.substring("cik", 2, 9)).otherwise(F.col("cik")))
+        .withColumn("form", F.when(year == 1997, "").otherwise(F.col("form")))
+        .withColumn("unit", F.when(F.col("unit") == "shares", "  ").otherwise(F.col("unit")))
+        .withColumn(
+            "start_date",
+            F.when((year == 1998) & F.col("start_date").isNotNull(), F.date_add("end_date", 1)).otherwise(F.col("start_date")),
+        )
+    )
+    return Q.check_violations(planted, "sec_company_facts").select("run_id", "source_row_number", "rule")
+
+
+@query("row_check_violations_observations", _broken(
+    [("series_id_nonblank", "series_id = 'VIEW'"), ("realtime_range", "source_row_number % 7 = 0"), ("identity", "source_row_number % 9 = 0")],
+    "x_obs", "run_id, source_row_number"))
+def row_check_violations_observations(spark, sf):
+    number = F.col("source_row_number")
+    planted = (
+        standins.fred_series_observations(spark, sf)
+        .withColumn("series_id", F.when(F.col("series_id") == "VIEW", " ").otherwise(F.col("series_id")))
+        .withColumn("realtime_end", F.when(number % 7 == 0, F.date_sub("realtime_start", 1)).otherwise(F.col("realtime_end")))
+        .withColumn("dataset", F.when(number % 9 == 0, "other").otherwise(F.col("dataset")))
+    )
+    return Q.check_violations(planted, "fred_series_observations").select("run_id", "source_row_number", "rule")
+
+
 @query("key_violations", """
 WITH t AS (SELECT l_orderkey AS k, l_linenumber AS n,
     'S' || lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS symbol, CAST(l_shipdate AS DATE) AS d FROM lineitem),
