@@ -124,14 +124,9 @@ def splitters(rows: DataFrame, cells: int, rules: ShardRules, total: int, last_r
             break
         # A span wider than a signed 64-bit difference is halved first.
         if any(x.hi - x.lo >= 2**63 for x in by_key):
-            halves = {
-                x: [(x.lo, -1, None), (0, x.hi, None)] for x in set(by_key)
-            }
-            sums = {}
-            for x in halves:
-                negative = rows.where(F.col("key") < 0).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-                sums[x] = [(x.lo, -1, negative), (0, x.hi, x.size - negative)]
-            bins = sums
+            low = F.coalesce(F.sum(F.when(F.col("key") < 0, F.col("size"))), F.lit(0))
+            negative = rows.agg(low).first()[0]
+            bins = {x: [(x.lo, -1, negative), (0, x.hi, x.size - negative)] for x in set(by_key)}
         else:
             bins = _probe(rows, "key", by_key, rules.probes)
         for t, x in found.items():
