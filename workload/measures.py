@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import measures as M
 from tidemark.plans import standins
-from tidemark.plans.relations import MARTS
 from workload.registry import query
 
 R = standins.relations
