@@ -69,3 +69,21 @@ def test_awkward_rows(spark):
     got = replaced(docs)
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, ((r.doc_id, r.text) for r in docs.collect())))
     assert replaced(nothing(spark)).count() == 0
+
+
+def test_addresses_outside_the_alphabets_are_replaced(spark):
+    mails = ["张伟@example.com", "张伟@公司.cn", "来自@新浪.com", "łß@żółć.pl", "김철수@회사.kr", "محمد@شركة.com", "דוד@חברה.com", "ที่ปรึกษา@บริษัท.ไทย", "राम@उदाहरण.भारत", "съёмкий@почта.рф"]
+    rows = spark.createDataFrame([(k, f"see {m} and {m}.") for k, m in enumerate(mails)], "doc_id bigint, text string")
+    for r in replaced(rows).collect():
+        local, domain = mails[r.doc_id].split("@")
+        found = re.fullmatch(r"see (\S+)@(\S+) and (\S+)@(\S+)\.", r.text)
+        assert r.n_entities == 2 and found and found.groups()[:2] == found.groups()[2:]
+        assert found[1] != local and local not in r.text and found[2].split(".")[-1] == domain.split(".")[-1]
+
+
+def test_a_space_without_free_values_ends(spark):
+    # All hundred values of one digit before and one digit behind the sign are taken.
+    full = spark.range(100).select(F.lit("email").alias("kind"), F.concat((F.col("id") % 10).cast("string"), F.lit("@"), F.floor(F.col("id") / 10).cast("string"), F.lit(".com")).alias("canonical"))
+    rows = assigned(full).collect()
+    made = {r.surrogate for r in rows}
+    assert len(rows) == len(made) == 100 and not made & {r.canonical for r in rows}

@@ -12,7 +12,8 @@ Only DataFrame functions are used.
    a card, the top-level domain, the gender and script of a name.  Equal domains and equal
    family names keep being equal.
 4. Surrogates that meet another one, or any real entity, take the next attempt of their
-   digest, until none collides.  Rounds work on the distinct entities only.
+   digest, until none collides; late attempts lengthen the local part of an address, so
+   that also a space without free values ends.  Rounds work on the distinct entities only.
 5. Mentions are joined with the surrogates and poured into their own format: separators,
    brackets and capitals stay.
 
@@ -41,7 +42,7 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NAME = r"\p{Lu}\p{Ll}+"
 TITLE = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)*\.\p{L}[\p{L}\p{M}]+",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
@@ -62,6 +63,24 @@ ALPHABETS = (
     "αβγδεζηθικλμνξοπρστυφχψω",
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 )
+#: Letters and digits outside the alphabets are replaced by one of the first script that has them.
+SCRIPTS = (
+    (r"\p{IsLatin}", ALPHABETS[3]),
+    (r"\p{IsCyrillic}", ALPHABETS[4]),
+    (r"\p{IsGreek}", ALPHABETS[6]),
+    (r"\p{IsHan}", "安白成大方光国海和华家江金林明宁平青山石水天文西小新阳云中子"),
+    (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほ"),
+    (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホ"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누"),
+    (r"\p{IsArabic}", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקרשת"),
+    (r"\p{IsThai}", "กขคงจฉชซดตถทนบปผพฟมยรลวสหอ"),
+    (r"\p{IsDevanagari}", "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह"),
+    (r"\p{N}", ALPHABETS[0]),
+    (r"\p{L}", ALPHABETS[1]),
+)
+#: Attempts after which the local part of an address grows, by one letter every second attempt.
+LONGER_AFTER = 6
 #: Consonants, vowels, male and female ending of invented names, by script.
 NAME_PARTS = {
     "cyrillic": ("бвгдзклмнпрст", "аеиоу", "н", "а"),
@@ -141,11 +160,14 @@ def _pick(noise: Column, i: Column, alphabet: str) -> Column:
 
 
 def _like(value: Column, noise: Column) -> Column:
-    """Every letter and digit replaced by one of its own alphabet."""
+    """Every letter and digit replaced by one of its own alphabet or else of its script."""
 
     def one(i: Column) -> Column:
         c = F.substring(value, i, F.lit(1))
-        out = c
+        other = c
+        for script, alphabet in reversed(SCRIPTS):
+            other = F.when(c.rlike(script), _pick(noise, i, alphabet)).otherwise(other)
+        out = F.when(c.rlike(r"[\p{L}\p{N}]"), other).otherwise(c)
         for alphabet in ALPHABETS:
             out = F.when(F.instr(F.lit(alphabet), c) > 0, _pick(noise, i, alphabet)).otherwise(out)
         return out
@@ -177,7 +199,10 @@ def surrogate_of(kind: Column, canonical: Column, attempt: Column, rules: Surrog
     local, domain = F.substring_index(canonical, "@", 1), F.substring_index(canonical, "@", -1)
     top = F.substring_index(domain, ".", -1)
     below = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    email = F.concat(_like(local, noise), F.lit("@"), _like(below, _noise(rules.key, "domain", below)), F.lit("."), top)
+    # Few or no free values of this length: a longer one is new at every attempt.
+    extra = F.greatest(F.lit(0), F.ceil((attempt - LONGER_AFTER) / 2)).cast("int")
+    longer = F.translate(F.substring(_noise(rules.key, "longer", canonical, attempt), F.lit(1), extra), "0123456789", "ghijklmnop")
+    email = F.concat(_like(local, noise), longer, F.lit("@"), _like(below, _noise(rules.key, "domain", below)), F.lit("."), top)
     tail = F.substring_index(canonical, "|", -1)
     phone = F.concat(
         F.substring_index(canonical, "|", 1), F.lit("|"), _pick(noise, F.lit(30), "23456789"),
