@@ -87,3 +87,34 @@ def test_a_space_without_free_values_ends(spark):
     rows = assigned(full).collect()
     made = {r.surrogate for r in rows}
     assert len(rows) == len(made) == 100 and not made & {r.canonical for r in rows}
+
+
+def test_cards_next_to_other_numbers(spark):
+    card = "4785380592391139"
+    texts = [
+        "4785 3805 9239 1139 12/27", f"{card} 123", f"order 12 {card}.", "1234 5678 4785 3805 9239 1139", f"{card} 5555555555554444 17",
+        f"{card} 10.0.0.7", f"{card} 743-555-3824", f"{card} 743 555 3824", f"{card} 12.50", "1 " * 5000 + card,
+        "1234567890123456 1234567890123456",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in replaced(rows).collect()}
+    assert [got[k].n_entities for k in range(9)] == [1, 1, 1, 1, 2, 2, 2, 2, 1]
+    for k, text in enumerate(texts[:10]):
+        assert "9239" not in got[k].text and "555-3824" not in got[k].text and "555 3824" not in got[k].text
+        assert re.sub(r"\d", "0", got[k].text.replace("10.", "")[:40]) == re.sub(r"\d", "0", text.replace("10.", "")[:40]) or k == 5
+    new = got[1].text[:16]
+    assert luhn(new) == 0 and got[1].text == f"{new} 123" and got[2].text == f"order 12 {new}." and got[8].text == f"{new} 12.50"
+    assert got[0].text.replace(" ", "") == f"{new}12/27" and got[3].text.startswith("1234 5678 4") and got[4].text.endswith(" 17")
+    assert got[9].text.startswith("1 " * 4900) and new in got[9].text or got[9].n_entities > 1
+    assert got[10].text == texts[10]
+
+
+def test_spellings_of_a_telephone_number_share_one_surrogate(spark):
+    texts = ["+17435553824", "+1 743 555 3824", "+1 (743) 555-3824", "+442079460958", "+44 20 7946 0958", "call 743 555 3824 or 743-555-3824 now"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in replaced(rows).collect()}
+    bare = [re.sub(r"\D", "", got[k]) for k in range(5)]
+    assert bare[0] == bare[1] == bare[2] != "17435553824" and got[0].startswith("+1")
+    assert bare[3] == bare[4] != "442079460958" and got[3].startswith("+44")
+    a, b = re.fullmatch(r"call (\d{3} \d{3} \d{4}) or (\d{3}-\d{3}-\d{4}) now", got[5]).groups()
+    assert a.replace(" ", "") == b.replace("-", "") != "7435553824"

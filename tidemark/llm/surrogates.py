@@ -4,9 +4,11 @@ Only DataFrame functions are used.
 
 1. Each document is scanned once for e-mail addresses, telephone, card and social security
    numbers, IPv4 addresses and titled names.  Card numbers must pass their check digit and
-   octets their range; other digits stay.
+   octets their range; other digits stay.  A card may stand next to other numbers: its
+   groups are looked for inside the whole run of digits.
 2. Mentions become entities by a canonical form (case folded, punctuation of numbers
-   dropped), so all spellings of an entity share one surrogate.
+   dropped, country codes known by their digits), so all spellings of an entity share one
+   surrogate.  A number without a country code is an entity of its own.
 3. The distinct entities get a surrogate from a keyed digest.  It keeps the type: the script
    and length of every letter and digit run, the country code of a number, the check digit of
    a card, the top-level domain, the gender and script of a name.  Equal domains and equal
@@ -43,13 +45,18 @@ NAME = r"\p{Lu}\p{Ll}+"
 TITLE = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)*\.\p{L}[\p{L}\p{M}]+",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\d.-])(?<!\d{3} )\d{3} \d{3} \d{4}(?![\d-]| \d{3})",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    # The whole run of digits; it ends before a decimal number, an IPv4 address and numbers
+    # with the hyphens of other kinds.
+    "card": r"(?<!\d)\d(?:(?! \d+\.\d| \d{3}-\d{2,3}-\d{4}(?![\d-]))[ -]?\d){12,}+",
     "person": rf"(?<!\p{{L}})(?:{TITLE})\.? {NAME}(?: {NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+PARTS = "array<struct<text:string,kind:string>>"
+#: Country codes: 1 and 7, those of two digits, all others have three.
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: A text in which none of these occurs holds no entity.
 HINT = rf"@|\d[\d ().-]{{5}}|(?:{TITLE})\.? \p{{Lu}}"
 
@@ -118,24 +125,89 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def kind_of(match: Column) -> Column:
-    """Type of a match; null for digits that are no card number."""
-    digits = _digits(match)
+    """Type of a match; null for a run of digits, see ``parts_of``."""
     return (
         F.when(match.contains("@"), "email")
         .when(match.rlike(rf"^(?:{TITLE})\.? "), "person")
         .when(match.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(match.rlike(r"^\+|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
-        .when((F.length(digits) >= 13) & (luhn_sum(digits) % 10 == 0), "card")
+        .when(match.rlike(r"^\+|^\(|^\d{3}(?:[.-]\d{3}[.-]| \d{3} )\d{4}$"), "phone")
     )
 
 
+def parts_of(match: Column) -> Column:
+    """array<struct<text, kind>> of a match: one part, or the cards in a run of digits and
+    what stands between them.
+
+    A card is a run of whole groups.  Of overlapping ones with a right check digit those with
+    a usual first digit are preferred, then the usual lengths (16, then 15, then 13 digits),
+    then the longest.  Overlapping ones of equal rank are replaced as one.
+    """
+    kind = kind_of(match)
+    whole = F.array(F.struct(match.alias("text"), kind.alias("kind")))
+    groups = F.regexp_extract_all(match, F.lit(r"[ -]?[0-9]+"), F.lit(0))
+    # One-element arrays: what they hold is worked out once and not at each use.
+    run = F.element_at(F.transform(F.array(groups), _parts_of_run), 1)
+    return F.when(kind.isNull(), run).otherwise(whole)
+
+
+def _parts_of_run(groups: Column) -> Column:
+    n = F.size(groups)
+    text = lambda first, end: F.array_join(F.slice(groups, first + 1, end - first), "")
+
+    def best(first: Column) -> Column:
+        """struct<rank, end> of the best card that starts with this group, or null."""
+        ends = F.transform(
+            F.sequence(first + 1, F.least(first + 19, n)),
+            lambda end: F.struct(end.alias("end"), _digits(text(first, end)).alias("digits")),
+        )
+        cards = F.filter(
+            ends, lambda x: F.length(x["digits"]).between(13, 19) & (luhn_sum(x["digits"]) % 10 == 0)
+        )
+        size = lambda x: F.length(x["digits"])
+        rank = lambda x: F.when(size(x) == 16, 50).when(size(x) == 15, 40).when(size(x) == 13, 30).otherwise(size(x)) + F.when(x["digits"].rlike("^[2-6]"), 100).otherwise(0)
+        return F.array_max(F.transform(cards, lambda x: F.struct(rank(x).alias("rank"), x["end"].alias("end"))))
+
+    def part(first: Column, end: Column, kind: Column | None = None) -> Column:
+        rest = text(first, end)
+        return F.array(F.struct(rest.alias("text"), (kind if kind is not None else kind_of(F.ltrim(rest))).alias("kind")))
+
+    def split(found: Column) -> Column:
+        start = F.struct(F.lit(0).alias("done"), F.array().cast(PARTS).alias("parts"))
+
+        def step(acc: Column, i: Column) -> Column:
+            mine = F.get(found, i)
+            over = F.slice(found, i + 2, F.greatest(mine["end"] - i - 1, F.lit(0)))
+            better = F.exists(over, lambda x: F.coalesce(x["rank"] > mine["rank"], F.lit(False)))
+            taken = (i >= acc["done"]) & mine.isNotNull() & ~better
+            equal = F.transform(F.filter(over, lambda x: x["rank"] == mine["rank"]), lambda x: x["end"])
+            end = F.greatest(mine["end"], F.array_max(equal))
+            between = F.when(i > acc["done"], part(acc["done"], i)).otherwise(F.array().cast(PARTS))
+            return F.when(
+                taken,
+                F.struct(end.alias("done"), F.concat(acc["parts"], between, part(i, end, F.lit("card"))).alias("parts")),
+            ).otherwise(acc)
+
+        return F.aggregate(
+            F.sequence(F.lit(0), n - 1), start, step,
+            lambda acc: F.when(acc["done"] < n, F.concat(acc["parts"], part(acc["done"], n))).otherwise(acc["parts"]),
+        )
+
+    cards = F.array(F.transform(F.sequence(F.lit(0), n - 1), best))
+    return F.element_at(F.transform(cards, split), 1)
+
+
+def country_of(match: Column) -> Column:
+    """The country code of a number with a plus sign, else an empty text."""
+    return F.regexp_extract(F.concat(F.substring(match, 1, 1), _digits(match)), COUNTRY, 1)
+
+
 def canonical_of(kind: Column, match: Column) -> Column:
     """One form for all spellings of an entity.
 
     Numbers keep a country code in front of a bar; names keep gender and words.
     """
-    country = F.regexp_extract(match, r"^\+(\d{1,3})[ .(-]", 1)
+    country = country_of(match)
     title = F.regexp_extract(match, rf"^({TITLE})\.? ", 1)
     words = F.lower(F.regexp_replace(match, rf"^(?:{TITLE})\.? ", ""))
     gender = F.when(title.isin(*MALE), "m").otherwise("f")
@@ -283,7 +355,7 @@ def assigned(entities: DataFrame, rules: SurrogateRules = PRODUCTION) -> DataFra
 def poured(kind: Column, match: Column, surrogate: Column) -> Column:
     """The surrogate in the format of the mention."""
     upper = (F.upper(match) == match) & (F.lower(match) != match)
-    digits = F.when(kind == "phone", F.concat(F.regexp_extract(match, r"^\+(\d{1,3})[ .(-]", 1), F.substring_index(surrogate, "|", -1))).otherwise(surrogate)
+    digits = F.when(kind == "phone", F.concat(country_of(match), F.substring_index(surrogate, "|", -1))).otherwise(surrogate)
     in_place = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(match)),
@@ -316,23 +388,30 @@ def replaced(docs: DataFrame, rules: SurrogateRules = PRODUCTION, *, text: str =
         F.when(F.col("hint"), F.regexp_extract_all("t", whole, F.lit(1))).otherwise(nothing).alias("gaps"),
         F.when(F.col("hint"), F.regexp_extract_all("t", whole, F.lit(2))).otherwise(nothing).alias("matches"),
     )
-    scan = scan.withColumn("kinds", F.transform("matches", kind_of))
-    scan = scan.withColumn("n", F.size(F.array_compact("kinds")))
+    gap = lambda x: F.array(F.struct(x["gap"].alias("text"), F.lit(None).cast("string").alias("kind")))
+    scan = scan.withColumn(
+        "parts",
+        F.flatten(
+            F.transform(
+                F.arrays_zip(F.col("gaps").alias("gap"), F.col("matches").alias("match")),
+                lambda x: F.concat(gap(x), parts_of(x["match"])),
+            )
+        ),
+    )
+    scan = scan.withColumn("n", F.size(F.filter("parts", lambda x: x["kind"].isNotNull())))
     some = F.col("n") > 0
     base = stored(
         scan.select(
-            "row", "n", *[F.when(some, F.col(c)).alias(c) for c in ("gaps", "matches", "kinds")],
+            "row", "n", F.when(some, F.col("parts")).alias("parts"),
             F.when(some, F.sha2(F.col("t").cast("binary"), 256)).alias("digest"),
         ),
         "scanned-documents",
     )
     with_entities = base.where("n > 0")
-    mentions = with_entities.select(
-        "digest", F.posexplode(F.arrays_zip(F.col("matches").alias("match"), F.col("kinds").alias("kind")))
-    ).where("col.kind IS NOT NULL")
+    mentions = with_entities.select("digest", F.posexplode("parts")).where("col.kind IS NOT NULL")
     mentions = mentions.select(
         "digest", F.col("pos").alias("pos"), F.col("col.kind").alias("kind"),
-        canonical_of(F.col("col.kind"), F.col("col.match")).alias("canonical"),
+        canonical_of(F.col("col.kind"), F.col("col.text")).alias("canonical"),
     ).distinct()
     mentions = stored(mentions, "mentions")
     mapping = assigned(mentions.select("kind", "canonical").distinct(), rules)
@@ -341,17 +420,9 @@ def replaced(docs: DataFrame, rules: SurrogateRules = PRODUCTION, *, text: str =
         .groupBy("digest")
         .agg(F.map_from_entries(F.collect_list(F.struct("pos", "surrogate"))).alias("surrogates"))
     )
-    filled = with_entities.join(by_text, "digest").select("row", "n", "gaps", "matches", "kinds", "surrogates")
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.size("matches") - 1),
-        lambda i: F.concat(
-            F.get("gaps", i),
-            poured(F.get("kinds", i), F.get("matches", i), F.element_at("surrogates", i)),
-        ),
-    )
-    done = F.aggregate(
-        F.concat("gaps", "matches"), F.lit(0), lambda total, x: total + F.length(x)
-    )
+    filled = with_entities.join(by_text, "digest").select("row", "n", "parts", "surrogates")
+    pieces = F.transform("parts", lambda x, i: poured(x["kind"], x["text"], F.element_at("surrogates", i)))
+    done = F.aggregate("parts", F.lit(0), lambda total, x: total + F.length(x["text"]))
     new_text = F.concat(F.array_join(pieces, ""), F.substring(row.getField(text), done + 1, F.length(row.getField(text))))
     changed = with_result(filled, **{text: new_text, "n_entities": F.col("n").cast("long")})
     same = with_result(base.where("n = 0"), **{text: row.getField(text), "n_entities": F.col("n").cast("long")})
