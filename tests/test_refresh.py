@@ -10,7 +10,8 @@ from tidemark import schemas as S
 from tidemark.operators import payloads as P
 from tidemark.plans import reference_data, refresh, staging
 from tidemark.plans.relations import MARTS, RELATIONS
-from tidemark.sources import publish, typed
+from tidemark.sources import landing, publish, typed
+from tidemark.streaming.arrivals import load_arrivals
 
 AS_OF = date(2025, 3, 2)
 EXPECTED = [("AAPL", "0000320193", "primary", True)]
@@ -212,3 +213,25 @@ def test_partly_stored_run_is_refused(spark, tmp_path):
     typed.append_rows(rows.where("source_row_number = 0"), paths[contract.name], contract.schema)
     result = refresh.load(spark, landing, str(tmp_path), tables=[contract.name])
     assert outcomes(result) == {("daily_market_prices", "refused", "rows of the run are stored in part")}
+
+
+def test_daily_refresh_takes_up_runs_that_others_registered(spark, tmp_path, monkeypatch):
+    """Runs of load_arrivals, and of a refresh that stopped after its load, reach staging."""
+    run(spark, X.full_landing(spark), tmp_path)
+    path, state = f"{tmp_path}/arrived", f"{tmp_path}/state"
+    landing.append_payloads(X.landing(spark, [(S.PRICES, "MSFT", X.RUN_2, X.prices("MSFT"))]), path)
+    load_arrivals(spark, path, f"{tmp_path}/source", state).awaitTermination()
+    later = X.landing(spark, [(S.PRICES, "AAPL", X.RUN_2, X.prices(values=[X.price("2025-01-16", "54", "57.5", "53.5", "57", None)]))])
+    with monkeypatch.context() as stopped:
+        stopped.setattr(typed, "require_whole_files", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(spark, later, tmp_path, daily=True)
+    result = run(spark, later, tmp_path, daily=True)
+    assert result.registered.count() == 0
+    tables = typed.read_source_tables(spark, f"{tmp_path}/source")
+    full = staging.stg_market_prices(tables["market_daily_prices"], tables["ingestion_runs"])
+    got = result.relations.stg_market_prices
+    assert sorted(got.collect()) == sorted(full.select(*got.columns).collect())
+    assert {(r.symbol, r.trading_date) for r in got.collect()} == {
+        *[(s, date(2025, 1, d)) for s in ("AAPL", "MSFT") for d in (14, 15)], ("AAPL", date(2025, 1, 16)),
+    }

@@ -170,14 +170,24 @@ STAGED = {
 }
 
 
-def brought_up_to_date(
-    tables: Mapping[str, DataFrame], registered: DataFrame, warehouse: str
-) -> dict[str, DataFrame]:
-    """Staging relations of the last refresh with the rows of newly registered runs.
+#: Keys of the runs that staging holds, stored in the warehouse right after staging.
+STAGED_RUNS = "_staged_runs"
 
-    Empty for a warehouse without staging.  Only the keys of the new runs are worked on.
+
+def brought_up_to_date(tables: Mapping[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
+    """Staging relations of the last refresh with the rows of all registered runs it lacks.
+
+    It does not matter which call registered them.  Empty for a warehouse without staging
+    or without the list of staged runs.  Only the keys of the new runs are worked on; a run
+    that is taken up twice changes nothing.
     """
-    spark = registered.sparkSession
+    runs = tables["ingestion_runs"]
+    spark = runs.sparkSession
+    try:
+        staged = spark.read.parquet(f"{warehouse.rstrip('/')}/{STAGED_RUNS}")
+    except AnalysisException:
+        return {}
+    registered = runs.join(staged, RUN_KEY, "left_anti")
     between = incremental.run_range(registered)
     current = {}
     for name, (table, grain) in STAGED.items():
@@ -210,6 +220,10 @@ def build_relations(
         return publish.store(df, place)
 
     relations = Relations(tables, identities, metrics, keep, STORED)
+    for name in STAGED:
+        relations[name]
+    # After staging: if the list is lost or late, runs are taken up again.
+    publish.store(tables["ingestion_runs"].select(*RUN_KEY), f"{warehouse.rstrip('/')}/{STAGED_RUNS}")
     for name in STORED:
         relations[name]
     return relations
@@ -306,14 +320,14 @@ def refresh(
     """Full refresh: load every dataset, rebuild the relations, check and monitor.
 
     With ``incremental_staging`` the staging relations of the last refresh are brought up to
-    date with the newly registered runs instead of being rebuilt from all history.
+    date with the registered runs they lack instead of being rebuilt from all history.
     """
     root = root.rstrip("/")
     loaded = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
     typed.require_whole_files(spark, f"{root}/source")
     sources = typed.read_source_tables(spark, f"{root}/source")
     warehouse = f"{root}/warehouse"
-    staged = brought_up_to_date(sources, loaded.registered, warehouse) if incremental_staging else None
+    staged = brought_up_to_date(sources, warehouse) if incremental_staging else None
     relations = build_relations(sources, identities, metrics, warehouse, staged)
     series = macro_series(spark)
     return RefreshResult(
