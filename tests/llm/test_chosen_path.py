@@ -6,7 +6,7 @@ from itertools import combinations
 import pytest
 from helpers import awkward, nothing
 
-from tidemark.llm.chosen_path import PathRules, joined, one_of_each_class
+from tidemark.llm.chosen_path import PathRules, _nodes, _unsettled, joined, one_of_each_class
 from tidemark.llm.components import connected
 
 
@@ -92,3 +92,15 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(200)] + [(500, 501)], "u bigint, v bigint")
     got = {r.vertex: r.root for r in connected(edges).collect()}
     assert got == {**{k: 0 for k in range(201)}, 500: 500, 501: 500}
+
+
+def test_records_that_become_alone_below_a_crowded_token_go_on(spark):
+    """Alone at depth 2 in all nine runs leaves a chance of 1e-4 to miss a partner, not 5e-7."""
+    rules = PathRules(bucket=8)
+    crowded = lambda k: [t for run in range(rules.all_runs) for t in (run, 1000 + k, 2, 3)]
+    single = lambda k: [9000 + 500 * k + t for t in range(rules.all_runs * rules.depth)]
+    rows = [(k, 0, 0, 1, (crowded if k < 20 else single)(k)) for k in range(25)]
+    records = spark.createDataFrame(rows, "rec bigint, s0 bigint, s1 bigint, copies bigint, tokens array<int>")
+    ends, alone = _nodes(records, 0, rules.first_runs, rules)
+    assert ends.count() == 0 and {(r.rec, r.depth) for r in alone.collect()} == {(k, 2) for k in range(20)}
+    assert {r.rec for r in _unsettled(ends, alone, rules).collect()} == set(range(20))

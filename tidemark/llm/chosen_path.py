@@ -10,8 +10,9 @@ of ``bucket`` sets against each other.
 
 A pair of similarity s that a run follows to depth d meets with probability s**d.  Runs are
 repeated until each document's chance to miss a partner at the threshold, the product of
-1 - threshold**depth over its runs, is at most 1 - recall.  Documents in shallow nodes stop
-after the first runs; only the others go on.
+1 - threshold**depth over its runs, is at most 1 - recall.  The depth of a run is that of
+the end node, also where the document became alone.  Documents in shallow nodes stop after
+the first runs; only the others go on.
 
 Equal sets are one record.  A pair counts in the first run in which it meets, so no list of
 pairs has to be made distinct, and pairs never leave the task that finds them: a task gives
@@ -151,10 +152,12 @@ def _signer(rules: PathRules):
     return sign
 
 
-def _nodes(records: DataFrame, first: int, last: int, rules: PathRules) -> DataFrame:
-    """Shared end nodes of runs first <= run < last: rec, run, node, size, depth and sketch.
+def _nodes(records: DataFrame, first: int, last: int, rules: PathRules) -> tuple[DataFrame, DataFrame]:
+    """End nodes of runs first <= run < last.
 
-    Nodes that a single record reaches are left out.
+    The first frame has the shared ones: rec, run, node, size, depth and sketch.  The second
+    has rec and depth of records that became alone below the first token; of those alone at
+    depth 1 there is no row.
     """
     d = rules.depth
     starts = F.transform(
@@ -165,10 +168,17 @@ def _nodes(records: DataFrame, first: int, last: int, rules: PathRules) -> DataF
         "rec", "s0", "s1", "copies", "run", "path",
         F.xxhash64("run", F.get("path", F.lit(0))).alias("node"),
     )
-    ends = []
+    ends, alone = [], [records.select("rec", F.lit(1).alias("depth")).limit(0)]
     for depth in range(1, d + 1):
-        sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        at = stored(at.join(sizes, "node"), f"path-nodes-{depth}")
+        sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+        if depth == 1:
+            at = at.join(sizes.where("size > 1"), "node")
+        else:
+            at = at.join(sizes, "node").withColumn("path", F.when(F.col("size") > 1, F.col("path")))
+        at = stored(at, f"path-nodes-{depth}")
+        if depth > 1:
+            alone.append(at.where("size = 1").select("rec", F.lit(depth).alias("depth")))
+            at = at.where("size > 1")
         small = at.where(F.col("size") <= rules.bucket)
         ends.append(small.withColumn("depth", F.lit(depth)))
         large = at.where(F.col("size") > rules.bucket)
@@ -183,7 +193,25 @@ def _nodes(records: DataFrame, first: int, last: int, rules: PathRules) -> DataF
         below = stored(below.join(alike, "node"), f"path-split-{depth}")
         ends.append(below.where("alike").drop("child", "alike").withColumn("depth", F.lit(depth)))
         at = below.where("NOT alike").drop("node", "size", "alike").withColumnRenamed("child", "node")
-    return reduce(DataFrame.unionByName, [e.drop("path") for e in ends])
+    return reduce(DataFrame.unionByName, [e.drop("path") for e in ends]), reduce(DataFrame.unionByName, alone)
+
+
+def _unsettled(ends: DataFrame, alone: DataFrame, rules: PathRules) -> DataFrame:
+    """rec of the records whose chance to miss a partner in the first runs is too high."""
+    missing = F.exp(F.sum(F.log(1 - F.pow(F.lit(rules.threshold), F.col("depth")))))
+    return (
+        ends.select("rec", "depth")
+        .unionByName(alone)
+        .groupBy("rec")
+        .agg(missing.alias("missed"), F.count(F.lit(1)).alias("runs"))
+        # Runs without a row are those in which the record is alone at depth 1.
+        .withColumn(
+            "missed",
+            F.col("missed") * F.pow(F.lit(1 - rules.threshold), F.lit(rules.first_runs) - F.col("runs")),
+        )
+        .where(F.col("missed") > 1 - rules.recall + 1e-15)
+        .select("rec")
+    )
 
 
 def _pairs(group: np.ndarray, side: np.ndarray, run: np.ndarray, s0, s1, leaves: np.ndarray, most: int):
@@ -354,21 +382,11 @@ def joined(
         ),
         "set-records",
     )
-    ends = _nodes(records, 0, rules.first_runs, rules)
-    missing = F.exp(F.sum(F.log(1 - F.pow(F.lit(rules.threshold), F.col("depth")))))
-    deep = (
-        ends.groupBy("rec")
-        .agg(missing.alias("missed"), F.count(F.lit(1)).alias("runs"))
-        # Runs in which a record is alone count as depth 1.
-        .withColumn(
-            "missed",
-            F.col("missed") * F.pow(F.lit(1 - rules.threshold), F.lit(rules.first_runs) - F.col("runs")),
-        )
-        .where(F.col("missed") > 1 - rules.recall + 1e-15)
-    )
+    ends, alone = _nodes(records, 0, rules.first_runs, rules)
+    deep = _unsettled(ends, alone, rules)
     if rules.all_runs > rules.first_runs and not deep.isEmpty():
-        going_on = records.join(deep.select("rec"), "rec", "left_semi")
-        ends = ends.unionByName(_nodes(going_on, rules.first_runs, rules.all_runs, rules))
+        going_on = records.join(deep, "rec", "left_semi")
+        ends = ends.unionByName(_nodes(going_on, rules.first_runs, rules.all_runs, rules)[0])
     links = _links(_groups(ends, rules), base.select(F.col("seq").alias("rec"), "text"), rules)
     roots = connected(links.select(F.col("rec").alias("u"), F.col("root").alias("v")).where("u <> v"))
 
