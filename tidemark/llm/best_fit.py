@@ -1,4 +1,4 @@
-"""Bulk-synchronous best-fit packing of documents into token sequences.
+"""Best-fit-decreasing packing of documents into token sequences, planned over a histogram.
 
 Documents become token ids with an end id; longer ones than a sequence are cut, the first
 piece taking the odd length.  Pieces of one length are interchangeable, so a *run* (a length
@@ -6,10 +6,11 @@ and a number of pieces) stands for all of them, and a run of gaps for all sequen
 much room.  There are at most ``capacity`` runs of either, whatever the number of documents.
 
 * Pieces are range-sorted by length; a piece's rank in its run is its place in that order.
-* Sweeping the runs from the longest to the shortest, each step matches the ranks of a run
+* The driver plans in one sequential loop over the length histogram (``plan``), not in
+  distributed rounds.  From the longest run to the shortest, each step matches the ranks of a run
   with the successor among the gap runs (the smallest gap that holds the length, as often as
   it fits); what is left over goes to the next gap run, and new sequences open last.
-* The gaps that were used are updated and the sweep goes on, until no piece is left.
+* The gaps that were used are updated and the loop goes on, until no piece is left.
 
 A step is one interval of ranks mapped to one interval of sequences.  Every piece then finds
 its sequence and offset from its rank alone, on the executors.  Only run counts pass the
