@@ -10,12 +10,14 @@ from tidemark.llm import (
     chosen_path,
     histogram_shards,
     language_fusion,
+    periodic_runs,
     piece_agenda,
     quality_lines,
     secret_scan,
     stream_dedup,
     surrogates,
     url_rules,
+    water_filling,
 )
 
 
@@ -121,6 +123,43 @@ def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_fusion.identified(records, model, keys=("doc_id", "page_id"))
 
 
+def op12_capped_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, and the target of its source."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return water_filling.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _tiled(docs: DataFrame) -> DataFrame:
+    """Texts of which every tenth (by the id's checksum) repeats a stretch of words to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    docs = docs.select("doc_id", "text", checksum.alias("h"), F.when(checksum % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.expr("h div 10")
+    at = (g % n).cast("int")
+    period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    copies = F.ceil((n - at) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", at + 1, period), copies)), F.lit(1), n - at)
+    tiled = F.array_join(F.concat(F.slice("words", F.lit(1), at), tail), " ")
+    return docs.select("doc_id", F.when(n > 0, tiled).otherwise(F.col("text")).alias("text"))
+
+
+def op13_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document and its text without their repetitions, as digests."""
+    found = periodic_runs.with_runs(_tiled(_table(spark, sf_dir, "documents")))
+    listed = F.array_join(
+        F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), ""
+    )
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_chosen_path_join": op2_chosen_path_join,
@@ -132,4 +171,6 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_first_quality": op9_line_first_quality,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
+    "op12_capped_water_filling": op12_capped_water_filling,
+    "op13_maximal_pair_runs": op13_maximal_pair_runs,
 }
