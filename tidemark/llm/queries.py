@@ -10,6 +10,7 @@ from tidemark.llm import (
     chosen_path,
     histogram_shards,
     language_fusion,
+    parsed_phrases,
     periodic_runs,
     piece_agenda,
     quality_lines,
@@ -123,6 +124,11 @@ def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_fusion.identified(records, model, keys=("doc_id", "page_id"))
 
 
+def op11_parsed_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of every language."""
+    return parsed_phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_capped_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, and the target of its source."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -171,6 +177,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_first_quality": op9_line_first_quality,
     "op10_streaming_exact_dedup": op10_streaming_exact_dedup,
+    "op11_parsed_phrases": op11_parsed_phrases,
     "op12_capped_water_filling": op12_capped_water_filling,
     "op13_maximal_pair_runs": op13_maximal_pair_runs,
 }
