@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from tidemark.llm.parsed_phrases import PRODUCTION as PHRASES
+from tidemark.llm.periodic_runs import PRODUCTION as RUNS
 from tidemark.llm.quality_lines import PRODUCTION
 from tidemark.llm.secret_scan import PRODUCTION as SECRETS
+from tidemark.llm.water_filling import PRODUCTION as MIX
 
 
 def _literals(values) -> str:
@@ -176,7 +179,153 @@ FROM texts LEFT JOIN by_doc USING (doc_id)"""
 
 OP7 = _secrets()
 
+_SIZES = ", ".join(f"({k})" for k in range(1, PHRASES.max_words + 1))
+_CUTS = ", ".join(f"({k})" for k in range(1, PHRASES.max_words))
+
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+occurrences AS (
+  SELECT lang, k AS words, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM worded, (VALUES {_SIZES}) AS sizes(k) WHERE len(ws) >= k),
+counts AS MATERIALIZED (SELECT lang, words, phrase, count(*) AS f FROM occurrences GROUP BY lang, words, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE words = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE words >= 2 AND f >= {PHRASES.min_count}),
+cuts AS (
+  SELECT lang, words, phrase, f, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES {_CUTS}) AS cut(k) WHERE k < words),
+cut_scores AS (
+  SELECT cuts.*, a.f AS l, b.f AS r, ({PHRASES.scale}::HUGEINT * cuts.f) // (a.f + b.f) AS score
+  FROM cuts JOIN counts a ON a.lang = cuts.lang AND a.phrase = first AND a.words = k
+            JOIN counts b ON b.lang = cuts.lang AND b.phrase = rest AND b.words = cuts.words - k),
+lowest AS (
+  SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+left_over AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates longer WHERE longer.lang = c.lang AND longer.words > c.words
+      AND contains(' ' || longer.phrase || ' ', ' ' || c.phrase || ' ')
+      AND 100::HUGEINT * longer.f >= {PHRASES.contained_percent}::HUGEINT * c.f)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank::BIGINT AS rank, phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= {PHRASES.top}"""
+
+
+def _mix() -> str:
+    up, down = MIX.share
+    weights = ", ".join(map(str, MIX.weights))
+    cap = f"{MIX.max_epochs} * source_size"
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::HUGEINT AS size,
+         md5('{MIX.seed}|' || coalesce(doc_id::VARCHAR, 'null')) AS key
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+         [{weights}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(MIX.weights)}]::HUGEINT AS weight
+  FROM sized GROUP BY source),
+-- A source is clamped if its cap is below its share of what sources of no higher cap per weight leave.
+levels AS (
+  SELECT *, (SELECT sum(source_size) FROM sources)::HUGEINT * {up}
+           - coalesce((SELECT sum({cap}) FROM sources b WHERE b.source_size * a.weight < a.source_size * b.weight), 0) * {down} AS rest,
+         (SELECT sum(weight) FROM sources b WHERE b.source_size * a.weight >= a.source_size * b.weight)::HUGEINT AS weights
+  FROM sources a),
+clamped AS (SELECT *, weight * rest > {cap} * weights * {down} AS full_ FROM levels),
+level AS (
+  SELECT (SELECT sum(source_size) FROM sources)::HUGEINT * {up} - coalesce(sum({cap}) FILTER (WHERE full_), 0)::HUGEINT * {down} AS rest,
+         greatest(coalesce(sum(weight) FILTER (WHERE NOT full_), 0), 1)::HUGEINT * {down} AS below
+  FROM clamped),
+goals AS (
+  SELECT source, source_size,
+         CASE WHEN full_ THEN ({cap})::DOUBLE ELSE (weight * rest)::DOUBLE / below::DOUBLE END AS target,
+         CASE WHEN full_ THEN {cap} ELSE (2 * weight * rest + below) // (2 * below) END AS goal
+  FROM (SELECT source, source_size, weight, full_ FROM clamped), level),
+keyed AS (SELECT source, key, sum(size)::HUGEINT AS at_key FROM sized GROUP BY source, key),
+placed AS (
+  SELECT source, key, at_key, sum(at_key) OVER (PARTITION BY source ORDER BY key)::HUGEINT - at_key AS ahead FROM keyed)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE
+         size * (goal // source_size)
+         + CASE WHEN ahead + at_key <= goal % source_size THEN size
+                WHEN ahead >= goal % source_size THEN 0
+                ELSE size * (goal % source_size - ahead) // at_key END END)::BIGINT AS taken
+FROM sized s JOIN goals g ON g.source IS NOT DISTINCT FROM s.source
+JOIN placed p ON p.source IS NOT DISTINCT FROM s.source AND p.key = s.key"""
+
+
+OP12 = _mix()
+
+
+def _runs(levels: int = 20) -> str:
+    """Runs by the next occurrence of word windows.
+
+    A run of period q has length 3q at least, so its windows of m words, q <= m <= 2q, occur
+    again after exactly q words and not before.  Windows double from level to level.
+    """
+    least = RUNS.window
+    steps, found, m = [], [], 1
+    for k in range(levels):
+        if m >= least:
+            # The shortest windows also stand for all shorter periods.
+            shortest = 1 if m == least else m // 2 + 1
+            found.append(f"""
+  SELECT d, min(i) AS start, max(i) - min(i) + 1 + {m - 1} + q AS length, q FROM (
+    SELECT d, i, q, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM (
+      SELECT d, i, lead(i) OVER (PARTITION BY d, g ORDER BY i) - i AS q FROM w{k} WHERE n_words >= 3 * {shortest})
+    WHERE q BETWEEN {shortest} AND {m}) GROUP BY d, q, island""")
+        steps.append(
+            f"""w{k + 1} AS MATERIALIZED (
+  SELECT a.d, a.i, dense_rank() OVER (ORDER BY a.d, a.g, b.g) AS g, a.n_words
+  FROM w{k} a JOIN w{k} b ON b.d = a.d AND b.i = a.i + {m} WHERE a.n_words >= {3 * max(m // 2, 1)})"""
+        )
+        m *= 2
+    crc = """list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: ascii(c)::UBIGINT)), lambda crc, byte: list_reduce(list_concat([xor(crc, byte)],
+        list_transform(range(8), lambda z: 0::UBIGINT)), lambda r, z:
+          CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::UBIGINT) ELSE r // 2 END))"""
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         CASE WHEN doc_id IS NULL THEN 1 ELSE xor({crc}, 4294967295::UBIGINT) END::BIGINT AS h FROM documents),
+shaped AS (
+  SELECT d, doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS tiled,
+         CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a, 3 + (h // 10) % 8 AS parts FROM texts),
+words AS (
+  SELECT d, i, CASE WHEN tiled AND i >= a THEN ws[1 + a + (i - a) % (1 + (n - a) // parts)] ELSE ws[1 + i] END AS w, n
+  FROM (SELECT *, unnest(range(n)) AS i FROM shaped)),
+w0 AS MATERIALIZED (SELECT d, i, dense_rank() OVER (ORDER BY d, w) AS g, n AS n_words FROM words),
+{", ".join(steps)},
+stretches AS ({" UNION ALL ".join(found)}),
+runs AS MATERIALIZED (
+  SELECT d, start, length, q FROM stretches WHERE length >= greatest({RUNS.min_length}, {RUNS.min_exponent} * q)),
+dropped AS (SELECT DISTINCT d, unnest(range(start + q, start + length)) AS i FROM runs),
+rest AS (
+  SELECT d, string_agg(w, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (d, i) GROUP BY d),
+listed AS (
+  SELECT d, count(*) AS n_runs,
+         string_agg(start::BIGINT || ',' || length::BIGINT || ',' || q::BIGINT || chr(10), '' ORDER BY start, q) AS listed
+  FROM runs GROUP BY d),
+best AS (
+  SELECT * FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs o WHERE o.d = r.d AND (o.length * r.q > r.length * o.q
+      OR (o.length * r.q = r.length * o.q AND (o.start < r.start OR (o.start = r.start AND o.q < r.q))))))
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+       q::BIGINT AS period, (1000 * length // q)::BIGINT AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM shaped LEFT JOIN listed USING (d) LEFT JOIN best USING (d) LEFT JOIN rest USING (d)"""
+
+
+OP13 = _runs()
+
 ORACLES = {
+    "op11_parsed_phrases": OP11,
+    "op12_capped_water_filling": OP12,
+    "op13_maximal_pair_runs": OP13,
     "op6_rarest_token_url_filter": OP6,
     "op7_entropy_secret_scan": OP7,
     "op9_line_first_quality": OP9,
