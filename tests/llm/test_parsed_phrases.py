@@ -6,7 +6,7 @@ from itertools import pairwise
 import pytest
 from helpers import awkward, nothing
 
-from tidemark.llm.parsed_phrases import PRODUCTION, PhraseRules, bit_filter, chunks_of, collocations, dictionary, pieces_of
+from tidemark.llm.parsed_phrases import PRODUCTION, PhraseRules, bit_filter, chunks_of, collocations, dictionary
 from tidemark.llm.queries import op11_parsed_phrases
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,7 +63,7 @@ def made(rng, count):
 
 
 @pytest.mark.parametrize("rules", [PhraseRules(min_count=3, trigger=3), PhraseRules(min_count=2, top=7, filter_bits=64),
-                                   PhraseRules(min_count=4, max_words=2, trigger=1), PhraseRules(min_count=3, max_words=5, words_at_once=50, salts=2)])
+                                   PhraseRules(min_count=4, max_words=2, trigger=1), PhraseRules(min_count=3, max_words=5, chars_at_once=300, salts=2)])
 def test_equals_counting_every_phrase(spark, rules):
     rows = made(random.Random(5), 150)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
@@ -72,19 +72,25 @@ def test_equals_counting_every_phrase(spark, rules):
     assert got(docs, rules) == want
 
 
-def test_chunks_overlap_by_one_window_and_none_is_a_prefix_of_another():
+def test_chunks_overlap_by_one_window_and_none_goes_on_behind_another():
     rng = random.Random(1)
     rules, overlap = PhraseRules(trigger=4), 3
     pieces = [[rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randint(1, 60))] for _ in range(200)]
-    for piece in pieces:
-        going_on, last = chunks_of([piece], rules)
+    texts = [b" ".join(p).decode() for p in pieces]
+    for piece, text in zip(pieces, texts, strict=True):
+        going_on, last = chunks_of([text], rules)
         parts = [c.split(b" ") for c in (*going_on, *last)]
         for a, b in pairwise(parts):
             assert a[-overlap:] == b[:overlap]
         assert sum((p[:-overlap] for p in parts[:-1]), []) + parts[-1] == piece
-    going_on, _ = chunks_of(pieces, rules)
-    inner = {tuple(c.split(b" ")) for c in going_on}
-    assert not [(a, b) for a in inner for b in inner if len(a) < len(b) and b[1 : len(a)] == a[1:] and b[0] == a[0] and len(a) > 4]
+    going_on, last = chunks_of(texts, rules)
+    assert len(last) == len(pieces)
+    # A window that ended one chunk stands nowhere inside another one.
+    ends = {tuple(c.split(b" ")[-overlap:]) for c in going_on}
+    for c in (*going_on, *last):
+        words = c.split(b" ")
+        inner = range(1, len(words) - overlap + (c not in set(going_on)))
+        assert not any(tuple(words[i : i + overlap]) in ends for i in inner)
 
 
 def test_copies_stand_in_the_dictionary_once(spark):
@@ -114,8 +120,10 @@ def test_awkward_rows_and_tables(spark):
 
 
 def test_pieces_are_split_and_lowered_as_defined():
-    assert pieces_of("A\tÉ b.c:D\x0be\x0cf  g\r\n!?") == [[b"a", "É".encode(), b"b"], [b"c"], [b"d"], [b"e"], [b"f", b"g"]]
-    assert pieces_of("x\x1cy\xa0z\x85w") == [["x\x1cy\xa0z\x85w".encode()]]
+    whole = PhraseRules(trigger=1 << 40)
+    texts = ["A\tÉ b.c:D\x0be\x0cf  g\r\n!?", "", "x\x1cy\xa0z\x85w"]
+    assert chunks_of(texts, whole) == ([], ["a É b".encode(), b"c", b"d", b"e", b"f g", "x\x1cy\xa0z\x85w".encode()])
+    assert chunks_of([""], whole) == chunks_of([], whole) == ([], [])
 
 
 def test_counts_beyond_64_bits_are_exact(spark):

@@ -25,7 +25,6 @@ whole.  An empty table gives an empty table.  Other columns of the input are not
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +32,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -51,15 +51,13 @@ class PhraseRules:
     #: One window in so many is expected to end a chunk.
     trigger: int = 16
     filter_bits: int = 1 << 26
-    #: Words that one numpy step looks at together.
-    words_at_once: int = 400_000
+    #: Characters that one numpy step looks at together; a longer text goes alone.
+    chars_at_once: int = 4_000_000
     salts: int = 64
 
 
 PRODUCTION = PhraseRules()
 
-PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
-
 #: Arrow schemas of what the workers return.
 DICTIONARY = pa.schema(
     [("lang", pa.string()), ("overlaps", pa.bool_()), ("chunk", pa.string()), ("n", pa.int64())]
@@ -86,77 +84,75 @@ def _window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * _SPREAD
 
 
-def _batch(*columns, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+#: Ends a piece among the words; no byte of UTF-8.
+_BREAK = b"\xff"
+_UPPER, _ENDS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?\x0a\x0b\x0c\x0d"
+_PLAIN = bytes.maketrans(_UPPER + _ENDS, _UPPER.lower() + _BREAK * len(_ENDS))
 
 
-class _Words:
-    """Word numbers of many word lists, one after the other."""
+def _batch(*columns, schema: pa.Schema) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    def __init__(self, lists: list[list[bytes]]) -> None:
-        number = {w: k for k, w in enumerate(dict.fromkeys(w for words in lists for w in words))}
-        self.names = list(number)
-        self.sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.ends = np.cumsum(self.sizes)
-        self.ids = np.fromiter((number[w] for words in lists for w in words), np.int64, int(self.sizes.sum()))
-        self.hashes = _word_hashes(self.names)[self.ids] if self.names else np.zeros(0, np.uint64)
-        self.owner = np.repeat(np.arange(len(lists)), self.sizes)
 
-    def left(self) -> np.ndarray:
-        """Words from each position to the end of its list."""
-        return self.ends[self.owner] - np.arange(len(self.ids))
+class _Words:
+    """Numbers and hashes of words."""
 
+    def __init__(self, words: list[bytes]) -> None:
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        self.names = list(self.number)
+        self.ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.hashes = _word_hashes(self.names)[self.ids] if words else np.zeros(0, np.uint64)
 
-def pieces_of(text: str) -> list[list[bytes]]:
-    """Words of every piece; bytes are lower-cased as A-Z only."""
-    return [words for piece in PIECE_END.split(text.encode().lower()) if (words := piece.split())]
 
+def chunks_of(texts: list[str], rules: PhraseRules = PRODUCTION) -> tuple[list[bytes], list[bytes]]:
+    """Chunks that end with a window of the next one, and chunks that end with their piece.
 
-def chunks_of(pieces: list[list[bytes]], rules: PhraseRules = PRODUCTION) -> tuple[list[bytes], list[bytes]]:
-    """Chunks that end with a window of the next one, and chunks that end with their piece."""
-    if not pieces:
-        return [], []
+    Only A-Z are lower-cased, and words are separated by blanks and tabs.
+    """
     overlap = rules.max_words - 1
-    words = _Words(pieces)
+    blob = _BREAK.join([t.encode() for t in texts]).translate(_PLAIN)
+    tokens = [*blob.replace(_BREAK, b" " + _BREAK + b" ").split(), _BREAK]
+    words = _Words(tokens)
+    breaks = np.flatnonzero(words.ids == words.number[_BREAK])
+    starts = np.concatenate(([0], breaks[:-1] + 1))
+    starts, ends = starts[starts < breaks], breaks[starts < breaks]
     windows = _window_hashes(words.hashes, overlap)
     at = np.flatnonzero(windows % np.uint64(rules.trigger) == 0)
-    starts = words.ends - words.sizes
-    inside = (at > starts[words.owner[at]]) & (at + overlap <= words.ends[words.owner[at]])
-    at = at[inside]
-    owners = words.owner[at]
-    cuts: dict[int, list[int]] = {}
-    for piece, place in zip(owners.tolist(), (at - starts[owners]).tolist(), strict=True):
-        cuts.setdefault(piece, []).append(place)
-    going_on, last = [], []
-    for k, piece in enumerate(pieces):
-        begin = 0
-        for place in cuts.get(k, ()):
-            going_on.append(b" ".join(piece[begin : place + overlap]))
-            begin = place
-        last.append(b" ".join(piece[begin:] if begin else piece))
-    return going_on, last
+    piece = np.searchsorted(starts, at, "right") - 1
+    inside = piece >= 0
+    at, piece = at[inside], piece[inside]
+    at = at[(at > starts[piece]) & (at + overlap <= ends[piece])]
+    begins = np.sort(np.concatenate((starts, at)))
+    piece = np.searchsorted(starts, begins, "right") - 1
+    goes_on = np.append(piece[1:] == piece[:-1], False)[: len(begins)]
+    stops = np.where(goes_on, np.append(begins[1:], 0)[: len(begins)] + overlap, ends[piece])
+
+    def joined(which: np.ndarray) -> list[bytes]:
+        return [b" ".join(tokens[a:b]) for a, b in zip(begins[which].tolist(), stops[which].tolist(), strict=True)]
+
+    return joined(goes_on), joined(~goes_on)
 
 
 def dictionary(docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, overlaps (whether the chunk ends with a window of the next one), chunk, n."""
 
-    def counted(held: dict[str, list[list[bytes]]]) -> Iterator[pa.RecordBatch]:
-        for language, pieces in held.items():
-            for overlaps, chunks in zip((True, False), chunks_of(pieces, rules), strict=True):
+    def counted(held: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
+        for language, texts in held.items():
+            for overlaps, chunks in zip((True, False), chunks_of(texts, rules), strict=True):
                 times = Counter(chunks)
-                names = [c.decode() for c in times]
+                names = pa.array(list(times), pa.binary()).cast(pa.string())
                 k = len(names)
                 yield _batch([language] * k, [overlaps] * k, names, list(times.values()), schema=DICTIONARY)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[list[bytes]]] = {}
+        held: dict[str, list[str]] = {}
         size = 0
         for batch in batches:
             for language, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                pieces = pieces_of(own)
-                held.setdefault(language, []).extend(pieces)
-                size += sum(map(len, pieces))
-                if size >= rules.words_at_once:
+                held.setdefault(language, []).append(own)
+                size += len(own)
+                if size >= rules.chars_at_once:
                     yield from counted(held)
                     held, size = {}, 0
         yield from counted(held)
@@ -169,8 +165,8 @@ def dictionary(docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str =
     return stored(chunks.groupBy("lang", "overlaps", "chunk").agg(F.sum("n").alias("n")), "chunk-dictionary")
 
 
-def _language_hash(language: str) -> np.uint64:
-    return np.uint64(crc32(language.encode()) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+def _language_hashes(languages: list[str]) -> np.ndarray:
+    return np.array([crc32(x.encode()) for x in languages], np.uint64) * _SPREAD
 
 
 def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,16 +175,22 @@ def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> np.uint64(5)) & most, ((hashes * _FACTOR) >> np.uint64(23)) & most
 
 
+def _words_in(strings: pa.Array) -> list[bytes]:
+    """All words of strings with single blanks, one string after the other."""
+    if not len(strings):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings.cast(pa.binary()))
+    return pc.binary_join(whole, b" ")[0].as_py().split(b" ")
+
+
 def bit_filter(frequent: DataFrame, n: int, rules: PhraseRules) -> np.ndarray:
     """Bits of the frequent phrases of n words, as unsigned 64-bit words."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            languages, phrases = (c.to_pylist() for c in batch.columns)
-            lists = [p.encode().split(b" ") for p in phrases]
-            words = _Words(lists)
-            hashes = _window_hashes(words.hashes, n)[:: n] if lists else np.zeros(0, np.uint64)
-            hashes = hashes ^ np.fromiter(map(_language_hash, languages), np.uint64, len(lists))
+            language = batch.column(0).dictionary_encode()
+            hashes = _window_hashes(_Words(_words_in(batch.column(1))).hashes, n)[::n]
+            hashes = hashes ^ _language_hashes(language.dictionary.to_pylist())[language.indices.to_numpy()]
             yield _batch(np.concatenate(_places(hashes, rules.filter_bits)).astype(np.int64), schema=PLACES)
 
     places = frequent.select("lang", "phrase").mapInArrow(marked, from_arrow_schema(PLACES))
@@ -215,46 +217,57 @@ def phrase_counts(chunks: DataFrame, n: int, shorter: DataFrame | None, rules: P
         shared = chunks.sparkSession.sparkContext.broadcast(bit_filter(shorter, n - 1, rules))
     overlap = rules.max_words - 1
 
-    def of_language(language: str, lists: list[list[bytes]], overlaps: list[bool], times: list[int]) -> pa.RecordBatch:
-        words = _Words(lists)
-        left = words.left()
+    def counted(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        languages, overlaps, strings, times = pa.Table.from_batches(batches).combine_chunks().columns
+        strings = strings.combine_chunks()
+        language = languages.combine_chunks().dictionary_encode()
+        known, code = language.dictionary, language.indices.to_numpy().astype(np.int64)
+        sizes = pc.count_substring(strings, " ").to_numpy() + 1
+        words = _Words(_words_in(strings))
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        left = np.cumsum(sizes)[owner] - np.arange(len(owner))
         # The phrase begins before the overlap and ends inside the chunk.
-        at = left > np.where(overlaps, overlap, 0)[words.owner]
-        at &= left >= n
+        ok = left > np.where(overlaps.to_numpy(), overlap, 0)[owner]
+        ok &= left >= n
         if shared is not None:
-            part = _window_hashes(words.hashes, n - 1) ^ _language_hash(language)
+            part = _window_hashes(words.hashes, n - 1)
+            part ^= _language_hashes(known.to_pylist())[code][owner[: len(part)]]
             first, second = _places(part, rules.filter_bits)
-            frequent = _holds(shared.value, first) & _holds(shared.value, second)
-            at[: len(frequent) - 1] &= frequent[:-1] & frequent[1:]
-            at[max(len(frequent) - 1, 0) :] = False
-        at = np.flatnonzero(at)
-        key = words.ids[at]
-        for k in range(1, n):
-            key = np.unique(key * len(words.names) + words.ids[at + k], return_inverse=True)[1]
-        distinct, where, inverse = np.unique(key, return_index=True, return_inverse=True)
-        # Doubles add whole numbers exactly far beyond the occurrences of one step.
-        sums = np.bincount(inverse, np.array(times, np.float64)[words.owner[at]], len(distinct)).astype(np.int64)
-        names, ids = words.names, words.ids
-        phrases = [b" ".join([names[i] for i in ids[p : p + n]]).decode() for p in at[where].tolist()]
-        return _batch([language] * len(phrases), phrases, sums, schema=COUNTS)
+            frequent = _holds(shared.value, first)
+            frequent[frequent] = _holds(shared.value, second[frequent])
+            reach = max(len(frequent) - 1, 0)
+            ok[:reach] &= frequent[:-1] & frequent[1:]
+            ok[reach:] = False
+        at = np.flatnonzero(ok)
+        if not len(at):
+            return _batch([], [], [], schema=COUNTS)
+        key, top, names = code[owner[at]], len(known), len(words.names)
+        for k in range(n):
+            if top * names >= 1 << 62:
+                key = np.unique(key, return_inverse=True)[1]
+                top = int(key.max()) + 1
+            key = key * names + words.ids[at + k]
+            top *= names
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sums = np.add.reduceat(times.to_numpy()[owner[at[order]]], first)
+        at = at[order[first]]
+        spelled = pa.array(words.names, pa.binary()).cast(pa.string())
+        parts = [spelled.take(pa.array(words.ids[at + k])) for k in range(n)]
+        phrases = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
+        return _batch(known.take(pa.array(code[owner[at]])), phrases, sums, schema=COUNTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[list, list, list]] = {}
-        size = 0
+        held, size = [], 0
         for batch in batches:
-            for language, overlaps, chunk, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                lists, flags, weights = held.setdefault(language, ([], [], []))
-                words = chunk.encode().split(b" ")
-                lists.append(words)
-                flags.append(overlaps)
-                weights.append(times)
-                size += len(words)
-            if size >= rules.words_at_once:
-                for language, columns in held.items():
-                    yield of_language(language, *columns)
-                held, size = {}, 0
-        for language, columns in held.items():
-            yield of_language(language, *columns)
+            held.append(batch)
+            size += batch.column(2).nbytes
+            if size >= rules.chars_at_once:
+                yield counted(held)
+                held, size = [], 0
+        if held:
+            yield counted(held)
 
     counts = chunks.select("lang", "overlaps", "chunk", "n").mapInArrow(count, from_arrow_schema(COUNTS))
     return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
