@@ -294,3 +294,35 @@ def run_dispositions(
         .otherwise(REPLAYED)
     )
     return placed.select(*RUN_KEY, "entity", outcome.alias("disposition"), reason.alias("reason"))
+
+
+def partner_of(pairs: Sequence[tuple[str, str, str]]) -> Column:
+    """The other dataset of a paired one; NULL for datasets that stand alone."""
+    partner = F.lit(None).cast("string")
+    for source, first, second in pairs:
+        here = F.col("source") == source
+        partner = F.when(here & (F.col("dataset") == first), second).when(here & (F.col("dataset") == second), first).otherwise(partner)
+    return partner
+
+
+def after_settled(dispositions: DataFrame, settled: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Halves whose partner an earlier load has refused or quarantined do not wait for it.
+
+    ``settled`` has run columns of halves with a final outcome.  Both halves sent again in one load
+    are judged anew; this only concerns a half that comes alone.
+    """
+    past = settled.select("source", F.col("dataset").alias("_partner"), "run_id").distinct().withColumn("_past", F.lit(True))
+    met = dispositions.withColumn("_partner", partner_of(pairs)).join(past, ["source", "_partner", "run_id"], "left")
+    late = (F.col("disposition") == WAITING) & F.col("_past")
+    return met.select(
+        *RUN_KEY,
+        "entity",
+        F.when(late, REFUSED).otherwise(F.col("disposition")).alias("disposition"),
+        F.when(late, "the other half was refused in an earlier load").otherwise(F.col("reason")).alias("reason"),
+    )
+
+
+def settled_halves(dispositions: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Halves that this load refused or quarantined: they leave the waiting state for good."""
+    final = F.col("disposition").isin(REFUSED, QUARANTINED) & partner_of(pairs).isNotNull()
+    return dispositions.where(final).select(*RUN_KEY, "entity", "disposition", "reason")

@@ -7,33 +7,42 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import incremental, monitoring, payloads, quality
-from tidemark.operators.versions import with_arrivals, with_provenance
+from tidemark.operators.versions import with_provenance
+from tidemark.plans import delta
 from tidemark.plans.reference_data import macro_series
 from tidemark.plans.relations import MARTS, RELATIONS, Relations
 from tidemark.schemas import (
     CONTRACTS,
     DATASETS,
-    FACT_GRAIN,
     IDENTITY_MAPPING_SCHEMA,
     INGESTION_RUNS_SCHEMA,
     LANDING_SCHEMA,
-    OBSERVATION_GRAIN,
     METRIC_MAPPING_SCHEMA,
-    PRICE_GRAIN,
     PRICES,
     RUN_KEY,
     SERIES_OBSERVATIONS,
 )
-from tidemark.sources import publish, typed
+from tidemark.sources import typed
 from tidemark.sources.layout import RAW_NAME, TYPED_NAME, run_directory
+from tidemark.sources.warehouse import StoredRelation, Version, Warehouse
 
 PAIRS = [("sec_edgar", "submissions", "company_facts"), ("fred", "series_metadata", "series_observations")]
 
+SETTLED_SCHEMA = T.StructType(
+    [
+        *[LANDING_SCHEMA[c] for c in RUN_KEY],
+        T.StructField("entity", T.StringType()),
+        T.StructField("disposition", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("decided_at", T.TimestampType()),
+    ]
+)
+
 #: Relations stored during a refresh; checks and later relations read them from storage.
 STORED = RELATIONS
 
@@ -104,7 +113,7 @@ def load(
     below ``tables_root``.
     """
     paths = typed.create_source_tables(spark, tables_root)
-    stored = typed.read_source_tables(spark, tables_root)
+    pairs = PairState(spark, tables_root)
     scratch = f"{tables_root.rstrip('/')}/_loads/{uuid.uuid4().hex}"
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -113,7 +122,7 @@ def load(
 
     # The load instant is fixed once, not once per action that reads the frame.
     loaded_at = F.lit(spark.range(1).select(F.current_timestamp()).head()[0])
-    held = typed.waiting_payloads(spark, tables_root, stored["ingestion_runs"])
+    held = pairs.waiting()
     handled = [CONTRACTS[t].identity for t in tables]
     waited = held.join(landing.select(*RUN_KEY), RUN_KEY, "left_anti")
     batch = keep(landing.select(*LANDING_SCHEMA.names).unionByName(waited), "payloads")
@@ -127,12 +136,13 @@ def load(
     entities = _union([payloads.accepted_counts(v).select(*RUN_KEY, "entity") for v in verdicts.values()]).distinct()
     runs = declared.select(*RUN_KEY)
     between = incremental.run_range(runs)
+    # Only the days of these runs are read of the stored tables.
+    stored = typed.read_source_tables(spark, tables_root, typed.days_of(between))
     history = {t: incremental.same_runs(stored[t], runs, between) for t in (*tables, "ingestion_runs")}
     counts = incremental.stored_counts(*[history[t] for t in tables])
     states = keep(incremental.classify_runs(declared, history["ingestion_runs"], counts), "states")
-    dispositions = keep(
-        incremental.run_dispositions(states.join(entities, RUN_KEY), quarantine, PAIRS, handled), "dispositions"
-    )
+    judged = incremental.run_dispositions(states.join(entities, RUN_KEY), quarantine, PAIRS, handled)
+    dispositions = keep(incremental.after_settled(judged, pairs.settled(), PAIRS), "dispositions")
 
     sound = dispositions.where(F.col("disposition") == incremental.LOADED).select(*RUN_KEY)
     new = keep(
@@ -147,14 +157,61 @@ def load(
             fresh = verdict.join(missing, RUN_KEY, "left_semi")
             typed.append_rows(payloads.accepted_rows(fresh, CONTRACTS[table]), paths[table], CONTRACTS[table].schema)
     new = new.select(*INGESTION_RUNS_SCHEMA.names)
-    waiting = dispositions.where(F.col("disposition") == incremental.WAITING).select(*RUN_KEY)
-    late = batch.join(waiting, RUN_KEY, "left_semi").join(held.select(*RUN_KEY), RUN_KEY, "left_anti")
-    if not waiting.isEmpty():
-        typed.append_waiting(late, tables_root)
     typed.append_rows(new, paths["ingestion_runs"], INGESTION_RUNS_SCHEMA)
+    # Last: halves that were loaded although the state still lists them are replays next time.
+    pairs.move_on(batch, dispositions, loaded_at)
     return LoadResult(new, quarantine, dispositions)
 
 
+class PairState:
+    """Halves of pairs between loads: the payloads that wait, and the outcome of those that
+    will not be waited for any more.
+
+    Both change together, as one version.  The waiting payloads are written anew when they
+    change, so they never hold more than what waits; outcomes are added to the months of their
+    runs.
+    """
+
+    WAITING, SETTLED = "waiting", "settled"
+
+    def __init__(self, spark: SparkSession, tables_root: str) -> None:
+        self.spark = spark
+        self.warehouse = Warehouse(spark, f"{tables_root.rstrip('/')}/_pairs")
+        self.version = self.warehouse.current()
+
+    def _read(self, name: str, schema: T.StructType, parts=None) -> DataFrame:
+        if name not in self.version.relations:
+            return self.spark.createDataFrame([], schema)
+        return self.warehouse.read(self.version, name, parts)
+
+    def waiting(self) -> DataFrame:
+        return self._read(self.WAITING, LANDING_SCHEMA)
+
+    def settled(self) -> DataFrame:
+        """Run columns, entity, disposition, reason and the instant of the decision."""
+        return self._read(self.SETTLED, SETTLED_SCHEMA)
+
+    def move_on(self, batch: DataFrame, dispositions: DataFrame, decided_at) -> None:
+        """Take over what a load decided about the payloads of its batch, waiting ones included."""
+        keys = dispositions.where(F.col("disposition") == incremental.WAITING).select(*RUN_KEY)
+        known = self.waiting().select(*RUN_KEY)
+        final = incremental.settled_halves(dispositions, PAIRS).withColumn("decided_at", decided_at)
+        relations = dict(self.version.relations)
+        if not keys.exceptAll(known).isEmpty() or not known.exceptAll(keys).isEmpty():
+            left = batch.select(*LANDING_SCHEMA.names).join(keys, RUN_KEY, "left_semi")
+            relations[self.WAITING] = self.warehouse.write(self.WAITING, left, delta.run_month())
+        months = [r[0] for r in final.select(delta.run_month()).distinct().collect()]
+        if months:
+            earlier = self._read(self.SETTLED, SETTLED_SCHEMA, months)
+            # A half that is sent again and refused again has one outcome, the first.
+            again = final.join(earlier, RUN_KEY, "left_anti").dropDuplicates(RUN_KEY)
+            written = self.warehouse.write(self.SETTLED, earlier.unionByName(again), delta.run_month())
+            before = relations.get(self.SETTLED, StoredRelation(written.schema, {}))
+            relations[self.SETTLED] = self.warehouse.replaced(before, months, written)
+        if relations != self.version.relations:
+            self.version = self.warehouse.publish(self.version, relations, {})
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     merged = frames[0]
     for more in frames[1:]:
@@ -162,71 +219,78 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return merged
 
 
-#: Staging relation: source table and grain.
-STAGED = {
-    "stg_market_prices": ("market_daily_prices", PRICE_GRAIN),
-    "stg_financial_facts": ("sec_company_facts", FACT_GRAIN),
-    "stg_macro_observations": ("fred_series_observations", OBSERVATION_GRAIN),
-}
-
-
-#: Keys of the runs that staging holds, stored in the warehouse right after staging.
-STAGED_RUNS = "_staged_runs"
-
-
-def brought_up_to_date(tables: Mapping[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
-    """Staging relations of the last refresh with the rows of all registered runs it lacks.
-
-    It does not matter which call registered them.  Empty for a warehouse without staging
-    or without the list of staged runs.  Only the keys of the new runs are worked on; a run
-    that is taken up twice changes nothing.
-    """
-    runs = tables["ingestion_runs"]
-    spark = runs.sparkSession
-    try:
-        staged = spark.read.parquet(f"{warehouse.rstrip('/')}/{STAGED_RUNS}")
-    except AnalysisException:
-        return {}
-    registered = runs.join(staged, RUN_KEY, "left_anti")
-    between = incremental.run_range(registered)
-    current = {}
-    for name, (table, grain) in STAGED.items():
-        try:
-            before = spark.read.parquet(f"{warehouse.rstrip('/')}/{name}")
-        except AnalysisException:
-            return {}
-        rows = incremental.same_runs(tables[table], registered.select(*RUN_KEY), between)
-        current[name] = with_arrivals(before, with_provenance(rows, registered), grain)
-    return current
+def seed_digest(seed: DataFrame) -> str:
+    """The same for equal rows in any order."""
+    row = F.xxhash64(F.to_json(F.struct(*seed.columns), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
+    count, total = seed.agg(F.count("*"), F.sum(row)).first()
+    return f"{count}:{total}"
 
 
 def build_relations(
-    tables: dict[str, DataFrame],
-    identities: DataFrame,
-    metrics: DataFrame,
-    warehouse: str,
-    staged: Mapping[str, DataFrame] | None = None,
-) -> Relations:
-    """Relations whose layers are written once and read back from storage.
+    tables: dict[str, DataFrame], identities: DataFrame, metrics: DataFrame, warehouse: Warehouse
+) -> Version:
+    """All relations from all history, every layer written once and read back from storage.
 
-    ``staged`` gives staging relations that are known already.  They read the stored ones,
-    so they are written beside them before they take their place.
+    They become visible together, when the last one is written.
     """
+    before, stored = warehouse.current(), {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        place = f"{warehouse.rstrip('/')}/{name}"
-        if staged and name in staged:
-            df = publish.store(staged[name], f"{warehouse.rstrip('/')}/_next/{name}")
-        return publish.store(df, place)
+        stored[name] = warehouse.write(name, df, delta.part(name))
+        return warehouse.read(Version(0, stored), name)
 
     relations = Relations(tables, identities, metrics, keep, STORED)
-    for name in STAGED:
-        relations[name]
-    # After staging: if the list is lost or late, runs are taken up again.
-    publish.store(tables["ingestion_runs"].select(*RUN_KEY), f"{warehouse.rstrip('/')}/{STAGED_RUNS}")
     for name in STORED:
         relations[name]
-    return relations
+    keep(delta.MONTH_CLOSES, delta.month_closes(relations.fact_market_daily))
+    keep(delta.STAGED_RUNS, delta.staged_runs(tables["ingestion_runs"]))
+    basis = {"identities": seed_digest(identities), "metrics": seed_digest(metrics)}
+    return warehouse.publish(before, stored, basis)
+
+
+def update_relations(
+    spark: SparkSession, source_root: str, identities: DataFrame, metrics: DataFrame, warehouse: Warehouse
+) -> Version | None:
+    """The relations with all registered runs that staging lacks, whoever registered them.
+
+    Only parts that the rows of these runs reach are written.  None where a full build is
+    needed: nothing is published yet, or the seeds have changed.
+    """
+    before = warehouse.current()
+    basis = {"identities": seed_digest(identities), "metrics": seed_digest(metrics)}
+    if before.basis != basis or not set(delta.PARTS) <= set(before.relations):
+        return None
+    runs = typed.read_source_tables(spark, source_root)["ingestion_runs"]
+    registered = runs.join(warehouse.read(before, delta.STAGED_RUNS), RUN_KEY, "left_anti")
+    between = incremental.run_range(registered)
+    if between[0] is None:
+        return before
+    tables = typed.read_source_tables(spark, source_root, typed.days_of(between))
+    arrivals = {
+        name: with_provenance(incremental.same_runs(tables[table], registered.select(*RUN_KEY), between), registered)
+        for name, (table, _) in delta.STAGED.items()
+    }
+    stored = dict(before.relations)
+
+    def replace(name: str, rows: DataFrame, parts) -> DataFrame:
+        new = warehouse.write(name, rows, delta.part(name))
+        stored[name] = warehouse.replaced(stored[name], parts, new)
+        return warehouse.read(Version(0, {name: new}), name)
+
+    delta.Delta(
+        lambda name, parts, without: warehouse.read(before, name, parts, without), arrivals, identities, metrics, replace
+    )
+    months = [r[0] for r in registered.select(delta.run_month()).distinct().collect()]
+    staged = warehouse.read(before, delta.STAGED_RUNS, months).unionByName(delta.staged_runs(registered))
+    replace(delta.STAGED_RUNS, staged, months)
+    return warehouse.publish(before, stored, basis)
+
+
+def published(
+    warehouse: Warehouse, version: Version, tables: dict[str, DataFrame], identities: DataFrame, metrics: DataFrame
+) -> Relations:
+    """The relations of one version, read from storage."""
+    return Relations(tables, identities, metrics, lambda name, _: warehouse.read(version, name), STORED)
 
 
 def run_checks(relations: Relations, expected_identities: Sequence[tuple] = ()) -> dict[str, DataFrame]:
@@ -319,16 +383,20 @@ def refresh(
 ) -> RefreshResult:
     """Full refresh: load every dataset, rebuild the relations, check and monitor.
 
-    With ``incremental_staging`` the staging relations of the last refresh are brought up to
-    date with the registered runs they lack instead of being rebuilt from all history.
+    With ``incremental_staging`` the relations of the last refresh are brought up to date with
+    the registered runs they lack: only the parts that these reach are written.  Either way all
+    relations change at once, when the new version is published; a refresh that stops before
+    leaves the last version as it was.
     """
     root = root.rstrip("/")
     loaded = load(spark, landing, f"{root}/source", landing_root=f"{root}/landing", tables=tables)
     typed.require_whole_files(spark, f"{root}/source")
     sources = typed.read_source_tables(spark, f"{root}/source")
-    warehouse = f"{root}/warehouse"
-    staged = brought_up_to_date(sources, warehouse) if incremental_staging else None
-    relations = build_relations(sources, identities, metrics, warehouse, staged)
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    version = update_relations(spark, f"{root}/source", identities, metrics, warehouse) if incremental_staging else None
+    if version is None:
+        version = build_relations(sources, identities, metrics, warehouse)
+    relations = published(warehouse, version, sources, identities, metrics)
     series = macro_series(spark)
     return RefreshResult(
         registered=loaded.registered,
@@ -338,7 +406,7 @@ def refresh(
         checks=quality.summary({**run_source_checks(sources), **run_checks(relations, expected_identities)}),
         signals=monitor(sources, as_of, identities, series),
         requests=next_requests(relations, identities, series),
-        paths={name: f"{warehouse}/{name}" for name in STORED},
+        paths={name: f"{warehouse.root}/{name}" for name in STORED},
     )
 
 
@@ -363,8 +431,8 @@ def next_requests(relations: Relations, identities: DataFrame, series: DataFrame
 
 
 def daily_refresh(spark: SparkSession, landing: DataFrame, root: str, **options) -> RefreshResult:
-    """Weekday refresh: only new price payloads are loaded, staging is brought up to date with
-    them and the relations behind it are rebuilt."""
+    """Weekday refresh: only new price payloads are loaded, and the relations are brought up to
+    date with them."""
     source, dataset = PRICES
     prices = landing.where((F.col("source") == source) & (F.col("dataset") == dataset))
     options.setdefault("incremental_staging", True)
@@ -379,4 +447,5 @@ __all__ = [
     "monitor",
     "refresh",
     "run_checks",
+    "update_relations",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import metric_short_name
+from tidemark.sources.warehouse import Warehouse
 
 
 def store(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -19,6 +20,12 @@ def store(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> Data
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A published relation of a warehouse (its last version), or a plain stored table."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    warehouse = Warehouse(spark, root)
+    version = warehouse.current()
+    if name in version.relations:
+        return warehouse.read(version, name)
     return spark.read.parquet(path)
 
 

@@ -1,16 +1,24 @@
-"""Typed tables: Parquet with an enforced contract, append-only."""
+"""Typed tables: Parquet with an enforced contract, append-only.
+
+Rows lie in one folder for each ingestion day, which is the day in the run id, and inside a file
+they are ordered by run.  A load of some days only lists and reads their folders, and the files'
+statistics tell runs apart.  The day is no column of the contract; readers do not see it.
+"""
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, LANDING_SCHEMA, RUN_KEY, SchemaMismatch, require_schema
+from tidemark.schemas import CONTRACTS, INGESTION_RUNS_SCHEMA, SchemaMismatch, require_schema
 
-WAITING = "_waiting"
+#: Partition column; a file without rows in the folder of no day keeps the schema of empty tables.
+DAY = "ingestion_date"
+NO_DAY = f"{DAY}=__HIVE_DEFAULT_PARTITION__"
 
 #: Values that no row holds, by type, as SQL.  Booleans have no such value.
 SENTINELS = {
@@ -23,14 +31,43 @@ SENTINELS = {
 }
 
 
-def read_table(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+def ingestion_day(run_id: str = "run_id") -> Column:
+    """Day of a run; run ids begin with their instant."""
+    return F.try_to_date(F.substring(run_id, 1, 8), "yyyyMMdd")
+
+
+def days_of(between: tuple[str | None, str | None]) -> tuple[date | None, date | None]:
+    """First and last ingestion day of a range of run ids; None where an id names no day."""
+
+    def day(run_id: str | None) -> date | None:
+        try:
+            return date(int(run_id[:4]), int(run_id[4:6]), int(run_id[6:8]))
+        except (TypeError, ValueError):
+            return None
+
+    return day(between[0]), day(between[1])
+
+
+def read_table(
+    spark: SparkSession,
+    path: str,
+    contract: T.StructType,
+    days: tuple[date | None, date | None] | None = None,
+) -> DataFrame:
     """Scan a stored table after comparing the schema in its files with the contract.
 
+    ``days`` are the first and last ingestion day to read; folders of other days are skipped.
+    None in the pair means that the bound is not known, and nothing is skipped.
+
     Reading with the contract alone would hide a column that is missing from a file (it
     would read as NULL), so the stored schema is checked first, merged over all files.
     ``incomplete_files`` finds single files that lack a column.
     """
     stored = spark.read.option("mergeSchema", "true").parquet(path)
+    if DAY in stored.columns and DAY not in contract.names:
+        if days is not None and None not in days:
+            stored = stored.where(F.col(DAY).between(F.lit(days[0]), F.lit(days[1])))
+        stored = stored.drop(DAY)
     return require_schema(stored.select(*_in_contract_order(stored, contract)), contract, what=path)
 
 
@@ -47,7 +84,7 @@ def incomplete_files(spark: SparkSession, path: str, contract: T.StructType) ->
         for f in contract.fields
         if f.name in sentinels
     ]
-    probe = spark.read.schema(T.StructType(fields)).parquet(path)
+    probe = spark.read.schema(T.StructType(fields)).option("recursiveFileLookup", "true").parquet(path)
     is_default = {f.name: F.col(f.name) == F.expr(sentinels[f.name]).cast(f.dataType) for f in fields}
     anywhere = reduce(lambda a, b: a | b, is_default.values())
     lacking = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in is_default.items()]))
@@ -55,13 +92,22 @@ def incomplete_files(spark: SparkSession, path: str, contract: T.StructType) ->
     return found.distinct()
 
 
+def files_without_a_day(spark: SparkSession, path: str) -> DataFrame:
+    """Files beside the day folders of a table, which a scan of the table would pass over."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(path).select(F.col("path").alias("file")).where(~F.col("file").contains(f"/{DAY}="))
+
+
 def require_whole_files(spark: SparkSession, root: str) -> None:
-    """Refuse source tables with a file that lacks a column of its contract."""
+    """Refuse source tables with a file that lacks a column of its contract or lies in no day."""
     for name, schema in _source_schemas().items():
         path = f"{root.rstrip('/')}/{name}"
         broken = incomplete_files(spark, path, schema).head()
         if broken is not None:
             raise SchemaMismatch(f"{path}: {broken.file} has no column {broken.column}")
+        stray = files_without_a_day(spark, path).head()
+        if stray is not None:
+            raise SchemaMismatch(f"{path}: {stray.file} lies outside the day folders")
 
 
 def _in_contract_order(stored: DataFrame, contract: T.StructType) -> list[str]:
@@ -79,13 +125,30 @@ def write_new(df: DataFrame, path: str, contract: T.StructType) -> None:
     ).parquet(path)
 
 
+def by_day(df: DataFrame) -> DataFrame:
+    """Rows with their day, the rows of a run next to each other.
+
+    The rebalance hint lets adaptive execution merge days with few rows and split a day that
+    holds most of them.
+    """
+    order = [c for c in ("source", "dataset", "run_id", "source_row_number") if c in df.columns]
+    return df.withColumn(DAY, ingestion_day()).hint("rebalance", DAY).sortWithinPartitions(DAY, *order)
+
+
 def append_rows(df: DataFrame, path: str, contract: T.StructType) -> None:
-    """Append rows with their lineage columns, files balanced by adaptive execution."""
-    require_schema(df, contract, what=path).hint("rebalance").write.mode("append").option(
+    """Append rows with their lineage columns; only the folders of their days get new files."""
+    by_day(require_schema(df, contract, what=path)).write.mode("append").partitionBy(DAY).option(
         "compression", "snappy"
     ).parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, contract: T.StructType) -> None:
+    """Put these rows in place of all rows of their days; other days stay as they are."""
+    by_day(require_schema(df, contract, what=path)).write.mode("overwrite").partitionBy(DAY).option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("compression", "snappy").parquet(path)
+
+
 def _source_schemas() -> dict[str, T.StructType]:
     return {"ingestion_runs": INGESTION_RUNS_SCHEMA, **{c.name: c.schema for c in CONTRACTS.values()}}
 
@@ -95,23 +158,14 @@ def create_source_tables(spark: SparkSession, root: str) -> dict[str, str]:
     schemas = _source_schemas()
     paths = {name: f"{root.rstrip('/')}/{name}" for name in schemas}
     for name, schema in schemas.items():
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(paths[name])
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{paths[name]}/{NO_DAY}")
     return paths
 
 
-def waiting_payloads(spark: SparkSession, root: str, registry: DataFrame) -> DataFrame:
-    """Payloads stored while they wait for their other half, without those loaded since."""
-    path = f"{root.rstrip('/')}/{WAITING}"
-    spark.createDataFrame([], LANDING_SCHEMA).write.mode("ignore").parquet(path)
-    held = spark.read.schema(LANDING_SCHEMA).parquet(path)
-    return held.join(registry.select(*RUN_KEY), RUN_KEY, "left_anti")
-
-
-def append_waiting(payloads: DataFrame, root: str) -> None:
-    payloads.select(*LANDING_SCHEMA.names).write.mode("append").parquet(f"{root.rstrip('/')}/{WAITING}")
-
-
-def read_source_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_source_tables(
+    spark: SparkSession, root: str, days: tuple[date | None, date | None] | None = None
+) -> dict[str, DataFrame]:
     return {
-        name: read_table(spark, f"{root.rstrip('/')}/{name}", schema) for name, schema in _source_schemas().items()
+        name: read_table(spark, f"{root.rstrip('/')}/{name}", schema, days)
+        for name, schema in _source_schemas().items()
     }
