@@ -138,7 +138,7 @@ class Delta:
         self._calendar(arrivals)
         names = self._facts(touched["stg_financial_facts"], metrics)
         spans, new_series = self._observations(touched["stg_macro_observations"], arrivals["stg_macro_observations"])
-        months = self._prices(touched["stg_market_prices"], names)
+        months = self._prices(touched["stg_market_prices"], arrivals["stg_market_prices"].select("symbol").distinct(), names)
         self._market_macro(months, spans, new_series)
 
     def now(self, name: str, parts: Collection[str] | None = None) -> DataFrame:
@@ -226,7 +226,7 @@ class Delta:
     def _last_price(self) -> date | None:
         return self.now(MONTH_CLOSES).agg(F.max("trading_date")).first()[0]
 
-    def _prices(self, months: list[str], renamed: DataFrame | None) -> list[str]:
+    def _prices(self, months: list[str], symbols: DataFrame, renamed: DataFrame | None) -> list[str]:
         """Market facts of the touched months, and the performance of all months they reach."""
         name = "mart_company_daily_performance"
         if months:
@@ -239,7 +239,8 @@ class Delta:
         if not months:
             return []
         current = self.identities.where("is_current_registrant").select("company_key", F.col("current_ticker").alias("symbol"))
-        held = closes.join(current, "symbol").select("company_key", month("trading_date").alias("_month")).distinct()
+        companies = current.join(symbols, "symbol", "left_semi").select("company_key").distinct()
+        held = closes.join(current.join(companies, "company_key", "left_semi"), "symbol").select("company_key", month("trading_date").alias("_month")).distinct()
         following = F.lead("_month").over(Window.partitionBy("company_key").orderBy("_month"))
         reached = held.withColumn("_next", following).where(F.col("_month").isin(months))
         return self._performance(name, sorted({*months, *_values(reached, F.col("_next"))}))
