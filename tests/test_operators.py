@@ -295,6 +295,42 @@ def test_unequal_runs(spark):
     assert bad(good + good[:1]) == [1]
 
 
+RUN_ROWS = "source string, dataset string, run_id string, source_row_number long, v int, w string"
+
+
+def _runs_of_rows(spark, changed):
+    """Three runs of three rows, and the same with some rows of the second one changed."""
+    rows = [("s", "d", f"r{k}", i, 10 * k + i, None if i else "x") for k in range(3) for i in range(3)]
+    return spark.createDataFrame(rows, RUN_ROWS), spark.createDataFrame(changed(list(rows)), RUN_ROWS)
+
+
+@pytest.mark.parametrize("changed,expected", [
+    (lambda rows: rows[::-1], {}),
+    (lambda rows: rows[:3] + rows[4:], {"r1": 1}),
+    (lambda rows: [*rows, rows[4]], {"r1": 1}),
+    (lambda rows: [*rows[:4], (*rows[4][:4], 0, "y"), *rows[5:]], {"r1": 1}),
+    # A NULL that moves to the next column, and rows that swap their numbers.
+    (lambda rows: [*rows[:3], (*rows[3][:4], None, "x"), *rows[4:]], {"r1": 1}),
+    (lambda rows: [*rows[:3], (*rows[4][:3], 0, *rows[4][4:]), (*rows[3][:3], 1, *rows[3][4:]), *rows[5:]], {"r1": 2}),
+    (lambda rows: rows[:3] + rows[6:] + [("s", "d", "r9", 0, 1, "z")], {"r1": 3, "r9": 1}),
+])
+@pytest.mark.parametrize("collides", [False, True])
+def test_fingerprints_find_what_comparing_rows_finds(spark, changed, expected, collides):
+    """Also with a digest that is the same for all rows: runs that share it are compared by rows."""
+    digest = (lambda columns: (F.lit(1).cast("bigint"), F.lit(1).cast("bigint"))) if collides else recovery.row_digest
+    left, right = _runs_of_rows(spark, changed)
+    assert {r.run_id: r.different_rows for r in recovery.unequal_runs(left, right).collect()} == expected
+    assert {r.run_id: r.different_rows for r in recovery.verified_rows(left, right, digest).collect()} == expected
+    suspects = {r.run_id for r in recovery.suspect_runs(left, right, digest).collect()}
+    assert set(expected) <= suspects and (collides or suspects == set(expected))
+
+
+def test_null_places_are_part_of_the_digest(spark):
+    a, b = (spark.createDataFrame([r], "x int, y int") for r in [(None, 1), (1, None)])
+    first, second = (df.select(*recovery.row_digest(["x", "y"])).head() for df in (a, b))
+    assert first[0] != second[0] and first[1] != second[1]
+
+
 # --- quality --------------------------------------------------------------------
 
 def test_identity_expected_rows(spark):

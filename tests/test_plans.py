@@ -70,3 +70,12 @@ def test_history_is_skipped_by_run_range(spark, tmp_path, capsys):
     batch = stored.where("run_id > '19950101T000000001400Z'").select("source", "dataset", "run_id")
     text = plan_of(incremental.same_runs(stored, batch, incremental.run_range(batch)), capsys)
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(run_id,19950101T000000001401Z\)", text)
+
+
+def test_runs_are_verified_without_moving_rows(spark, capsys):
+    """Both sides are reduced to a row per run before they are shuffled."""
+    text = plan_of(QUERIES["recovery_outcomes"](spark, SF_DIR), capsys)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    assert len(moved) >= 2
+    for columns in moved:
+        assert "source_row_number" not in columns and "close" not in columns and "payload" not in columns

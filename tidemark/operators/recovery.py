@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.payloads import accepted_rows, typed_fields
@@ -37,23 +37,90 @@ def unequal_runs(expected: DataFrame, stored: DataFrame) -> DataFrame:
     return met.groupBy(*RUN_KEY).agg(F.count_if("_wrong").alias("different_rows")).where("different_rows > 0")
 
 
-def verified_payloads(verdicts: DataFrame, stored: DataFrame, contract: TableContract) -> DataFrame:
-    """Per run: why its payload was rejected, and how many stored rows differ from it.
+#: Sums of the halves of two 64-bit hashes; sums do not depend on the order of rows.
+SUMS = ["_s0", "_s1", "_s2", "_s3"]
+FINGERPRINT = ["row_count", *SUMS]
 
-    Verdicts are read once.  A rejected or empty payload stands as one row without a
-    row number, which matches nothing and differs from nothing.
+
+def row_digest(columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row.  Hashing passes over NULLs, so their places are hashed too."""
+    values = [F.col(c) for c in columns]
+    nulls = F.array(*[v.isNull() for v in values])
+    return F.xxhash64(nulls, *values), F.xxhash64(F.lit("second"), *values, nulls)
+
+
+def fingerprints(
+    rows: DataFrame, is_row: Column | None = None, digest: Callable[[list[str]], tuple[Column, Column]] = row_digest, **more: Column
+) -> DataFrame:
+    """Per run: number of rows and a 128-bit digest of them that no order changes.
+
+    Rows are reduced before the shuffle, so one row for each run and map task moves.  The run and
+    the row number are part of the digest: equal content of two runs has two digests, and a row
+    stored twice or under another number changes it.  ``is_row`` tells rows that count.
+    """
+    columns = [c for c in rows.columns if c not in more]
+    first, second = digest(columns)
+    halves = [F.shiftrightunsigned(first, 32), first.bitwiseAND(F.lit(0xFFFFFFFF)),
+              F.shiftrightunsigned(second, 32), second.bitwiseAND(F.lit(0xFFFFFFFF))]
+    counts = F.lit(True) if is_row is None else is_row
+    sums = [F.coalesce(F.sum(F.when(counts, h)), F.lit(0)).alias(n) for n, h in zip(SUMS, halves, strict=True)]
+    return rows.groupBy(*RUN_KEY).agg(F.count_if(counts).alias("row_count"), *sums, *[v.alias(n) for n, v in more.items()])
+
+
+def _met(expected: DataFrame, stored: DataFrame, how: str) -> DataFrame:
+    """Both fingerprints of every run; ``_differs`` tells runs whose rows are not the same."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*RUN_KEY, *[c for c in df.columns if c not in [*RUN_KEY, *FINGERPRINT]], F.struct(*FINGERPRINT).alias(name))
+
+    none = F.struct(*[F.lit(0).cast("bigint").alias(n) for n in FINGERPRINT])
+    met = side(expected, "_expected").join(side(stored, "_stored"), RUN_KEY, how)
+    return met.withColumn("_differs", F.coalesce("_expected", none) != F.coalesce("_stored", none))
+
+
+def payload_fingerprints(verdicts: DataFrame, contract: TableContract) -> DataFrame:
+    """Per run: why its payload was rejected, and the fingerprint of the rows it stands for.
+
+    Verdicts are read once.  A rejected or empty payload stands for no rows.
     """
-    values = _values(contract.schema.names)
     valid = F.when(F.col("reason").isNull(), F.col("records"))
     rows = verdicts.select(*RUN_KEY, "reason", F.posexplode_outer(valid).alias("source_row_number", "record"))
-    expected = rows.select(
-        *RUN_KEY,
-        F.col("source_row_number").cast("bigint"),
-        "reason",
-        F.when(F.col("record").isNotNull(), F.struct(*typed_fields(contract))).alias("_expected"),
+    typed = rows.select(
+        *RUN_KEY, F.col("source_row_number").cast("bigint"), *typed_fields(contract),
+        F.col("reason").alias("_reason"), F.col("record").isNotNull().alias("_is_row"),
+    )
+    digest = [c for c in typed.columns if c not in ("_reason", "_is_row")]
+    return fingerprints(
+        typed, F.col("_is_row"), lambda _: row_digest(digest), reason=F.max("_reason")
     )
-    return _compare(expected, stored, values).groupBy(*RUN_KEY).agg(
-        F.max("reason").alias("reason"), F.count_if("_wrong").alias("different_rows")
+
+
+def suspect_runs(
+    expected: DataFrame, stored: DataFrame, digest: Callable[[list[str]], tuple[Column, Column]] = row_digest
+) -> DataFrame:
+    """Runs whose fingerprints differ, and runs that share theirs with another run.
+
+    The run is part of the digest, so a shared one shows that the digest says nothing there.
+    """
+    columns = expected.columns
+    met = _met(fingerprints(expected, digest=digest), fingerprints(stored.select(*columns), digest=digest), "full_outer")
+    shared = met.where("_expected.row_count > 0").groupBy("_expected").agg(F.count("*").alias("_runs")).where("_runs > 1")
+    clear = met.where("NOT _differs").join(shared.select("_expected"), "_expected", "left_semi")
+    return met.where("_differs").select(*RUN_KEY).unionByName(clear.select(*RUN_KEY))
+
+
+def verified_rows(
+    expected: DataFrame, stored: DataFrame, digest: Callable[[list[str]], tuple[Column, Column]] = row_digest
+) -> DataFrame:
+    """``unequal_runs`` that compares rows of suspect runs only.
+
+    When every fingerprint agrees, which is the normal case, no row is shuffled.
+    """
+    suspects = suspect_runs(expected, stored, digest)
+    if suspects.isEmpty():
+        return unequal_runs(expected.limit(0), stored.limit(0))
+    return unequal_runs(
+        expected.join(suspects, RUN_KEY, "left_semi"), stored.join(suspects, RUN_KEY, "left_semi")
     )
 
 
@@ -68,15 +135,17 @@ def recover_or_verify(
 
     Only a payload: its rows can be rebuilt.  Payload and typed rows: they must be
     equal.  Typed rows alone, stray artifacts or a payload that does not parse need an
-    operator.
+    operator.  Rows are compared by the fingerprints of their runs and never shuffled.
     """
-    joined = manifest.join(verified_payloads(parser(landing), stored, contract), RUN_KEY, "left")
+    expected = payload_fingerprints(parser(landing), contract)
+    found = _met(expected, fingerprints(stored.select(*contract.schema.names)), "full_outer")
+    joined = manifest.join(found, RUN_KEY, "left")
     problem = (
         F.when(F.col("stray_count") > 0, "run contains unexpected artifacts")
         .when(F.col("typed_present") & ~F.col("raw_present"), "typed artifact without a payload")
         .when(F.col("raw_present") & F.col("reason").isNotNull(), F.concat(F.lit("payload cannot be parsed: "), "reason"))
         .when(
-            F.col("raw_present") & F.col("typed_present") & (F.col("different_rows") > 0),
+            F.col("raw_present") & F.col("typed_present") & F.col("_differs"),
             "typed rows do not match the captured payload",
         )
     )

@@ -269,7 +269,7 @@ class Delta:
         performance = self.now("mart_company_daily_performance", months)
         rows = None
         for first, last in _ranges(months):
-            days = observed.sparkSession.createDataFrame([(first,), (last,)], "trading_date date")
+            days = observed.sparkSession.range(1).select(F.explode(F.array(F.lit(first), F.lit(last))).alias("trading_date"))
             here = performance.where(F.col("trading_date").between(F.lit(first), F.lit(last)))
             found = M.mart_market_macro(here, observed, days)
             rows = found if rows is None else rows.unionByName(found)
