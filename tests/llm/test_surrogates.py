@@ -118,3 +118,32 @@ def test_spellings_of_a_telephone_number_share_one_surrogate(spark):
     assert bare[3] == bare[4] != "442079460958" and got[3].startswith("+44")
     a, b = re.fullmatch(r"call (\d{3} \d{3} \d{4}) or (\d{3}-\d{3}-\d{4}) now", got[5]).groups()
     assert a.replace(" ", "") == b.replace("-", "") != "7435553824"
+
+
+def test_long_runs_take_time_in_proportion_and_no_stack(spark):
+    mb = 200_000
+    texts = [
+        "a@b" + ".bb" * 4_000 + ".co", "x" * mb + " a.b@c.com", "x." * (mb // 2) + "a@b.com", "1" * mb, "1." * (mb // 2),
+        "a@" * (mb // 2), "@" + "b." * (mb // 2), "-" * mb + "1", "Mr " * (mb // 3), "Mr A" + "b-" * (mb // 2), ("y" * 127 + "@") * (mb // 128),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in replaced(docs).collect()}
+    assert len(got) == len(texts)
+    # A domain with more labels than mail allows is replaced as far as they go.
+    assert not got[0].text.startswith("a@b.bb") and got[0].text.endswith(".bb.co") and len(got[0].text) == len(texts[0])
+    assert got[1].n_entities == got[2].n_entities == 1 and got[1].text.startswith("x" * mb + " ")
+    for k in (3, 4, 5, 6, 7):
+        assert got[k].text == texts[k]
+
+
+def test_names_with_hyphens_and_apostrophes_are_replaced_whole(spark):
+    text = "Frau Müller-Lüdenscheidt, Mr O'Brien, Mrs Anna-Lena D’Arcy and Herr Meier-Schulze."
+    (r,) = replaced(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert r.n_entities == 4
+    assert re.fullmatch(r"Frau \w+, Mr \w+, Mrs \w+a \w+ and Herr \w+\.", r.text)
+    assert not re.search("Müller|denscheidt|Brien|Anna|Arcy|Meier|Schulze", r.text)
+
+
+def test_surrogates_are_worked_out_by_all_tasks(spark):
+    entities = spark.range(300).select(F.lit("email").alias("kind"), F.concat(F.lit("user"), "id", F.lit("@a.com")).alias("canonical"))
+    assert assigned(entities).select(F.input_file_name()).distinct().count() > 1

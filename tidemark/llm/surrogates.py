@@ -41,10 +41,13 @@ MALE = ("Mr", "Herr", "Monsieur", "Señor", "г-н", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "г-жа", "κυρία")
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-NAME = r"\p{Lu}\p{Ll}+"
+NAME = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:['’-]\p{Lu}?\p{Ll}+){0,4}"
+LABEL = r"[\p{L}\p{M}\p{N}-]{1,63}+"
 TITLE = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)*\.\p{L}[\p{L}\p{M}]+",
+    # Bounded and possessive, so that neither time nor stack grows with the length of the text: a
+    # local part has 64 characters and a domain 32 labels of 63 at most, which is what mail allows.
+    "email": rf"[\p{{L}}\p{{N}}][a-zA-Z0-9._%+\p{{L}}\p{{M}}\p{{N}}-]{{0,63}}+@{LABEL}(?:\.{LABEL}){{0,30}}\.\p{{L}}[\p{{L}}\p{{M}}]{{1,62}}",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\d.-])(?<!\d{3} )\d{3} \d{3} \d{4}(?![\d-]| \d{3})",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
@@ -315,8 +318,10 @@ def surrogate_of(kind: Column, canonical: Column, attempt: Column, rules: Surrog
 
 def assigned(entities: DataFrame, rules: SurrogateRules = PRODUCTION) -> DataFrame:
     """kind, canonical, surrogate: no two surrogates and no surrogate and entity are equal."""
+    # Few bytes, much work: dealt to all tasks, where adaptive execution would make it one.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     state = stored(
-        entities.select("kind", "canonical", F.lit(0).alias("attempt")).withColumn(
+        entities.select("kind", "canonical", F.lit(0).alias("attempt")).repartition(tasks, "kind", "canonical").withColumn(
             "surrogate", surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), rules)
         ),
         "surrogates",
@@ -344,7 +349,7 @@ def assigned(entities: DataFrame, rules: SurrogateRules = PRODUCTION) -> DataFra
             + (F.coalesce("real", F.lit(False)) | (F.coalesce(F.col("first.canonical"), F.col("canonical")) != F.col("canonical"))).cast("int"),
         )
         state = stored(
-            moved.select("kind", "canonical", "attempt").withColumn(
+            moved.select("kind", "canonical", "attempt").repartition(tasks, "kind", "canonical").withColumn(
                 "surrogate", surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), rules)
             ),
             "surrogates",
