@@ -7,10 +7,10 @@
   are counted before the shuffle and after it stand there once.
 * **Count.** Phrases are counted inside distinct chunks, weighted by the chunk's frequency.  A
   phrase belongs to the chunk in which it begins before the overlap, so it is counted once.
-* **Levels.** A phrase is as frequent as its parts at most.  Phrases of n words are only counted
-  where both parts of n - 1 words have the least count; a bit filter of fixed size
-  (``filter_bits``) tells, and its false positives only cost work: counts are exact, and what lies
-  below the least count is dropped by its count alone.  The filter's bits, never phrases, pass the
+* **Levels.** A phrase is as frequent as its parts at most.  Pairs of words are only counted where
+  both words have the least count, and longer phrases where all their pairs have it; a bit filter
+  of fixed size (``filter_bits``) tells, and its false positives only cost work: counts are exact,
+  and what lies below the least count is dropped by its count alone.  The filter's bits, never phrases, pass the
   driver: ``filter_bits / 8`` bytes at most, whatever the size of the corpus.
 * **Score.** Every cut of a phrase meets the counts of its two sides by equi-joins on the phrase;
   the lowest score counts.  Phrases that a longer one contains and nearly always accompanies go.
@@ -26,7 +26,7 @@ whole.  An empty table gives an empty table.  Other columns of the input are not
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -52,7 +52,7 @@ class PhraseRules:
     trigger: int = 16
     filter_bits: int = 1 << 26
     #: Characters that one numpy step looks at together; a longer text goes alone.
-    chars_at_once: int = 4_000_000
+    chars_at_once: int = 8_000_000
     salts: int = 64
 
 
@@ -62,7 +62,7 @@ PRODUCTION = PhraseRules()
 DICTIONARY = pa.schema(
     [("lang", pa.string()), ("overlaps", pa.bool_()), ("chunk", pa.string()), ("n", pa.int64())]
 )
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
 PLACES = pa.schema([("place", pa.int64())])
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -209,54 +209,57 @@ def _holds(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) == 1
 
 
-def phrase_counts(chunks: DataFrame, n: int, shorter: DataFrame | None, rules: PhraseRules) -> DataFrame:
-    """lang, phrase, f of the phrases of n words whose parts of n - 1 words may all be among
-    ``shorter``."""
+def phrase_counts(chunks: DataFrame, sizes: Sequence[int], parts: DataFrame | None, part: int, rules: PhraseRules) -> DataFrame:
+    """lang, phrase, words, f of the phrases of these sizes whose parts of ``part`` words may all be
+    among ``parts``."""
     shared = None
-    if shorter is not None:
-        shared = chunks.sparkSession.sparkContext.broadcast(bit_filter(shorter, n - 1, rules))
+    if parts is not None:
+        shared = chunks.sparkSession.sparkContext.broadcast(bit_filter(parts, part, rules))
     overlap = rules.max_words - 1
 
-    def counted(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def counted(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, overlaps, strings, times = pa.Table.from_batches(batches).combine_chunks().columns
         strings = strings.combine_chunks()
         language = languages.combine_chunks().dictionary_encode()
         known, code = language.dictionary, language.indices.to_numpy().astype(np.int64)
-        sizes = pc.count_substring(strings, " ").to_numpy() + 1
+        lengths = pc.count_substring(strings, " ").to_numpy() + 1
         words = _Words(_words_in(strings))
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        left = np.cumsum(sizes)[owner] - np.arange(len(owner))
-        # The phrase begins before the overlap and ends inside the chunk.
-        ok = left > np.where(overlaps.to_numpy(), overlap, 0)[owner]
-        ok &= left >= n
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        left = np.cumsum(lengths)[owner] - np.arange(len(owner))
+        # A phrase begins before the overlap and ends inside the chunk.
+        begins = left > np.where(overlaps.to_numpy(), overlap, 0)[owner]
+        frequent = np.ones(len(owner), bool)
         if shared is not None:
-            part = _window_hashes(words.hashes, n - 1)
-            part ^= _language_hashes(known.to_pylist())[code][owner[: len(part)]]
-            first, second = _places(part, rules.filter_bits)
-            frequent = _holds(shared.value, first)
-            frequent[frequent] = _holds(shared.value, second[frequent])
-            reach = max(len(frequent) - 1, 0)
-            ok[:reach] &= frequent[:-1] & frequent[1:]
-            ok[reach:] = False
-        at = np.flatnonzero(ok)
-        if not len(at):
-            return _batch([], [], [], schema=COUNTS)
-        key, top, names = code[owner[at]], len(known), len(words.names)
-        for k in range(n):
-            if top * names >= 1 << 62:
-                key = np.unique(key, return_inverse=True)[1]
-                top = int(key.max()) + 1
-            key = key * names + words.ids[at + k]
-            top *= names
-        order = np.argsort(key)
-        key = key[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        sums = np.add.reduceat(times.to_numpy()[owner[at[order]]], first)
-        at = at[order[first]]
+            hashes = _window_hashes(words.hashes, part)
+            hashes ^= _language_hashes(known.to_pylist())[code][owner[: len(hashes)]]
+            first, second = _places(hashes, rules.filter_bits)
+            frequent[len(hashes) :] = False
+            frequent[: len(hashes)] = _holds(shared.value, first)
+            frequent[frequent] = _holds(shared.value, second[frequent[: len(hashes)]])
         spelled = pa.array(words.names, pa.binary()).cast(pa.string())
-        parts = [spelled.take(pa.array(words.ids[at + k])) for k in range(n)]
-        phrases = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
-        return _batch(known.take(pa.array(code[owner[at]])), phrases, sums, schema=COUNTS)
+        for n in sizes:
+            ok = begins & (left >= n)
+            if shared is not None:
+                for k in range(n - part + 1):
+                    ok[: len(ok) - k] &= frequent[k:]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            key, top, names = code[owner[at]], len(known), len(words.names)
+            for k in range(n):
+                if top * names >= 1 << 62:
+                    key = np.unique(key, return_inverse=True)[1]
+                    top = int(key.max()) + 1
+                key = key * names + words.ids[at + k]
+                top *= names
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            sums = np.add.reduceat(times.to_numpy()[owner[at[order]]], first)
+            at = at[order[first]]
+            parted = [spelled.take(pa.array(words.ids[at + k])) for k in range(n)]
+            phrases = pc.binary_join_element_wise(*parted, " ") if n > 1 else parted[0]
+            yield _batch(known.take(pa.array(code[owner[at]])), phrases, np.full(len(at), n, np.int32), sums, schema=COUNTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -264,25 +267,26 @@ def phrase_counts(chunks: DataFrame, n: int, shorter: DataFrame | None, rules: P
             held.append(batch)
             size += batch.column(2).nbytes
             if size >= rules.chars_at_once:
-                yield counted(held)
+                yield from counted(held)
                 held, size = [], 0
         if held:
-            yield counted(held)
+            yield from counted(held)
 
     counts = chunks.select("lang", "overlaps", "chunk", "n").mapInArrow(count, from_arrow_schema(COUNTS))
-    return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return counts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(chunks: DataFrame, rules: PhraseRules = PRODUCTION) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``max_words`` words with the least count: lang, phrase, words, f; and the
     words of every language: lang, n."""
-    every_word = stored(phrase_counts(chunks, 1, None, rules), "word-counts")
+    every_word = stored(phrase_counts(chunks, [1], None, 0, rules), "word-counts")
     totals = every_word.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = every_word.where(F.col("f") >= rules.min_count)
-    frequent = level.withColumn("words", F.lit(1))
-    for n in range(2, rules.max_words + 1):
-        level = stored(phrase_counts(chunks, n, level, rules).where(F.col("f") >= rules.min_count), f"phrases-of-{n}")
-        frequent = frequent.unionByName(level.withColumn("words", F.lit(n)))
+    enough = F.col("f") >= rules.min_count
+    level = frequent = every_word.where(enough)
+    for part, sizes in ((1, [2]), (2, list(range(3, rules.max_words + 1)))):
+        if sizes:
+            level = stored(phrase_counts(chunks, sizes, level, part, rules).where(enough), f"phrases-of-{sizes[0]}")
+            frequent = frequent.unionByName(level)
     return frequent, totals
 
 
