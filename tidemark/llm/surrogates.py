@@ -318,10 +318,12 @@ def surrogate_of(kind: Column, canonical: Column, attempt: Column, rules: Surrog
 
 def assigned(entities: DataFrame, rules: SurrogateRules = PRODUCTION) -> DataFrame:
     """kind, canonical, surrogate: no two surrogates and no surrogate and entity are equal."""
-    # Few bytes, much work: dealt to all tasks, where adaptive execution would make it one.
+    # Few bytes, much work: dealt to all tasks, where adaptive execution would make it one.  By a
+    # hash of its own, because a partitioning that the rows have already would be dropped.
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = F.xxhash64("canonical", "kind")
     state = stored(
-        entities.select("kind", "canonical", F.lit(0).alias("attempt")).repartition(tasks, "kind", "canonical").withColumn(
+        entities.select("kind", "canonical", F.lit(0).alias("attempt")).repartition(tasks, dealt).withColumn(
             "surrogate", surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), rules)
         ),
         "surrogates",
@@ -349,7 +351,7 @@ def assigned(entities: DataFrame, rules: SurrogateRules = PRODUCTION) -> DataFra
             + (F.coalesce("real", F.lit(False)) | (F.coalesce(F.col("first.canonical"), F.col("canonical")) != F.col("canonical"))).cast("int"),
         )
         state = stored(
-            moved.select("kind", "canonical", "attempt").repartition(tasks, "kind", "canonical").withColumn(
+            moved.select("kind", "canonical", "attempt").repartition(tasks, dealt).withColumn(
                 "surrogate", surrogate_of(F.col("kind"), F.col("canonical"), F.col("attempt"), rules)
             ),
             "surrogates",
