@@ -17,8 +17,8 @@ ROW_KEY = [*RUN_KEY, "source_row_number"]
 RECENCY = ["ingested_at", "run_id", "loaded_at", "source_row_number"]
 
 PRICE = T.DecimalType(38, 18)
-#: Reported values can have more digits than Spark decimals hold; they are stored at
-#: this scale next to their literal (``value_text``) and an exactness flag.
+#: Reported values are stored next to their literal (``value_text``); a value with more digits
+#: than this type holds rejects its payload.
 VALUE = T.DecimalType(38, 10)
 
 # Provider and dataset identities.
