@@ -33,12 +33,12 @@ def test_awkward_rows(spark):
     assert deduplicated(nothing(spark)).count() == 0
 
 
-@pytest.mark.parametrize("files", [1, 2, None])
-def test_batches_do_not_change_the_result(spark, files):
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_do_not_change_the_result(spark, batches):
     docs = spark.range(300).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 37).cast("string")).alias("text")
     )
-    check(docs.repartition(5, "doc_id"), files_per_batch=files)
+    check(docs.repartition(5, "doc_id"), batches=batches)
 
 
 def test_full_bytes_decide_where_digests_collide(spark):
@@ -58,3 +58,23 @@ def test_rows_that_stay_keep_their_columns(spark):
     assert {r.kept for r in got.collect()} == {"own kept"}
     texts = [r.text or "" for r in got.collect()]
     assert len(texts) == len(set(texts))
+
+
+def test_a_later_call_meets_the_state_of_earlier_ones(spark, tmp_path):
+    folder = f"file://{tmp_path}/state"
+    seen = []
+    for rows in ([(1, "a"), (2, "b"), (9, "c")], [(3, "a"), (4, "d"), (5, "c")], [(6, "d"), (7, None), (0, "a"), (8, "")]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        seen += rows
+        want = expected(seen)
+        got = deduplicated(docs, state_folder=folder).collect()
+        assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+        for r in got:
+            keep, size = want[r.text or ""]
+            assert (r.keep_id, r.group_size, r.kept) == (keep, size, r.doc_id == keep)
+
+
+def test_copies_of_a_hot_text_are_combined_before_they_are_moved(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("hot").alias("text"))
+    got = deduplicated(docs.repartition(6)).groupBy("keep_id", "group_size").agg(F.sum(F.col("kept").cast("int")).alias("kept"))
+    assert [tuple(r) for r in got.collect()] == [(2999, 3000, 1)]

@@ -7,9 +7,17 @@ others are compared with (its landed row), and the number of arrivals.  The entr
 streaming aggregate, so every task first combines its own copies and a group holding a
 third of all rows reaches its state partition as one row per task.
 
-A digest that arrives again is a hit.  Hits are checked on full bytes: only their rows are
-read again and grouped by digest and text, which also meets as one row per task and text.
-Should two texts share a digest, the group by full text decides instead of the state.
+The landed files are read in several micro-batches (``batches``), so later arrivals meet the
+state of earlier ones.  With ``state_folder`` landed rows, state and progress last: another
+call goes on from there and decides about its own rows against all that came before.  One
+call at a time may use such a folder, its documents have the same columns every time, and
+a call that was interrupted before its result is repeated with a new folder.
+
+A digest that arrives again is a hit.  Hits are checked on full bytes: rows of hits are
+numbered by a join that moves no text, their texts are found by row number, and each task
+combines its copies by digest and text before they are moved, so a hot text meets as one
+row per task.  Should two texts share a digest, the group by full text decides instead of
+the state.
 
 Edge cases: a null text counts as empty.  Null identifiers are smaller than all others; of
 several rows with the largest identifier the one with the smallest row number stays, so
@@ -22,11 +30,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.shared import packed, text_or_empty, unpacked, with_result, work_folder
+from tidemark.llm.shared import packed, stored, text_or_empty, unpacked, with_result, work_folder
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -38,7 +47,7 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
-# A Bloom filter of the hit digests runs over the landed rows before the exchange, so only
+# A Bloom filter of the hit rows' numbers runs over the landed rows before the exchange, so only
 # rows of hits are moved for the check of their bytes.
 HIT_SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -66,9 +75,10 @@ def _settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def land(docs: DataFrame, id_column: str, text_column: str, digest: Callable[[Column], Column]) -> str:
-    """Write the documents with digest and row number; returns the folder."""
-    folder = work_folder(docs.sparkSession, "landed")
+def land(
+    docs: DataFrame, folder: str, first: int, id_column: str, text_column: str, digest: Callable[[Column], Column]
+) -> None:
+    """Append the documents with digest and row number (from ``first``) to the folder."""
     row = F.col("row")
     (
         packed(docs)
@@ -76,12 +86,12 @@ def land(docs: DataFrame, id_column: str, text_column: str, digest: Callable[[Co
             "row",
             row.getField(id_column).alias("id"),
             digest(text_or_empty(row.getField(text_column))).alias("digest"),
-            F.monotonically_increasing_id().alias("seq"),
+            (F.monotonically_increasing_id() + first).alias("seq"),
         )
-        .write.option("compression", "lz4")
+        .write.mode("append")
+        .option("compression", "lz4")
         .parquet(folder)
     )
-    return folder
 
 
 def registered_arrivals(arrivals: DataFrame) -> DataFrame:
@@ -93,14 +103,14 @@ def registered_arrivals(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def run_stream(spark: SparkSession, landed: DataFrame, folder: str, files_per_batch: int | None) -> DataFrame:
-    """Feed the landed files through the stateful stream; the last state of each digest."""
-    updates = work_folder(spark, "digest-updates")
-    source = spark.readStream.schema(landed.schema)
-    if files_per_batch:
-        source = source.option("maxFilesPerTrigger", files_per_batch)
-    states = registered_arrivals(source.parquet(folder).select("id", "digest", "seq"))
-    states.sparkSession.createDataFrame([], states.schema).write.parquet(f"{updates}/batch=-1")
+def run_stream(landed: DataFrame, root: str, files_per_batch: int) -> DataFrame:
+    """Feed the files landed since the last call through the stateful stream; the last state
+    of each digest that arrived more than once."""
+    spark = landed.sparkSession
+    updates = f"{root}/updates"
+    source = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", files_per_batch)
+    states = registered_arrivals(source.parquet(f"{root}/landed").select("id", "digest", "seq"))
+    spark.createDataFrame([], states.schema).write.mode("ignore").parquet(f"{updates}/batch=-1")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
@@ -108,20 +118,32 @@ def run_stream(spark: SparkSession, landed: DataFrame, folder: str, files_per_ba
     with _settings(spark, STATE_SETTINGS):
         query = (
             states.writeStream.outputMode("update")
-            .option("checkpointLocation", work_folder(spark, "digest-state"))
+            .option("checkpointLocation", f"{root}/state")
             .foreachBatch(write)
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
-    every = spark.read.schema(T.StructType([*states.schema.fields, T.StructField("batch", T.LongType())])).parquet(
-        updates
+    fields = [*states.schema.fields, T.StructField("batch", T.LongType())]
+    # Arrivals only grow, so what has one arrival in every batch needs no exchange.
+    return (
+        spark.read.schema(T.StructType(fields))
+        .parquet(updates)
+        .where("arrivals > 1")
+        .groupBy("digest")
+        .agg(F.max_by(F.struct("best", "locator", "arrivals"), "batch").alias("s"))
+        .select("digest", "s.*")
     )
-    if every.select("batch").distinct().count() <= 1:
-        return every.drop("batch")
-    return every.groupBy("digest").agg(
-        F.max_by(F.struct("best", "locator", "arrivals"), "batch").alias("s")
-    ).select("digest", "s.*")
+
+
+def _landed(spark: SparkSession, folder: str) -> DataFrame | None:
+    """What earlier calls landed, or None."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _decided(
@@ -129,22 +151,35 @@ def _decided(
     id_column: str = "doc_id",
     text_column: str = "text",
     digest: Callable[[Column], Column] = sha256,
-    files_per_batch: int | None = None,
+    batches: int = 3,
+    state_folder: str | None = None,
 ) -> DataFrame:
-    """Landed rows with the state of their group; null for rows that are alone."""
+    """Rows landed by this call with the state of their group; null for rows that are alone."""
     spark = docs.sparkSession
-    folder = land(docs, id_column, text_column, digest)
-    landed = spark.read.parquet(folder)
-    states = run_stream(spark, landed, folder, files_per_batch)
-
-    hits_path = work_folder(spark, "digest-hits")
-    states.where("arrivals > 1").write.parquet(hits_path)
-    hits = spark.read.schema(states.schema).parquet(hits_path)
-
+    root = state_folder or work_folder(spark, "digest-state")
+    folder = f"{root}/landed"
+    earlier = _landed(spark, folder)
+    first, known = 0, 0
+    if earlier is not None:
+        first = earlier.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0]
+        known = len(earlier.inputFiles())
+    land(docs, folder, first, id_column, text_column, digest)
+    landed = spark.read.parquet(folder) if earlier is None else spark.read.schema(earlier.schema).parquet(folder)
+    new_files = len(landed.inputFiles()) - known
+    hits = stored(run_stream(landed, root, max(1, -(-new_files // batches))), "digest-hits")
+
+    # Rows of hits by number: narrow, so copies of one text meet their state without it.
+    state = F.struct("best", "arrivals").alias("state")
+    hit_rows = stored(
+        landed.select("id", "digest", "seq").join(hits.select("digest", "locator", "arrivals", state), "digest"),
+        "hit-rows",
+    )
+    # Texts are found by row number, which spreads the copies of a text evenly.  Each task then
+    # combines its copies, so one row per task and text is moved to where they are compared.
     text = text_or_empty(F.col("row").getField(text_column))
     contents = (
-        landed.select("id", "digest", "seq", text.alias("content"))
-        .join(hits.where("arrivals > 1").select("digest", "locator").hint("shuffle_hash"), "digest")
+        landed.select("seq", text.alias("content"))
+        .join(hit_rows.where("arrivals > 1").select("id", "digest", "seq", "locator"), "seq")
         .groupBy("digest", "content")
         .agg(
             F.max(F.col("seq") == F.col("locator")).alias("is_reference"),
@@ -152,17 +187,12 @@ def _decided(
             F.count(F.lit(1)).alias("arrivals"),
         )
     )
-    checked_path = work_folder(spark, "checked-hits")
     with _settings(spark, HIT_SETTINGS):
-        contents.withColumn("text_key", F.sha2("content", 512)).drop("content").write.parquet(checked_path)
-    checked = spark.read.parquet(checked_path)
+        checked = stored(contents.withColumn("text_key", F.sha2("content", 512)).drop("content"), "checked-hits")
     differing = checked.where("NOT is_reference").select("digest").distinct()
 
-    # Rows without hits stay in the join, so it moves all rows once; hashing the few hits
-    # spares sorting them.
-    joined = landed.join(
-        hits.select("digest", F.struct("best", "arrivals").alias("state")).hint("shuffle_hash"), "digest", "left"
-    )
+    arrived = landed.where(F.col("seq") >= first) if first else landed
+    joined = arrived.join(hit_rows.select("seq", "state"), "seq", "left")
     if not differing.isEmpty():
         # Texts that differ from the content their digest was registered with: the group by
         # full text, found again by a second digest that separates them, decides.
@@ -187,8 +217,8 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """All rows and columns of the documents with keep_id, group_size, kept, text_digest.
 
     The row with the largest identifier of a group of equal texts stays.  Options are
-    ``id_column``, ``text_column``, ``files_per_batch`` and ``digest``, which may be any
-    function of the text; results do not depend on its collisions.
+    ``id_column``, ``text_column``, ``batches``, ``state_folder`` and ``digest``, which may be
+    any function of the text; results do not depend on its collisions.
     """
     return with_result(
         _decided(docs, **options),
