@@ -50,6 +50,23 @@ def test_hot_keys_nulls_and_repeats_are_split(spark, probes, cell_bytes):
     check(got, 7)
 
 
+def test_jobs_do_not_grow_with_the_cells(spark):
+    rows = spark.range(4000).select((F.col("id") * 977 % 3989).alias("doc_id"), (F.col("id") % 9 + 1).alias("size"))
+    context, jobs = spark.sparkContext, []
+    for cells in (5, 160):
+        context.setJobGroup(f"shards-{cells}", "histogram sort")
+        check(sharded(rows, ShardRules(shards=cells)).collect(), cells)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"shards-{cells}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0] + 2
+
+
+def test_few_bins_a_round_give_the_same_shards(spark):
+    data = [(13, 11)] * 120 + [(k * k, 3 + k % 4) for k in range(90)]
+    rows = spark.createDataFrame(data, "doc_id bigint, size bigint").repartition(4)
+    check(sharded(rows, ShardRules(shards=30, most_bins=8)).collect(), 30)
+
+
 def test_tolerance_bounds_the_error(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 + 1).alias("size"))
     got = sharded(rows, ShardRules(shards=10, tolerance=400, probes=8)).groupBy("shard").agg(F.sum("size").alias("b")).collect()

@@ -6,15 +6,18 @@ sorting: each round counts exactly, over all partitions, the bytes that lie belo
 spaced probes inside the intervals that still hold a splitter, keeps the interval of each
 splitter's target, and probes that one in the next round.  An interval that is down to one
 key is probed by row number, so a key that holds a third of all rows is split like others.
-Rounds end when every interval is within the tolerance (0: a single row).  Rows are then
-exchanged once, by the splitters, and sorted where they arrive.
+One job counts for all intervals of a round, whether they hold keys or rows of a key, so the
+number of jobs follows the width of the keys and not the number of splitters.  Rounds end
+when every interval is within the tolerance or holds a single row.  Rows are then exchanged
+once, by the splitters, and sorted where they arrive.
 
 Law ``bytes``: a row whose predecessors have b of B bytes is in shard floor(b * shards / B).
 With tolerance 0 that is exact, so shards differ by less than the largest row.
 
 Shards too large for a task are cut into cells by the same splitters; slots run through the
 cells of a shard.  Only DataFrame functions are used.  What reaches the driver is one row per
-probe and one per cell.
+probe and one per cell: a cell holds ``cell_bytes``, so 100 TB make 400 thousand cells, and
+the probes of a round share ``most_bins`` (at least two for each interval).
 
 Edge cases: null keys come first; null sizes count as zero; repeated rows are told apart by
 row number; an empty table gives an empty table; input columns named like a result column
@@ -41,7 +44,7 @@ class ShardRules:
     tolerance: int = 0
     probes: int = 512
     cell_bytes: int = 256 << 20
-    max_cells: int = 4096
+    most_bins: int = 1 << 20
 
 
 PRODUCTION = ShardRules()
@@ -56,98 +59,119 @@ class Interval:
     hi: int
     below: int
     size: int
+    rows: int
+
+    @property
+    def start(self) -> tuple[int, int]:
+        return (self.lo, LOWEST) if self.key is None else (self.key, self.lo)
 
 
 def _literal(values: list[int]) -> Column:
-    return F.array(*[F.lit(v).cast("bigint") for v in values])
+    # One text for all values: the plan holds a single constant however many there are.
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _position(sorted_values: Column, count: int, smaller) -> Column:
-    """Number of leading entries for which ``smaller(entry)`` holds, by binary search."""
+def _position(count: int, smaller) -> Column:
+    """Number of leading places for which ``smaller(place)`` holds, by binary search."""
     steps = [1 << k for k in range(max(0, count).bit_length() - 1, -1, -1)]
     if not steps:
         return F.lit(0)
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
-        lambda at, step: F.when(
-            F.coalesce(smaller(F.get(sorted_values, at + step - 1)), F.lit(False)), at + step
-        ).otherwise(at),
+        lambda at, step: F.when(F.coalesce(smaller(at + step - 1), F.lit(False)), at + step).otherwise(at),
     )
 
 
-def _probe(rows: DataFrame, column: str, intervals: list[Interval], probes: int) -> dict[Interval, list]:
-    """Filled bins of each interval in order: (lowest value, highest value, bytes)."""
-    spans = sorted(set(intervals), key=lambda x: x.lo)
+def _before_row(starts: list[tuple[int, int]], or_at: bool):
+    """Whether the start at a place lies before (or at) the row."""
+    keys, rows = _literal([k for k, _ in starts]), _literal([r for _, r in starts])
+
+    def smaller(place: Column) -> Column:
+        key, row = F.get(keys, place), F.get(rows, place)
+        within = (row <= F.col("seq")) if or_at else (row < F.col("seq"))
+        return (key < F.col("key")) | ((key == F.col("key")) & within)
+
+    return smaller
+
+
+def _probe(rows: DataFrame, intervals: set[Interval], rules: ShardRules) -> dict[Interval, list]:
+    """Filled bins of each interval in order: (lowest value, highest value, bytes, rows)."""
+    spans = sorted(intervals, key=lambda x: x.start)
+    probes = max(2, min(rules.probes, rules.most_bins // len(spans)))
     lows = _literal([x.lo for x in spans])
     highs = _literal([x.hi for x in spans])
     widths = _literal([-(-(x.hi - x.lo + 1) // probes) for x in spans])
-    value = F.col(column)
+    # The key that an interval of rows belongs to; the row's own key decides in the others.
+    by_row = _literal([int(x.key is not None) for x in spans])
+    keys = _literal([x.lo if x.key is None else x.key for x in spans])
+    at = F.col("span")
     # The lookup is projected on its own, so that it runs once per row.
-    at = rows.select(
-        column, "size", (_position(lows, len(spans), lambda low: low <= value) - 1).alias("span")
-    ).where((F.col("span") >= 0) & (value <= F.get(highs, F.col("span"))))
-    bins = F.floor((value - F.get(lows, F.col("span"))) / F.get(widths, F.col("span")))
+    inside = (
+        rows.withColumn("span", _position(len(spans), _before_row([x.start for x in spans], True)) - 1)
+        .where("span >= 0")
+        .withColumn("value", F.when(F.get(by_row, at) == 1, F.col("seq")).otherwise(F.col("key")))
+        .where((F.col("value") <= F.get(highs, at)) & ((F.get(by_row, at) == 0) | (F.get(keys, at) == F.col("key"))))
+    )
+    bins = F.floor((F.col("value") - F.get(lows, at)) / F.get(widths, at))
     counted = (
-        at.groupBy("span", bins.alias("bin"))
-        .agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.sum("size").alias("size"))
+        inside.groupBy("span", bins.alias("bin"))
+        .agg(
+            F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("size").alias("size"), F.count("*").alias("n")
+        )
         .collect()
     )
     found: dict[Interval, list] = {x: [] for x in spans}
     for r in sorted(counted, key=lambda r: (r["span"], r["lo"])):
-        found[spans[r["span"]]].append((r["lo"], r["hi"], r["size"]))
+        found[spans[r["span"]]].append((r["lo"], r["hi"], r["size"], r["n"]))
     return found
 
 
 def _narrowed(interval: Interval, bins: list, target: tuple[int, int]) -> Interval:
     """The bin in which the bytes reach target = (numerator, denominator)."""
     below = interval.below
-    for lo, hi, size in bins:
+    for lo, hi, size, rows in bins:
         if (below + size) * target[1] >= target[0]:
-            return Interval(interval.key, lo, hi, below, size)
+            return Interval(interval.key, lo, hi, below, size, rows)
         below += size
     raise AssertionError("the bytes of an interval do not reach its target")
 
 
-def splitters(rows: DataFrame, cells: int, rules: ShardRules, total: int, last_row: int) -> list[tuple[int, int]]:
-    """(key, row) of the last row of each cell but the last, in order."""
-    bounds = rows.agg(F.min("key"), F.max("key")).first()
+def splitters(rows: DataFrame, cells: int, rules: ShardRules) -> list[tuple[int, int]]:
+    """(key, row) of the last row of each cell but the last, in order; none without bytes."""
+    negative = F.col("key") < 0
+    facts = rows.agg(
+        F.coalesce(F.sum("size"), F.lit(0)).alias("total"),
+        F.count("*").alias("rows"),
+        F.min("key").alias("lo"),
+        F.max("key").alias("hi"),
+        F.max("seq").alias("last_row"),
+        F.coalesce(F.sum(F.when(negative, F.col("size"))), F.lit(0)).alias("negative_total"),
+        F.count(F.when(negative, 1)).alias("negative_rows"),
+    ).first()
+    total, last_row = facts["total"], facts["last_row"]
     targets = [(i * total, cells) for i in range(1, cells)]
-    found = {t: Interval(None, bounds[0], bounds[1], 0, total) for t in targets}
-
-    def open_(x: Interval) -> bool:
-        return x.size > rules.tolerance and (x.lo < x.hi)
+    if not total:
+        return []
+    whole = Interval(None, facts["lo"], facts["hi"], 0, total, facts["rows"])
+    halves = []
+    # A span wider than a signed 64-bit difference is halved first.
+    if whole.hi - whole.lo >= 2**63:
+        above = (0, whole.hi, total - facts["negative_total"], whole.rows - facts["negative_rows"])
+        halves = [(whole.lo, -1, facts["negative_total"], facts["negative_rows"]), above]
+    found = {t: _narrowed(whole, halves, t) if halves else whole for t in targets}
 
     while True:
-        by_key = [x for x in found.values() if x.key is None and open_(x)]
-        if not by_key:
-            break
-        # A span wider than a signed 64-bit difference is halved first.
-        if any(x.hi - x.lo >= 2**63 for x in by_key):
-            low = F.coalesce(F.sum(F.when(F.col("key") < 0, F.col("size"))), F.lit(0))
-            negative = rows.agg(low).first()[0]
-            bins = {x: [(x.lo, -1, negative), (0, x.hi, x.size - negative)] for x in set(by_key)}
-        else:
-            bins = _probe(rows, "key", by_key, rules.probes)
-        for t, x in found.items():
-            if x in bins:
-                found[t] = _narrowed(x, bins[x], t)
-    # One key left: by row number, unless the key as a whole is within the tolerance.
-    for t, x in found.items():
-        if x.lo == x.hi and x.key is None and x.size > rules.tolerance:
-            found[t] = Interval(x.lo, 0, last_row, x.below, x.size)
-    while True:
-        by_row: dict[int, list[Interval]] = {}
-        for x in found.values():
-            if x.key is not None and open_(x):
-                by_row.setdefault(x.key, []).append(x)
-        if not by_row:
+        wide = {t: x for t, x in found.items() if x.size > rules.tolerance and x.rows > 1}
+        # One key left: by row number.
+        for t, x in wide.items():
+            if x.key is None and x.lo == x.hi:
+                found[t] = wide[t] = Interval(x.lo, 0, last_row, x.below, x.size, x.rows)
+        if not wide:
             break
-        for key, intervals in by_row.items():
-            bins = _probe(rows.where(F.col("key") == key), "seq", intervals, rules.probes)
-            for t, x in found.items():
-                if x in bins:
-                    found[t] = _narrowed(x, bins[x], t)
+        bins = _probe(rows, set(wide.values()), rules)
+        for t, x in wide.items():
+            found[t] = _narrowed(x, bins[x], t)
     return [
         (x.hi, last_row) if x.key is None else (x.key, x.hi) for x in (found[t] for t in targets)
     ]
@@ -168,14 +192,11 @@ def sharded(
         "rows-to-shard",
     )
     narrow = table.select("key", "seq", "size")
-    facts = narrow.agg(F.sum("size"), F.max("seq")).first()
-    total, last_row = facts[0] or 0, facts[1] or 0
-    per_shard = max(1, min(rules.max_cells // rules.shards, math.ceil(total / rules.shards / rules.cell_bytes)))
+    total = narrow.agg(F.sum("size")).first()[0] or 0
+    per_shard = max(1, math.ceil(total / rules.shards / rules.cell_bytes))
     cells = rules.shards * per_shard
-    ends = splitters(narrow, cells, rules, total, last_row) if total else []
-    bounds = F.array(*[F.struct(F.lit(k).cast("bigint"), F.lit(s).cast("bigint")) for k, s in ends])
-    here = F.struct("key", "seq")
-    cell = _position(bounds, len(ends), lambda end: end < here) if ends else F.lit(0)
+    ends = splitters(narrow, cells, rules)
+    cell = _position(len(ends), _before_row(ends, False)) if ends else F.lit(0)
     placed = table.withColumn("cell", cell)
     counts = dict(placed.groupBy("cell").count().collect())
     offsets = [0] * cells
