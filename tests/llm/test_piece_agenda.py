@@ -59,3 +59,9 @@ def test_awkward_rows(spark, vocabulary):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded == vocabulary.library.decode(want)
     assert coded(nothing(spark)).count() == 0
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_every_document_of_the_samples_agrees_with_the_library(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    assert coded(docs).where("NOT agrees").count() == 0

@@ -8,8 +8,8 @@ No piece reaches across the start of a word, so words are encoded one by one and
 distinct word once per batch.  Short words advance in lock step: in every round each takes the
 best entry of its agenda.  Long ones use a heap.
 
-Each Arrow batch is checked against the sentencepiece library, encoding and decoding.  Where
-they differ the library's result is returned and ``agrees`` is false.
+Ids and decoded text are the agenda's own.  Each Arrow batch is checked against the
+sentencepiece library, encoding and decoding; ``agrees`` is false where they differ.
 
 Edge cases: a null text counts as empty and gives the begin and end ids only; repeated rows
 give equal rows; an empty table gives an empty table; input columns named like a result are
@@ -303,13 +303,12 @@ def _codec_udf(model: str, at_once: int = 512):
             out, distinct = [], list(place)
             for k in range(0, len(distinct), at_once):
                 part = distinct[k : k + at_once]
-                mine = codec.encode(part)
                 theirs = library.encode(part, add_bos=True, add_eos=True, num_threads=1)
                 decoded = library.decode(theirs, num_threads=1)
-                for ids, listed, text in zip(mine, theirs, decoded, strict=True):
-                    wanted = as_bytes(listed)
-                    agrees = ids == wanted and codec.decode(ids) == text
-                    out.append((len(listed), wanted, text, agrees))
+                for ids, wanted, wanted_text in zip(codec.encode(part), theirs, decoded, strict=True):
+                    text = codec.decode(ids)
+                    agrees = ids == as_bytes(wanted) and text == wanted_text
+                    out.append((len(ids) // 4, ids, text, agrees))
             yield pd.DataFrame([out[r] for r in rows], columns=["n_tokens", "ids", "decoded", "agrees"])
 
     return code
