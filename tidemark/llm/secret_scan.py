@@ -8,9 +8,15 @@ code point positions, end exclusive.
 * ``entropy`` looks at candidate strings (maximal runs of key characters).  A window slides
   over the candidate; the count of the character that enters and of the one that leaves is
   updated, and with them the sum of c*log2(c), from which the window's Shannon entropy
-  follows.  The threshold depends on the character class of the candidate.  Hot windows of
-  a candidate make one span.  Candidates on the allow-list, and spans that touch a base
-  span, are suppressed; base spans are never suppressed.
+  follows.  The threshold depends on the characters in use: random windows of each alphabet
+  miss theirs in at most one case of twenty, while paths and identifiers with separators,
+  and words of one case, have to reach more than prose does.  Hot windows of a candidate
+  make one span.  Candidates of an allowed form, and spans with an allowed part, are
+  suppressed; where base spans cover a part of a span, the rest of it is added.  Base spans
+  are never suppressed.
+
+The characters of a candidate are split once and each window costs the same, so time grows
+with the length of candidates alone.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows get equal spans; an
 empty table gives an empty table; input columns named like a result are replaced by it.
@@ -44,8 +50,13 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 class EntropyRules:
     window: int = 20
     alphabet: str = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-"
-    #: Bits a window must reach, by the character class of the candidate.
+    #: Bits a window must reach.  Up to ``both_cases_bits`` the alphabet is one of random
+    #: keys without separators, and at most 5 % of its random windows of 20 lie below.
     hex_bits: float = 2.9
+    one_case_and_digits_bits: float = 3.53
+    both_cases_and_digits_bits: float = 3.77
+    both_cases_bits: float = 3.67
+    #: Digits and letters with separators (paths, slugs), and anything else.
     mixed_bits: float = 3.9
     letters_bits: float = 4.15
     allowed_patterns: tuple[str, ...] = (
@@ -58,10 +69,12 @@ class EntropyRules:
         "abcdefghij", "ABCDEFGHIJ", "0123456789", "d41d8cd98f00b204e9800998ecf8427e",
         "da39a3ee5e6b4b0d3255bfef95601890afd80709",
     )
+    #: Allowed parts suppress spans of at most so many characters: longer ones are no samples.
+    allowed_length: int = 80
 
     @property
     def candidate(self) -> str:
-        return f"[0-9A-Za-z+/=_-]{{{self.window},}}"
+        return f"[0-9A-Za-z+/_-]{{{self.window},}}={{0,2}}"
 
 
 PRODUCTION = EntropyRules()
@@ -119,7 +132,7 @@ def hot_range(value: Column, bits: Column, rules: EntropyRules) -> Column:
     null without one."""
     w = rules.window
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(w + 2)])
-    slot = lambda i: F.instr(F.lit(rules.alphabet), F.substring(value, i + 1, F.lit(1)))
+    slots = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(rules.alphabet), c))
     zero = F.struct(
         F.array_repeat(F.lit(0), len(rules.alphabet) + 1).alias("counts"),
         F.lit(0.0).alias("total"),
@@ -151,13 +164,15 @@ def hot_range(value: Column, bits: Column, rules: EntropyRules) -> Column:
             F.when(hot, i - (w - 1)).otherwise(acc["last"]).alias("last"),
         )
 
+    left = F.slice(slots, F.lit(1), F.greatest(F.length(value) - w, F.lit(0)))
+    pairs = F.zip_with(
+        slots,
+        F.concat(F.array_repeat(F.lit(0), w), left),
+        lambda enters, leaves: F.struct(enters.alias("enters"), leaves.alias("leaves")),
+    )
     moves = F.transform(
-        F.sequence(F.lit(0), F.length(value) - 1),
-        lambda i: F.struct(
-            i.alias("i"),
-            slot(i).alias("enters"),
-            F.when(i >= w, slot(i - w)).otherwise(F.lit(0)).alias("leaves"),
-        ),
+        F.slice(pairs, F.lit(1), F.length(value)),
+        lambda x, i: F.struct(i.alias("i"), x["enters"].alias("enters"), x["leaves"].alias("leaves")),
     )
     return F.aggregate(
         moves, zero, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last"))
@@ -165,20 +180,50 @@ def hot_range(value: Column, bits: Column, rules: EntropyRules) -> Column:
 
 
 def class_bits(value: Column, rules: EntropyRules) -> Column:
+    digits, lower, upper = value.rlike("[0-9]"), value.rlike("[a-z]"), value.rlike("[A-Z]")
+    plain = value.rlike("^[0-9A-Za-z]+$")
     return (
         F.when(value.rlike("^[0-9a-fA-F]+$"), rules.hex_bits)
-        .when(value.rlike("[0-9]") & value.rlike("[A-Za-z]"), rules.mixed_bits)
+        .when(plain & digits & lower & upper, rules.both_cases_and_digits_bits)
+        .when(plain & digits, rules.one_case_and_digits_bits)
+        .when(plain & lower & upper, rules.both_cases_bits)
+        .when(digits & (lower | upper), rules.mixed_bits)
         .otherwise(rules.letters_bits)
     )
 
 
-def allowed(value: Column, rules: EntropyRules) -> Column:
+def allowed_form(value: Column, rules: EntropyRules) -> Column:
     found = F.lit(False)
     for pattern in rules.allowed_patterns:
         found = found | value.rlike(pattern)
+    return found
+
+
+def has_allowed_part(value: Column, rules: EntropyRules) -> Column:
+    found = F.lit(False)
     for part in rules.allowed_parts:
         found = found | value.contains(part)
-    return found
+    return found & (F.length(value) <= rules.allowed_length)
+
+
+def _uncovered(span: Column, base: Column) -> Column:
+    """The parts of a span between base spans, which are sorted by their start."""
+    start = F.struct(span["start"].alias("position"), F.array().cast(SPAN).alias("parts"))
+
+    def part(lo: Column, hi: Column) -> Column:
+        one = F.array(F.struct(lo.alias("start"), span["kind"].alias("kind"), hi.alias("end")))
+        return F.when(lo < hi, one).otherwise(F.array().cast(SPAN))
+
+    touching = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    return F.aggregate(
+        touching,
+        start,
+        lambda acc, b: F.struct(
+            F.greatest(acc["position"], b["end"]).alias("position"),
+            F.concat(acc["parts"], part(acc["position"], b["start"])).alias("parts"),
+        ),
+        lambda acc: F.concat(acc["parts"], part(acc["position"], span["end"])),
+    )
 
 
 def _with_spans(docs: DataFrame, rules: EntropyRules, text: str) -> DataFrame:
@@ -211,16 +256,31 @@ def _with_spans(docs: DataFrame, rules: EntropyRules, text: str) -> DataFrame:
             )
         ),
     )
+    # The class of a candidate is settled first: inside the windows it would be found anew for each.
+    classed = F.transform(
+        F.filter("entropy_placed", lambda x: ~allowed_form(x["value"], rules)),
+        lambda x: F.struct(
+            x["start"].alias("start"), x["value"].alias("value"), class_bits(x["value"], rules).alias("bits")
+        ),
+    )
     candidates = F.transform(
-        F.filter("entropy_placed", lambda x: ~allowed(x["value"], rules)),
+        classed,
         lambda x: F.struct(
             x["start"].alias("start"),
-            hot_range(x["value"], class_bits(x["value"], rules), rules).alias("hot"),
+            x["value"].alias("value"),
+            hot_range(x["value"], x["bits"], rules).alias("hot"),
         ),
     )
     df = df.withColumn("candidates", candidates)
+
+    def hot_text(x: Column) -> Column:
+        first, last = x["hot"]["first"], x["hot"]["last"]
+        return F.substring(x["value"], first + 1, last - first + rules.window)
+
     hot = F.transform(
-        F.filter("candidates", lambda x: x["hot"]["first"].isNotNull()),
+        F.filter(
+            "candidates", lambda x: x["hot"]["first"].isNotNull() & ~has_allowed_part(hot_text(x), rules)
+        ),
         lambda x: F.struct(
             (x["start"] + x["hot"]["first"]).alias("start"),
             F.lit(3).alias("kind"),
@@ -229,11 +289,7 @@ def _with_spans(docs: DataFrame, rules: EntropyRules, text: str) -> DataFrame:
     )
     df = df.withColumn("hot", hot)
     added = F.when(
-        F.size("base") > 0,
-        F.filter(
-            "hot",
-            lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-        ),
+        F.size("base") > 0, F.flatten(F.transform("hot", lambda x: _uncovered(x, F.col("base"))))
     ).otherwise(F.col("hot"))
     return df.withColumn("added", added).withColumn("spans", F.array_sort(F.concat("base", "added")))
 

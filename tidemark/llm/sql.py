@@ -128,10 +128,10 @@ def _secrets() -> str:
         unnest(range(len(regexp_extract_all(t, '([\\s\\S]*?)({p})', 1)))) AS i, {least[k]} AS least FROM texts"""
         for n, (k, p) in enumerate(kinds.items())
     )
-    allowed = " OR ".join(
-        [f"regexp_matches(value, '{p}')" for p in SECRETS.allowed_patterns]
-        + [f"contains(value, '{p}')" for p in SECRETS.allowed_parts]
-    )
+    form = " OR ".join(f"regexp_matches(value, '{p}')" for p in SECRETS.allowed_patterns)
+    part = " OR ".join(f"contains(hot_text, '{p}')" for p in SECRETS.allowed_parts)
+    plain = "regexp_matches(value, '^[0-9A-Za-z]+$')"
+    digits, lower, upper = (f"regexp_matches(value, '[{c}]')" for c in ("0-9", "a-z", "A-Z"))
     w = SECRETS.window
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -146,9 +146,12 @@ base AS (SELECT kind, doc_id, start, stop FROM spans WHERE kind < 3),
 candidates AS (
   SELECT row_number() OVER () AS c, doc_id, start, value,
     CASE WHEN regexp_matches(value, '^[0-9a-fA-F]+$') THEN {SECRETS.hex_bits}
-         WHEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') THEN {SECRETS.mixed_bits}
+         WHEN {plain} AND {digits} AND {lower} AND {upper} THEN {SECRETS.both_cases_and_digits_bits}
+         WHEN {plain} AND {digits} THEN {SECRETS.one_case_and_digits_bits}
+         WHEN {plain} AND {lower} AND {upper} THEN {SECRETS.both_cases_bits}
+         WHEN {digits} AND ({lower} OR {upper}) THEN {SECRETS.mixed_bits}
          ELSE {SECRETS.letters_bits} END AS bits
-  FROM spans WHERE kind = 3 AND NOT ({allowed})),
+  FROM spans WHERE kind = 3 AND NOT ({form})),
 windows AS (
   SELECT c, bits, s, unnest(string_split(substr(value, s + 1, {w}), '')) AS ch
   FROM (SELECT *, unnest(range(length(value) - {w - 1})) AS s FROM candidates)),
@@ -157,11 +160,19 @@ entropies AS (
   FROM (SELECT c, s, any_value(bits) AS bits, count(*) AS n FROM windows GROUP BY c, s, ch) GROUP BY c, s),
 hot AS (SELECT c, min(s) AS first, max(s) AS last FROM entropies WHERE h >= bits GROUP BY c),
 added AS (
-  SELECT 3 AS kind, doc_id, start + first AS start, start + last + {w} AS stop
+  SELECT c, doc_id, start + first AS start, start + last + {w} AS stop,
+         substr(value, (first + 1)::BIGINT, (last - first + {w})::BIGINT) AS hot_text
   FROM hot JOIN candidates USING (c)),
+sought AS (SELECT * FROM added WHERE NOT (length(hot_text) <= {SECRETS.allowed_length} AND ({part}))),
+-- Parts between the base spans that touch a span; its own end closes the last part.
+cuts AS (
+  SELECT a.c, a.doc_id, a.start AS lo, b.start AS cut, b.stop AS resume
+  FROM sought a JOIN base b ON b.doc_id = a.doc_id AND b.start < a.stop AND a.start < b.stop
+  UNION ALL SELECT c, doc_id, start, stop, stop FROM sought),
 free AS (
-  SELECT * FROM added a WHERE NOT EXISTS (
-    SELECT 1 FROM base b WHERE b.doc_id = a.doc_id AND b.start < a.stop AND a.start < b.stop)),
+  SELECT 3 AS kind, doc_id, greatest(lo, coalesce(max(resume) OVER (
+           PARTITION BY c ORDER BY cut, resume ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)) AS start, cut AS stop
+  FROM cuts QUALIFY start < stop),
 everything AS (SELECT kind, doc_id, start, stop FROM base UNION ALL SELECT * FROM free),
 listed AS (
   SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS item
