@@ -33,12 +33,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
     """The frame written once to the shared folder and read back: it survives lost
-    executors, its lineage is one scan, and values such as row numbers do not change."""
+    executors, its lineage is one scan, and values such as row numbers do not change.
+    With ``by`` the rows lie in one folder for each value of that column."""
     spark = df.sparkSession
     path = work_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
