@@ -157,3 +157,59 @@ def test_file_without_a_column_is_refused(spark, tmp_path):
     rows.drop("volume").write.mode("append").parquet(paths[contract.name])
     with pytest.raises(S.SchemaMismatch, match="has no column volume"):
         typed.require_whole_files(spark, str(tmp_path))
+
+
+def test_reading_refuses_a_single_short_file(spark, tmp_path):
+    paths = typed.create_source_tables(spark, str(tmp_path))
+    contract = S.CONTRACTS["market_daily_prices"]
+    landed = X.landing(spark, [(S.PRICES, "AAPL", X.RUN_1, X.prices())])
+    rows = P.accepted_rows(P.parse(landed, contract.name), contract)
+    typed.append_rows(rows, paths[contract.name], contract.schema)
+    assert typed.read_table(spark, paths[contract.name], contract.schema).count() == rows.count()
+    day = next(p for p in (tmp_path / contract.name).iterdir() if p.name.startswith("ingestion_date=2"))
+    rows.drop("volume").coalesce(1).write.parquet(str(tmp_path / "short"))
+    short = next((tmp_path / "short").glob("*.parquet"))
+    (day / "part-late.parquet").write_bytes(short.read_bytes())
+    for _ in range(2):
+        with pytest.raises(S.SchemaMismatch, match="part-late.parquet has no column volume"):
+            typed.read_table(spark, paths[contract.name], contract.schema)
+
+
+def test_every_file_is_checked_once(spark, tmp_path):
+    path, contract = str(tmp_path / "t"), T.StructType([T.StructField("k", T.LongType()), T.StructField("flag", T.BooleanType())])
+    spark.range(4).selectExpr("id AS k", "true AS flag").repartition(2).write.parquet(path)
+    assert typed.check_new_files(spark, path, contract) == 2
+    assert typed.check_new_files(spark, path, contract) == 0
+    spark.range(4).selectExpr("id AS k", "CAST(NULL AS BOOLEAN) AS flag").coalesce(1).write.mode("append").parquet(path)
+    spark.range(4).selectExpr("id AS k", "id > 1 AS flag").coalesce(1).write.mode("append").parquet(path)
+    assert typed.check_new_files(spark, path, contract) == 2
+    assert typed.read_table(spark, path, contract).count() == 12
+
+
+@pytest.mark.parametrize("flags", ["true", "false", "id > 1", "CAST(NULL AS BOOLEAN)"])
+def test_file_without_a_boolean_is_refused(spark, tmp_path, flags):
+    path, contract = str(tmp_path / "t"), T.StructType([T.StructField("k", T.LongType()), T.StructField("flag", T.BooleanType())])
+    spark.range(4).selectExpr("id AS k", f"{flags} AS flag").write.parquet(path)
+    spark.range(2).selectExpr("id AS k").coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(S.SchemaMismatch, match="has no column flag"):
+        typed.read_table(spark, path, contract)
+
+
+def test_other_types_and_columns_are_refused(spark, tmp_path):
+    contract = T.StructType([T.StructField("k", T.LongType()), T.StructField("flag", T.BooleanType())])
+    for n, columns in enumerate((["id AS k", "'x' AS flag"], ["id AS k", "true AS flag", "1 AS more"], ["CAST(id AS INT) AS k", "true AS flag"])):
+        path = str(tmp_path / str(n))
+        spark.range(2).selectExpr(*columns).write.parquet(path)
+        with pytest.raises(S.SchemaMismatch):
+            typed.read_table(spark, path, contract)
+    mixed = str(tmp_path / "mixed")
+    spark.range(2).selectExpr("id AS k", "true AS flag").write.parquet(mixed)
+    assert typed.read_table(spark, mixed, contract).count() == 2
+    spark.range(2).selectExpr("id AS k", "true AS flag", "1 AS more").write.mode("append").parquet(mixed)
+    with pytest.raises(S.SchemaMismatch, match="more"):
+        typed.read_table(spark, mixed, contract)
+    apart = str(tmp_path / "apart")
+    spark.range(2).selectExpr("id AS k", "true AS flag").write.parquet(apart)
+    spark.range(2).selectExpr("'x' AS k", "true AS flag").write.mode("append").parquet(apart)
+    with pytest.raises(S.SchemaMismatch):
+        typed.read_table(spark, apart, contract)
