@@ -1,6 +1,7 @@
 """Every stage against brute force on its own input, and the whole run."""
 
 import corpus_pipeline
+from helpers import nothing
 from test_best_fit import fits
 from test_chosen_path import brute
 from test_quality_lines import measures
@@ -54,3 +55,24 @@ def test_stages(spark):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and fits(rows, 2048) < len(rows)
+
+
+LONG = " ".join(f"The river{k} and hill{k} met town{k} near field{k} at road{k}." for k in range(6_000))
+STORY = " ".join(f"Then traveller{k} saw town{k} and rested{k}." for k in range(12))
+
+
+def test_run_on_awkward_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, and columns named like results."""
+    rows = [(1, None), (2, ""), (3, " \t\n "), (4, STORY), (4, STORY), (5, STORY), (None, STORY), (None, None), (8, "one two"), (9, LONG)]
+    fields = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, seq string, length string, node string"
+    data = [(i, t, None, None, len(t or ""), "own", "own", "own", None) for i, t in rows]
+    spark.createDataFrame(data, fields).write.parquet(f"{tmp_path}/documents.parquet")
+    placed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in placed} == {5, 9}
+    assert sum(r.doc_id == 9 for r in placed) > 10
+    fits(placed, 2048)
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    nothing(spark, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
