@@ -5,8 +5,9 @@ input, so a stage starts from a stored table whatever happens to executors.
 
 Edge cases: null, empty and very short texts go in the first stage, which asks for 50 words.
 Very long texts pass every stage whole and are cut into pieces by the last one.  Of equal rows
-one stays; in exact dedup a null doc_id loses to any other.  Further columns of the table, also those named like a result, stay until the last
-stage, which returns the columns of a piece.  An empty table gives an empty table.
+one stays; in exact dedup a null doc_id loses to any other.  Further columns of the table, also
+those named like a result, stay until the last stage, which returns the columns of a piece.  An
+empty table gives an empty table.
 """
 
 from __future__ import annotations
