@@ -6,6 +6,7 @@ from collections.abc import Callable, Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.versions import with_provenance
 from tidemark.plans import dimensions as D
@@ -136,11 +137,37 @@ class Relations:
     def fact_macro_observation(self) -> DataFrame:
         return self._keep("fact_macro_observation", D.fact_macro_observation(self._observations))
 
+    @property
+    def _company_prices(self) -> DataFrame:
+        """Market facts of the symbols that companies trade under now.
+
+        The symbol belongs to the staging grain, so leaving the others out before runs are
+        met and versions are ranked gives the rows the mart would find in the whole fact.
+        """
+        if self._stored & {"stg_market_prices", "fact_market_daily"}:
+            return self.fact_market_daily
+        symbols = self._current.select(F.col("current_ticker").alias("symbol"))
+        prices = self.tables["market_daily_prices"].join(symbols, "symbol", "left_semi")
+        return D.fact_market_daily(S.stg_market_prices(prices, self.tables["ingestion_runs"]))
+
+    @property
+    def _company_names(self) -> DataFrame:
+        """Names of the current registrants; every registrant's name rests on its own facts."""
+        if self._stored & {"stg_financial_facts", "dim_company"}:
+            return self.dim_company
+        ciks = self._current.select(F.col("source_cik").alias("cik"))
+        facts = self.tables["sec_company_facts"].join(ciks, "cik", "left_semi")
+        return D.dim_company(with_provenance(facts, self.tables["ingestion_runs"]))
+
+    @property
+    def _current(self) -> DataFrame:
+        return self.identities.where("is_current_registrant")
+
     @cached_property
     def mart_company_daily_performance(self) -> DataFrame:
         return self._keep(
             "mart_company_daily_performance",
-            M.mart_company_daily_performance(self.fact_market_daily, self.identities, self.dim_company),
+            M.mart_company_daily_performance(self._company_prices, self.identities, self._company_names),
         )
 
     @cached_property
