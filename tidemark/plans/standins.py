@@ -7,7 +7,7 @@ runs they arrived in, events are macro observations.  Every row of every table i
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
+from tidemark.sources.scratch import kept
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A sample table as it is stored."""
@@ -232,9 +233,11 @@ class SourceTables(Mapping):
         return len(self.BUILDERS)
 
 
-def relations(spark: SparkSession, sf_dir: str) -> Relations:
-    """The modelled relations over the sample tables."""
-    return Relations(SourceTables(spark, sf_dir), company_identities(spark, sf_dir), financial_metrics(spark))
+def relations(spark: SparkSession, sf_dir: str, stored: Collection[str] = ()) -> Relations:
+    """The modelled relations over the sample tables; those in ``stored`` are computed once."""
+    return Relations(
+        SourceTables(spark, sf_dir), company_identities(spark, sf_dir), financial_metrics(spark), kept, stored
+    )
 
 
 # --- payloads built from the sample rows ----------------------------------------

@@ -214,8 +214,8 @@ def detail_market_macro(spark, sf):
 
 
 def _report(spark, sf):
-    """The three marts."""
-    relations = R(spark, sf)
+    """The three marts, each computed once; the macro mart is a join on the day with the first."""
+    relations = R(spark, sf, ("mart_company_daily_performance", "mart_company_financial_growth"))
     return (
         relations.mart_company_daily_performance,
         relations.mart_company_financial_growth,
