@@ -117,7 +117,9 @@ class Delta:
     ``before(name, parts, without)`` reads the relation as it was, all of it or some parts.
     ``keep(name, rows, parts)`` may store the new rows of the given parts and returns a frame of
     them; by default nothing is stored.  ``changed`` has the parts and new rows of every relation
-    that changes.
+    that changes.  ``versions(name, parts)`` may give all versions of the rows a staging relation
+    was picked from; names and keys found in them are those of the picked rows, which need not
+    be ranked then.
     """
 
     def __init__(
@@ -127,16 +129,19 @@ class Delta:
         identities: DataFrame,
         metrics: DataFrame,
         keep: Callable[[str, DataFrame, Collection[str]], DataFrame] = lambda name, rows, parts: rows,
+        versions: Callable[[str, Collection[str]], DataFrame] | None = None,
     ) -> None:
         self._before = before
         self._keep = keep
+        self._versions = versions or (lambda name, parts: before(name, parts, ()))
+        self._days = (lambda: versions("stg_market_prices", None)) if versions else (lambda: before(MONTH_CLOSES, None, ()))
         self.changed: dict[str, tuple[list[str], DataFrame]] = {}
         self.identities = identities
         touched = {name: _values(rows, part(name)) for name, rows in arrivals.items()}
         for name, rows in arrivals.items():
             self._stage(name, rows, touched[name])
         self._calendar(arrivals)
-        names = self._facts(touched["stg_financial_facts"], metrics)
+        names = self._facts(touched["stg_financial_facts"], arrivals["stg_financial_facts"], metrics)
         spans, new_series = self._observations(touched["stg_macro_observations"], arrivals["stg_macro_observations"])
         months = self._prices(touched["stg_market_prices"], arrivals["stg_market_prices"].select("symbol").distinct(), names)
         self._market_macro(months, spans, new_series)
@@ -175,15 +180,17 @@ class Delta:
         if known.head() != bounds.head():
             self._put("dim_date", [WHOLE], calendar(bounds))
 
-    def _facts(self, buckets: list[str], metrics: DataFrame) -> DataFrame | None:
+    def _facts(self, buckets: list[str], rows: DataFrame, metrics: DataFrame) -> DataFrame | None:
         """Fact and growth parts; gives the current registrants whose company name changed."""
         if not buckets:
             return None
         staged = self._new("stg_financial_facts", buckets)
         old = self._before("dim_company", buckets, ()).select("cik", F.col("entity_name").alias("_name"))
-        self._put("dim_company", buckets, D.dim_company(staged))
+        known = self._versions("stg_financial_facts", buckets)
+        self._put("dim_company", buckets, D.dim_company(known.unionByName(rows.select(*known.columns))))
         self._put("fact_financial_reported", buckets, D.fact_financial_reported(staged, metrics))
-        ciks = staged.select(F.col("cik").alias("source_cik")).distinct()
+        # One row for every registrant that has a staged fact.
+        ciks = self._new("dim_company", buckets).select(F.col("cik").alias("source_cik"))
         companies = self.identities.join(ciks, "source_cik", "left_semi").select("company_key").distinct()
         growth = _values(companies, bucket("company_key"))
         if growth:
@@ -234,8 +241,8 @@ class Delta:
             self._put(MONTH_CLOSES, months, month_closes(self._new("fact_market_daily", months)))
         closes = self.now(MONTH_CLOSES)
         if renamed is not None and not renamed.isEmpty():
-            every = _values(closes, month("trading_date"))
-            return self._performance(name, every)
+            every = _values(self._days(), month("trading_date"))
+            return self._performance(name, sorted({*every, *months}))
         if not months:
             return []
         current = self.identities.where("is_current_registrant").select("company_key", F.col("current_ticker").alias("symbol"))

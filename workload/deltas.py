@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,17 @@ from tidemark.operators.versions import with_provenance
 from tidemark.plans import delta, standins
 from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
+from tidemark.sources.scratch import kept
 from workload.registry import digits, query
 
 #: Runs from these instants on arrive after the first build, by source.
 LATE = {"twelve_data": "2001-05-01", "sec_edgar": "2001-05-01", "fred": "2024-01-20"}
 
+#: Relations of the first build that several steps read; others are read once at most.
+BUILT = ("fact_market_daily", "dim_company", "fact_macro_observation", "dim_macro_series")
+#: Changed relations that several steps read.
+CARRIED = ("dim_company", "fact_market_daily", delta.MONTH_CLOSES, "fact_macro_observation", "dim_macro_series")
+
 
 def _changed(spark, sf, sources: tuple[str, ...]) -> delta.Delta:
     """Late runs of some sources on top of relations built from all other runs."""
@@ -25,13 +33,18 @@ def _changed(spark, sf, sources: tuple[str, ...]) -> delta.Delta:
         is_late = is_late | ((F.col("source") == source) & (F.col("ingested_at") >= F.lit(LATE[source]).cast("timestamp")))
     tables = {table: given[table] for table, _ in delta.STAGED.values()}
     identities, metrics = standins.company_identities(spark, sf), financial_metrics(spark)
-    relations = Relations({**tables, "ingestion_runs": runs.where(~is_late)}, identities, metrics)
+    # A delta of facts alone ends in the growth mart, which reads no prices.
+    of_prices = set(sources) != {"sec_edgar"}
+    built = BUILT if of_prices else ("dim_company",)
+    relations = Relations({**tables, "ingestion_runs": runs.where(~is_late)}, identities, metrics, kept, built)
+
+    @cache
+    def closes() -> DataFrame:
+        rows = delta.month_closes(relations.fact_market_daily)
+        return kept(delta.MONTH_CLOSES, rows) if of_prices else rows
 
     def before(name: str, parts, without) -> DataFrame:
-        if name == delta.MONTH_CLOSES:
-            rows = delta.month_closes(relations.fact_market_daily)
-        else:
-            rows = relations[name]
+        rows = closes() if name == delta.MONTH_CLOSES else relations[name]
         if parts is not None:
             rows = rows.where(delta.part(name).isin(list(parts)))
         return rows.where(~delta.part(name).isin(list(without))) if without else rows
@@ -41,7 +54,15 @@ def _changed(spark, sf, sources: tuple[str, ...]) -> delta.Delta:
         name: with_provenance(tables[table].where(F.lit(S.CONTRACTS[table].identity[0] in sources)), late)
         for name, (table, _) in delta.STAGED.items()
     }
-    return delta.Delta(before, arrivals, identities, metrics)
+
+    def keep(name: str, rows: DataFrame, parts) -> DataFrame:
+        return kept(name, rows) if name in CARRIED else rows
+
+    def versions(name: str, parts) -> DataFrame:
+        known = with_provenance(tables[delta.STAGED[name][0]], runs.where(~is_late))
+        return known if parts is None else known.where(delta.part(name).isin(list(parts)))
+
+    return delta.Delta(before, arrivals, identities, metrics, keep, versions)
 
 
 @query("delta_market_macro", """
