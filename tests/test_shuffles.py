@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.versions import with_provenance
 from tidemark.plans import standins
-from workload import deltas, measures
+from workload import QUERIES, deltas, measures
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -64,3 +64,10 @@ def test_a_report_computes_each_mart_once(spark, monkeypatch):
     counts = _computed(monkeypatch, standins)
     measures.star_by_trading_date(spark, SF_DIR)
     assert counts == {"mart_company_daily_performance": 1, "mart_company_financial_growth": 1}
+
+
+def test_payloads_of_one_row_group_are_parsed_by_several_tasks(spark):
+    orders = f"{SF_DIR}/orders.parquet"
+    assert spark.read.parquet(orders).rdd.getNumPartitions() == 1
+    plan = _plan(QUERIES["fact_payload_rows"](spark, SF_DIR))
+    assert plan.count("REPARTITION_BY_COL") == 1

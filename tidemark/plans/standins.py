@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.operators.relational import measured
 from tidemark.plans.reference_data import financial_metrics
 from tidemark.plans.relations import Relations
 from tidemark.sources.scratch import kept
@@ -337,7 +338,8 @@ def filing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One facts payload per order: two taxonomies, three concepts, 0 to 2 occurrences each."""
-    orders = table(spark, sf_dir, "orders")
+    # A file is as many tasks as it has row groups, often one; a payload is dear to parse.
+    orders = measured(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")
     day = F.col("o_orderdate").cast("date")
     accession = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.date_format(day, "-yy-"), F.lit("000001"))
     start = F.when(_planted("o_custkey", 13), F.date_add(day, 9)).otherwise(F.date_sub(day, 364))
