@@ -30,6 +30,10 @@ REPRESENTATIVE_ORDER = [
 ]
 
 
+#: What the market/macro mart takes of the daily performance.
+MARKET_COLUMNS = ("company_key", "current_ticker", "current_cik", "company_name", "trading_date", "close", "volume")
+
+
 def mart_company_daily_performance(
     fact_market: DataFrame, identities: DataFrame, companies: DataFrame
 ) -> DataFrame:
@@ -144,15 +148,14 @@ def mart_market_macro(performance: DataFrame, fact_macro: DataFrame, prices: Dat
         take={"macro_observation_date": "observation_date", "macro_value": "value"},
     )
     market = performance.select(
-        "company_key",
-        "current_ticker",
-        "current_cik",
-        "company_name",
-        "trading_date",
+        *MARKET_COLUMNS[:-2],
         F.col("close").alias("market_close"),
         F.col("volume").alias("market_volume"),
     )
-    return market.join(measured(aligned, "trading_date"), "trading_date", "inner").select(
+    # Aligned days are never NULL, so this equals a join on equality.  That would ask for a day
+    # of every price, and the mart could not share the shuffles of the performance it is read with.
+    days = measured(aligned.withColumnRenamed("trading_date", "_day"), "_day")
+    return market.join(days, F.col("trading_date").eqNullSafe(F.col("_day")), "inner").select(
         "company_key",
         "current_ticker",
         "current_cik",

@@ -14,6 +14,8 @@ from tidemark.plans import marts as M
 from tidemark.plans import staging as S
 
 MARTS = ("mart_company_daily_performance", "mart_company_financial_growth", "mart_market_macro")
+#: The part of the performance mart that the market/macro mart takes; may be named in ``stored``.
+MARKET = "market"
 RELATIONS = (
     "stg_market_prices",
     "stg_financial_facts",
@@ -184,18 +186,29 @@ class Relations:
         return self._keep(
             "mart_market_macro",
             M.mart_market_macro(
-                self.mart_company_daily_performance,
+                self.market,
                 self.fact_macro_observation,
-                self._trading_days,
+                self.trading_days,
             ),
         )
 
+    @cached_property
+    def market(self) -> DataFrame:
+        """Every row of the performance mart with the columns the macro mart takes.
+
+        Stored, it serves queries that read both marts: prices are met with their runs and
+        ranked once, without the columns nobody reads.
+        """
+        return self._keep(MARKET, self.mart_company_daily_performance.select(*M.MARKET_COLUMNS))
+
     @property
-    def _trading_days(self) -> DataFrame:
+    def trading_days(self) -> DataFrame:
         """Rows whose dates bound the trading days: the mart if it is stored, else the prices,
         which cost one narrow scan instead of a second computation of the mart."""
-        name = "mart_company_daily_performance"
-        return getattr(self, name) if name in self._stored else self.tables["market_daily_prices"]
+        for name in ("mart_company_daily_performance", MARKET):
+            if name in self._stored:
+                return getattr(self, name)
+        return self.tables["market_daily_prices"]
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
         """Publish every relation as a temporary view."""

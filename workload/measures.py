@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import measures as M
 from tidemark.plans import standins
+from tidemark.plans.relations import MARKET
 from workload.registry import query
 
 R = standins.relations
@@ -167,12 +168,12 @@ SELECT CAST(trading_date AS VARCHAR) AS trading_date, CAST(market_close AS DOUBL
   CAST(macro_observation_date AS VARCHAR) AS macro_observation_date, macro_age_days AS macro_observation_age FROM m
 """)
 def macro_measures_per_day(spark, sf):
-    relations = R(spark, sf)
+    relations = R(spark, sf, (MARKET,))
     return M.measure_query(
         relations.mart_market_macro, "macro",
         ["market_close", "macro_value", "macro_observation_date", "macro_observation_age"],
         filters=_MACRO_FILTERS, group_by=["trading_date"],
-        companies=relations.mart_company_daily_performance.select("company_key").distinct(),
+        companies=relations.market.select("company_key").distinct(),
     )
 
 
