@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import quality as checks
 from tidemark.operators.versions import with_provenance
-from tidemark.plans import standins
-from workload import QUERIES, deltas, measures
+from tidemark.plans import marts, standins
+from workload import QUERIES, deltas, measures, quality
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -71,3 +73,54 @@ def test_payloads_of_one_row_group_are_parsed_by_several_tasks(spark):
     assert spark.read.parquet(orders).rdd.getNumPartitions() == 1
     plan = _plan(QUERIES["fact_payload_rows"](spark, SF_DIR))
     assert plan.count("REPARTITION_BY_COL") == 1
+
+
+@pytest.mark.parametrize("query", [quality.grid_violations, measures.macro_measures_per_day])
+def test_prices_are_ranked_once_for_both_marts(spark, monkeypatch, query):
+    counts = _computed(monkeypatch, standins)
+    plan = _optimized(query(spark, SF_DIR))
+    assert counts == {"market": 1}
+    assert "l_extendedprice" not in plan
+
+
+def test_counted_marts_share_their_shuffles(spark):
+    # A join that wants a day of every price would make the prices below it others.
+    plan = _optimized(standins.relations(spark, SF_DIR).mart_market_macro)
+    assert "isnotnull(l_shipdate" not in plan and "<=>" in plan
+
+
+def test_prices_without_a_day_are_in_no_macro_row(spark):
+    performance = spark.sql(
+        "SELECT 'C' AS company_key, 'T' AS current_ticker, '1' AS current_cik, 'N' AS company_name, "
+        "explode(array(DATE'2024-01-02', NULL)) AS trading_date, 1.0BD AS close, 5L AS volume"
+    )
+    observed = spark.sql("SELECT 'S' AS series_id, DATE'2024-01-01' AS observation_date, 2.0BD AS value")
+    rows = marts.mart_market_macro(performance, observed, performance).collect()
+    assert [(str(r.trading_date), r.series_id, r.macro_age_days) for r in rows] == [("2024-01-02", "S", 1)]
+
+
+def test_bounds_of_the_mart_rank_no_prices(spark):
+    plan = _optimized(quality._trading_days(standins.relations(spark, SF_DIR)))
+    assert "Window" not in plan and "Join" not in plan
+
+
+def _grid(spark, ids):
+    series = spark.createDataFrame([(x,) for x in ids], "series_id string")
+    performance = spark.sql("SELECT 'A' AS company_key, DATE'2024-01-01' AS trading_date UNION ALL SELECT 'B', DATE'2024-01-02'")
+    rows = [("A", x) for x in ids if x not in ("S000", "S062", "S129")] + [("A", "Z"), ("D", "S001"), ("D", None)]
+    mart = spark.createDataFrame(rows, "company_key string, series_id string").withColumn("trading_date", F.lit("2024-01-01").cast("date"))
+    return checks.grid_violations(performance, series, mart)
+
+
+def test_the_grid_is_reduced_to_bits_before_its_shuffle(spark):
+    plan = _optimized(_grid(spark, ["S000", "S001"]))
+    assert all("trading_date" not in line for line in plan.splitlines() if "collect_set" in line)
+    assert "bit_or" in plan
+
+
+def test_a_grid_of_more_series_than_bits(spark):
+    ids = [f"S{k:03d}" for k in range(130)]
+    missing, extra = "series is missing on a traded day", "row is not part of the grid"
+    found = [(r.company_key, r.series_id, r.failure_reason) for r in _grid(spark, ids).collect()]
+    wanted = [("A", x, missing) for x in ("S000", "S062", "S129")] + [("B", x, missing) for x in ids]
+    assert sorted(found) == sorted([*wanted, ("A", "Z", extra), ("D", "S001", extra)])

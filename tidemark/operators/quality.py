@@ -315,29 +315,69 @@ def preservation_violations(mart: DataFrame, fact_macro: DataFrame, days: DataFr
     return violations(checked, ALIGNED_KEY, rules)
 
 
+#: Series in one row of bits; one bit more than the last still fits a long.
+_WORD = 62
+
+
+def _found(series_id: Column, why: str) -> Column:
+    return F.struct(series_id.alias("series_id"), F.lit(why).alias("failure_reason"))
+
+
 def grid_violations(performance: DataFrame, series: DataFrame, mart: DataFrame) -> DataFrame:
     """Missing and unexpected (company, day, series) combinations, both ways.
 
-    The mart is read once and reduced to the set of series of every company day; there
-    are as many as monitored series.  A traded day must have exactly the known ones, any
-    other day none.  The expected grid itself is never built.
+    Known series are numbered, and every company day is reduced to bits: those of the series
+    it should have and of those it has, 62 series a row.  A traded day must have exactly the
+    known ones, any other day none.  The expected grid itself is never built, and rows are
+    reduced before they are shuffled.
     """
     day_key = ["company_key", "trading_date"]
-    known = series.agg(F.collect_set("series_id")).scalar()
-    present = mart.groupBy(*day_key).agg(F.collect_set("series_id").alias("_present"))
-    traded = performance.select(*day_key).distinct().withColumn("_traded", F.lit(True))
-    both = traded.join(present, day_key, "full_outer").select(
-        *day_key,
-        F.when(F.col("_traded"), known).otherwise(F.array().cast("array<string>")).alias("_wanted"),
-        F.coalesce("_present", F.array().cast("array<string>")).alias("_present"),
+    known = series.agg(F.array_sort(F.collect_set("series_id"))).scalar()
+    none, first, size = F.lit(0).cast("bigint"), F.col("word") * _WORD, F.size("_known")
+    # A NULL in the key equals nothing, so the two sides stay apart there.
+    apart = F.col("company_key").isNull() | F.col("trading_date").isNull()
+
+    words = F.when(size > 0, F.sequence(F.lit(0), F.floor((size - 1) / _WORD).cast("int")))
+    wanted = F.expr(f"shiftleft(1L, least({_WORD}, size(_known) - word * {_WORD})) - 1")
+    traded = (
+        performance.select(*day_key, known.alias("_known"))
+        .select(*day_key, "_known", F.explode(words).alias("word"))
+        .select(
+            *day_key, "word", F.lit(None).cast("string").alias("stranger"), F.when(apart, "traded").alias("side"),
+            wanted.alias("wanted"), none.alias("present"),
+        )
+    )
+    place = F.array_position(known, F.col("series_id")).cast("int") - 1
+    present = (
+        mart.where(F.col("series_id").isNotNull())
+        .select(*day_key, "series_id", place.alias("_place"))
+        .select(
+            *day_key,
+            F.when(F.col("_place") >= 0, F.floor(F.col("_place") / _WORD).cast("int")).alias("word"),
+            F.when(F.col("_place") < 0, F.col("series_id")).alias("stranger"),
+            F.when(apart, "present").alias("side"),
+            none.alias("wanted"),
+            F.when(F.col("_place") >= 0, F.expr(f"shiftleft(1L, _place % {_WORD})")).otherwise(none).alias("present"),
+        )
+    )
+    both = (
+        traded.unionByName(present)
+        .groupBy(*day_key, "word", "stranger", "side")
+        .agg(F.bit_or("wanted").alias("wanted"), F.bit_or("present").alias("present"))
+        .where("wanted <> present OR stranger IS NOT NULL")
+        .withColumn("_known", known)
     )
 
-    def rows(ids: Column, why: str) -> Column:
-        return F.transform(ids, lambda x: F.struct(x.alias("series_id"), F.lit(why).alias("failure_reason")))
+    def rows(bits: str, why: str) -> Column:
+        """The known series at the bits of a word."""
+        places = F.filter(F.sequence(F.lit(0), F.lit(_WORD - 1)), lambda i: F.getbit(F.expr(bits), i) == 1)
+        return F.transform(places, lambda i: _found(F.get("_known", first + i), why))
 
+    extra = "row is not part of the grid"
     found = F.concat(
-        rows(F.array_except("_wanted", "_present"), "series is missing on a traded day"),
-        rows(F.array_except("_present", "_wanted"), "row is not part of the grid"),
+        rows("wanted & ~present", "series is missing on a traded day"),
+        rows("present & ~wanted", extra),
+        F.when(F.col("stranger").isNotNull(), F.array(_found(F.col("stranger"), extra))).otherwise(F.array()),
     )
     return both.select(*day_key, F.inline(found)).select(*ALIGNED_KEY, "failure_reason")
 
