@@ -6,7 +6,19 @@ from itertools import pairwise
 import pytest
 from helpers import awkward, nothing
 
-from tidemark.llm.parsed_phrases import PRODUCTION, PhraseRules, bit_filter, chunks_of, collocations, dictionary
+from tidemark.llm import parsed_phrases
+from tidemark.llm.parsed_phrases import (
+    PRODUCTION,
+    PhraseRules,
+    bit_filter,
+    chunks_of,
+    collocations,
+    dictionary,
+    filter_of,
+    frequent_hashes,
+    parsed,
+    phrase_counts,
+)
 from tidemark.llm.queries import op11_parsed_phrases
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -140,3 +152,34 @@ def test_query_equals_counting_every_phrase(spark):
     want = plain([(r.lang, r.text) for r in docs.collect()])
     assert len(want) >= 50
     assert sorted(tuple(r) for r in op11_parsed_phrases(spark, SF_DIR).collect()) == want
+
+
+def test_words_are_counted_by_the_parse(spark):
+    rows = made(random.Random(3), 80)
+    chunks, words = parsed(spark.createDataFrame(rows, "lang string, text string").repartition(4), PhraseRules(trigger=3))
+    want = Counter()
+    for lang, text in rows:
+        want.update((lang or "und", w) for w in re.findall(r"[^\x20\x09]+", re.sub(r"[.,;:!?\x0A-\x0D]", " ", lowered(text))))
+    assert {(r.lang, r.phrase): r.f for r in words.collect()} == want
+    assert chunks.where("overlaps IS NULL").count() == 0
+
+
+def test_the_dictionary_is_read_twice(spark, monkeypatch):
+    purposes = []
+    monkeypatch.setattr(parsed_phrases, "stored", lambda df, purpose: purposes.append(purpose) or df)
+    docs = spark.createDataFrame(made(random.Random(4), 40), "lang string, text string")
+    collocations(docs, PhraseRules(min_count=2))
+    assert purposes == ["chunk-dictionary", "phrases"]
+
+
+def test_hashes_of_all_frequent_pairs_get_through(spark):
+    rules = PhraseRules(min_count=3, trigger=4)
+    rows = [("en", text) for _, text in made(random.Random(6), 120)]
+    chunks, words = parsed(spark.createDataFrame(rows, "lang string, text string").repartition(4), rules)
+    hashes = frequent_hashes(chunks, 2, 1, bit_filter(words.where("f >= 3"), 1, rules), rules)
+    counts = phrase_counts(chunks, [2], 2, filter_of(hashes, rules), rules)
+    pairs = Counter()
+    for _, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text)):
+            pairs.update(map(" ".join, pairwise(re.findall(r"[^\x20\x09]+", piece))))
+    assert {r.phrase: r.f for r in counts.where("f >= 3").collect()} == {p: f for p, f in pairs.items() if f >= 3}

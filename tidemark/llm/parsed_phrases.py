@@ -7,11 +7,12 @@
   are counted before the shuffle and after it stand there once.
 * **Count.** Phrases are counted inside distinct chunks, weighted by the chunk's frequency.  A
   phrase belongs to the chunk in which it begins before the overlap, so it is counted once.
-* **Levels.** A phrase is as frequent as its parts at most.  Pairs of words are only counted where
-  both words have the least count, and longer phrases where all their pairs have it; a bit filter
-  of fixed size (``filter_bits``) tells, and its false positives only cost work: counts are exact,
-  and what lies below the least count is dropped by its count alone.  The filter's bits, never phrases, pass the
-  driver: ``filter_bits / 8`` bytes at most, whatever the size of the corpus.
+* **Levels.** A phrase is as frequent as its parts at most.  Words are counted by the parse itself.
+  Pairs are looked at where both words have the least count, first by their 64-bit hashes alone;
+  phrases are spelled out and counted where all their pairs have it.  A bit filter of fixed size
+  (``filter_bits``) tells.  Equal hashes and the filter's false positives only cost work: counts are
+  exact, and what lies below the least count is dropped by its count alone.  The filter's bits, never
+  phrases, pass the driver: ``filter_bits / 8`` bytes at most, whatever the size of the corpus.
 * **Score.** Every cut of a phrase meets the counts of its two sides by equi-joins on the phrase;
   the lowest score counts.  Phrases that a longer one contains and nearly always accompanies go.
 
@@ -26,7 +27,7 @@ whole.  An empty table gives an empty table.  Other columns of the input are not
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -64,6 +65,7 @@ DICTIONARY = pa.schema(
 )
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
 PLACES = pa.schema([("place", pa.int64())])
+HASH_COUNTS = pa.schema([("hash", pa.int64()), ("f", pa.int64())])
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -98,11 +100,20 @@ def _batch(*columns, schema: pa.Schema) -> pa.RecordBatch:
 class _Words:
     """Numbers and hashes of words."""
 
-    def __init__(self, words: list[bytes]) -> None:
-        self.number = {w: k for k, w in enumerate(dict.fromkeys(words))}
-        self.names = list(self.number)
-        self.ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        self.hashes = _word_hashes(self.names)[self.ids] if words else np.zeros(0, np.uint64)
+    def __init__(self, words: pa.Array) -> None:
+        coded = words.dictionary_encode()
+        self.names = coded.dictionary
+        self.ids = coded.indices.to_numpy()
+        self.hashes = _word_hashes(self.names.to_pylist())[self.ids]
+
+
+def _tokens(texts: list[str]) -> pa.Array:
+    """Words of lower-cased texts, a break after every piece."""
+    blob = _BREAK.join([t.encode() for t in texts]).translate(_PLAIN)
+    blob = (blob.replace(_BREAK, b" " + _BREAK + b" ") + b" " + _BREAK).lstrip()
+    # Arrow only splits strings; a break is none, but this step looks at bytes alone.
+    whole = pa.Array.from_buffers(pa.string(), 1, [None, pa.array([0, len(blob)], pa.int32()).buffers()[1], pa.py_buffer(blob)])
+    return pc.ascii_split_whitespace(whole).flatten().view(pa.binary())
 
 
 def chunks_of(texts: list[str], rules: PhraseRules = PRODUCTION) -> tuple[list[bytes], list[bytes]]:
@@ -110,11 +121,17 @@ def chunks_of(texts: list[str], rules: PhraseRules = PRODUCTION) -> tuple[list[b
 
     Only A-Z are lower-cased, and words are separated by blanks and tabs.
     """
+    return _parsed(texts, rules)[:2]
+
+
+def _parsed(texts: list[str], rules: PhraseRules) -> tuple[list[bytes], list[bytes], pa.Array, np.ndarray]:
+    """The chunks of ``chunks_of``, the distinct words and how often each occurs."""
     overlap = rules.max_words - 1
-    blob = _BREAK.join([t.encode() for t in texts]).translate(_PLAIN)
-    tokens = [*blob.replace(_BREAK, b" " + _BREAK + b" ").split(), _BREAK]
+    tokens = _tokens(texts)
     words = _Words(tokens)
-    breaks = np.flatnonzero(words.ids == words.number[_BREAK])
+    times = np.bincount(words.ids, minlength=len(words.names))
+    end = pc.index(words.names, pa.scalar(_BREAK, pa.binary())).as_py()
+    breaks = np.flatnonzero(words.ids == end)
     starts = np.concatenate(([0], breaks[:-1] + 1))
     starts, ends = starts[starts < breaks], breaks[starts < breaks]
     windows = _window_hashes(words.hashes, overlap)
@@ -128,22 +145,45 @@ def chunks_of(texts: list[str], rules: PhraseRules = PRODUCTION) -> tuple[list[b
     goes_on = np.append(piece[1:] == piece[:-1], False)[: len(begins)]
     stops = np.where(goes_on, np.append(begins[1:], 0)[: len(begins)] + overlap, ends[piece])
 
+    blob = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(tokens)], pa.int32()), tokens), b" ")[0].as_py()
+    lengths = pc.binary_length(tokens).to_numpy().astype(np.int64)
+    after = np.cumsum(lengths + 1)  # where the next word begins
+
     def joined(which: np.ndarray) -> list[bytes]:
-        return [b" ".join(tokens[a:b]) for a, b in zip(begins[which].tolist(), stops[which].tolist(), strict=True)]
+        first, last = begins[which], stops[which] - 1
+        return [blob[a:b] for a, b in zip((after[first] - lengths[first] - 1).tolist(), (after[last] - 1).tolist(), strict=True)]
 
-    return joined(goes_on), joined(~goes_on)
+    is_word = np.arange(len(times)) != end
+    return joined(goes_on), joined(~goes_on), words.names.filter(pa.array(is_word)), times[is_word]
 
 
 def dictionary(docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, overlaps (whether the chunk ends with a window of the next one), chunk, n."""
+    return parsed(docs, rules, text=text, lang=lang)[0]
+
+
+def parsed(
+    docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str = "text", lang: str = "lang"
+) -> tuple[DataFrame, DataFrame]:
+    """The dictionary, and the words of every language: lang, phrase, words, f.
+
+    The parse sees every word, so words are counted on the way; among the chunks their rows
+    are those that neither overlap nor do not.
+    """
+
+    def rows(language: str, overlaps: bool | None, names: pa.Array, times: Sequence[int]) -> pa.RecordBatch:
+        k = len(names)
+        languages = pa.DictionaryArray.from_arrays(pa.array(np.zeros(k, np.int32)), pa.array([language])).cast(pa.string())
+        flags = pa.array(np.full(k, overlaps)) if overlaps is not None else pa.nulls(k, pa.bool_())
+        return _batch(languages, flags, names.cast(pa.string()), times, schema=DICTIONARY)
 
     def counted(held: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
         for language, texts in held.items():
-            for overlaps, chunks in zip((True, False), chunks_of(texts, rules), strict=True):
+            *both, words, each = _parsed(texts, rules)
+            yield rows(language, None, words, each)
+            for overlaps, chunks in zip((True, False), both, strict=True):
                 times = Counter(chunks)
-                names = pa.array(list(times), pa.binary()).cast(pa.string())
-                k = len(names)
-                yield _batch([language] * k, [overlaps] * k, names, list(times.values()), schema=DICTIONARY)
+                yield rows(language, overlaps, pa.array(list(times), pa.binary()), list(times.values()))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
@@ -162,7 +202,11 @@ def dictionary(docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str =
         F.coalesce(row.getField(lang), F.lit("und")).alias("lang"), text_or_empty(row.getField(text)).alias("text")
     )
     chunks = texts.where(F.length("text") > 0).mapInArrow(parse, from_arrow_schema(DICTIONARY))
-    return stored(chunks.groupBy("lang", "overlaps", "chunk").agg(F.sum("n").alias("n")), "chunk-dictionary")
+    found = stored(chunks.groupBy("lang", "overlaps", "chunk").agg(F.sum("n").alias("n")), "chunk-dictionary")
+    words = found.where(F.col("overlaps").isNull())
+    return found.where(F.col("overlaps").isNotNull()), words.select(
+        "lang", F.col("chunk").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f")
+    )
 
 
 def _language_hashes(languages: list[str]) -> np.ndarray:
@@ -175,25 +219,35 @@ def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> np.uint64(5)) & most, ((hashes * _FACTOR) >> np.uint64(23)) & most
 
 
-def _words_in(strings: pa.Array) -> list[bytes]:
-    """All words of strings with single blanks, one string after the other."""
-    if not len(strings):
-        return []
-    whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings.cast(pa.binary()))
-    return pc.binary_join(whole, b" ")[0].as_py().split(b" ")
+def _words_in(strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of strings with single blanks, one string after the other, and how many each has."""
+    lists = pc.split_pattern(strings, " ")
+    return lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
 
 
 def bit_filter(frequent: DataFrame, n: int, rules: PhraseRules) -> np.ndarray:
     """Bits of the frequent phrases of n words, as unsigned 64-bit words."""
 
+    def hashed(batch: pa.RecordBatch) -> np.ndarray:
+        language = batch.column(0).dictionary_encode()
+        hashes = _window_hashes(_Words(_words_in(batch.column(1))[0]).hashes, n)[::n]
+        return hashes ^ _language_hashes(language.dictionary.to_pylist())[language.indices.to_numpy()]
+
+    return _bits_at(frequent.select("lang", "phrase"), hashed, rules)
+
+
+def filter_of(hashes: DataFrame, rules: PhraseRules) -> np.ndarray:
+    """Bits of phrase hashes (column ``hash``), as unsigned 64-bit words."""
+    return _bits_at(hashes.select("hash"), lambda batch: batch.column(0).to_numpy().view(np.uint64), rules)
+
+
+def _bits_at(rows: DataFrame, hashed: Callable[[pa.RecordBatch], np.ndarray], rules: PhraseRules) -> np.ndarray:
+    # One step in Python alone: every further one would be another worker for each task.
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            language = batch.column(0).dictionary_encode()
-            hashes = _window_hashes(_Words(_words_in(batch.column(1))).hashes, n)[::n]
-            hashes = hashes ^ _language_hashes(language.dictionary.to_pylist())[language.indices.to_numpy()]
-            yield _batch(np.concatenate(_places(hashes, rules.filter_bits)).astype(np.int64), schema=PLACES)
+            yield _batch(np.concatenate(_places(hashed(batch), rules.filter_bits)).astype(np.int64), schema=PLACES)
 
-    places = frequent.select("lang", "phrase").mapInArrow(marked, from_arrow_schema(PLACES))
+    places = rows.mapInArrow(marked, from_arrow_schema(PLACES))
     # One row for each 64 bits: at most filter_bits / 64 rows reach the driver.
     found = (
         places.groupBy(F.shiftright("place", 6).alias("word"))
@@ -209,57 +263,56 @@ def _holds(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) == 1
 
 
-def phrase_counts(chunks: DataFrame, sizes: Sequence[int], parts: DataFrame | None, part: int, rules: PhraseRules) -> DataFrame:
-    """lang, phrase, words, f of the phrases of these sizes whose parts of ``part`` words may all be
-    among ``parts``."""
-    shared = None
-    if parts is not None:
-        shared = chunks.sparkSession.sparkContext.broadcast(bit_filter(parts, part, rules))
-    overlap = rules.max_words - 1
+class _Begins:
+    """Words of some chunks, and where phrases whose parts may all be frequent begin."""
 
-    def counted(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, batches: list[pa.RecordBatch], part: int, bits: np.ndarray, rules: PhraseRules) -> None:
         languages, overlaps, strings, times = pa.Table.from_batches(batches).combine_chunks().columns
-        strings = strings.combine_chunks()
         language = languages.combine_chunks().dictionary_encode()
-        known, code = language.dictionary, language.indices.to_numpy().astype(np.int64)
-        lengths = pc.count_substring(strings, " ").to_numpy() + 1
-        words = _Words(_words_in(strings))
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        left = np.cumsum(lengths)[owner] - np.arange(len(owner))
+        self.known, code = language.dictionary, language.indices.to_numpy()
+        words, lengths = _words_in(strings.combine_chunks())
+        self.words = _Words(words)
+        self.owner = owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.left = (np.cumsum(lengths)[owner] - np.arange(len(owner))).astype(np.int32)
+        self.code, self._times = code[owner], times.to_numpy()
         # A phrase begins before the overlap and ends inside the chunk.
-        begins = left > np.where(overlaps.to_numpy(), overlap, 0)[owner]
-        frequent = np.ones(len(owner), bool)
-        if shared is not None:
-            hashes = _window_hashes(words.hashes, part)
-            hashes ^= _language_hashes(known.to_pylist())[code][owner[: len(hashes)]]
-            first, second = _places(hashes, rules.filter_bits)
-            frequent[len(hashes) :] = False
-            frequent[: len(hashes)] = _holds(shared.value, first)
-            frequent[frequent] = _holds(shared.value, second[frequent[: len(hashes)]])
-        spelled = pa.array(words.names, pa.binary()).cast(pa.string())
-        for n in sizes:
-            ok = begins & (left >= n)
-            if shared is not None:
-                for k in range(n - part + 1):
-                    ok[: len(ok) - k] &= frequent[k:]
-            at = np.flatnonzero(ok)
-            if not len(at):
-                continue
-            key, top, names = code[owner[at]], len(known), len(words.names)
-            for k in range(n):
-                if top * names >= 1 << 62:
-                    key = np.unique(key, return_inverse=True)[1]
-                    top = int(key.max()) + 1
-                key = key * names + words.ids[at + k]
-                top *= names
-            order = np.argsort(key)
-            key = key[order]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            sums = np.add.reduceat(times.to_numpy()[owner[at[order]]], first)
-            at = at[order[first]]
-            parted = [spelled.take(pa.array(words.ids[at + k])) for k in range(n)]
-            phrases = pc.binary_join_element_wise(*parted, " ") if n > 1 else parted[0]
-            yield _batch(known.take(pa.array(code[owner[at]])), phrases, np.full(len(at), n, np.int32), sums, schema=COUNTS)
+        self.before = self.left > np.where(overlaps.to_numpy(), rules.max_words - 1, 0)[owner]
+        self._spread = _language_hashes(self.known.to_pylist())
+        self.part = part
+        hashes = self.hashes(part)
+        first, second = _places(hashes, rules.filter_bits)
+        self.frequent = np.zeros(len(owner), bool)
+        self.frequent[: len(hashes)] = _holds(bits, first)
+        self.frequent[self.frequent] = _holds(bits, second[self.frequent[: len(hashes)]])
+
+    def hashes(self, n: int) -> np.ndarray:
+        """Hash of the language and the n words from each position on, as far as they reach."""
+        hashes = _window_hashes(self.words.hashes, n)
+        return hashes ^ self._spread[self.code[: len(hashes)]]
+
+    def times(self, at: np.ndarray) -> np.ndarray:
+        return self._times[self.owner[at]]
+
+    def of(self, n: int) -> np.ndarray:
+        """Positions where phrases of n words begin."""
+        ok = self.before & (self.left >= n)
+        for k in range(n - self.part + 1):
+            ok[: len(ok) - k] &= self.frequent[k:]
+        return np.flatnonzero(ok)
+
+
+def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One position of every distinct key, and the sum of its times."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return order[first], np.add.reduceat(times[order], first)
+
+
+def _counted(chunks: DataFrame, found: Callable[[_Begins], Iterator[pa.RecordBatch]], schema: pa.Schema,
+             part: int, bits: np.ndarray, rules: PhraseRules) -> DataFrame:
+    """What ``found`` says of the chunks, many at a time."""
+    shared = chunks.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -267,27 +320,68 @@ def phrase_counts(chunks: DataFrame, sizes: Sequence[int], parts: DataFrame | No
             held.append(batch)
             size += batch.column(2).nbytes
             if size >= rules.chars_at_once:
-                yield from counted(held)
+                yield from found(_Begins(held, part, shared.value, rules))
                 held, size = [], 0
         if held:
-            yield from counted(held)
+            yield from found(_Begins(held, part, shared.value, rules))
+
+    return chunks.select("lang", "overlaps", "chunk", "n").mapInArrow(count, from_arrow_schema(schema))
+
+
+def frequent_hashes(chunks: DataFrame, n: int, part: int, bits: np.ndarray, rules: PhraseRules) -> DataFrame:
+    """hash of phrases of n words: every one with the least count is among them.
+
+    Phrases of one hash are counted together, so some that are rarer get through.
+    """
+
+    def found(begins: _Begins) -> Iterator[pa.RecordBatch]:
+        at = begins.of(n)
+        if len(at):
+            hashes = begins.hashes(n)[at]
+            one, sums = _summed(hashes, begins.times(at))
+            yield _batch(hashes[one].view(np.int64), sums, schema=HASH_COUNTS)
+
+    counts = _counted(chunks, found, HASH_COUNTS, part, bits, rules)
+    return counts.groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= rules.min_count).select("hash")
+
+
+def phrase_counts(chunks: DataFrame, sizes: Sequence[int], part: int, bits: np.ndarray, rules: PhraseRules) -> DataFrame:
+    """lang, phrase, words, f of the phrases of these sizes whose parts of ``part`` words may all be
+    in the filter."""
+
+    def found(begins: _Begins) -> Iterator[pa.RecordBatch]:
+        ids, spelled, known = begins.words.ids, begins.words.names, begins.known
+        for n in sizes:
+            at = begins.of(n)
+            if not len(at):
+                continue
+            key, top, names = begins.code[at].astype(np.int64), len(known), len(spelled)
+            for k in range(n):
+                if top * names >= 1 << 62:
+                    key = np.unique(key, return_inverse=True)[1]
+                    top = int(key.max()) + 1
+                key = key * names + ids[at + k]
+                top *= names
+            one, sums = _summed(key, begins.times(at))
+            at = at[one]
+            phrases = pc.binary_join_element_wise(*[spelled.take(pa.array(ids[at + k])) for k in range(n)], " ")
+            languages = known.take(pa.array(begins.code[at]))
+            yield _batch(languages, phrases, np.full(len(at), n, np.int32), sums, schema=COUNTS)
 
-    counts = chunks.select("lang", "overlaps", "chunk", "n").mapInArrow(count, from_arrow_schema(COUNTS))
+    counts = _counted(chunks, found, COUNTS, part, bits, rules)
     return counts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
-def frequent_phrases(chunks: DataFrame, rules: PhraseRules = PRODUCTION) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(chunks: DataFrame, words: DataFrame, rules: PhraseRules = PRODUCTION) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``max_words`` words with the least count: lang, phrase, words, f; and the
     words of every language: lang, n."""
-    every_word = stored(phrase_counts(chunks, [1], None, 0, rules), "word-counts")
-    totals = every_word.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     enough = F.col("f") >= rules.min_count
-    level = frequent = every_word.where(enough)
-    for part, sizes in ((1, [2]), (2, list(range(3, rules.max_words + 1)))):
-        if sizes:
-            level = stored(phrase_counts(chunks, sizes, level, part, rules).where(enough), f"phrases-of-{sizes[0]}")
-            frequent = frequent.unionByName(level)
-    return frequent, totals
+    frequent = words.where(enough)
+    pairs = frequent_hashes(chunks, 2, 1, bit_filter(frequent, 1, rules), rules)
+    sizes = list(range(2, rules.max_words + 1))
+    longer = phrase_counts(chunks, sizes, 2, filter_of(pairs, rules), rules).where(enough)
+    return frequent.unionByName(stored(longer, "phrases")), totals
 
 
 def scored(frequent: DataFrame, rules: PhraseRules = PRODUCTION) -> DataFrame:
@@ -329,7 +423,7 @@ def collocations(
     docs: DataFrame, rules: PhraseRules = PRODUCTION, *, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of every language."""
-    frequent, totals = frequent_phrases(dictionary(docs, rules, text=text, lang=lang), rules)
+    frequent, totals = frequent_phrases(*parsed(docs, rules, text=text, lang=lang), rules)
     share = F.col("longest_f").cast("decimal(19,0)") * 100
     left = scored(frequent, rules).join(contained(frequent, rules), ["lang", "phrase"], "left")
     left = left.where(F.col("longest_f").isNull() | (share < F.col("a").cast("decimal(19,0)") * rules.contained_percent))
