@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as checks
-from tidemark.operators.versions import with_provenance
-from tidemark.plans import marts, standins
+from tidemark.operators.versions import latest_version, with_provenance
+from tidemark.plans import delta, marts, standins
+from tidemark.sources.scratch import kept
 from workload import QUERIES, deltas, measures, quality
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -56,6 +57,87 @@ def test_a_delta_builds_its_base_once(spark, monkeypatch):
     assert counts["fact_market_daily"] == counts["dim_company"] == counts["month_closes"] == 2
 
 
+class _Caught(Exception):
+    pass
+
+
+@pytest.mark.parametrize("query", [deltas.delta_daily_performance, deltas.delta_market_macro])
+def test_arriving_prices_do_not_meet_the_registry_again(spark, monkeypatch, query):
+    seen = {}
+
+    def caught(before, arrivals, *more):
+        seen.update(arrivals, before=before("fact_market_daily", None, ()), days=before("dim_date", None, ()))
+        raise _Caught
+
+    monkeypatch.setattr(deltas.delta, "Delta", caught)
+    with pytest.raises(_Caught):
+        query(spark, SF_DIR)
+    assert all("Join" not in _optimized(seen[name]) for name in ("stg_market_prices", "stg_macro_observations", "before", "days"))
+
+
+def test_a_ranked_relation_in_buckets_is_ranked_again_without_a_shuffle(spark):
+    rows = spark.sql("SELECT concat('S', id % 5) AS symbol, id % 7 AS trading_date, id % 3 = 0 AS late, id AS n FROM range(100)")
+    stored = kept("fact_market_daily", rows)
+    assert stored.dtypes == rows.dtypes and sorted(stored.collect()) == sorted(rows.collect())
+    parts = [stored.where(c).drop("late") for c in ("late", "NOT late")]
+    ranked = latest_version(parts[0].unionByName(parts[1]), ["symbol", "trading_date"], ["n"])
+    assert "Exchange" not in _plan(ranked) and ranked.count() == 35
+    closes = stored.groupBy("symbol", F.col("trading_date") % 2).count()
+    assert "Exchange" not in _plan(closes)
+
+
+def test_rows_meet_their_runs_once_for_both_sides(spark):
+    price = "'p' AS source, 'd' AS dataset, *"
+    prices = spark.sql(f"""SELECT {price} FROM VALUES ('r1', 1L, 'A', DATE'2024-01-01', 1.0BD), ('r2', 1L, 'A', DATE'2024-01-01', 2.0BD),
+        ('r3', 1L, 'A', DATE'2024-01-01', 3.0BD), ('r3', 2L, 'A', DATE'2024-01-02', 4.0BD), ('r2', 3L, 'B', DATE'2023-01-01', 5.0BD),
+        ('r4', 1L, 'A', DATE'2025-01-01', 6.0BD), ('r9', 1L, 'A', DATE'2026-01-01', 7.0BD), ('r1', 2L, NULL, DATE'2024-01-05', 8.0BD)
+        AS t(run_id, source_row_number, symbol, trading_date, close)""")
+    prices = prices.withColumns({c: F.col("close") for c in ("open", "high", "low")}).withColumn("volume", F.lit(1))
+    facts = spark.sql("""SELECT 'f' AS source, 'd' AS dataset, *, NULL AS start_date, filed_date AS end_date FROM VALUES
+        ('f1', 1L, '1', 'old', DATE'2024-02-01'), ('f1', 2L, '1', 'new', DATE'2024-02-02') AS t(run_id, source_row_number, cik, entity_name, filed_date)""")
+    observed = spark.sql("""SELECT 'o' AS source, 'd' AS dataset, 'o1' AS run_id, 1L AS source_row_number, 'S' AS series_id,
+        DATE'2024-01-01' AS realtime_start, DATE'9999-12-31' AS realtime_end, DATE'2024-01-03' AS observation_date, 1.0BD AS value""")
+    # r4 has no instant, r9 is not registered.
+    runs = spark.sql("""SELECT *, ingested_at AS loaded_at FROM VALUES ('p', 'd', 'r1', TIMESTAMP'2024-01-01'), ('p', 'd', 'r2', TIMESTAMP'2024-01-02'),
+        ('p', 'd', 'r3', TIMESTAMP'2024-02-01'), ('p', 'd', 'r4', NULL), ('f', 'd', 'f1', TIMESTAMP'2024-01-01'), ('o', 'd', 'o1', NULL)
+        AS t(source, dataset, run_id, ingested_at)""")
+    late = F.lit(False) | ((F.col("source") == "p") & (F.col("ingested_at") >= F.lit("2024-02-01").cast("timestamp")))
+    identities = spark.sql("SELECT 'A' AS current_ticker, true AS is_current_registrant UNION ALL SELECT 'B', false")
+    tables = {"market_daily_prices": prices, "sec_company_facts": facts, "fred_series_observations": observed}
+    arrived = deltas._Arrived(tables, runs, late, identities)
+
+    def closes(rows):
+        return sorted((str(r.trading_date), int(r.close)) for r in rows.collect())
+
+    assert closes(arrived.built["fact_market_daily"]) == [("2024-01-01", 2)]
+    assert closes(deltas.only_late(arrived.prices)) == [("2024-01-01", 3), ("2024-01-02", 4)]
+    assert arrived.built["dim_company"].collect() == [("1", "new")]
+    assert arrived.built["dim_macro_series"].collect() == [("S",)]
+    bounds = [sorted(str(d) for d in f(arrived.days).first()) for f in (deltas.before_late, deltas.only_late)]
+    # The calendar takes every symbol and source.
+    assert bounds == [["2023-01-01", "2024-02-02"], ["2024-01-01", "2024-01-02"]]
+
+
+def test_parts_that_changed_are_not_read_from_before(spark):
+    changes = object.__new__(delta.Delta)
+    changes._before = lambda *_: pytest.fail("read")
+    changes.changed = {"dim_date": ([delta.WHOLE], spark.sql("SELECT DATE'2024-01-01' AS date_day"))}
+    assert changes.now("dim_date", [delta.WHOLE]).count() == 1
+
+
+def test_a_mart_with_all_months_replaced_is_not_built_before(spark, monkeypatch):
+    def caught(before, *more):
+        month = delta.part(delta.MONTH_CLOSES).alias("m")
+        months = [r.m for r in before(delta.MONTH_CLOSES, None, ()).select(month).distinct().collect()]
+        plans = [_optimized(before("mart_market_macro", None, without)) for without in (months, months[1:])]
+        raise _Caught("lag(" in plans[0], "lag(" in plans[1])
+
+    monkeypatch.setattr(deltas.delta, "Delta", caught)
+    with pytest.raises(_Caught) as found:
+        deltas.delta_market_macro(spark, SF_DIR)
+    assert found.value.args == (False, True)
+
+
 def test_a_delta_of_facts_reads_no_price_twice(spark, monkeypatch):
     counts = _computed(monkeypatch, deltas)
     deltas.delta_financial_growth(spark, SF_DIR)

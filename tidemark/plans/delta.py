@@ -71,6 +71,11 @@ PARTS: dict[str, Callable[[], Column]] = {
     STAGED_RUNS: lambda: run_month(),
 }
 
+#: Relations cut into months of the trading day.
+BY_MONTH = (
+    "stg_market_prices", "fact_market_daily", "mart_company_daily_performance", "mart_market_macro", MONTH_CLOSES,
+)
+
 #: Staging relation: source table and grain.
 STAGED = {
     "stg_market_prices": ("market_daily_prices", PRICE_GRAIN),
@@ -78,6 +83,13 @@ STAGED = {
     "stg_macro_observations": ("fred_series_observations", OBSERVATION_GRAIN),
 }
 
+#: Staging relation: its dates in the calendar.
+DATES = {
+    "stg_market_prices": ("trading_date",),
+    "stg_financial_facts": ("start_date", "end_date", "filed_date"),
+    "stg_macro_observations": ("observation_date",),
+}
+
 
 def part(name: str) -> Column:
     return PARTS[name]()
@@ -111,6 +123,10 @@ def _ranges(months: Collection[str]) -> Iterable[tuple[date, date]]:
     return [tuple(s) for s in spans]
 
 
+def _arriving_days(arrivals: Mapping[str, DataFrame]) -> DataFrame:
+    return merged_bounds(*[column_bounds(arrivals[name], *columns) for name, columns in DATES.items()])
+
+
 class Delta:
     """New rows of touched parts, relation by relation, each one on top of the ones before.
 
@@ -119,7 +135,9 @@ class Delta:
     them; by default nothing is stored.  ``changed`` has the parts and new rows of every relation
     that changes.  ``versions(name, parts)`` may give all versions of the rows a staging relation
     was picked from; names and keys found in them are those of the picked rows, which need not
-    be ranked then.
+    be ranked then.  ``heads`` may give arriving rows once more with fewer columns or versions, for
+    the steps that look for touched parts, names and keys; ``days`` may give the first and last
+    day of all arriving rows.
     """
 
     def __init__(
@@ -130,6 +148,8 @@ class Delta:
         metrics: DataFrame,
         keep: Callable[[str, DataFrame, Collection[str]], DataFrame] = lambda name, rows, parts: rows,
         versions: Callable[[str, Collection[str]], DataFrame] | None = None,
+        heads: Mapping[str, DataFrame] | None = None,
+        days: DataFrame | None = None,
     ) -> None:
         self._before = before
         self._keep = keep
@@ -137,11 +157,12 @@ class Delta:
         self._days = (lambda: versions("stg_market_prices", None)) if versions else (lambda: before(MONTH_CLOSES, None, ()))
         self.changed: dict[str, tuple[list[str], DataFrame]] = {}
         self.identities = identities
-        touched = {name: _values(rows, part(name)) for name, rows in arrivals.items()}
+        heads = {**arrivals, **(heads or {})}
+        touched = {name: _values(rows, part(name)) for name, rows in heads.items()}
         for name, rows in arrivals.items():
             self._stage(name, rows, touched[name])
-        self._calendar(arrivals)
-        names = self._facts(touched["stg_financial_facts"], arrivals["stg_financial_facts"], metrics)
+        self._calendar(_arriving_days(arrivals) if days is None else days)
+        names = self._facts(touched["stg_financial_facts"], heads["stg_financial_facts"], metrics)
         spans, new_series = self._observations(touched["stg_macro_observations"], arrivals["stg_macro_observations"])
         months = self._prices(touched["stg_market_prices"], arrivals["stg_market_prices"].select("symbol").distinct(), names)
         self._market_macro(months, spans, new_series)
@@ -153,6 +174,8 @@ class Delta:
         replaced, rows = self.changed[name]
         if parts is not None:
             rows = rows.where(part(name).isin(list(parts)))
+            if set(parts) <= set(replaced):
+                return rows
         return self._before(name, parts, replaced).unionByName(rows)
 
     def _put(self, name: str, parts: list[str], rows: DataFrame) -> None:
@@ -168,15 +191,10 @@ class Delta:
             known = self._before(name, parts, ())
             self._put(name, parts, latest_version(known.unionByName(rows.select(*known.columns)), STAGED[name][1]))
 
-    def _calendar(self, arrivals: Mapping[str, DataFrame]) -> None:
+    def _calendar(self, arriving: DataFrame) -> None:
         """Dates belong to the staging grains, so the calendar can only grow."""
         known = day_bounds(self._before("dim_date", None, ()), "date_day")
-        bounds = merged_bounds(
-            known,
-            column_bounds(arrivals["stg_market_prices"], "trading_date"),
-            column_bounds(arrivals["stg_financial_facts"], "start_date", "end_date", "filed_date"),
-            column_bounds(arrivals["stg_macro_observations"], "observation_date"),
-        )
+        bounds = merged_bounds(known, arriving)
         if known.head() != bounds.head():
             self._put("dim_date", [WHOLE], calendar(bounds))
 
